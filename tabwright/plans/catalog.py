@@ -29,4 +29,6 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     from tabwright.plans import (  # noqa: F401
         queries_metrics,
+        queries_profile,
+        queries_quality,
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabwright.operators import metrics as M
@@ -74,7 +75,7 @@ def kfold_orders_sizes(spark, sf):
 def fold_train_val_counts(spark, sf):
     f = S.assign_folds(scored(spark, sf), "customer_id", 5)
     sizes = f.groupBy("fold").agg(F.count(F.lit(1)).alias("n_val"), F.sum("churn").alias("pos_val"))
-    total = F.sum("n_val").over()
+    total = F.sum("n_val").over(Window.partitionBy())
     return sizes.select("fold", (total - F.col("n_val")).alias("n_train"), "n_val", "pos_val")
 
 
@@ -159,7 +160,7 @@ def ece_standard_by_segment(spark, sf):
 
 def metrics_wide_sql(src: str, g: str) -> str:
     """The five metrics per group g, over columns (g, p, y)."""
-    return f"""bins AS (SELECT {g}, {SQL_ECE_BIN} AS b, count(*) AS n, sum(y) AS sy, sum(p) AS sp FROM {src} GROUP BY {g}, 2),
+    return f"""bins AS (SELECT {g}, {SQL_ECE_BIN} AS b, count(*) AS n, sum(y) AS sy, sum(p) AS sp FROM {src} GROUP BY {g}, b),
       e AS (SELECT {g}, sum(CASE WHEN b >= 1 THEN abs(sy - sp) ELSE 0e0 END) / sum(n) AS ece FROM bins GROUP BY {g}),
       a AS (SELECT {g}, {SQL_AUC} AS roc_auc, {SQL_AP} AS pr_auc FROM curve GROUP BY {g}),
       b AS (SELECT {g}, avg((p - y) * (p - y)) AS brier, avg(((p > 0.5e0)::INT = y)::INT) AS accuracy FROM {src} GROUP BY {g}),

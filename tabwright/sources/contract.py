@@ -15,7 +15,7 @@ SPARK_TYPES = {
     "categorical": T.StringType(),
     "boolean": T.BooleanType(),
     "string": T.StringType(),
-    "datetime": T.TimestampType(),
+    "datetime": T.TimestampNTZType(),
 }
 
 # Missing policies.
