@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabwright.operators.rank import BUCKET, range_splits, with_buckets
+
 # What a comparison shows for a metric nobody recorded.
 MISSING = {"roc_auc": 0.0, "pr_auc": 0.0, "brier": 1.0, "ece": 1.0, "accuracy": 0.0}
 NO_CALIBRATION = "none"
@@ -56,20 +58,22 @@ def winners(comparison: DataFrame) -> DataFrame:
     return comparison.groupBy("run").agg(best).select("run", "_b.model", "_b.roc_auc")
 
 
-def pareto_front(trials: DataFrame, up: str, down: str, slices: int = 64) -> DataFrame:
+def pareto_front(trials: DataFrame, up: str, down: str) -> DataFrame:
     """Trials that no other beats: at least as good in both objectives, better in one.
 
-    Sorted by the first objective, the front is where the running best of the
-    second improves. Each slice finds its own front first, so that only those few
-    rows meet in the last step.
+    Ordered by the first objective, the front is where the running best of the
+    second improves. The order is cut into range buckets, each bucket knows the
+    best of all better buckets, and no task sees more than one bucket.
     """
-    best_down = trials.groupBy(F.col(up).alias("_u")).agg(F.min(down).alias("_d"))
-
-    def front(df: DataFrame, keys: list[str]) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(F.desc("_u")).rowsBetween(Window.unboundedPreceding, -1)
-        ahead = df.withColumn("_ahead", F.min("_d").over(w))
-        return ahead.filter(F.col("_ahead").isNull() | (F.col("_d") < F.col("_ahead"))).drop("_ahead")
-
-    local = front(best_down.withColumn("_s", F.pmod(F.xxhash64("_u"), F.lit(slices))), ["_s"]).drop("_s")
-    edge = front(local, []).select(F.col("_u").alias(up), F.col("_d").alias(down))
-    return trials.join(edge, [up, down], "left_semi")
+    best = trials.groupBy(F.col(up).cast("double").alias("_u")).agg(F.min(down).alias("_d"))
+    splits = range_splits(trials, [up])[up]
+    best = with_buckets(best, {"_u": splits})
+    b = "_u" + BUCKET
+    inside = Window.partitionBy(b).orderBy(F.desc("_u")).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy().orderBy(F.desc(b)).rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    better = best.groupBy(b).agg(F.min("_d").alias("_m")).select(b, F.min("_m").over(across).alias("_m"))
+    rows = best.withColumn("_ahead", F.min("_d").over(inside)).join(better, b)
+    ahead = F.least("_ahead", "_m")  # NULL is skipped
+    edge = rows.filter(ahead.isNull() | (F.col("_d") < ahead)).select("_u", F.col("_d").alias(down))
+    keyed = trials.withColumn("_u", F.col(up).cast("double"))
+    return keyed.join(edge, ["_u", down], "left_semi").select(*trials.columns)

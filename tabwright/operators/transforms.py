@@ -1,6 +1,481 @@
-"""placeholder"""
-def select_features(df, features):
+"""Preprocessing fitted on training rows and applied anywhere.
+
+A fit is a handful of numbers per column, gathered for all numeric columns in
+one aggregation and for all categorical columns in one (feature, value) pass.
+Fold-safe statistics for every fold come from the same single pass, by combining
+the parts of the other folds.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import (
+    FeatureHasher,
+    OneHotEncoder,
+    SQLTransformer,
+    StringIndexerModel,
+    VectorAssembler,
+)
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tabwright.operators.rank import quantile_row
+from tabwright.sources.contract import Contract
+
+# ------------------------------------------------------------------ selection
+
+
+def select_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Project to the given features in their order; all must be there."""
     gone = sorted(set(features) - set(df.columns))
     if gone:
         raise ValueError(f"Missing training features: {gone}")
     return df.select(*features)
+
+
+def plan_of(decisions: DataFrame) -> dict[str, str]:
+    """Decision table to ``{feature: action}``; one row per column, so small."""
+    return {r["name"]: r["action"] for r in decisions.select("name", "action").collect()}
+
+
+def action_of(plan: dict[str, str], feature: str) -> str:
+    if feature not in plan:
+        raise ValueError(f"Feature '{feature}' not found in feature decisions")
+    return plan[feature]
+
+
+# -------------------------------------------------------------------- numeric
+
+
+def numeric_moments(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., feature, n, missing, mu, var)`` over non-null values, one pass."""
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, c in enumerate(cols):
+        v = F.col(c).cast("double")
+        aggs += [F.count(v).alias(f"_n{i}"), F.avg(v).alias(f"_u{i}"), F.var_pop(v).alias(f"_v{i}")]
+    items = [
+        F.struct(F.lit(c).alias("feature"), F.col(f"_n{i}").alias("n"), (F.col("_rows") - F.col(f"_n{i}")).alias("missing"),
+                 F.col(f"_u{i}").alias("mu"), F.col(f"_v{i}").alias("var"))
+        for i, c in enumerate(cols)
+    ]
+    return df.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*items)))
+
+
+def imputed(moments: DataFrame, fill: Column) -> DataFrame:
+    """Mean and population deviation after filling: ``fill, mean, std`` (std 0 becomes 1)."""
+    n, m, mu, var = (F.col(c) for c in ("n", "missing", "mu", "var"))
+    f = fill.cast("double")
+    total = (n + m).cast("double")
+    mean = F.coalesce((n * mu + m * f) / total, f)
+    spread = F.coalesce(n * (var + (mu - mean) * (mu - mean)), F.lit(0.0)) + m * (f - mean) * (f - mean)
+    std = F.sqrt(spread / total)
+    return moments.select(
+        "*", f.alias("fill"), mean.alias("mean"), F.when(std > 0, std).otherwise(F.lit(1.0)).alias("std")
+    )
+
+
+STRATEGIES = ("mean", "median", "most_frequent", "zero")
+
+
+def fill_values(df: DataFrame, strategy: dict[str, str]) -> dict[str, float | None]:
+    """The fill of every numeric column whose strategy is not the mean."""
+    bad = set(strategy.values()) - set(STRATEGIES)
+    if bad:
+        raise ValueError(f"unknown strategy: {sorted(bad)}")
+    out: dict[str, float | None] = {c: 0.0 for c, s in strategy.items() if s == "zero"}
+    med = [c for c, s in strategy.items() if s == "median"]
+    if med:
+        q = quantile_row(df, med, [0.5])
+        out |= {c: q[c].get(0.5) for c in med}
+    freq = [c for c, s in strategy.items() if s == "most_frequent"]
+    if freq:
+        items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in freq])
+        found = modes(df.select(F.inline(items)).filter("value IS NOT NULL").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
+        out |= {r["feature"]: r["mode"] for r in found.collect()}  # one row per column
+    return out
+
+
+def modes(counts: DataFrame, keys: Sequence[str] = ("feature",), n: str = "n") -> DataFrame:
+    """Most frequent value per key from ``(keys..., value, n)``; the smallest on ties."""
+    best = F.min(F.struct((-F.col(n)).alias("_k"), F.col("value"))).alias("_b")
+    return counts.groupBy(*keys).agg(best).select(*keys, F.col("_b.value").alias("mode"))
+
+
+def fit_numeric(df: DataFrame, cols: Sequence[str], strategy: str | dict[str, str] = "mean") -> DataFrame:
+    """``(feature, n, missing, mu, var, fill, mean, std)`` of the given rows."""
+    strategy = {c: (strategy if isinstance(strategy, str) else strategy[c]) for c in cols}
+    fills = fill_values(df, {c: s for c, s in strategy.items() if s != "mean"})
+    m = numeric_moments(df, cols)
+    fill = F.col("mu")
+    for c, v in fills.items():
+        fill = F.when(F.col("feature") == c, F.lit(v).cast("double")).otherwise(fill)
+    return imputed(m, fill)
+
+
+def fold_numeric(df: DataFrame, cols: Sequence[str], fold: str = "fold") -> DataFrame:
+    """Mean-imputed statistics of the training side of every fold, from one pass.
+
+    The other folds' parts are combined with the parallel-variance identity, so
+    nothing of a fold's own rows enters its statistics.
+    """
+    part = numeric_moments(df, cols, [fold]).filter("n + missing > 0")
+    a = part.select(F.col(fold).alias("_f"), "feature").distinct()
+    j = a.join(part, "feature").filter(F.col(fold) != F.col("_f"))  # folds x folds per column
+    n = F.sum("n")
+    mu = F.try_divide(F.sum(F.col("n") * F.col("mu")), n)
+    g = j.groupBy("_f", "feature").agg(
+        n.alias("n"),
+        F.sum("missing").alias("missing"),
+        mu.alias("mu"),
+        F.try_divide(F.sum(F.col("n") * (F.col("var") + F.col("mu") * F.col("mu"))), n).alias("_raw"),
+        F.collect_list(F.struct("n", "mu", "var")).alias("_parts"),  # one entry per fold
+    )
+    spread = F.aggregate(
+        "_parts",
+        F.lit(0.0),
+        lambda s, x: s
+        + F.coalesce(x["n"] * (x["var"] + (x["mu"] - F.col("mu")) * (x["mu"] - F.col("mu"))), F.lit(0.0)),
+    )
+    g = g.select(F.col("_f").alias(fold), "feature", "n", "missing", "mu", F.try_divide(spread, F.col("n")).alias("var"))
+    return imputed(g, F.col("mu"))
+
+
+def scale_columns(df: DataFrame, stats: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataFrame:
+    """Fill and scale with a one-row broadcast of the fitted numbers."""
+    row = stats.groupBy().agg(
+        *[F.max(F.when(F.col("feature") == c, F.struct("fill", "mean", "std"))).alias(f"_s{i}") for i, c in enumerate(cols)]
+    )
+    z = [
+        ((F.coalesce(F.col(c).cast("double"), F.col(f"_s{i}.fill")) - F.col(f"_s{i}.mean")) / F.col(f"_s{i}.std")).alias(c + suffix)
+        for i, c in enumerate(cols)
+    ]
+    return df.crossJoin(F.broadcast(row)).select(*df.columns, *z)
+
+
+# ---------------------------------------------------------------- categorical
+
+
+def category_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., feature, value, n)`` of non-null values, all columns in one shuffle."""
+    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols])
+    long = df.select(*by, F.inline(items)).filter("value IS NOT NULL")
+    return long.groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def fold_categories(df: DataFrame, cols: Sequence[str], fold: str = "fold", k: int = 5) -> DataFrame:
+    """``(fold, feature, value, n)``: training-side counts of every fold, from one pass."""
+    c = category_counts(df, cols, [fold])
+    g = c.groupBy("feature", "value").agg(
+        F.sum("n").alias("_all"), F.map_from_entries(F.collect_list(F.struct(fold, "n"))).alias("_own")  # k entries
+    )
+    each = g.select("feature", "value", "_all", "_own", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias(fold))
+    n = F.col("_all") - F.coalesce(F.try_element_at("_own", F.col(fold)), F.lit(0))
+    return each.select(fold, "feature", "value", n.alias("n")).filter("n > 0")
+
+
+def vocabulary(counts: DataFrame, integer: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
+    """Class list with ``code`` in sorted order; integer features sort as numbers.
+
+    A vocabulary has one row per distinct value; the window runs per feature.
+    """
+    is_int = F.col("feature").isin(list(integer)) if integer else F.lit(False)
+    w = Window.partitionBy(*by, "feature").orderBy(F.when(is_int, F.col("value").try_cast("bigint")), F.col("value"))
+    return counts.select(*by, "feature", "value", (F.row_number().over(w) - 1).alias("code"), "n")
+
+
+UNKNOWN_MODES = ("zeros", "train_mode", "batch_mode")
+
+
+def encode_long(df: DataFrame, key: str, cols: Sequence[str], vocab: DataFrame, unknown: str = "zeros") -> DataFrame:
+    """One row per (key, feature): the value after unknown handling and its code.
+
+    ``code`` is NULL for an all-zero block. Known values are found by a join on
+    (feature, value), so a vocabulary of any size works.
+    """
+    if unknown not in UNKNOWN_MODES:
+        raise ValueError(f"unknown must be one of {UNKNOWN_MODES}")
+    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols])
+    long = df.select(F.col(key), F.inline(items))
+    known = vocab.select("feature", "value", F.col("code").alias("_code"))
+    out = long.join(known, ["feature", "value"], "left")
+    if unknown == "zeros":
+        return out.select(key, "feature", "value", F.col("_code").alias("code"))
+    source = vocab if unknown == "train_mode" else category_counts(df, cols)
+    repl = modes(source)
+    repl = repl.join(known.select("feature", F.col("value").alias("mode"), F.col("_code").alias("_mode_code")), ["feature", "mode"], "left")
+    out = out.join(repl, "feature", "left")  # one row per feature
+    first = vocab.filter("code = 0").select("feature", F.col("value").alias("_first"))
+    out = out.join(first, "feature", "left")
+    value = F.coalesce(F.when(F.col("_code").isNotNull(), F.col("value")), F.col("mode"), F.col("_first"))
+    code = F.coalesce("_code", F.when(F.col("mode").isNull(), F.lit(0)).otherwise(F.col("_mode_code")))
+    return out.select(key, "feature", value.alias("value"), code.alias("code"))
+
+
+def unknown_counts(df: DataFrame, cols: Sequence[str], vocab: DataFrame) -> DataFrame:
+    """How many rows per feature hold a value outside the vocabulary (NULL included)."""
+    key = df.select(F.lit(1).alias("_k"), *cols)
+    return encode_long(key, "_k", cols, vocab).groupBy("feature").agg(F.count_if(F.col("code").isNull()).alias("unknown"))
+
+
+def target_encoding(df: DataFrame, cols: Sequence[str], target: str, fold: str | None = None, k: int = 5) -> DataFrame:
+    """Target mean per category; with ``fold`` over the other folds only.
+
+    ``(fold, feature, value, n, encoded)``; a category not seen in training has
+    no row and takes the prior of :func:`target_prior`.
+    """
+    by = [fold] if fold else []
+    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols])
+    long = df.select(*by, F.col(target).cast("double").alias("_y"), F.inline(items)).filter("value IS NOT NULL")
+    g = long.groupBy(*by, "feature", "value").agg(F.count("_y").alias("n"), F.sum("_y").alias("s"))
+    if fold:
+        tot = g.groupBy("feature", "value").agg(
+            F.sum("n").alias("_n"), F.sum("s").alias("_s"),
+            F.map_from_entries(F.collect_list(F.struct(F.col(fold), F.struct("n", "s")))).alias("_own"),
+        )
+        each = tot.select("*", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias(fold))
+        own = F.try_element_at("_own", F.col(fold))
+        g = each.select(
+            fold, "feature", "value",
+            (F.col("_n") - F.coalesce(own["n"], F.lit(0))).alias("n"),
+            (F.col("_s") - F.coalesce(own["s"], F.lit(0.0))).alias("s"),
+        )
+    return g.filter("n > 0").select(*by, "feature", "value", "n", (F.col("s") / F.col("n")).alias("encoded"))
+
+
+def target_prior(df: DataFrame, target: str, fold: str | None = None) -> DataFrame:
+    if not fold:
+        return df.agg(F.avg(F.col(target).cast("double")).alias("prior"))
+    g = df.groupBy(fold).agg(F.count(target).alias("n"), F.sum(F.col(target).cast("double")).alias("s"))
+    w = Window.partitionBy()  # one row per fold
+    return g.select(fold, ((F.sum("s").over(w) - F.col("s")) / (F.sum("n").over(w) - F.col("n"))).alias("prior"))
+
+
+# --------------------------------------------------------------------- target
+
+
+def target_column(df: DataFrame, target: str, null: str = "raise", out: str = "label") -> DataFrame:
+    """Binary integer label. ``raise`` and ``drop`` refuse or leave out NULL, ``zero`` makes it 0.
+
+    A value other than 0 or 1 always fails, when the row is read.
+    """
+    t = F.col(target)
+    msg = F.lit("Target must contain only 0 and 1 values")
+    if null not in ("raise", "drop", "zero"):
+        raise ValueError("null must be 'raise', 'drop' or 'zero'")
+    if null == "drop":
+        df = df.filter(t.isNotNull())
+    ok = F.when(t.isin(0, 1), t.cast("int"))
+    missing = F.lit(0) if null == "zero" else F.raise_error(F.lit("Target has missing values")).cast("int")
+    label = F.when(t.isNull(), missing).otherwise(F.coalesce(ok, F.raise_error(msg).cast("int")))
+    return df.withColumn(out, label)
+
+
+def check_target(df: DataFrame, target: str) -> None:
+    """Fail now rather than when the rows are read."""
+    if df.agg(F.count_if(~F.col(target).isin(0, 1))).first()[0]:
+        raise ValueError("Target must contain only 0 and 1 values")
+
+
+# ------------------------------------------------------------ fitted pipelines
+
+POLICY_STRATEGY = {"impute_median": "median", "impute_mode": "most_frequent", "impute_zero": "zero"}
+
+
+@dataclass
+class Preprocessing:
+    """A fitted plan: numbers per scaled feature, class list per encoded feature.
+
+    ``stages`` is an ordinary saved-and-loaded Spark ML pipeline model that ends
+    in a sparse ``features`` vector.
+    """
+
+    plan: dict[str, str]
+    numeric: dict[str, tuple[float, float, float]]
+    classes: dict[str, list[str]]
+    mode: dict[str, str]
+    hashed: list[str] = field(default_factory=list)
+    unknown: str = "train_mode"
+    hash_size: int = 4096
+    stages: PipelineModel | None = None
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        if self.stages is None:
+            raise ValueError("Pipeline must be fitted before transform")
+        return self.stages.transform(df)
+
+    def info(self) -> list[tuple[str, str, int | None]]:
+        """``(feature, action, vocabulary size)`` in plan order; no size for scaled features."""
+        out = []
+        for c, a in self.plan.items():
+            if c in self.numeric or c in self.classes or c in self.hashed:
+                out.append((c, a, len(self.classes[c]) if c in self.classes else None))
+        return out
+
+    @property
+    def width(self) -> int:
+        n = len(self.numeric) + sum(len(v) for v in self.classes.values())
+        return n + (self.hash_size if self.hashed else 0)
+
+
+def _num(v: float) -> str:
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
+def build_stages(p: Preprocessing, spark) -> Preprocessing:
+    """Turn fitted numbers into pipeline stages; reads no table."""
+    if not (p.numeric or p.classes or p.hashed):
+        raise ValueError("No features to transform")
+    stages, exprs = [], []
+    for c, (fill, mean, std) in p.numeric.items():
+        exprs.append(f"(COALESCE(CAST(`{c}` AS DOUBLE), {_num(fill)}) - {_num(mean)}) / {_num(std)} AS `{c}__z`")
+    enc = list(p.classes)
+    exprs += [f"CAST(`{c}` AS STRING) AS `{c}__s`" for c in enc]
+    exprs += [f"COALESCE(CAST(`{c}` AS STRING), '') AS `{c}__h`" for c in p.hashed]
+    stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"))
+    blocks = {c: f"{c}__z" for c in p.numeric}
+    if enc:
+        stages.append(
+            StringIndexerModel.from_arrays_of_labels(
+                [p.classes[c] for c in enc], [f"{c}__s" for c in enc], [f"{c}__i" for c in enc], handleInvalid="keep"
+            )
+        )
+        picks = []
+        for c in enc:
+            n = len(p.classes[c])
+            alt = p.classes[c].index(p.mode[c]) if p.unknown == "train_mode" and p.mode.get(c) in p.classes[c] else n
+            picks.append(f"CASE WHEN `{c}__i` >= {n} THEN {alt}D ELSE `{c}__i` END AS `{c}__j`")
+        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(picks)} FROM __THIS__"))
+        # the encoder needs only the class counts, given as one row of top codes
+        top = spark.createDataFrame([tuple(float(len(p.classes[c])) for c in enc)], [f"{c}__j" for c in enc])
+        hot = OneHotEncoder(
+            inputCols=[f"{c}__j" for c in enc], outputCols=[f"{c}__v" for c in enc], dropLast=True
+        ).fit(top)
+        stages.append(hot)
+        blocks |= {c: f"{c}__v" for c in enc}
+    inputs = [blocks[c] for c in p.plan if c in blocks]
+    if p.hashed:
+        stages.append(FeatureHasher(inputCols=[f"{c}__h" for c in p.hashed], outputCol="hashed__v", numFeatures=p.hash_size))
+        inputs.append("hashed__v")
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
+    made = [f"{c}__z" for c in p.numeric] + [f"{c}__h" for c in p.hashed] + (["hashed__v"] if p.hashed else [])
+    for c in enc:
+        made += [f"{c}__{s}" for s in "sijv"]
+    keep = f"SELECT * EXCEPT ({', '.join(f'`{m}`' for m in made)}) FROM __THIS__"
+    stages.append(SQLTransformer(statement=keep))
+    p.stages = PipelineModel(stages)
+    return p
+
+
+def _columns(plan: dict[str, str], target: str) -> tuple[list[str], list[str]]:
+    scale = [c for c, a in plan.items() if a == "scale" and c != target]
+    # a plan without its own rule for target encoding treats it like the other encodings
+    encode = [c for c, a in plan.items() if a in ("onehot", "embed", "target_encode") and c != target]
+    return scale, encode
+
+
+def _sorted_classes(values: list[str], integer: bool) -> list[str]:
+    return sorted(values, key=int) if integer else sorted(values)
+
+
+def _integers(df: DataFrame, cols: Sequence[str]) -> set[str]:
+    kinds = dict(df.dtypes)
+    return {c for c in cols if kinds[c] in ("tinyint", "smallint", "int", "bigint")}
+
+
+def fit_preprocessing(
+    train: DataFrame,
+    plan: dict[str, str],
+    target: str,
+    policy: str = "mean",
+    contract: Contract | None = None,
+    unknown: str = "train_mode",
+    max_classes: int = 10_000,
+    hash_size: int = 4096,
+) -> Preprocessing:
+    """Fit the plan on training rows only.
+
+    ``policy="contract"`` imputes as the contract declares instead of by the
+    mean. A feature with more than ``max_classes`` values is hashed as a whole,
+    so that no value is dropped and the class lists on the driver stay small.
+    """
+    if unknown not in ("zeros", "train_mode"):
+        raise ValueError("a fitted pipeline takes unknown='zeros' or 'train_mode'")
+    scale, encode = _columns(plan, target)
+    select_features(train, [*scale, *encode])
+    check_target(train, target)
+    strategy = {c: "mean" for c in scale}
+    if policy == "contract":
+        if contract is None:
+            raise ValueError("policy='contract' needs a contract")
+        strategy = {c: POLICY_STRATEGY.get(contract.policy(c), "mean") for c in scale}
+    elif policy != "mean":
+        raise ValueError("policy must be 'mean' or 'contract'")
+    numeric = {}
+    if scale:
+        for r in fit_numeric(train, scale, strategy).collect():  # one row per column
+            numeric[r["feature"]] = (r["fill"] or 0.0, r["mean"] or 0.0, r["std"])
+    classes, mode, hashed = {}, {}, []
+    if encode:
+        counts = category_counts(train, encode)
+        classes, mode, hashed = _bounded_classes(counts, encode, _integers(train, encode), max_classes)
+    p = Preprocessing(plan, {c: numeric[c] for c in scale}, classes, mode, hashed, unknown, hash_size)
+    return build_stages(p, train.sparkSession)
+
+
+def _bounded_classes(counts: DataFrame, encode, integer: set[str], limit: int):
+    """Class lists of the features whose size was checked; the others are hashed."""
+    size = {r["feature"]: r["k"] for r in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("k")).collect()}
+    small = [c for c in encode if size.get(c, 0) <= limit]
+    rows = counts.filter(F.col("feature").isin(small)).collect() if small else []  # at most limit per feature
+    classes: dict[str, list[str]] = {c: [] for c in small}
+    best: dict[str, tuple[int, str]] = {}
+    for r in rows:
+        classes[r["feature"]].append(r["value"])
+        best[r["feature"]] = min(best.get(r["feature"], (1, "")), (-r["n"], r["value"]))
+    classes = {c: _sorted_classes(v, c in integer) for c, v in classes.items() if v}
+    hashed = [c for c in encode if size.get(c, 0) > limit]
+    return classes, {c: best[c][1] for c in classes}, hashed
+
+
+def fit_folds(
+    df: DataFrame,
+    plan: dict[str, str],
+    target: str,
+    k: int,
+    fold: str = "fold",
+    unknown: str = "train_mode",
+    max_classes: int = 10_000,
+    hash_size: int = 4096,
+) -> list[Preprocessing]:
+    """Fold-safe pipelines for all folds from one numeric and one categorical pass."""
+    scale, encode = _columns(plan, target)
+    select_features(df, [*scale, *encode])
+    check_target(df, target)
+    numeric: list[dict] = [{} for _ in range(k)]
+    if scale:
+        for r in fold_numeric(df, scale, fold).collect():  # folds x columns
+            numeric[r[fold]][r["feature"]] = (r["fill"] or 0.0, r["mean"] or 0.0, r["std"])
+    classes: list[dict] = [{} for _ in range(k)]
+    mode: list[dict] = [{} for _ in range(k)]
+    hashed: list[list] = [[] for _ in range(k)]
+    if encode:
+        counts = fold_categories(df, encode, fold, k)
+        size = {r["feature"]: r["m"] for r in
+                counts.groupBy(fold, "feature").agg(F.count(F.lit(1)).alias("c")).groupBy("feature").agg(F.max("c").alias("m")).collect()}
+        small = [c for c in encode if size.get(c, 0) <= max_classes]
+        integer = _integers(df, encode)
+        got: list[dict] = [{} for _ in range(k)]
+        for r in counts.filter(F.col("feature").isin(small)).collect() if small else []:
+            got[r[fold]].setdefault(r["feature"], []).append((-r["n"], r["value"]))
+        for i in range(k):
+            classes[i] = {c: _sorted_classes([v for _, v in got[i][c]], c in integer) for c in small if c in got[i]}
+            mode[i] = {c: min(got[i][c])[1] for c in classes[i]}
+            hashed[i] = [c for c in encode if c not in small]
+    spark = df.sparkSession
+    return [
+        build_stages(Preprocessing(plan, {c: numeric[i][c] for c in scale}, classes[i], mode[i], hashed[i], unknown, hash_size), spark)
+        for i in range(k)
+    ]

@@ -31,4 +31,5 @@ def load_all() -> None:
         queries_metrics,
         queries_profile,
         queries_quality,
+        queries_transforms,
     )
