@@ -22,6 +22,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabwright.operators.joins import lookup
 from tabwright.operators.rank import quantile_row
 from tabwright.sources.contract import Contract
 
@@ -200,15 +201,16 @@ def encode_long(df: DataFrame, key: str, cols: Sequence[str], vocab: DataFrame,
     items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols])
     long = df.select(F.col(key), F.inline(items))
     known = vocab.select("feature", "value", F.col("code").alias("_code"))
-    out = long.join(known, ["feature", "value"], "left")
+    sized = known.join(category_counts(df, cols), ["feature", "value"], "left").withColumnRenamed("n", "_n")
+    out = lookup(long, sized.fillna({"_n": 0}), ["feature", "value"], "_n", key)
     if unknown == "zeros":
         return out.select(key, "feature", "value", F.col("_code").alias("code"))
     source = vocab if unknown == "train_mode" else category_counts(df, cols)
     repl = modes(source)
     repl = repl.join(known.select("feature", F.col("value").alias("mode"), F.col("_code").alias("_mode_code")), ["feature", "mode"], "left")
-    out = out.join(repl, "feature", "left")  # one row per feature
+    out = out.join(F.broadcast(repl), "feature", "left")  # one row per feature
     first = vocab.filter("code = 0").select("feature", F.col("value").alias("_first"))
-    out = out.join(first, "feature", "left")
+    out = out.join(F.broadcast(first), "feature", "left")
     value = F.coalesce(F.when(F.col("_code").isNotNull(), F.col("value")), F.col("mode"), F.col("_first"))
     code = F.coalesce("_code", F.when(F.col("mode").isNull(), F.lit(0)).otherwise(F.col("_mode_code")))
     return out.select(key, "feature", value.alias("value"), code.alias("code"))
@@ -216,8 +218,12 @@ def encode_long(df: DataFrame, key: str, cols: Sequence[str], vocab: DataFrame,
 
 def unknown_counts(df: DataFrame, cols: Sequence[str], vocab: DataFrame) -> DataFrame:
     """How many rows per feature hold a value outside the vocabulary (NULL included)."""
-    key = df.select(F.lit(1).alias("_k"), *cols)
-    return encode_long(key, "_k", cols, vocab).groupBy("feature").agg(F.count_if(F.col("code").isNull()).alias("unknown"))
+    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols])
+    n = df.select(F.inline(items)).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_n"))  # collapsed first
+    known = n.join(vocab.select("feature", "value", "code"), ["feature", "value"], "left")
+    return known.groupBy("feature").agg(
+        F.coalesce(F.sum(F.when(F.col("code").isNull(), F.col("_n"))), F.lit(0)).alias("unknown")
+    )
 
 
 def target_encoding(df: DataFrame, cols: Sequence[str], target: str, fold: str | None = None, k: int = 5) -> DataFrame:

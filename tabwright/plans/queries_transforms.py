@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabwright.operators import split as S
 from tabwright.operators import transforms as P
+from tabwright.operators.joins import lookup
 from tabwright.plans.catalog import query
 from tabwright.plans.contracts import CHURN
 from tabwright.plans.frame import NUMERIC, churn_sql, customer_churn, table
@@ -209,8 +210,9 @@ def target_encoding_by_fold(spark, sf):
 )
 def target_encoded_rows(spark, sf):
     f = S.assign_folds(customer_churn(spark, sf).select("customer_id", "location", "churn"), "customer_id", 5)
-    enc = P.target_encoding(f, ["location"], "churn", "fold", 5).select("fold", F.col("value").alias("location"), "encoded")
-    out = f.join(P.target_prior(f, "churn", "fold"), "fold").join(enc, ["fold", "location"], "left")
+    enc = P.target_encoding(f, ["location"], "churn", "fold", 5).select("fold", F.col("value").alias("location"), "n", "encoded")
+    out = f.join(F.broadcast(P.target_prior(f, "churn", "fold")), "fold")  # one row per fold
+    out = lookup(out, enc, ["fold", "location"], "n", "customer_id")
     return out.select("customer_id", F.round(F.coalesce("encoded", "prior"), 6).alias("location_te"))
 
 
@@ -224,7 +226,7 @@ PLAN = {
     "fitted_feature_info",
     churn_sql(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS feature, '{a}' AS action, "
+            f"SELECT DISTINCT '{c}' AS feature, '{a}' AS action, "
             + ("NULL::BIGINT" if a == "scale" else f"count(DISTINCT {c})")
             + " AS vocabulary_size FROM churn"
             for c, a in PLAN.items()
