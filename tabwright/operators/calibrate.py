@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tabwright.functions.scalar import sigmoid
 from tabwright.operators import metrics as M
 from tabwright.operators.split import assign_folds
+from tabwright.session import settle
 
 
 class PlattCalibrator:
@@ -181,7 +182,8 @@ def select_best_calibrator(
     if cross_fit:
         if key is None:
             raise ValueError("cross_fit needs a key")
-        f = assign_folds(df, key, k, seed, "_cal_fold")
+        need = [c for c in (key, y, p, logit) if c is not None]
+        f = settle(assign_folds(df.select(*need), key, k, seed, "_cal_fold"), "calibration-folds")
         parts = [fitted(f.filter(F.col("_cal_fold") != i), f.filter(F.col("_cal_fold") == i))[1] for i in range(k)]
         judged = parts[0]
         for part in parts[1:]:

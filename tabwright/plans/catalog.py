@@ -28,8 +28,14 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     from tabwright.plans import (  # noqa: F401
+        queries_calibration,
+        queries_drift,
+        queries_features,
+        queries_importance,
         queries_metrics,
+        queries_models,
         queries_profile,
         queries_quality,
+        queries_streaming,
         queries_transforms,
     )
