@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.operators.rank import BUCKET, range_splits, with_buckets
+from tabwright.session import settle
 
 # What a comparison shows for a metric nobody recorded.
 MISSING = {"roc_auc": 0.0, "pr_auc": 0.0, "brier": 1.0, "ece": 1.0, "accuracy": 0.0}
@@ -65,9 +66,8 @@ def pareto_front(trials: DataFrame, up: str, down: str) -> DataFrame:
     second improves. The order is cut into range buckets, each bucket knows the
     best of all better buckets, and no task sees more than one bucket.
     """
-    best = trials.groupBy(F.col(up).cast("double").alias("_u")).agg(F.min(down).alias("_d"))
-    splits = range_splits(trials, [up])[up]
-    best = with_buckets(best, {"_u": splits})
+    best = settle(trials.groupBy(F.col(up).cast("double").alias("_u")).agg(F.min(down).alias("_d")), "front")
+    best = with_buckets(best, range_splits(best, ["_u"]))
     b = "_u" + BUCKET
     inside = Window.partitionBy(b).orderBy(F.desc("_u")).rowsBetween(Window.unboundedPreceding, -1)
     across = Window.partitionBy().orderBy(F.desc(b)).rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket

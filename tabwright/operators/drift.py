@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.operators.rank import BUCKET, cumulate, long_values, quantile_row, range_splits, with_buckets
+from tabwright.operators.rank import long_values, ordered, quantile_row
 
 
 def _both(reference: DataFrame, current: DataFrame, cols: Sequence[str], numeric: bool = True) -> DataFrame:
@@ -42,11 +42,9 @@ def ks_two_sample(reference: DataFrame, current: DataFrame, cols: Sequence[str],
     Equal values collapse to one row with a count per side; the running counts
     come from the bucketed global order, so no column is sorted in one task.
     """
-    both = _both(reference, current, cols)
-    both = with_buckets(both, range_splits(both, cols))
-    v = long_values(both, cols, ["_ref"], buckets=True)
-    counts = v.groupBy("column", BUCKET, "value").agg(*_sides())
-    c = cumulate(counts, ["column"], "value", BUCKET, ["n_ref", "n_cur"])
+    v = long_values(_both(reference, current, cols), cols, ["_ref"])
+    counts = v.groupBy("column", "value").agg(*_sides())
+    c = ordered(counts, ["column"], "value", ["n_ref", "n_cur"])
     gap = F.abs(F.try_divide(F.col("cum_n_ref"), F.col("tot_n_ref")) - F.try_divide(F.col("cum_n_cur"), F.col("tot_n_cur")))
     g = c.groupBy("column").agg(F.max(gap).alias("statistic"), F.max("tot_n_ref").alias("n_ref"), F.max("tot_n_cur").alias("n_cur"))
     n1, n2 = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")

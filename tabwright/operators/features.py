@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.operators.joins import lookup
-from tabwright.operators.rank import BUCKET, cumulate, range_splits, with_buckets
+from tabwright.operators.rank import ordered
 
 PRODUCT = re.compile(r"^\s*(\w+)\s*\*\s*(\w+)\s*$")
 
@@ -95,7 +95,7 @@ def percentile_rank(df: DataFrame, column: str, key: str, out: str = "percentile
     """
     src = df.withColumn("_v", F.col(column).cast("double"))
     n = src.filter("_v IS NOT NULL").groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
-    c = cumulate(with_buckets(n, {"_v": range_splits(src, ["_v"])["_v"]}), [], "_v", "_v" + BUCKET, ["_n"])
+    c = ordered(n, [], "_v", ["_n"])
     pct = (F.col("cum__n") - F.col("_n") + (F.col("_n") + 1) / F.lit(2.0)) / F.col("tot__n")
     table = c.select("_v", "_n", pct.alias("_pct"))
     return lookup(src, table, ["_v"], "_n", key).select(*df.columns, F.col("_pct").alias(out))

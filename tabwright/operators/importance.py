@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.scalar import digest, guarded_corr
 from tabwright.operators import metrics as M
-from tabwright.operators.rank import range_splits
 from tabwright.session import bucket_target
 
 PREFIX = 4
@@ -45,7 +44,10 @@ def _ring_buckets(counts: list[tuple[int, int]], need: int, target: int) -> tupl
 
 
 def on_ring(df: DataFrame, key: str, seed: int, carried: Column, repeats: int) -> DataFrame:
-    """Add ``_shift1.._shiftR``: ``carried`` of the rows 1..R places ahead on the ring."""
+    """Add ``_shift1.._shiftR``: ``carried`` of the rows 1..R places ahead on the ring.
+
+    ``df`` is read twice: once for the key, to size the buckets, and once for all.
+    """
     src = df.withColumn("_digest", digest(seed, key)).withColumn("_carried", carried)
     src = src.withColumn("_prefix", F.conv(F.substring("_digest", 1, PREFIX), 16, 10).cast("double"))
     sizes = src.groupBy("_prefix").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 16**PREFIX rows
@@ -145,12 +147,12 @@ def _check_metric(metric) -> None:
         raise ValueError(f"Unknown metric: {metric}")
 
 
-def _measure(df: DataFrame, y: str, p: str, by: list[str], metric, splits) -> DataFrame:
+def _measure(df: DataFrame, y: str, p: str, by: list[str], metric) -> DataFrame:
     """The metric per group as ``value``; undefined ROC-AUC counts as 0.5."""
     if callable(metric):
         return df.groupBy(*by).agg(metric(F.col(y), F.col(p)).alias("value"))
     if metric == "roc_auc":
-        return M.roc_auc(df, y, p, by, single_class=0.5, splits=splits).withColumnRenamed("roc_auc", "value")
+        return M.roc_auc(df, y, p, by, single_class=0.5).withColumnRenamed("roc_auc", "value")
     return M.accuracy(df, y, p, by).withColumnRenamed("accuracy", "value")
 
 
@@ -174,8 +176,7 @@ def model_importance(
     _check_metric(metric)
     src = df.select(key, y, *[c for c in features if c not in (key, y)])
     base = scorer(src)
-    splits = range_splits(base, ["prob"])["prob"] if metric == "roc_auc" else None
-    whole = _measure(base.withColumn("_all", F.lit(1)), y, "prob", ["_all"], metric, splits)
+    whole = _measure(base.withColumn("_all", F.lit(1)), y, "prob", ["_all"], metric)
     ring = on_ring(src, key, seed, F.struct(*features), repeats)
     variants = []
     for i, f in enumerate(features):
@@ -184,7 +185,7 @@ def model_importance(
             variants.append(F.struct(F.lit(i).alias("_f"), F.lit(k).alias("_k"), mixed.alias("_x")))
     rest = [c for c in (key, y) if c not in features]
     wide = ring.select(*rest, F.inline(F.array(*variants))).select(*rest, "_f", "_k", "_x.*")
-    found = _measure(scorer(wide), y, "prob", ["_f", "_k"], metric, splits).withColumnRenamed("value", "_v")
+    found = _measure(scorer(wide), y, "prob", ["_f", "_k"], metric).withColumnRenamed("value", "_v")
     drop = found.crossJoin(F.broadcast(whole.select("value")))  # one row
     names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("_f") + 1)
     vals = F.array_sort(F.collect_list(F.struct("_k", (F.col("value") - F.col("_v")).alias("d"))))  # R entries

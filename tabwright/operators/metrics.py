@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.operators.rank import BUCKET, cumulate, range_splits, with_buckets
+from tabwright.operators.rank import ordered
 
 METRICS = ["roc_auc", "pr_auc", "brier", "ece", "accuracy"]
 
@@ -57,10 +57,9 @@ def score_counts(df: DataFrame, y: str, p: str, by: Sequence[str] = (), check: b
     )
 
 
-def _ordered(df, y, p, by, check=True, peek=False, measures=("tp", "fp"), splits=None):
-    counts = score_counts(df, y, p, by, check)
-    splits = splits or range_splits(df, [p])[p]
-    return cumulate(with_buckets(counts, {"p": splits}), by, "p", "p" + BUCKET, measures, True, peek)
+def _ordered(df, y, p, by, check=True, peek=False):
+    """Score counts with running sums from the highest score down; ``df`` is read once."""
+    return ordered(score_counts(df, y, p, by, check), by, "p", ["tp", "fp"], True, peek)
 
 
 def _rank_parts(df: DataFrame) -> list[Column]:
@@ -76,12 +75,12 @@ def _grouped(df: DataFrame, by: Sequence[str]):
     return df.groupBy(*by)
 
 
-def roc_auc(df: DataFrame, y: str, p: str, by: Sequence[str] = (), single_class: float = 0.0, splits=None) -> DataFrame:
+def roc_auc(df: DataFrame, y: str, p: str, by: Sequence[str] = (), single_class: float = 0.0) -> DataFrame:
     """Tie-aware area under the ROC curve; ``single_class`` where undefined.
 
     ``p`` may be any score here, not only a probability.
     """
-    rows = _ordered(df, y, p, by, check=False, splits=splits)
+    rows = _ordered(df, y, p, by, check=False)
     rows = rows.select(*by, *_rank_parts(rows))
     return _grouped(rows, by).agg(F.coalesce(F.sum("_auc"), F.lit(float(single_class))).alias("roc_auc"))
 
@@ -200,8 +199,7 @@ def roc_curve(df: DataFrame, y: str, p: str, by: Sequence[str] = (), drop_collin
         (F.col("cum_fp") / F.col("tot_fp")).alias("fpr"),
         (F.col("cum_tp") / F.col("tot_tp")).alias("tpr"),
     )
-    groups = score_groups(df, y, p, by)
-    ends = groups.select(
+    ends = _groups(rows, by).select(
         *by,
         F.explode(F.when(F.col("_both"), F.array(F.lit(0.0))).otherwise(F.array(F.lit(0.0), F.lit(1.0)))).alias("_v"),
     )
@@ -209,17 +207,17 @@ def roc_curve(df: DataFrame, y: str, p: str, by: Sequence[str] = (), drop_collin
     return body.unionByName(ends)
 
 
-def score_groups(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
-    """One row per group: are both classes there, is a positive there."""
-    src = df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
-    pos, neg = F.count_if(F.col(y) == 1), F.count_if(F.col(y) == 0)
-    return src.groupBy(*by).agg(((pos > 0) & (neg > 0)).alias("_both"), (pos > 0).alias("_pos"))
+def _groups(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per group of an ordered table: are both classes there, is a positive there."""
+    return rows.groupBy(*by).agg(
+        ((F.max("tot_tp") > 0) & (F.max("tot_fp") > 0)).alias("_both"), (F.max("tot_tp") > 0).alias("_pos")
+    )
 
 
 def pr_curve(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
     """``(by..., threshold, precision, recall)`` closed by (1, 0); without positives (1, 0), (0, 1)."""
-    rows = _ordered(df, y, p, by).filter(F.col("tot_tp") > 0)
-    body = rows.select(
+    rows = _ordered(df, y, p, by)
+    body = rows.filter(F.col("tot_tp") > 0).select(
         *by,
         F.col("p").alias("threshold"),
         (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))).alias("precision"),
@@ -227,7 +225,7 @@ def pr_curve(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame
     )
     one = F.struct(F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     two = F.struct(F.lit(0.0).alias("precision"), F.lit(1.0).alias("recall"))
-    ends = score_groups(df, y, p, by).select(
+    ends = _groups(rows, by).select(
         *by,
         F.lit(None).cast("double").alias("threshold"),
         F.inline(F.when(F.col("_pos"), F.array(one)).otherwise(F.array(one, two))),

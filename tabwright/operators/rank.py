@@ -5,9 +5,10 @@ order over all rows. A window without keys would put every row in one task, so:
 
 * values are first collapsed (one row per distinct value, map-side combined), so
   that a value holding a third of the rows becomes one row;
-* each value gets a range bucket, a pure function of the value;
-* running sums are taken per bucket, and the few per-bucket totals are turned
-  into offsets that are joined back.
+* the collapsed table is written once, which also tells its size: up to
+  ``SMALL_ORDER`` rows a plain window per group is fine;
+* beyond that each value gets a range bucket, running sums are taken per bucket,
+  and the few per-bucket totals are turned into offsets that are joined back.
 
 Bucket edges come from a quantile sketch. They decide balance only, never the
 result.
@@ -15,14 +16,15 @@ result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.session import bucket_target
+from tabwright.session import bucket_target, settle
 
+SMALL_ORDER = 1_000_000
 BUCKET = "_bucket"
 
 
@@ -109,18 +111,41 @@ def cumulate(
     )
 
 
-def long_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = (), buckets: bool = False):
+def ordered(
+    counts: DataFrame,
+    by: Sequence[str],
+    order: str,
+    measures: Sequence[str],
+    descending: bool = False,
+    peek: bool = False,
+    small: int | None = None,
+) -> DataFrame:
+    """Write a collapsed table once and add its running sums, see :func:`cumulate`."""
+    counts = settle(counts, "counts")
+    if counts.count() <= (SMALL_ORDER if small is None else small):
+        return _cumulate_small(counts, by, order, measures, descending, peek)
+    splits = range_splits(counts, [order])
+    cut = with_buckets(counts, splits)
+    return cumulate(cut, by, order, order + BUCKET, measures, descending, peek).drop(order + BUCKET)
+
+
+def _cumulate_small(counts, by, order, measures, descending, peek) -> DataFrame:
+    """The same columns from one window per group; for tables of a checked size."""
+    inside = Window.partitionBy(*by).orderBy(F.col(order).desc() if descending else F.col(order).asc())
+    running = inside.rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*by)
+    return counts.select(
+        "*",
+        *[F.sum(m).over(running).alias("cum_" + m) for m in measures],
+        *[F.sum(m).over(whole).alias("tot_" + m) for m in measures],
+        *([F.lead(m).over(inside).alias("next_" + m) for m in measures] if peek else []),
+    )
+
+
+def long_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """One row per (column, non-null numeric value); no shuffle."""
-    items = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(c).cast("double").alias("value"),
-            *([F.col(c + BUCKET).alias(BUCKET)] if buckets else []),
-        )
-        for c in cols
-    ]
-    out = df.select(*extra, F.inline(F.array(*items)))
-    return out.filter(F.col("value").isNotNull())
+    items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]
+    return df.select(*extra, F.inline(F.array(*items))).filter(F.col("value").isNotNull())
 
 
 def exact_quantiles(
@@ -221,27 +246,54 @@ def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) ->
     return out
 
 
-PREFIX_DIGITS = 4
+DIGEST_WIDTH = 32
+PREFIX_STEP = 4
+HELD_ROWS = 100_000
 
 
-def digest_cuts(df: DataFrame, digest: str, by: Sequence[str], cuts: DataFrame) -> DataFrame:
-    """The digest found at given places of each group's digest order.
+def digest_cuts(
+    df: DataFrame, digest: str, places: Callable[[dict], dict], by: str | None = None, held: int = HELD_ROWS
+) -> dict[object, list[str]]:
+    """The digests found at given places of each group's digest order.
 
-    ``cuts`` holds ``(by..., slot, pos)`` with a 0-based place. Only per-prefix
-    counts of the whole table and the few prefixes that hold a cut are shuffled;
-    rows of one digest are counted together, so a repeated key cannot make a hot
-    task. Returns ``(by..., slot, cut)``; a place past the end gives no row.
+    ``places`` gets the row count per group and returns the wanted 0-based places
+    per group, in rising order. Rows are counted per digest prefix, then only the
+    prefixes that hold a place are counted again with a longer prefix, until it is
+    the whole digest. Every round is one scan of the key; the driver sees at most
+    16**4 or ``held`` counts per place, and rows of a repeated key count as one
+    digest. Places past the end give no digest.
     """
-    src = df.select(*by, F.col(digest).alias("_h"), F.substring(digest, 1, PREFIX_DIGITS).alias("_p"))
-    # bounded: at most 16**PREFIX_DIGITS rows per group
-    sizes = src.groupBy(*by, "_p").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("*", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    hit = (F.col("pos") >= F.col("_before")) & (F.col("pos") < F.col("_before") + F.col("_n"))
-    held = (sizes.join(cuts, list(by)) if by else sizes.crossJoin(F.broadcast(cuts))).filter(hit)
-    held = held.select(*by, "_p", "slot", "pos", "_before")
-    near = src.join(F.broadcast(held), [*by, "_p"])  # one row per cut
-    near = near.groupBy(*by, "slot", "pos", "_before", "_h").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*by, "slot").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
-    near = near.select("*", (F.col("_before") + F.sum("_n").over(w)).alias("_upto"))
-    return near.filter(F.col("_upto") > F.col("pos")).groupBy(*by, "slot").agg(F.min("_h").alias("cut"))
+    src = df.select((F.col(by) if by else F.lit(0)).alias("_g"), F.col(digest).alias("_h"))
+
+    def sizes(rows: DataFrame, width: int) -> dict:
+        got = rows.groupBy("_g", F.substring("_h", 1, width).alias("_p")).agg(F.count(F.lit(1)).alias("n")).collect()
+        out: dict = {}
+        for r in got:
+            out.setdefault(r["_g"], []).append((r["_p"], r["n"]))
+        return {g: sorted(v) for g, v in out.items()}
+
+    width = PREFIX_STEP
+    level = sizes(src, width)
+    totals = {g: sum(n for _, n in v) for g, v in level.items()}
+    cuts = [(g, pos, "", 0) for g, wanted in places(totals).items() for pos in wanted if pos < totals.get(g, 0)]
+    while True:
+        found, largest = [], 0
+        for g, pos, start, before in cuts:
+            for prefix, n in level.get(g, []):
+                if not prefix.startswith(start):
+                    continue
+                if pos < before + n:
+                    found.append((g, pos, prefix, before))
+                    largest = max(largest, n)
+                    break
+                before += n
+        cuts = found
+        if width >= DIGEST_WIDTH or not cuts:
+            break
+        near = src.filter(F.substring("_h", 1, width).isin(sorted({c[2] for c in cuts})))
+        width = DIGEST_WIDTH if largest <= held else min(DIGEST_WIDTH, width + PREFIX_STEP)
+        level = sizes(near, width)
+    out: dict = {g: [] for g in totals}
+    for g, _, prefix, _ in cuts:
+        out[g].append(prefix)
+    return out

@@ -3,39 +3,37 @@ on the file layout, so every model sees the same folds."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.scalar import digest
 from tabwright.operators.rank import digest_cuts
 
 
-def assign_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
+def assign_folds(
+    df: DataFrame, key: str, k: int = 5, seed: int = 42, out: str = "fold", keys: DataFrame | None = None
+) -> DataFrame:
     """Shuffled k-fold: contiguous slices of the digest order, sizes within one.
 
-    The k-1 slice borders are found from prefix counts, then compared with every
-    row's digest: the table itself is never shuffled. Rows sharing a key share a
-    fold.
+    The k-1 slice borders are found from prefix counts; every row's digest is then
+    compared with them, so the table itself is never shuffled. Rows sharing a key
+    share a fold. ``keys`` may name a cheaper table with the same keys to count.
     """
     if k < 2:
         raise ValueError("k must be at least 2")
-    src = df.withColumn("_digest", digest(seed, key))
-    total = src.agg(F.count(F.lit(1)).alias("_total"))
-    place = F.transform(
-        F.sequence(F.lit(1), F.lit(k - 1)),
-        lambda i: F.struct(
-            i.alias("slot"),
-            F.floor((i * F.col("_total") + (k - 1)) / F.lit(k)).cast("long").alias("pos"),
-        ),
-    )
-    cuts = total.select(F.inline(place))
-    found = digest_cuts(src, "_digest", [], cuts)
-    row = found.agg(F.array_sort(F.collect_list("cut")).alias("_cuts"))  # k-1 texts
-    joined = src.crossJoin(F.broadcast(row))
+    h = digest(seed, key)
+
+    def borders(totals):
+        return {g: [-(-i * n // k) for i in range(1, k)] for g, n in totals.items()}
+
+    counted = (df if keys is None else keys).select(h.alias("_digest"))
+    cuts = digest_cuts(counted, "_digest", borders).get(0, [])
     fold = F.lit(0)
-    for i in range(k - 1):
-        fold = fold + F.coalesce((F.col("_digest") >= F.get("_cuts", F.lit(i))).cast("int"), F.lit(0))
-    return joined.withColumn(out, fold).drop("_digest", "_cuts")
+    for c in cuts:
+        fold = fold + (F.col("_digest") >= c).cast("int")
+    return df.withColumn("_digest", h).withColumn(out, fold).drop("_digest")
 
 
 def train_part(df: DataFrame, i: int, fold: str = "fold") -> DataFrame:
@@ -46,27 +44,39 @@ def val_part(df: DataFrame, i: int, fold: str = "fold") -> DataFrame:
     return df.filter(F.col(fold) == i)
 
 
+def largest_remainder(totals: dict, want: int) -> dict:
+    """Share ``want`` places over groups by size; leftovers go to the largest remainders."""
+    n = sum(totals.values())
+    share = {g: want * c / n for g, c in totals.items()}
+    out = {g: int(s) for g, s in share.items()}
+    rest = sorted(totals, key=lambda g: (-(share[g] - out[g]), g))
+    for g in rest[: want - sum(out.values())]:
+        out[g] += 1
+    return out
+
+
 def stratified_holdout(
     df: DataFrame, key: str, target: str, test_size: float = 0.2, seed: int = 42, out: str = "is_test"
 ) -> DataFrame:
-    """Mark ceil(test_size * n) rows as test, shared over classes by largest remainder."""
-    src = df.withColumn("_digest", digest(seed, key))
-    sizes = src.groupBy(F.col(target).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
-    every = Window.partitionBy()  # one row per class
-    q = sizes.select("_class", "_n", F.sum("_n").over(every).alias("_all"))
-    q = q.withColumn("_want", F.ceil(F.lit(test_size) * F.col("_all")))
-    q = q.withColumn("_share", F.col("_want") * F.col("_n") / F.col("_all"))
-    q = q.withColumn("_base", F.floor("_share"))
-    left = F.col("_want") - F.sum("_base").over(every)
-    turn = F.row_number().over(Window.orderBy((F.col("_share") - F.col("_base")).desc(), F.col("_class")))
-    q = q.select("_class", "_n", (F.col("_base") + (turn <= left).cast("long")).alias("pos"))
-    cuts = q.select("_class", F.lit(1).alias("slot"), "pos")
-    found = digest_cuts(src.withColumn("_class", F.col(target)), "_digest", ["_class"], cuts)
-    edge = q.join(found, "_class", "left").select(F.col("_class").alias("_c2"), "cut", "pos")
-    joined = src.join(F.broadcast(edge), F.col(target).eqNullSafe(F.col("_c2")), "left")
-    # no border means the class is taken whole
-    side = F.coalesce(F.col("_digest") < F.col("cut"), F.col("pos") > 0)
-    return joined.withColumn(out, side).drop("_digest", "_c2", "cut", "pos")
+    """Mark ceil(test_size * n) rows as test, shared over classes by largest remainder.
+
+    One border per class; rows are compared with it and never shuffled.
+    """
+    h = digest(seed, key)
+    quota: dict = {}
+
+    def borders(totals):
+        quota.update(largest_remainder(totals, math.ceil(test_size * sum(totals.values()))))
+        return {g: [q] for g, q in quota.items()}
+
+    counted = df.select(F.col(target).alias("_class"), h.alias("_digest")).filter("_class IS NOT NULL")
+    cuts = digest_cuts(counted, "_digest", borders, "_class")
+    side = F.lit(False)
+    for g, q in quota.items():
+        # no border means the class is taken whole
+        mine = (F.col("_digest") < cuts[g][0]) if cuts[g] else F.lit(q > 0)
+        side = F.when(F.col(target) == g, mine).otherwise(side)
+    return df.withColumn("_digest", h).withColumn(out, side).drop("_digest")
 
 
 def assemble_oof(parts: list[DataFrame], key: str = "key") -> DataFrame:

@@ -94,7 +94,7 @@ def cross_validate(
 
     jobs = [(f, i) for f in families for i in range(k)]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        times = list(pool.map(inheritable_thread_target(one), jobs))
+        times = list(pool.map(inheritable_thread_target(spark)(one), jobs))
 
     raw = spark.read.option("basePath", out).parquet(out)
     calibration, parts = {}, []

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.operators.split import assign_folds
+
 ASOF = "2000-06-01"
 
 FEATURES = ["location", "segment", "acctbal", "n_orders", "avg_total", "tenure_days", "days_since_last", "n_urgent"]
@@ -60,6 +62,15 @@ def customer_churn(spark: SparkSession, sf_dir: str, asof: str = ASOF) -> DataFr
     return out
 
 
+def customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of the frame straight from their table."""
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+
+
+def folded(spark: SparkSession, sf_dir: str, df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
+    return assign_folds(df, "customer_id", k, seed, keys=customer_keys(spark, sf_dir))
+
+
 def with_score(df: DataFrame) -> DataFrame:
     """Add the closed-form score ``p`` (two digits, so it is full of ties)."""
     z = (

@@ -39,7 +39,7 @@ class Family:
     fit: Callable[[DataFrame, DataFrame | None], Model]
 
 
-def logistic(C: float = LOGISTIC_DEFAULTS["C"], max_iter: int = LOGISTIC_DEFAULTS["max_iter"], tol: float = 1e-9) -> Family:
+def logistic(C: float = LOGISTIC_DEFAULTS["C"], max_iter: int = LOGISTIC_DEFAULTS["max_iter"], tol: float = 1e-8) -> Family:
     """L2 logistic regression with penalty strength C summed over rows.
 
     The objective here averages the loss over rows, hence the division by n.

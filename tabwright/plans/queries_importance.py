@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabwright.operators import importance as I
 from tabwright.operators import split as S
 from tabwright.plans.catalog import query
-from tabwright.plans.frame import churn_sql, scored, table
+from tabwright.plans.frame import churn_sql, folded, scored, table
 from tabwright.plans.queries_metrics import r6
 
 FEATS = ["acctbal", "n_orders", "n_urgent"]
@@ -53,7 +53,7 @@ def residual_importance(spark, sf):
 @query("oof_importance", _residual_sql(4))
 def oof_importance(spark, sf):
     f = filled(spark, sf)
-    oof = S.assign_folds(f, "customer_id", 3).select("customer_id", F.col("churn").alias("y_true"), F.col("p").alias("prob"))
+    oof = folded(spark, sf, f, 3).select("customer_id", F.col("churn").alias("y_true"), F.col("p").alias("prob"))
     out = I.oof_importance(oof, f, FEATS, "customer_id", repeats=4, seed=42)
     return r6(out.drop("importance_values"), "importance_mean", "importance_std")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabwright.operators import metrics as M
 from tabwright.operators import split as S
 from tabwright.plans.catalog import query
-from tabwright.plans.frame import churn_sql, customer_churn, scored
+from tabwright.plans.frame import churn_sql, customer_churn, folded, scored
 
 EDGES = M.bin_edges(10)
 
@@ -48,7 +48,7 @@ Y_SCORED = "ys AS (SELECT *, churn AS y FROM scored)"
 
 @query("kfold_assignment", churn_sql("SELECT customer_id, fold FROM folded", fold_sql("scored", "customer_id", 5)))
 def kfold_assignment(spark, sf):
-    return S.assign_folds(scored(spark, sf), "customer_id", 5).select("customer_id", "fold")
+    return folded(spark, sf, scored(spark, sf), 5).select("customer_id", "fold")
 
 
 @query(
@@ -73,7 +73,7 @@ def kfold_orders_sizes(spark, sf):
     ),
 )
 def fold_train_val_counts(spark, sf):
-    f = S.assign_folds(scored(spark, sf), "customer_id", 5)
+    f = folded(spark, sf, scored(spark, sf), 5)
     sizes = f.groupBy("fold").agg(F.count(F.lit(1)).alias("n_val"), F.sum("churn").alias("pos_val"))
     total = F.sum("n_val").over(Window.partitionBy())
     return sizes.select("fold", (total - F.col("n_val")).alias("n_train"), "n_val", "pos_val")
@@ -86,7 +86,7 @@ def fold_train_val_counts(spark, sf):
     ),
 )
 def oof_coverage(spark, sf):
-    f = S.assign_folds(scored(spark, sf), "customer_id", 3)
+    f = folded(spark, sf, scored(spark, sf), 3)
     parts = [
         S.val_part(f, i).select("customer_id", "fold", F.col("churn").alias("y_true"), F.col("p").alias("prob"))
         for i in range(3)
@@ -181,7 +181,7 @@ FOLDED = fold_sql("ys", "customer_id", 5)
     ),
 )
 def all_metrics_by_fold(spark, sf):
-    f = S.assign_folds(scored(spark, sf), "customer_id", 5)
+    f = folded(spark, sf, scored(spark, sf), 5)
     return r6(M.all_metrics(f, "churn", "p", ["fold"]), "value")
 
 
@@ -206,7 +206,7 @@ def all_metrics_by_location(spark, sf):
     ),
 )
 def metrics_mean_over_folds(spark, sf):
-    f = S.assign_folds(scored(spark, sf), "customer_id", 5)
+    f = folded(spark, sf, scored(spark, sf), 5)
     out = M.mean_over_folds(M.all_metrics(f, "churn", "p", ["fold"]), [])
     return out.select("metric", F.round("mean", 5).alias("mean"), F.round("total", 5).alias("total"), "folds")
 

@@ -12,7 +12,7 @@ from tabwright.operators import split as S
 from tabwright.operators import validate as V
 from tabwright.plans.catalog import query
 from tabwright.plans.contracts import CHURN, STRICT
-from tabwright.plans.frame import churn_sql, customer_churn, scored, table
+from tabwright.plans.frame import churn_sql, customer_churn, folded, scored, table
 from tabwright.plans.queries_metrics import curve_sql, fold_sql, metrics_wide_sql, r6
 from tabwright.session import scratch
 from tabwright.sources import readers, sinks
@@ -148,7 +148,7 @@ def cardinality_bands(spark, sf):
 )
 def oof_table_roundtrip(spark, sf):
     path = scratch(spark, "oof")
-    f = S.assign_folds(scored(spark, sf), "customer_id", 3)
+    f = folded(spark, sf, scored(spark, sf), 3)
     oof = f.select(
         F.lit("r1").alias("run"), F.lit("closed_form").alias("model"), F.col("customer_id").alias("key"), "fold",
         F.col("churn").alias("y_true"), F.col("p").alias("prob"), F.col("p").alias("prob_cal"),

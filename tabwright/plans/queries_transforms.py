@@ -9,7 +9,7 @@ from tabwright.operators import transforms as P
 from tabwright.operators.joins import lookup
 from tabwright.plans.catalog import query
 from tabwright.plans.contracts import CHURN
-from tabwright.plans.frame import NUMERIC, churn_sql, customer_churn, table
+from tabwright.plans.frame import NUMERIC, churn_sql, customer_churn, folded, table
 from tabwright.plans.queries_metrics import fold_sql, r6
 from tabwright.plans.queries_profile import long_sql
 
@@ -85,7 +85,7 @@ def scaled_features(spark, sf):
     ),
 )
 def fold_safe_numeric_stats(spark, sf):
-    f = S.assign_folds(customer_churn(spark, sf), "customer_id", 5)
+    f = folded(spark, sf, customer_churn(spark, sf), 5)
     return r6(P.fold_numeric(f, NUMERIC).select("fold", "feature", "n", "mean", "std"), "mean", "std")
 
 
@@ -116,7 +116,7 @@ def vocabulary(spark, sf):
     ),
 )
 def fold_safe_vocabulary(spark, sf):
-    f = S.assign_folds(customer_churn(spark, sf), "customer_id", 5)
+    f = folded(spark, sf, customer_churn(spark, sf), 5)
     return P.fold_categories(f, CAT, "fold", 5)
 
 
@@ -195,7 +195,7 @@ def target_to_label(spark, sf):
     ),
 )
 def target_encoding_by_fold(spark, sf):
-    f = S.assign_folds(customer_churn(spark, sf), "customer_id", 5)
+    f = folded(spark, sf, customer_churn(spark, sf), 5)
     return r6(P.target_encoding(f, ["location", "segment"], "churn", "fold", 5), "encoded")
 
 
@@ -209,7 +209,7 @@ def target_encoding_by_fold(spark, sf):
     ),
 )
 def target_encoded_rows(spark, sf):
-    f = S.assign_folds(customer_churn(spark, sf).select("customer_id", "location", "churn"), "customer_id", 5)
+    f = folded(spark, sf, customer_churn(spark, sf).select("customer_id", "location", "churn"), 5)
     enc = P.target_encoding(f, ["location"], "churn", "fold", 5).select("fold", F.col("value").alias("location"), "n", "encoded")
     out = f.join(F.broadcast(P.target_prior(f, "churn", "fold")), "fold")  # one row per fold
     out = lookup(out, enc, ["fold", "location"], "n", "customer_id")

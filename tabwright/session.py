@@ -16,6 +16,7 @@ def build_session(app: str = "tabwright", cores: str = "*", **conf) -> SparkSess
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for k, v in conf.items():
