@@ -14,9 +14,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.functions.scalar import digest, guarded_corr
+from tabwright.functions.scalar import digest
 from tabwright.operators import metrics as M
-from tabwright.session import bucket_target
+from tabwright.operators.moments import SUMS_PER_PASS, centred, means
+from tabwright.session import bucket_target, settle
 
 PREFIX = 4
 
@@ -93,9 +94,6 @@ def _check(df: DataFrame, features: Sequence[str]) -> None:
         raise ValueError(f"features not in the table: {gone}")
 
 
-FEATURES_PER_PASS = 50
-
-
 def residual_importance(
     df: DataFrame,
     features: Sequence[str],
@@ -109,25 +107,37 @@ def residual_importance(
     """|corr(x, r)| - |corr(x permuted, r)| per feature, with r = y - p.
 
     Permuting r instead of x gives the same correlations, so one shuffle serves
-    every feature and repeat. ``metric`` is only checked: the score it names does
-    not enter this measure. Features must be free of missing values.
+    every feature and repeat; a permuted r keeps its mean and spread, so a repeat
+    costs one sum of products per feature. ``metric`` is only checked: the score
+    it names does not enter this measure. Features must be free of missing values.
     """
     _check(df, features)
     _check_metric(metric)
+    features = list(features)
+    src = df.select(key, *[c for c in features if c != key], (F.col(y).cast("double") - F.col(p)).alias("_r"))
+    n, mean, missing = means(src, [*features, "_r"])
+    holes = [c for c in (*features, "_r") if missing[c]]
+    if holes:
+        raise ValueError(f"missing values in: {holes}")
+    mr = mean["_r"]
+    ring = on_ring(src, key, seed, F.col("_r") - F.lit(mr), repeats)
+    step = max(1, SUMS_PER_PASS // (repeats + 2))
+    if len(features) > step:
+        ring = settle(ring, "ring")  # several passes read it, each its own columns
     out = None
-    for i in range(0, len(features), FEATURES_PER_PASS):
-        part = list(features[i : i + FEATURES_PER_PASS])
-        src = df.select(key, *[c for c in part if c != key], (F.col(y).cast("double") - F.col(p)).alias("_r"))
-        ring = on_ring(src, key, seed, F.col("_r"), repeats)
-        aggs = []
+    for i in range(0, len(features), step):
+        part = features[i : i + step]
+        dr = F.col("_r") - F.lit(mr)
+        aggs = [F.sum(dr * dr).alias("_rr")]
+        for j, c in enumerate(part):
+            d = centred(c, mean[c])
+            aggs += [F.sum(d * d).alias(f"_q{j}"), F.sum(d * dr).alias(f"_x{j}_0")]
+            aggs += [F.sum(d * F.col(f"_shift{k}")).alias(f"_x{j}_{k}") for k in range(1, repeats + 1)]
+        items = []
         for j, c in enumerate(part):
-            aggs.append(F.abs(guarded_corr(c, "_r")).alias(f"_o{j}"))
-            aggs += [F.abs(guarded_corr(c, f"_shift{k}")).alias(f"_p{j}_{k}") for k in range(1, repeats + 1)]
-        items = [
-            F.struct(F.lit(c).alias("feature"),
-                     F.array(*[F.col(f"_o{j}") - F.col(f"_p{j}_{k}") for k in range(1, repeats + 1)]).alias("importance_values"))
-            for j, c in enumerate(part)
-        ]
+            scale = F.sqrt(f"_q{j}") * F.sqrt("_rr")
+            corr = [F.abs(F.try_divide(F.col(f"_x{j}_{k}"), scale)) for k in range(repeats + 1)]
+            items.append(F.struct(F.lit(c).alias("feature"), F.array(*[corr[0] - x for x in corr[1:]]).alias("importance_values")))
         one = ring.agg(*aggs).select(F.inline(F.array(*items)))
         out = one if out is None else out.unionByName(one)
     return _summary(out)

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.scalar import digest, guarded_corr
+from tabwright.functions.scalar import digest
+from tabwright.operators.moments import pair_correlations
 from tabwright.operators.rank import exact_quantiles, long_values, quantile_row
 from tabwright.operators.validate import correlation_pairs, missing_fractions
 from tabwright.sources.contract import Contract
@@ -191,10 +192,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Correlation with the target, strongest first; NULL for constants last."""
-    row = df.agg(*[guarded_corr(c, target).alias(f"_c{i}") for i, c in enumerate(columns)])
-    out = row.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_c{i}").alias("corr")) for i, c in enumerate(columns)]))
-    )
+    out = pair_correlations(df, [(c, target) for c in columns]).select(F.col("a").alias("feature"), "corr")
     return out.orderBy(F.abs("corr").desc_nulls_last(), "feature")
 
 

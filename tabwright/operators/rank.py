@@ -206,22 +206,22 @@ def exact_quantiles(
         if all(old[s] == (lo[s], hi[s]) for s in wide):
             break
 
+    # slots of a column often share one bracket; its rows are shuffled once
+    brackets = sorted({(c, lo[(c, i)], hi[(c, i)]) for c, i in slots})
+    number = {br: j for j, br in enumerate(brackets)}
     plan = spark.createDataFrame(
-        [(c, i, float(probs[i]), n[c], below[(c, i)]) for c, i in slots],
-        "column string, slot int, prob double, n bigint, below bigint",
+        [(number[(c, lo[(c, i)], hi[(c, i)])], c, float(probs[i]), n[c], below[(c, i)]) for c, i in slots],
+        "bracket int, column string, prob double, n bigint, below bigint",
     )
     items = [
-        F.when(
-            (F.col(c) >= lo[(c, i)]) & (F.col(c) <= hi[(c, i)]),
-            F.struct(F.lit(c).alias("column"), F.lit(i).alias("slot"), F.col(c).alias("value")),
-        )
-        for c, i in slots
+        F.when((F.col(c) >= a) & (F.col(c) <= b), F.struct(F.lit(j).alias("bracket"), F.col(c).alias("value")))
+        for (c, a, b), j in number.items()
     ]
-    near = src.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("x"))
-    near = near.groupBy("x.column", "x.slot", "x.value").agg(F.count(F.lit(1)).alias("m"))
-    w = Window.partitionBy("column", "slot").orderBy("value")
+    near = src.select(F.explode(F.array(*items)).alias("x")).filter("x IS NOT NULL")
+    near = near.groupBy("x.bracket", "x.value").agg(F.count(F.lit(1)).alias("m"))
+    w = Window.partitionBy("bracket").orderBy("value")
     near = near.select("*", F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
-    at = near.join(F.broadcast(plan), ["column", "slot"])
+    at = near.join(F.broadcast(plan), "bracket")  # columns x probs rows
     pos = (F.col("n") - 1) * F.col("prob")
     left, right = F.floor(pos), F.ceil(pos)
     first, last = F.col("below") + F.col("upto") - F.col("m"), F.col("below") + F.col("upto") - 1
@@ -229,13 +229,8 @@ def exact_quantiles(
         F.max(F.when((left >= first) & (left <= last), F.col("value"))).alias("a"),
         F.max(F.when((right >= first) & (right <= last), F.col("value"))).alias("b"),
     )
-    frac = F.col("prob") * (F.col("n") - 1) - F.floor(F.col("prob") * (F.col("n") - 1))
-    return at.select(
-        "column",
-        "prob",
-        (F.col("a") + (F.col("b") - F.col("a")) * frac).alias("value"),
-        "n",
-    )
+    frac = pos - F.floor(pos)
+    return at.select("column", "prob", (F.col("a") + (F.col("b") - F.col("a")) * frac).alias("value"), "n")
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, dict[float, float]]:

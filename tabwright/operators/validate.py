@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.scalar import guarded_corr, percent_text
+from tabwright.functions.scalar import percent_text
+from tabwright.operators.moments import pair_correlations
 from tabwright.sources.contract import Contract
 
 VIOLATION_SCHEMA = "phase int, position int, step int, column string, rule string, severity string, observed double, message string"
@@ -228,27 +229,9 @@ def correlated_pairs(df: DataFrame, columns: list[str], limit: float = 0.95) ->
     return correlation_pairs(df, columns).filter(F.abs("corr") > limit)
 
 
-PAIRS_PER_PASS = 300
-
-
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(a, b, corr)`` for all unordered pairs over pairwise-complete rows.
-
-    Moments of up to ``PAIRS_PER_PASS`` pairs are gathered in one scan.
-    """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    out = None
-    for s in range(0, len(pairs), PAIRS_PER_PASS):
-        part = pairs[s : s + PAIRS_PER_PASS]
-        row = df.agg(*[guarded_corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(part)])
-        one = row.select(
-            F.inline(F.array(*[
-                F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_c{i}").alias("corr"))
-                for i, (a, b) in enumerate(part)
-            ]))
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    """``(a, b, corr)`` for all unordered pairs over pairwise-complete rows."""
+    return pair_correlations(df, [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]])
 
 
 def drop_correlated(df: DataFrame, columns: list[str], limit: float = 0.95) -> list[str]:

@@ -6,6 +6,8 @@ so generation scales out with the id table and needs no shuffle.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,26 +58,39 @@ def choice(options: list[tuple[str, float]], u: Column) -> Column:
     return out.otherwise(options[-1][0])
 
 
-def poisson(rate: Column, u: Column, top: int) -> Column:
-    """Inverse distribution function: how many k have P(N <= k) <= u, up to ``top``."""
-    # rate and u ride in the accumulator, so that each is evaluated once per row
-    start = F.struct(
-        F.exp(-rate).alias("pmf"), F.exp(-rate).alias("cdf"), F.lit(0).alias("n"),
-        rate.cast("double").alias("rate"), u.alias("u"),
-    )
+def poisson_top(rate: float) -> int:
+    return int(rate + 12 * rate**0.5 + 20)
 
-    def step(a, k):
-        pmf = a["pmf"] * a["rate"] / k
-        n = a["n"] + (a["cdf"] <= a["u"]).cast("int")
-        return F.struct(
-            pmf.alias("pmf"), (a["cdf"] + pmf).alias("cdf"), n.alias("n"), a["rate"].alias("rate"), a["u"].alias("u")
-        )
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(top)), start, step, lambda a: a["n"].cast("bigint"))
+def poisson_cdf(rate: float, top: int | None = None) -> list[float]:
+    """P(N <= k) for k below ``top``."""
+    pmf = math.exp(-rate)
+    out = [pmf]
+    for k in range(1, top or poisson_top(rate)):
+        pmf *= rate / k
+        out.append(out[-1] + pmf)
+    return out
 
 
-def poisson_top(rate: float) -> int:
-    return int(rate + 12 * rate**0.5 + 20)
+def poisson(cdf: Column, u: Column) -> Column:
+    """Inverse distribution function: how many entries of ``cdf`` are at most u.
+
+    The outer lambda binds u, so that it is drawn once and not per entry.
+    """
+    return F.transform(F.array(u), lambda x: F.size(F.filter(cdf, lambda c: c <= x)))[0].cast("bigint")
+
+
+def rate_table(spark: SparkSession, rates: dict[str, float]) -> DataFrame:
+    """Distribution functions per subscription length; the usage factor depends on it only.
+
+    A fixed number of rows: the lengths between the two ends of the usage factor.
+    """
+    days, lo, hi = USAGE_SCALE
+    rows = [
+        (d, *[poisson_cdf(r * (d / days), poisson_top(r * hi)) for r in rates.values()])
+        for d in range(int(days * lo), int(days * hi) + 1)
+    ]
+    return spark.createDataFrame(rows, "_days bigint, " + ", ".join(f"{n} array<double>" for n in rates))
 
 
 def customers_for(ids: DataFrame, id_col: str, seed: int = 42, missing: bool = True) -> DataFrame:
@@ -88,7 +103,6 @@ def customers_for(ids: DataFrame, id_col: str, seed: int = 42, missing: bool = T
         return u(draw + "1"), u(draw + "2")
 
     df = ids.select(F.col(id_col).cast("bigint").alias("_id"))
-    # long rate-dependent draws read their rate from a column, not from a nested expression
     df = df.select(
         "_id",
         F.format_string("CUST_%06d", F.col("_id")).alias("customer_id"),
@@ -108,18 +122,26 @@ def customers_for(ids: DataFrame, id_col: str, seed: int = 42, missing: bool = T
         clip(normal(mean, sd, *two("revenue")), 0.0).alias("monthly_revenue"),
         clip(F.col("subscription_duration_days") / USAGE_SCALE[0], *USAGE_SCALE[1:]).alias("_use"),
     )
-    use, most = F.col("_use"), USAGE_SCALE[2]
+    use = F.col("_use")
+    days, lo, hi = USAGE_SCALE
+    rates = rate_table(ids.sparkSession, {"_logins": LOGINS, "_uses": FEATURE_USES, "_pages": PAGE_VIEWS})
+    df = df.withColumn("_days", clip("subscription_duration_days", int(days * lo), int(days * hi)).cast("bigint"))
+    df = df.join(F.broadcast(rates), "_days")  # a few hundred rows, whatever the data
+
+    def fixed(rate: float, draw: str) -> Column:
+        return poisson(F.lit(poisson_cdf(rate)), u(draw))
+
     df = df.select(
         "*",
-        poisson(LOGINS * use, u("logins"), poisson_top(LOGINS * most)).alias("login_frequency"),
-        poisson(FEATURE_USES * use, u("uses"), poisson_top(FEATURE_USES * most)).alias("feature_usage_count"),
+        poisson(F.col("_logins"), u("logins")).alias("login_frequency"),
+        poisson(F.col("_uses"), u("uses")).alias("feature_usage_count"),
         exponential(SESSION_MINUTES * use, u("session")).alias("session_duration_avg"),
-        poisson(PAGE_VIEWS * use, u("pages"), poisson_top(PAGE_VIEWS * most)).alias("page_views_total"),
-        poisson(F.lit(TICKETS), u("tickets"), poisson_top(TICKETS)).alias("support_tickets_count"),
-        poisson(F.lit(FAILURES), u("failures"), poisson_top(FAILURES)).alias("payment_failures_count"),
+        poisson(F.col("_pages"), u("pages")).alias("page_views_total"),
+        fixed(TICKETS, "tickets").alias("support_tickets_count"),
+        fixed(FAILURES, "failures").alias("payment_failures_count"),
         clip(exponential(PAYMENT_GAP[0], u("gap")).cast("bigint"), *PAYMENT_GAP[1:]).alias("days_since_last_payment"),
-        poisson(F.lit(EMAIL_OPENS), u("opens"), poisson_top(EMAIL_OPENS)).alias("email_opens_count"),
-        poisson(F.lit(EMAIL_CLICKS), u("clicks"), poisson_top(EMAIL_CLICKS)).alias("email_clicks_count"),
+        fixed(EMAIL_OPENS, "opens").alias("email_opens_count"),
+        fixed(EMAIL_CLICKS, "clicks").alias("email_clicks_count"),
     )
     signs = {
         "tickets": F.col("support_tickets_count") > RISKS["tickets"][0],
@@ -145,7 +167,7 @@ def customers_for(ids: DataFrame, id_col: str, seed: int = 42, missing: bool = T
         F.when(left, choice(REASONS, u("reason"))).alias("cancellation_reason"),
         F.when(left, F.col("monthly_revenue") * (BILLING[0] + (BILLING[1] - BILLING[0]) * u("billing"))).alias("final_billing_amount"),
         F.when(left, u("offer") < OFFER_ACCEPTED).alias("retention_offer_accepted"),
-        F.when(left, poisson(F.lit(POST_CONTACTS), u("contacts"), poisson_top(POST_CONTACTS))).otherwise(0)
+        F.when(left, fixed(POST_CONTACTS, "contacts")).otherwise(0)
         .alias("post_churn_support_contacts"),
     )
     if missing:
