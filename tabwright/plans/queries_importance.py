@@ -61,15 +61,15 @@ def oof_importance(spark, sf):
 @query(
     "residual_importance_lineitem",
     """WITH base AS (SELECT l_quantity AS q, l_extendedprice AS x, l_discount AS d, (l_returnflag = 'R')::INT - l_tax AS r,
-        row_number() OVER (ORDER BY md5('7:' || (l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber || '-' || l_quantity || '-' || l_extendedprice)),
-          l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber || '-' || l_quantity || '-' || l_extendedprice) - 1 AS i, count(*) OVER () AS n FROM lineitem),
+        row_number() OVER (ORDER BY md5('7:' || (l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber)),
+          l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber) - 1 AS i, count(*) OVER () AS n FROM lineitem),
       per AS (SELECT k, abs(corr(a.q, a.r)) - abs(corr(a.q, b.r)) AS q, abs(corr(a.x, a.r)) - abs(corr(a.x, b.r)) AS x, abs(corr(a.d, a.r)) - abs(corr(a.d, b.r)) AS d
         FROM base a, range(1, 4) t(k), base b WHERE b.i = (a.i + k) % a.n GROUP BY k)
       SELECT 'q' AS feature, round(avg(q), 6) AS importance_mean FROM per UNION ALL SELECT 'x', round(avg(x), 6) FROM per UNION ALL SELECT 'd', round(avg(d), 6) FROM per""",
 )
 def residual_importance_lineitem(spark, sf):
     l = table(spark, sf, "lineitem")
-    key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("string"), F.col("l_extendedprice").cast("string"))
+    key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     src = l.select(
         key.alias("key"), F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("x"), F.col("l_discount").alias("d"),
         (F.col("l_returnflag") == "R").cast("int").alias("y"), F.col("l_tax").alias("p"),

@@ -18,6 +18,8 @@ def build_session(app: str = "tabwright", cores: str = "*", **conf) -> SparkSess
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # call-site capture costs several driver round trips per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in conf.items():
         b = b.config(k, v)
