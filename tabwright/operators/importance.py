@@ -60,8 +60,11 @@ def on_ring(df: DataFrame, key: str, seed: int, carried: Column, repeats: int) -
     shifts = [(s - 1) % (total - 1) + 1 for s in range(1, repeats + 1)]
     starts, heads = _ring_buckets(counts, max(shifts), bucket_target(df.sparkSession))
     n = len(starts)
-    splits = [float("-inf"), *[float(s) for s in starts[1:]], float("inf")]
-    src = Bucketizer(splits=splits, inputCol="_prefix", outputCol="_b").transform(src)
+    if n > 1:
+        splits = [float("-inf"), *[float(s) for s in starts[1:]], float("inf")]
+        src = Bucketizer(splits=splits, inputCol="_prefix", outputCol="_b").transform(src)
+    else:
+        src = src.withColumn("_b", F.lit(0.0))
     b = F.col("_b").cast("int")
     head = F.col("_prefix") <= F.element_at(F.array(*[F.lit(float(h)) for h in heads]), b + 1)
     own = F.struct(b.alias("bucket"), F.lit(0).alias("ahead"))

@@ -40,9 +40,9 @@ def scan_contract_parquet(spark, sf):
 
 @query(
     "csv_type_violations",
-    """SELECT 'price' AS "column", 'type' AS rule, count(*) FILTER (WHERE o_totalprice <> floor(o_totalprice))::DOUBLE AS observed FROM orders
-    UNION ALL SELECT 'priority', 'type', count(*)::DOUBLE FROM orders
-    UNION ALL SELECT 'status', 'missing', count(*) FILTER (WHERE o_orderstatus = 'P')::DOUBLE FROM orders""",
+    """SELECT 'price' AS "column", 'type' AS rule, count(*)::DOUBLE AS observed FROM orders WHERE o_totalprice <> floor(o_totalprice) HAVING count(*) > 0
+    UNION ALL SELECT 'priority', 'type', count(*)::DOUBLE FROM orders HAVING count(*) > 0
+    UNION ALL SELECT 'status', 'missing', count(*)::DOUBLE FROM orders WHERE o_orderstatus = 'P' HAVING count(*) > 0""",
 )
 def csv_type_violations(spark, sf):
     from tabwright.sources.contract import Contract
@@ -332,10 +332,10 @@ def pareto_front(spark, sf):
         """SELECT 'customer_id' AS "column", 'x' AS rule, 0e0 AS observed FROM churn WHERE false
         UNION ALL SELECT 'days_since_last,first_post_date,n_urgent,tenure_days', 'unexpected', 4e0
         UNION ALL SELECT 'location', 'type', 1e0 UNION ALL SELECT 'post_orders', 'leaky', 1e0
-        UNION ALL SELECT 'segment', 'category', count(DISTINCT segment)::DOUBLE FROM churn WHERE segment = 'HOUSEHOLD'
-        UNION ALL SELECT 'acctbal', 'range', count(*)::DOUBLE FROM churn WHERE acctbal < 0 OR acctbal > 9000
-        UNION ALL SELECT 'n_orders', 'missing', count(*)::DOUBLE FROM churn WHERE n_orders IS NULL
-        UNION ALL SELECT 'avg_total', 'missing', count(*)::DOUBLE FROM churn WHERE avg_total IS NULL"""
+        UNION ALL SELECT 'segment', 'category', count(DISTINCT segment)::DOUBLE FROM churn WHERE segment = 'HOUSEHOLD' HAVING count(*) > 0
+        UNION ALL SELECT 'acctbal', 'range', count(*)::DOUBLE FROM churn WHERE acctbal < 0 OR acctbal > 9000 HAVING count(*) > 0
+        UNION ALL SELECT 'n_orders', 'missing', count(*)::DOUBLE FROM churn WHERE n_orders IS NULL HAVING count(*) > 0
+        UNION ALL SELECT 'avg_total', 'missing', count(*)::DOUBLE FROM churn WHERE avg_total IS NULL HAVING count(*) > 0"""
     ),
 )
 def contract_violations(spark, sf):
