@@ -44,16 +44,28 @@ def _ring_buckets(counts: list[tuple[int, int]], need: int, target: int) -> tupl
     return starts, heads
 
 
+HOT_ROWS = 100_000
+
+
+def _placed(df: DataFrame, h: Column) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """Rows with their digest and its prefix, and the sorted row count per prefix."""
+    src = df.withColumn("_digest", h)
+    src = src.withColumn("_prefix", F.conv(F.substring("_digest", 1, PREFIX), 16, 10).cast("double"))
+    sizes = src.groupBy("_prefix").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 16**PREFIX rows
+    return src, sorted((int(r["_prefix"]), r["n"]) for r in sizes)
+
+
 def on_ring(df: DataFrame, key: str, seed: int, carried: Column, repeats: int) -> DataFrame:
     """Add ``_shift1.._shiftR``: ``carried`` of the rows 1..R places ahead on the ring.
 
     ``df`` is read twice: once for the key, to size the buckets, and once for all.
     """
-    src = df.withColumn("_digest", digest(seed, key)).withColumn("_carried", carried)
-    src = src.withColumn("_prefix", F.conv(F.substring("_digest", 1, PREFIX), 16, 10).cast("double"))
-    sizes = src.groupBy("_prefix").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 16**PREFIX rows
-    counts = sorted((int(r["_prefix"]), r["n"]) for r in sizes)
+    src, counts = _placed(df, digest(seed, key))
     total = sum(n for _, n in counts)
+    if counts and max(n for _, n in counts) > max(HOT_ROWS, 50 * total // 16**PREFIX):
+        # a key with very many rows: tell its rows apart by their content
+        src, counts = _placed(df, digest(seed, key, F.xxhash64(*df.columns)))
+    src = src.withColumn("_carried", carried)
     if total < 2:
         raise ValueError("a permutation needs at least two rows")
     # on a ring of n rows shift n is the row itself

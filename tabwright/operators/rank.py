@@ -148,6 +148,9 @@ def long_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -
     return df.select(*extra, F.inline(F.array(*items))).filter(F.col("value").isNotNull())
 
 
+COLUMNS_PER_PASS = 24
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
@@ -162,6 +165,9 @@ def exact_quantiles(
     column-pruned scan, and its result is a handful of numbers.
     """
     spark = df.sparkSession
+    if len(cols) > COLUMNS_PER_PASS:  # keep each generated aggregation small
+        out = exact_quantiles(df, cols[:COLUMNS_PER_PASS], probs, inside_limit)
+        return out.unionByName(exact_quantiles(df, cols[COLUMNS_PER_PASS:], probs, inside_limit))
     src = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     slots = [(c, i) for c in cols for i in range(len(probs))]
     lo = {s: float("-inf") for s in slots}

@@ -8,6 +8,7 @@ the parts of the other folds.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -22,8 +23,10 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabwright.operators import rank
 from tabwright.operators.joins import lookup
 from tabwright.operators.rank import quantile_row
+from tabwright.session import settle
 from tabwright.sources.contract import Contract
 
 # ------------------------------------------------------------------ selection
@@ -177,14 +180,37 @@ def fold_categories(df: DataFrame, cols: Sequence[str], fold: str = "fold", k: i
     return each.select(fold, "feature", "value", n.alias("n")).filter("n > 0")
 
 
-def vocabulary(counts: DataFrame, integer: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
-    """Class list with ``code`` in sorted order; integer features sort as numbers.
+def vocabulary(counts: DataFrame, integer: Sequence[str] = (), small: int | None = None) -> DataFrame:
+    """Class list ``(feature, value, code, n)`` in sorted order; integer features sort as numbers.
 
-    A vocabulary has one row per distinct value; the window runs per feature.
+    Codes are places in the sorted order of distinct values. Up to ``SMALL_ORDER``
+    values one window per feature numbers them; larger lists go through range
+    buckets, cut on the first bytes in which the values differ.
     """
+    counts = settle(counts.select("feature", "value", "n"), "vocabulary")
     is_int = F.col("feature").isin(list(integer)) if integer else F.lit(False)
-    w = Window.partitionBy(*by, "feature").orderBy(F.when(is_int, F.col("value").try_cast("bigint")), F.col("value"))
-    return counts.select(*by, "feature", "value", (F.row_number().over(w) - 1).alias("code"), "n")
+    number = F.when(is_int, F.col("value").try_cast("bigint"))
+    if counts.count() <= (rank.SMALL_ORDER if small is None else small):
+        w = Window.partitionBy("feature").orderBy(number, F.col("value"))
+        return counts.select("feature", "value", (F.row_number().over(w) - 1).alias("code"), "n")
+    shared = {
+        r["feature"]: len(os.path.commonprefix([r["a"].encode(), r["b"].encode()]))
+        for r in counts.groupBy("feature").agg(F.min("value").alias("a"), F.max("value").alias("b")).collect()
+    }  # one row per feature; what the least and the greatest value share, all share
+    start = F.lit(1)
+    for f, k in shared.items():
+        start = F.when(F.col("feature") == f, F.lit(k + 1)).otherwise(start)
+    head = F.substring(F.encode("value", "UTF-8"), start, F.lit(6))
+    place = F.conv(F.rpad(F.hex(head), 12, "0"), 16, 10).cast("double")
+    rows = counts.select("*", F.lit(1).alias("_one"), number.alias("_num"), F.coalesce(number.cast("double"), place).alias("_at"))
+    rows = rank.with_buckets(rows, rank.range_splits(rows, ["_at"]))
+    bucket = "_at" + rank.BUCKET
+    parts = [
+        rank.cumulate(rows.filter(cond), ["feature"], order, bucket, ["_one"])
+        for cond, order in ((~is_int, "value"), (is_int, "_num"))
+    ]
+    out = parts[0].unionByName(parts[1])
+    return out.select("feature", "value", (F.col("cum__one") - 1).cast("int").alias("code"), "n")
 
 
 UNKNOWN_MODES = ("zeros", "train_mode", "batch_mode")

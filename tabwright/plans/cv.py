@@ -54,6 +54,7 @@ def cross_validate(
     leaky_prefit: bool = False,
     inner_validation: bool = False,
     unknown: str = "train_mode",
+    calibrate: bool = True,
     parallelism: int = 4,
 ) -> CVResult:
     """K-fold out-of-fold scores, metrics and calibration per family.
@@ -63,7 +64,8 @@ def cross_validate(
     its folds is written once and every fold reads only its columns. Fits run
     from driver threads, scores go to the shared folder as they come.
     ``inner_validation`` stops early on part of the training side, so that a
-    validation fold is never used for fitting.
+    validation fold is never used for fitting. Without ``calibrate`` the calibrated
+    scores equal the plain ones.
     """
     spark = df.sparkSession
     columns = [c for c, a in plan.items() if a != "drop" and c not in (key, target)]
@@ -100,6 +102,9 @@ def cross_validate(
     calibration, parts = {}, []
     for f in families:
         mine = raw.filter(F.col("model") == f.name)
+        if not calibrate:
+            parts.append(mine.withColumn("prob_cal", F.col("prob")))
+            continue
         choice = select_best_calibrator(
             mine, "y_true", "prob", "logit" if use_logits else None, cross_fit=cross_fit, key="key", seed=seed
         )
@@ -119,12 +124,14 @@ def cross_validate(
         _long(mean.select("model", "metric", F.col("mean").alias("value")), run, "mean"),
         _long(mean.filter("metric = 'training_time'").select("model", "metric", F.col("total").alias("value")), run, "total"),
         _long(M.all_metrics(oof, "y_true", "prob", ["model"]), run, "oof"),
-        _long(M.all_metrics(oof, "y_true", "prob_cal", ["model"]), run, "calibrated"),
     ]
+    if calibrate:
+        rows.append(_long(M.all_metrics(oof, "y_true", "prob_cal", ["model"]), run, "calibrated"))
     chosen = [(run, m, "calibration", None, "calibration_method", None, c.method) for m, c in calibration.items()]
     chosen += [(run, m, "calibration", None, f"brier_{n}", s, None) for m, c in calibration.items() for n, s in c.scores.items()]
     schema = "run string, model string, scope string, fold int, metric string, value double, text string"
-    rows.append(spark.createDataFrame(chosen, schema))
+    if chosen:
+        rows.append(spark.createDataFrame(chosen, schema))
     metrics = rows[0]
     for r in rows[1:]:
         metrics = metrics.unionByName(r)
@@ -149,7 +156,7 @@ def grid_search(
     The front over (roc_auc up, brier down) is taken with ``pareto_front``.
     """
     named = [Family(name, f.fit) for name, f in grid.items()]
-    res = cross_validate(df, key, target, plan, named, k, seed, "grid", parallelism=parallelism)
+    res = cross_validate(df, key, target, plan, named, k, seed, "grid", calibrate=False, parallelism=parallelism)
     wide = res.metrics.filter("scope = 'mean'").groupBy(F.col("model").alias("trial")).pivot("metric", M.METRICS)
     return wide.agg(F.first("value"))
 

@@ -125,3 +125,10 @@ def test_argument_checks(spark, table):
 def test_linear_contributions(spark, table):
     out = I.linear_contributions(table, {"s0": 2.0, "s1": 1.0, "j0": 0.0}, 2).collect()
     assert [r["feature"] for r in out] == ["s0", "s1"]
+
+
+def test_hot_key_rows_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(I, "HOT_ROWS", 20)
+    df = spark.range(300).select(F.when(F.col("id") < 100, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    out = I.on_ring(df, "k", 1, F.col("v"), 2).collect()
+    assert sorted(r["_shift1"] for r in out) == list(range(300)) == sorted(r["_shift2"] for r in out)

@@ -162,3 +162,17 @@ def test_lookup_equals_a_left_join_with_hot_and_null_keys(spark):
     got = {r["id"]: r["m"] for r in lookup(rows, t, ["k"], "n", "id").collect()}
     want = {r["id"]: r["m"] for r in rows.join(t, "k", "left").collect()}
     assert got == want and len(got) == len(keys)
+
+
+@pytest.mark.parametrize("small", [0, 1_000_000])
+def test_vocabulary_codes_for_any_size(spark, small):
+    words = [f"Customer#{i:05d}" for i in range(0, 900, 7)] + ["Customer#", "Customer#é", "Customer#00007x"]
+    nums = [5, -3, 100, 20, 7]
+    rows = [("w", w, 1) for w in words] + [("n", str(n), 2) for n in nums] + [("one", "x", 1)]
+    df = spark.createDataFrame(rows, "feature string, value string, n bigint")
+    got = {(r["feature"], r["value"]): r["code"] for r in P.vocabulary(df, ["n"], small=small).collect()}
+    for i, w in enumerate(sorted(words, key=lambda s: s.encode())):
+        assert got[("w", w)] == i
+    for i, n in enumerate(sorted(nums)):
+        assert got[("n", str(n))] == i
+    assert got[("one", "x")] == 0 and len(got) == len(rows)
