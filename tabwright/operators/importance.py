@@ -19,7 +19,9 @@ from tabwright.operators import metrics as M
 from tabwright.operators.moments import SUMS_PER_PASS, centred, means
 from tabwright.session import bucket_target, settle
 
-PREFIX = 4
+PREFIX = 3
+LONG_PREFIX = 4
+LONG_FROM = 20_000_000
 
 
 def _ring_buckets(counts: list[tuple[int, int]], need: int, target: int) -> tuple[list[int], list[int]]:
@@ -47,12 +49,18 @@ def _ring_buckets(counts: list[tuple[int, int]], need: int, target: int) -> tupl
 HOT_ROWS = 100_000
 
 
-def _placed(df: DataFrame, h: Column) -> tuple[DataFrame, list[tuple[int, int]]]:
-    """Rows with their digest and its prefix, and the sorted row count per prefix."""
+def _placed(df: DataFrame, h: Column, digits: int = PREFIX) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """Rows with their digest and its prefix, and the sorted row count per prefix.
+
+    A large table is counted once more by a longer prefix, to keep the part of a
+    bucket that its neighbour must also see small.
+    """
     src = df.withColumn("_digest", h)
-    src = src.withColumn("_prefix", F.conv(F.substring("_digest", 1, PREFIX), 16, 10).cast("double"))
-    sizes = src.groupBy("_prefix").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 16**PREFIX rows
-    return src, sorted((int(r["_prefix"]), r["n"]) for r in sizes)
+    text = F.substring("_digest", 1, digits)
+    sizes = src.groupBy(text.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()  # at most 16**digits rows
+    if digits < LONG_PREFIX and sum(r["n"] for r in sizes) > LONG_FROM:
+        return _placed(df, h, LONG_PREFIX)
+    return src.withColumn("_prefix", F.conv(text, 16, 10).cast("double")), sorted((int(r["p"], 16), r["n"]) for r in sizes)
 
 
 def on_ring(df: DataFrame, key: str, seed: int, carried: Column, repeats: int) -> DataFrame:
@@ -62,7 +70,7 @@ def on_ring(df: DataFrame, key: str, seed: int, carried: Column, repeats: int) -
     """
     src, counts = _placed(df, digest(seed, key))
     total = sum(n for _, n in counts)
-    if counts and max(n for _, n in counts) > max(HOT_ROWS, 50 * total // 16**PREFIX):
+    if counts and max(n for _, n in counts) > max(HOT_ROWS, 50 * total // len(counts)):
         # a key with very many rows: tell its rows apart by their content
         src, counts = _placed(df, digest(seed, key, F.xxhash64(*df.columns)))
     src = src.withColumn("_carried", carried)
@@ -81,7 +89,7 @@ def on_ring(df: DataFrame, key: str, seed: int, carried: Column, repeats: int) -
     head = F.col("_prefix") <= F.element_at(F.array(*[F.lit(float(h)) for h in heads]), b + 1)
     own = F.struct(b.alias("bucket"), F.lit(0).alias("ahead"))
     copy = F.when(head, F.struct(F.pmod(b - 1, F.lit(n)).alias("bucket"), F.lit(1).alias("ahead")))
-    placed = src.withColumn("_place", F.explode(F.filter(F.array(own, copy), lambda x: x.isNotNull())))
+    placed = src.withColumn("_place", F.explode(F.array(own, copy))).filter("_place IS NOT NULL")
     w = Window.partitionBy("_place.bucket").orderBy("_place.ahead", "_digest", key)
     out = placed.select(
         *df.columns, F.col("_place.ahead").alias("_ahead"),

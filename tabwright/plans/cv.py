@@ -28,14 +28,14 @@ class CVResult:
     calibration: dict[str, Choice]
 
 
-def _long(df: DataFrame, run: str, scope: str, model=None, fold=None) -> DataFrame:
+def _long(df: DataFrame, run: str, scope: str) -> DataFrame:
     return df.select(
         F.lit(run).alias("run"),
-        (F.col("model") if model is None else F.lit(model)).alias("model"),
+        "model",
         F.lit(scope).alias("scope"),
-        (F.lit(None).cast("int") if fold is None else F.col(fold)).alias("fold"),
+        F.lit(None).cast("int").alias("fold"),
         "metric",
-        F.col("value").cast("double").alias("value"),
+        "value",
         F.lit(None).cast("string").alias("text"),
     )
 
@@ -115,18 +115,20 @@ def cross_validate(
         oof = oof.unionByName(p)
     oof = settle(oof.select(F.lit(run).alias("run"), "model", "key", F.col("fold").cast("int").alias("fold"), "y_true", "prob", "prob_cal"), "oof-cal")
 
-    per_fold = M.all_metrics(oof, "y_true", "prob", ["model", "fold"])
-    timed = spark.createDataFrame(times, "model string, fold int, value double").withColumn("metric", F.lit("training_time"))
-    folds = settle(per_fold.unionByName(timed.select(per_fold.columns)), "fold-metrics")
-    mean = M.mean_over_folds(folds, ["model"])
+    # folds, all rows and calibrated rows are scored in one job
+    none = F.lit(None).cast("int")
+    views = [("fold", F.col("fold"), "prob"), ("oof", none, "prob")] + ([("calibrated", none, "prob_cal")] if calibrate else [])
+    views = F.array(*[F.struct(F.lit(s).alias("scope"), f.alias("fold"), F.col(c).alias("q")) for s, f, c in views])
+    scored = M.all_metrics(oof.select("model", "y_true", F.inline(views)), "y_true", "q", ["model", "scope", "fold"])
+    timed = [(m, "fold", i, "training_time", t) for m, i, t in times]
+    timed = spark.createDataFrame(timed, "model string, scope string, fold int, metric string, value double")
+    scored = settle(scored.unionByName(timed), "fold-metrics")
+    mean = M.mean_over_folds(scored.filter("scope = 'fold'"), ["model"])
     rows = [
-        _long(folds, run, "fold", fold="fold"),
+        scored.select(F.lit(run).alias("run"), "model", "scope", "fold", "metric", "value", F.lit(None).cast("string").alias("text")),
         _long(mean.select("model", "metric", F.col("mean").alias("value")), run, "mean"),
         _long(mean.filter("metric = 'training_time'").select("model", "metric", F.col("total").alias("value")), run, "total"),
-        _long(M.all_metrics(oof, "y_true", "prob", ["model"]), run, "oof"),
     ]
-    if calibrate:
-        rows.append(_long(M.all_metrics(oof, "y_true", "prob_cal", ["model"]), run, "calibrated"))
     chosen = [(run, m, "calibration", None, "calibration_method", None, c.method) for m, c in calibration.items()]
     chosen += [(run, m, "calibration", None, f"brier_{n}", s, None) for m, c in calibration.items() for n, s in c.scores.items()]
     schema = "run string, model string, scope string, fold int, metric string, value double, text string"

@@ -29,9 +29,10 @@ def ring_of(df, shifts):
     return {order[i]: [order[(i + s) % n] for s in shifts] for i in range(n)}
 
 
-@pytest.mark.parametrize("target", [1, 8, 200])
-def test_ring_is_the_same_for_any_bucketing(spark, table, target, monkeypatch):
+@pytest.mark.parametrize("target, long_from", [(1, 10**9), (8, 0), (200, 10**9)])
+def test_ring_is_the_same_for_any_bucketing(spark, table, target, long_from, monkeypatch):
     monkeypatch.setattr(I, "bucket_target", lambda s: target)
+    monkeypatch.setattr(I, "LONG_FROM", long_from)
     out = I.on_ring(table.select("id"), "id", 42, F.col("id"), 7).collect()
     want = ring_of(table.select("id"), range(1, 8))
     assert len(out) == 300
