@@ -41,7 +41,7 @@ class PlattCalibrator:
 
     def transform(self, df: DataFrame, logit: str, out: str = "prob_cal") -> DataFrame:
         if self.model is None:
-            raise ValueError("PlattScaler must be fitted before predict_proba")
+            raise ValueError("PlattCalibrator must be fitted before transform")
         a, b = float(self.model.coefficients[0]), float(self.model.intercept)
         return df.withColumn(out, sigmoid(F.col(logit) * a + b))
 
@@ -77,7 +77,7 @@ class IsotonicCalibrator:
 
     def transform(self, df: DataFrame, p: str, out: str = "prob_cal") -> DataFrame:
         if self.model is None:
-            raise ValueError("IsotonicCalibrator must be fitted before predict_proba")
+            raise ValueError("IsotonicCalibrator must be fitted before transform")
         m = self.model.copy()
         m = m.setFeaturesCol("_iso_in").setPredictionCol("_iso")
         res = m.transform(df.withColumn("_iso_in", F.col(p).cast("double")))
@@ -108,11 +108,11 @@ class IsotonicCalibrator:
 def fit_calibrator(df: DataFrame, y: str, p: str | None = None, logit: str | None = None, method: str = "platt", out_of_bounds: str = "clip"):
     if method == "platt":
         if logit is None:
-            raise ValueError("y_logits required for Platt scaling")
+            raise ValueError("Platt scaling needs a logit column")
         return PlattCalibrator().fit(df, y, logit)
     if method == "isotonic":
         if p is None:
-            raise ValueError("y_proba required for isotonic calibration")
+            raise ValueError("isotonic calibration needs a probability column")
         return IsotonicCalibrator(out_of_bounds).fit(df, y, p)
     raise ValueError(f"Unknown calibration method: {method}")
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tabwright.functions.scalar import digest
 from tabwright.operators.moments import pair_correlations
 from tabwright.operators.rank import exact_quantiles, long_values, quantile_row
-from tabwright.operators.validate import correlation_pairs, missing_fractions
+from tabwright.operators.validate import missing_fractions
 from tabwright.sources.contract import Contract
 
 
@@ -199,15 +199,12 @@ def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> D
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """All ordered pairs in long form, the diagonal included."""
     columns = list(columns)
-    half = correlation_pairs(df, columns)
-    flip = half.select(F.col("b").alias("a"), F.col("a").alias("b"), "corr")
-    varied = df.agg(*[F.when(F.stddev_pop(c) > 0, F.lit(1.0)).alias(f"_v{i}") for i, c in enumerate(columns)])
-    diag = varied.select(
-        F.inline(F.array(*[
-            F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.col(f"_v{i}").alias("corr")) for i, c in enumerate(columns)
-        ]))
-    )
-    return half.unionByName(flip).unionByName(diag)
+    upper = pair_correlations(df, [(a, b) for i, a in enumerate(columns) for b in columns[i:]])
+    same = F.col("a") == F.col("b")
+    r = F.when(same & F.col("corr").isNotNull(), F.lit(1.0)).otherwise(F.col("corr"))
+    one = F.struct("a", "b", r.alias("corr"))
+    flip = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), r.alias("corr"))
+    return upper.select(F.inline(F.when(same, F.array(one)).otherwise(F.array(one, flip))))
 
 
 def rate_by_category(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:

@@ -45,12 +45,13 @@ def range_splits(df: DataFrame, cols: Sequence[str], n: int | None = None) -> di
 def with_buckets(df: DataFrame, splits: dict[str, list[float]], suffix: str = BUCKET) -> DataFrame:
     """Add ``<col><suffix>`` holding the range bucket of each column."""
     cols = list(splits)
-    return Bucketizer(
+    cut = Bucketizer(
         splitsArray=[splits[c] for c in cols],
         inputCols=cols,
         outputCols=[c + suffix for c in cols],
         handleInvalid="keep",
     ).transform(df)
+    return cut.withColumns({c + suffix: F.col(c + suffix).cast("int") for c in cols})
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]):

@@ -126,24 +126,21 @@ def fold_numeric(df: DataFrame, cols: Sequence[str], fold: str = "fold") -> Data
     nothing of a fold's own rows enters its statistics.
     """
     part = numeric_moments(df, cols, [fold]).filter("n + missing > 0")
-    a = part.select(F.col(fold).alias("_f"), "feature").distinct()
-    j = a.join(part, "feature").filter(F.col(fold) != F.col("_f"))  # folds x folds per column
-    n = F.sum("n")
-    mu = F.try_divide(F.sum(F.col("n") * F.col("mu")), n)
-    g = j.groupBy("_f", "feature").agg(
-        n.alias("n"),
-        F.sum("missing").alias("missing"),
-        mu.alias("mu"),
-        F.try_divide(F.sum(F.col("n") * (F.col("var") + F.col("mu") * F.col("mu"))), n).alias("_raw"),
-        F.collect_list(F.struct("n", "mu", "var")).alias("_parts"),  # one entry per fold
-    )
-    spread = F.aggregate(
-        "_parts",
-        F.lit(0.0),
-        lambda s, x: s
-        + F.coalesce(x["n"] * (x["var"] + (x["mu"] - F.col("mu")) * (x["mu"] - F.col("mu"))), F.lit(0.0)),
-    )
-    g = g.select(F.col("_f").alias(fold), "feature", "n", "missing", "mu", F.try_divide(spread, F.col("n")).alias("var"))
+    parts = F.collect_list(F.struct(F.col(fold).alias("f"), "n", "missing", "mu", "var")).alias("_parts")  # one per fold
+    g = part.groupBy("feature").agg(parts)
+    g = g.select("feature", F.explode("_parts.f").alias(fold), "_parts")
+    g = g.withColumn("_parts", F.filter("_parts", lambda x: x["f"] != F.col(fold)))
+
+    def total(of, start=0.0):
+        return F.aggregate("_parts", F.lit(start), lambda acc, x: acc + F.coalesce(of(x), F.lit(start)))
+
+    zero = F.lit(0).cast("bigint")
+    n = F.aggregate("_parts", zero, lambda acc, x: acc + x["n"])
+    missing = F.aggregate("_parts", zero, lambda acc, x: acc + x["missing"])
+    g = g.withColumns({"n": n, "missing": missing})
+    g = g.withColumn("mu", F.try_divide(total(lambda x: x["n"] * x["mu"]), F.col("n")))
+    spread = total(lambda x: x["n"] * (x["var"] + (x["mu"] - F.col("mu")) * (x["mu"] - F.col("mu"))))
+    g = g.select(fold, "feature", "n", "missing", "mu", F.try_divide(spread, F.col("n")).alias("var"))
     return imputed(g, F.col("mu"))
 
 

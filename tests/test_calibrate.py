@@ -116,9 +116,9 @@ def test_errors(spark, scores):
         C.PlattCalibrator().transform(scores, "z")
     with pytest.raises(ValueError, match="must be fitted"):
         C.IsotonicCalibrator().transform(scores, "p")
-    with pytest.raises(ValueError, match="y_logits required"):
+    with pytest.raises(ValueError, match="needs a logit"):
         C.fit_calibrator(scores, "y", p="p", method="platt")
-    with pytest.raises(ValueError, match="y_proba required"):
+    with pytest.raises(ValueError, match="needs a probability"):
         C.fit_calibrator(scores, "y", logit="z", method="isotonic")
     with pytest.raises(ValueError, match="Unknown calibration method"):
         C.fit_calibrator(scores, "y", p="p", method="beta")
