@@ -315,7 +315,8 @@ POLICY_STRATEGY = {"impute_median": "median", "impute_mode": "most_frequent", "i
 
 @dataclass
 class Preprocessing:
-    """A fitted plan: numbers per scaled feature, class list per encoded feature.
+    """A fitted plan: numbers per scaled feature, class list per one-hot feature,
+    target mean per class of a target-encoded feature.
 
     ``stages`` is an ordinary saved-and-loaded Spark ML pipeline model that ends
     in a sparse ``features`` vector.
@@ -328,6 +329,7 @@ class Preprocessing:
     hashed: list[str] = field(default_factory=list)
     unknown: str = "train_mode"
     hash_size: int = 4096
+    encoded: dict[str, tuple[dict[str, float], float]] = field(default_factory=dict)
     stages: PipelineModel | None = None
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -339,13 +341,15 @@ class Preprocessing:
         """``(feature, action, vocabulary size)`` in plan order; no size for scaled features."""
         out = []
         for c, a in self.plan.items():
-            if c in self.numeric or c in self.classes or c in self.hashed:
+            if c in self.encoded:
+                out.append((c, a, len(self.encoded[c][0])))
+            elif c in self.numeric or c in self.classes or c in self.hashed:
                 out.append((c, a, len(self.classes[c]) if c in self.classes else None))
         return out
 
     @property
     def width(self) -> int:
-        n = len(self.numeric) + sum(len(v) for v in self.classes.values())
+        n = len(self.numeric) + len(self.encoded) + sum(len(v) for v in self.classes.values())
         return n + (self.hash_size if self.hashed else 0)
 
 
@@ -353,18 +357,28 @@ def _num(v: float) -> str:
     return f"CAST('{float(v)!r}' AS DOUBLE)"
 
 
+def _text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def build_stages(p: Preprocessing, spark) -> Preprocessing:
     """Turn fitted numbers into pipeline stages; reads no table."""
-    if not (p.numeric or p.classes or p.hashed):
+    if not (p.numeric or p.classes or p.hashed or p.encoded):
         raise ValueError("No features to transform")
     stages, exprs = [], []
     for c, (fill, mean, std) in p.numeric.items():
         exprs.append(f"(COALESCE(CAST(`{c}` AS DOUBLE), {_num(fill)}) - {_num(mean)}) / {_num(std)} AS `{c}__z`")
+    for c, (by_class, prior) in p.encoded.items():
+        value = _num(prior)
+        if by_class:
+            pairs = ", ".join(f"{_text(k)}, {_num(v)}" for k, v in by_class.items())
+            value = f"COALESCE(TRY_ELEMENT_AT(MAP({pairs}), CAST(`{c}` AS STRING)), {value})"
+        exprs.append(f"{value} AS `{c}__t`")
     enc = list(p.classes)
     exprs += [f"CAST(`{c}` AS STRING) AS `{c}__s`" for c in enc]
     exprs += [f"COALESCE(CAST(`{c}` AS STRING), '') AS `{c}__h`" for c in p.hashed]
     stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"))
-    blocks = {c: f"{c}__z" for c in p.numeric}
+    blocks = {c: f"{c}__z" for c in p.numeric} | {c: f"{c}__t" for c in p.encoded}
     if enc:
         stages.append(
             StringIndexerModel.from_arrays_of_labels(
@@ -389,7 +403,7 @@ def build_stages(p: Preprocessing, spark) -> Preprocessing:
         stages.append(FeatureHasher(inputCols=[f"{c}__h" for c in p.hashed], outputCol="hashed__v", numFeatures=p.hash_size))
         inputs.append("hashed__v")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
-    made = [f"{c}__z" for c in p.numeric] + [f"{c}__h" for c in p.hashed] + (["hashed__v"] if p.hashed else [])
+    made = [f"{c}__z" for c in p.numeric] + [f"{c}__t" for c in p.encoded] + [f"{c}__h" for c in p.hashed] + (["hashed__v"] if p.hashed else [])
     for c in enc:
         made += [f"{c}__{s}" for s in "sijv"]
     keep = f"SELECT * EXCEPT ({', '.join(f'`{m}`' for m in made)}) FROM __THIS__"
@@ -398,11 +412,23 @@ def build_stages(p: Preprocessing, spark) -> Preprocessing:
     return p
 
 
-def _columns(plan: dict[str, str], target: str) -> tuple[list[str], list[str]]:
-    scale = [c for c, a in plan.items() if a == "scale" and c != target]
-    # a plan without its own rule for target encoding treats it like the other encodings
-    encode = [c for c, a in plan.items() if a in ("onehot", "embed", "target_encode") and c != target]
-    return scale, encode
+def _columns(plan: dict[str, str], target: str) -> tuple[list[str], list[str], list[str]]:
+    """Features to scale, to one-hot and to encode by target mean."""
+    def of(*actions):
+        return [c for c, a in plan.items() if a in actions and c != target]
+
+    return of("scale"), of("onehot", "embed"), of("target_encode")
+
+
+def _likely_small(df: DataFrame, cols: Sequence[str], limit: int) -> list[str]:
+    """Features that may have at most ``limit`` values, by a sketch without a shuffle.
+
+    Keeps an identifier from being counted value by value only to be hashed.
+    """
+    if not cols:
+        return []
+    r = df.agg(*[F.approx_count_distinct(c, 0.05).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    return [c for i, c in enumerate(cols) if r[f"d{i}"] <= 2 * limit]
 
 
 def _sorted_classes(values: list[str], integer: bool) -> list[str]:
@@ -432,8 +458,8 @@ def fit_preprocessing(
     """
     if unknown not in ("zeros", "train_mode"):
         raise ValueError("a fitted pipeline takes unknown='zeros' or 'train_mode'")
-    scale, encode = _columns(plan, target)
-    select_features(train, [*scale, *encode])
+    scale, encode, means = _columns(plan, target)
+    select_features(train, [*scale, *encode, *means])
     check_target(train, target)
     strategy = {c: "mean" for c in scale}
     if policy == "contract":
@@ -446,29 +472,30 @@ def fit_preprocessing(
     if scale:
         for r in fit_numeric(train, scale, strategy).collect():  # one row per column
             numeric[r["feature"]] = (r["fill"] or 0.0, r["mean"] or 0.0, r["std"])
-    classes, mode, hashed = {}, {}, []
-    if encode:
-        counts = category_counts(train, encode)
-        classes, mode, hashed = _bounded_classes(counts, encode, _integers(train, encode), max_classes)
-    p = Preprocessing(plan, {c: numeric[c] for c in scale}, classes, mode, hashed, unknown, hash_size)
+    likely = _likely_small(train, [*encode, *means], max_classes)
+    classes, mode, encoded = {}, {}, {}
+    if likely:
+        counts = category_counts(train, likely)
+        size = {r["feature"]: r["k"] for r in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("k")).collect()}
+        likely = [c for c in likely if size.get(c, 0) <= max_classes]
+        one, integer = [c for c in encode if c in likely], _integers(train, encode)
+        rows = counts.filter(F.col("feature").isin(one)).collect() if one else []  # at most max_classes per feature
+        found: dict[str, list] = {}
+        for r in rows:
+            found.setdefault(r["feature"], []).append((-r["n"], r["value"]))
+        classes = {c: _sorted_classes([v for _, v in found[c]], c in integer) for c in one if c in found}
+        mode = {c: min(found[c])[1] for c in classes}
+        by_mean = [c for c in means if c in likely]
+        if by_mean:
+            prior = target_prior(train, target).first()[0]
+            encoded = {c: ({}, prior) for c in by_mean}
+            for r in target_encoding(train, by_mean, target).collect():
+                encoded[r["feature"]][0][r["value"]] = r["encoded"]
+    hashed = [c for c in (*encode, *means) if c not in likely]
+    p = Preprocessing(plan, {c: numeric[c] for c in scale}, classes, mode, hashed, unknown, hash_size, encoded)
     return build_stages(p, train.sparkSession)
 
 
-def _bounded_classes(counts: DataFrame, encode, integer: set[str], limit: int):
-    """Class lists of the features whose size was checked; the others are hashed."""
-    size = {r["feature"]: r["k"] for r in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("k")).collect()}
-    small = [c for c in encode if size.get(c, 0) <= limit]
-    rows = counts.filter(F.col("feature").isin(small)).collect() if small else []  # at most limit per feature
-    classes: dict[str, list[str]] = {c: [] for c in small}
-    best: dict[str, tuple[int, str]] = {}
-    for r in rows:
-        classes[r["feature"]].append(r["value"])
-        best[r["feature"]] = min(best.get(r["feature"], (1, "")), (-r["n"], r["value"]))
-    classes = {c: _sorted_classes(v, c in integer) for c, v in classes.items() if v}
-    hashed = [c for c in encode if size.get(c, 0) > limit]
-    return classes, {c: best[c][1] for c in classes}, hashed
-
-
 def fit_folds(
     df: DataFrame,
     plan: dict[str, str],
@@ -480,8 +507,8 @@ def fit_folds(
     hash_size: int = 4096,
 ) -> list[Preprocessing]:
     """Fold-safe pipelines for all folds from one numeric and one categorical pass."""
-    scale, encode = _columns(plan, target)
-    select_features(df, [*scale, *encode])
+    scale, encode, means = _columns(plan, target)
+    select_features(df, [*scale, *encode, *means])
     check_target(df, target)
     numeric: list[dict] = [{} for _ in range(k)]
     if scale:
@@ -489,22 +516,33 @@ def fit_folds(
             numeric[r[fold]][r["feature"]] = (r["fill"] or 0.0, r["mean"] or 0.0, r["std"])
     classes: list[dict] = [{} for _ in range(k)]
     mode: list[dict] = [{} for _ in range(k)]
-    hashed: list[list] = [[] for _ in range(k)]
-    if encode:
-        counts = fold_categories(df, encode, fold, k)
-        size = {r["feature"]: r["m"] for r in
-                counts.groupBy(fold, "feature").agg(F.count(F.lit(1)).alias("c")).groupBy("feature").agg(F.max("c").alias("m")).collect()}
-        small = [c for c in encode if size.get(c, 0) <= max_classes]
-        integer = _integers(df, encode)
-        got: list[dict] = [{} for _ in range(k)]
-        for r in counts.filter(F.col("feature").isin(small)).collect() if small else []:
-            got[r[fold]].setdefault(r["feature"], []).append((-r["n"], r["value"]))
+    encoded: list[dict] = [{} for _ in range(k)]
+    likely = _likely_small(df, [*encode, *means], max_classes)
+    if likely:
+        counts = fold_categories(df, likely, fold, k)
+        sizes = counts.groupBy(fold, "feature").agg(F.count(F.lit(1)).alias("c"))
+        size = {r["feature"]: r["m"] for r in sizes.groupBy("feature").agg(F.max("c").alias("m")).collect()}
+        likely = [c for c in likely if size.get(c, 0) <= max_classes]
+        one, integer = [c for c in encode if c in likely], _integers(df, encode)
+        found: list[dict] = [{} for _ in range(k)]
+        for r in counts.filter(F.col("feature").isin(one)).collect() if one else []:
+            found[r[fold]].setdefault(r["feature"], []).append((-r["n"], r["value"]))
         for i in range(k):
-            classes[i] = {c: _sorted_classes([v for _, v in got[i][c]], c in integer) for c in small if c in got[i]}
-            mode[i] = {c: min(got[i][c])[1] for c in classes[i]}
-            hashed[i] = [c for c in encode if c not in small]
+            classes[i] = {c: _sorted_classes([v for _, v in found[i][c]], c in integer) for c in one if c in found[i]}
+            mode[i] = {c: min(found[i][c])[1] for c in classes[i]}
+        by_mean = [c for c in means if c in likely]
+        if by_mean:
+            for r in target_prior(df, target, fold).collect():
+                encoded[r[fold]] = {c: ({}, r["prior"]) for c in by_mean}
+            for r in target_encoding(df, by_mean, target, fold, k).collect():
+                if r["feature"] in encoded[r[fold]]:
+                    encoded[r[fold]][r["feature"]][0][r["value"]] = r["encoded"]
+    hashed = [c for c in (*encode, *means) if c not in likely]
     spark = df.sparkSession
     return [
-        build_stages(Preprocessing(plan, {c: numeric[i][c] for c in scale}, classes[i], mode[i], hashed[i], unknown, hash_size), spark)
+        build_stages(
+            Preprocessing(plan, {c: numeric[i][c] for c in scale}, classes[i], mode[i], hashed, unknown, hash_size, encoded[i]),
+            spark,
+        )
         for i in range(k)
     ]

@@ -268,3 +268,16 @@ def hashed_features(spark, sf):
     p = P.fit_preprocessing(c, {"acctbal": "scale", "location": "embed"}, "churn", max_classes=10, hash_size=64)
     v = p.transform(c).select("customer_id", vector_to_array("features").alias("v"))
     return v.select("customer_id", F.size("v").alias("width"), F.size(F.filter(F.slice("v", 2, 64), lambda x: x != 0)).alias("hot"))
+
+
+@query(
+    "pipeline_target_encoding",
+    churn_sql("SELECT customer_id, round(avg(churn) OVER (PARTITION BY location), 6) AS location_rate FROM churn"),
+)
+def pipeline_target_encoding(spark, sf):
+    """Target encoding as a stage of the fitted pipeline."""
+    from pyspark.ml.functions import vector_to_array
+
+    c = customer_churn(spark, sf)
+    p = P.fit_preprocessing(c, {"location": "target_encode"}, "churn")
+    return p.transform(c).select("customer_id", F.round(vector_to_array("features")[0], 6).alias("location_rate"))

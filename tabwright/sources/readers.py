@@ -95,6 +95,11 @@ def read(
     return df, V.violations(checked, contract, text=fmt == "csv", integers=integers)
 
 
+def load_data(spark: SparkSession, path: str, contract_path: str, fmt: str = "csv") -> DataFrame:
+    """Read the contract, then the table against it; the first violation raises."""
+    return read(spark, path, Contract.load(contract_path, spark), fmt)
+
+
 DECISION_SCHEMA = "name string, type string, cardinality bigint, action string"
 
 

@@ -37,6 +37,8 @@ def test_valid_table_loads_with_declared_types(spark, contract, tmp_path):
     with pytest.warns(UserWarning, match="leaky"):
         df = readers.read(spark, put(tmp_path, GOOD), contract)
     assert df.count() == 3
+    with pytest.warns(UserWarning, match="leaky"):
+        assert readers.load_data(spark, put(tmp_path, GOOD), str(tmp_path / "contract.yaml")).collect() == df.collect()
     assert dict(df.dtypes)["age"] == "bigint" and dict(df.dtypes)["churn"] == "double"
 
 

@@ -176,3 +176,29 @@ def test_vocabulary_codes_for_any_size(spark, small):
     for i, n in enumerate(sorted(nums)):
         assert got[("n", str(n))] == i
     assert got[("one", "x")] == 0 and len(got) == len(rows)
+
+
+def test_target_encoded_feature_in_a_pipeline(spark):
+    rows = [(i, ["it's", "b\\c", "d"][i % 3], int(i % 3 == 0 or i % 5 == 0)) for i in range(30)]
+    df = spark.createDataFrame(rows, "id bigint, c string, target int")
+    p = P.fit_preprocessing(df, {"c": "target_encode"}, "target")
+    mean = {v: sum(t for _, w, t in rows if w == v) / 10 for v in ("it's", "b\\c", "d")}
+    assert [r[0] for r in features(p.transform(df))] == pytest.approx([mean[v] for _, v, _ in rows])
+    new = spark.createDataFrame([(0, "zzz"), (1, None)], "id bigint, c string")
+    prior = sum(t for *_, t in rows) / 30
+    assert [r[0] for r in features(p.transform(new))] == pytest.approx([prior, prior])
+    assert p.info() == [("c", "target_encode", 3)] and p.width == 1
+    f = S.assign_folds(df, "id", 3).cache()
+    per_fold = P.fit_folds(f, {"c": "target_encode"}, "target", 3)
+    for i, q in enumerate(per_fold):
+        direct = P.fit_preprocessing(S.train_part(f, i), {"c": "target_encode"}, "target")
+        assert q.encoded["c"][0] == pytest.approx(direct.encoded["c"][0])
+        assert q.encoded["c"][1] == pytest.approx(direct.encoded["c"][1])
+
+
+def test_identifier_is_hashed_without_counting(spark):
+    df = spark.createDataFrame([(i, f"id{i}", "ab"[i % 2], i % 2) for i in range(200)], "id bigint, u string, c string, target int")
+    assert P._likely_small(df, ["u", "c"], 20) == ["c"]
+    f = S.assign_folds(df, "id", 2)
+    for q in P.fit_folds(f, {"u": "embed", "c": "onehot"}, "target", 2, max_classes=20, hash_size=32):
+        assert q.hashed == ["u"] and q.classes == {"c": ["a", "b"]} and q.width == 34
