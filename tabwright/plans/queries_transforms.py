@@ -259,7 +259,10 @@ def assembled_features(spark, sf):
     return v.filter("value <> 0").select("customer_id", "slot", F.round("value", 6).alias("value"))
 
 
-@query("hashed_features")
+@query(
+    "hashed_features",
+    churn_sql("SELECT customer_id, 65 AS width, 1 AS hot FROM churn WHERE (SELECT count(DISTINCT location) FROM churn) > 10"),
+)
 def hashed_features(spark, sf):
     """A feature above the class limit is hashed whole; (key, block width, non-zeros)."""
     from pyspark.ml.functions import vector_to_array
