@@ -95,3 +95,19 @@ def uniform(seed, draw: str, key) -> Column:
     """A number in [0, 1) that depends on (seed, draw, key) only: 52 digest bits."""
     bits = F.conv(F.substring(digest(f"{seed}:{draw}", key), 1, 13), 16, 10).cast("double")
     return bits / F.lit(float(2**52))
+
+
+def as_instant(ntz) -> Column:
+    """Zone-less wall-clock time read as UTC, whatever the session's time zone."""
+    t = _c(ntz)
+    secs = F.hour(t) * 3600 + F.minute(t) * 60
+    micros = (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+    days = F.unix_date(t.cast("date")).cast("bigint")
+    return F.timestamp_micros((days * 86_400 + secs) * 1_000_000 + micros)
+
+
+def as_wall_clock(ts) -> Column:
+    """The UTC wall-clock time of an instant, without a zone."""
+    secs = (F.unix_micros(_c(ts)).cast("decimal(24,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, secs)

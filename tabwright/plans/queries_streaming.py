@@ -39,7 +39,7 @@ def stream_daily_usage(spark, sf):
     w = ST.usage_windows(ST.table_stream(spark, f"{sf}/events.parquet"), "ts", ["event_type"])
     finish(ST.write_batches(w, out, check, "update"))
     last = ST.latest_state(spark, out, ["start", "event_type"])
-    return last.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+    return last.select("start", "event_type", "n", F.round("total", 4).alias("total"))
 
 
 @query("stream_scored_by_saved_model")

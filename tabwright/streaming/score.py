@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tabwright.functions.scalar import as_instant, as_wall_clock
+
 
 def table_stream(spark: SparkSession, path: str, schema=None, files_per_batch: int | None = None) -> DataFrame:
     """A parquet table as a stream: a folder that files arrive in, or a single file."""
@@ -49,10 +51,12 @@ def score_stream(stream: DataFrame, scorer: Callable[[DataFrame], DataFrame], ou
 
 def usage_windows(stream: DataFrame, ts: str, keys: list[str], window: str = "1 day", late: str = "2 days", slide: str | None = None) -> DataFrame:
     """Event counts and value sums per key and time window, late rows up to ``late``."""
-    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    plain = dict(stream.dtypes)[ts] == "timestamp_ntz"  # event time must be an instant
+    timed = (stream.withColumn(ts, as_instant(ts)) if plain else stream).withWatermark(ts, late)
     w = F.window(ts, window, slide) if slide else F.window(ts, window)
     g = timed.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
-    return g.select(F.col("w.start").alias("start"), *keys, "n", "total")
+    start = as_wall_clock("w.start") if plain else F.col("w.start")
+    return g.select(start.alias("start"), *keys, "n", "total")
 
 
 def latest_state(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:

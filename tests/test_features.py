@@ -124,3 +124,20 @@ def test_stream_windows_count_every_event_once(spark, tmp_path):
     ST.write_batches(w, str(tmp_path / "o"), str(tmp_path / "c"), "update").awaitTermination()
     last = ST.latest_state(spark, str(tmp_path / "o"), ["start", "kind"]).collect()
     assert sum(r["n"] for r in last) == 100 and len(last) == 5
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_wall_clock_round_trip_in_any_zone(spark, zone):
+    from tabwright.functions.scalar import as_instant, as_wall_clock
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        # hours that New York skips or repeats are among them
+        texts = ["2024-03-10 02:30:00.000001", "2024-11-03 01:30:00", "1969-12-31 23:59:59.999999", "2024-01-01 00:00:00"]
+        df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.col("t").cast("timestamp_ntz").alias("n"))
+        out = df.select("n", as_wall_clock(as_instant("n")).alias("b"), F.unix_micros(as_instant("n")).alias("u")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert all(r["n"] == r["b"] for r in out)
+    assert out[2]["u"] == -1 and out[3]["u"] == 1704067200000000
