@@ -131,15 +131,12 @@ def score(model: Model, df: DataFrame, prob: str = "prob", logit: str = "logit")
     return out.select(*df.columns, p.alias(prob), z.alias(logit))
 
 
-def respond(scored: DataFrame, calibrator=None, t: float = 0.5, key: str = "key") -> DataFrame:
-    """The scoring response: probability, calibrated probability, logit, prediction (>= t)."""
-    cal = calibrator.transform(scored, "prob", "probability_calibrated") if calibrator is not None else scored.withColumn(
-        "probability_calibrated", F.col("prob")
-    )
-    return cal.select(
-        key,
-        F.col("prob").alias("probability"),
-        "probability_calibrated",
-        "logit",
-        label_at("probability_calibrated", t, ">=").alias("prediction"),
-    )
+def respond(scored: DataFrame, choice=None, t: float = 0.5, key: str = "key") -> DataFrame:
+    """The scoring response: probability, calibrated probability, logit, prediction (>= t).
+
+    ``choice`` is a chosen calibrator, which knows whether it reads the
+    probability or the logit; without one the plain probability is repeated.
+    """
+    out = "probability_calibrated"
+    cal = choice.transform(scored, out) if choice is not None else scored.withColumn(out, F.col("prob"))
+    return cal.select(key, F.col("prob").alias("probability"), out, "logit", label_at(out, t, ">=").alias("prediction"))

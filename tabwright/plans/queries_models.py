@@ -119,8 +119,7 @@ def score_responses(spark, sf):
     c, prep = ready(spark, sf)
     x = prep.transform(c).select("customer_id", "label", "features")
     s = settle(ML.score(ML.logistic(max_iter=50).fit(x), x).drop("features"), "scores")
-    cal = select_best_calibrator(s, "label", "prob", "logit").calibrator
-    out = ML.respond(s, None if cal is None or hasattr(cal, "max_iter") else cal, key="customer_id")
+    out = ML.respond(s, select_best_calibrator(s, "label", "prob", "logit"), key="customer_id")
     label = (F.col("probability_calibrated") >= 0.5).cast("int") == F.col("prediction")
     return out.select("customer_id", (label & F.col("logit").isNotNull() & F.col("probability").between(0, 1)).alias("complete"))
 

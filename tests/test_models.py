@@ -116,6 +116,13 @@ def test_export_import_and_response(spark, table, tmp_path):
     s = ML.score(m, prep.transform(table)).select("id", "prob", "logit")
     r = ML.respond(s, key="id")
     assert r.columns == ["id", "probability", "probability_calibrated", "logit", "prediction"]
+    from tabwright.operators.calibrate import Choice, IsotonicCalibrator, PlattCalibrator
+
+    full = s.join(table.select("id", "y"), "id")
+    for method, cal in (("platt", PlattCalibrator().fit(full, "y", "logit")), ("isotonic", IsotonicCalibrator().fit(full, "y", "prob"))):
+        rows = ML.respond(full, Choice(method, cal, {}, "prob", "logit"), key="id").orderBy("id").collect()
+        want = cal.transform(full, "logit" if method == "platt" else "prob").orderBy("id").collect()
+        assert [x["probability_calibrated"] for x in rows] == [x["prob_cal"] for x in want]
     assert r.filter((F.col("probability") >= 0.5) != (F.col("prediction") == 1)).count() == 0
 
 
