@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import exact_dedup
-from tabwright.llm.base import documents
+from tabwright.llm import exact_dedup, mixing, shards, topk
+from tabwright.llm.base import documents, text_of
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,46 @@ def query(name: str, sql: str | None = None):
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.dedup(documents(spark, sf_dir))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query(
+    "op4_tiled_topk",
+    """
+    WITH v AS (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q FROM embeddings
+        WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+    p AS (SELECT a.vec_id AS query_id, b.vec_id, list_sum([z[1] * z[2] FOR z IN list_zip(a.q, b.q)]) AS score
+        FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 10""",
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.search(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
+@query("op9_hypergeometric_shards")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = shards.shuffle(documents(spark, sf_dir), 24)
+    return dealt.select(
+        "doc_id",
+        (F.octet_length(text_of()).cast("bigint") + 8).alias("size"),
+        F.crc32(text_of().cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+#: Source and topic shares are evened out by these powers of what there is; languages have fixed shares.
+MIXTURE = {"source": 0.7, "lang": {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.13}, "topic": 0.8}
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The production mixture: half of the tokens, raked to source, language and topic."""
+    return mixing.mix(docs.withColumn("topic", mixing.topic_of(text_of())), MIXTURE, share=0.5)
+
+
+@query("op10_raked_mixture")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(documents(spark, sf_dir)).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "kept")
