@@ -276,6 +276,8 @@ def encode(docs: DataFrame, dropout: float = 0.1, seed: int = 1, path: str | Non
         key += "_"
     keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("string")) if "doc_id" in docs.columns else F.xxhash64(text))
 
+    names = docs.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             _, offsets = strings(whole.column(text))
@@ -287,8 +289,7 @@ def encode(docs: DataFrame, dropout: float = 0.1, seed: int = 1, path: str | Non
                 lens = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
                 values = pa.array(np.frombuffer(b"".join(packed), np.int32))
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)), values)
-                cols = [batch.column(c) for c in docs.columns]
-                yield pa.RecordBatch.from_arrays([*cols, ids], names=[*docs.columns, "ids"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], names=[*names, "ids"])
 
     return keyed.mapInArrow(run, schema)
 
@@ -301,6 +302,7 @@ def decode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
     path = path or model_path()
     docs, schema = _with(docs, "decoded", T.StringType())
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pieces(path).bytes
@@ -312,6 +314,7 @@ def decode(docs: DataFrame, path: str | None = None) -> DataFrame:
                     continue
                 raw = b"".join(map(table.__getitem__, x.values.to_numpy(zero_copy_only=False).tolist()))
                 out.append(raw[raw[:1] == b" " :].decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*docs.columns, "decoded"])
+            kept = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(out, pa.string())], names=[*names, "decoded"])
 
     return docs.mapInArrow(run, schema)

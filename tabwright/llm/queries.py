@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import exact_dedup, mixing, shards, topk
+from tabwright.llm import exact_dedup, mixing, pieces, secrets, shards, topk
 from tabwright.llm.base import documents, text_of
 
 QUERIES = {}
@@ -78,3 +78,36 @@ def mixed(docs: DataFrame) -> DataFrame:
 @query("op10_raked_mixture")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(documents(spark, sf_dir)).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "kept")
+
+
+@query("op2_merge_dropout_pieces")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def encoded(docs: DataFrame) -> DataFrame:
+    """Ids of every document at the production dropout, and whether they decode to the text."""
+    back = pieces.decode(pieces.encode(docs, dropout=0.1, seed=1))
+    return back.select("doc_id", F.size("ids").alias("n_ids"), "ids", (F.col("decoded") == text_of()).alias("lossless"))
+
+
+def _count(kind: str):
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+
+def _joined(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+
+@query("op3_guess_cost_secrets")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = secrets.scan(docs)
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+    return found.select(
+        "doc_id",
+        *[_count(k) for k in secrets.KINDS],
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+        F.array_max(F.transform("spans", lambda s: s["cost"])).alias("top_cost"),
+    )
