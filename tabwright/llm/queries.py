@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import exact_dedup, mixing, pieces, secrets, shards, topk
-from tabwright.llm.base import documents, text_of
+from tabwright.llm import exact_dedup, mixing, pieces, secrets, shards, topk, toxicity
+from tabwright.llm.base import crc_fold, documents, text_of
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +111,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         _joined(F.col("spans")).alias("spans"),
         F.array_max(F.transform("spans", lambda s: s["cost"])).alias("top_cost"),
     )
+
+
+@query("op1_compression_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", (crc_fold(toxicity.FOLDS) == 0).alias("held_out"), "score", "predicted", "n_windows")
