@@ -50,6 +50,8 @@ def update_state(spark, log: str, state: str, files_per_batch: int = 512) -> Dat
     """
     session = spark.newSession()
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # the stores are closed after each batch: an open one holds several MB of disk, however few its keys
+    session.conf.set("spark.sql.streaming.stateStore.unloadOnCommit", "true")
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     rank = F.struct("n_points", F.bitwise_not("doc_id").alias("not_id"), F.bitwise_not("row").alias("not_row"))
     kept = (
