@@ -7,9 +7,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.session import settle
+
 #: Rows of a lookup table that may be broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 400_000
 #: Bytes of text handled by one vectorised step inside a task.
@@ -47,6 +50,18 @@ def keep_rows(docs: DataFrame, ids: DataFrame, how: str, on: list[str] | None =
     return docs.join(right, cond, how)
 
 
+def positioned(df: DataFrame) -> DataFrame:
+    """``df`` with ``_file`` and ``_row``, where each row stands in its Parquet file: the same in every job.
+
+    A frame that does not come from files is written to the shared folder first.
+    """
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    try:
+        return df.select("*", *place)
+    except AnalysisException:
+        return settle(df, "positioned").select("*", *place)
+
+
 def strings(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the n + 1 offsets of its rows; null counts as empty."""
     col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import exact_dedup, mixing, pieces, secrets, shards, topk, toxicity
+from tabwright.llm import exact_dedup, mixing, pieces, ppm, secrets, shards, topk, toxicity
 from tabwright.llm.base import crc_fold, documents, text_of
 
 QUERIES = {}
@@ -119,3 +119,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     found = toxicity.score(docs, model)
     return found.select("doc_id", (crc_fold(toxicity.FOLDS) == 0).alias("held_out"), "score", "predicted", "n_windows")
+
+
+@query("op7_ppm_scores")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(documents(spark, sf_dir))
