@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import exact_dedup, mixing, near_dedup, pieces, ppm, secrets, shards, topk, toxicity
+from tabwright.llm import exact_dedup, language, mixing, near_dedup, pieces, ppm, secrets, shards, topk, toxicity
 from tabwright.llm.base import crc_fold, documents, text_of
 
 QUERIES = {}
@@ -129,3 +129,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_bagminhash")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(documents(spark, sf_dir))
+
+
+@query("op8_language_fusion")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(spark.read.parquet(f"{sf_dir}/pages.parquet"), documents(spark, sf_dir))
