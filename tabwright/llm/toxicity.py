@@ -19,6 +19,8 @@ from tabwright.session import settle
 TRAIN_DOCS, CALIBRATION_DOCS = 20_000, 10_000
 #: Bytes of a window and from one window to the next.
 WINDOW, STEP = 64, 48
+#: Bytes of shared text that every window is followed by.
+PAD = 32
 #: Bytes of the part that both dictionaries share, and of each one's own part.
 SHARED_BYTES, OWN_BYTES = 8192, 4096
 #: Windows of ordinary text that train the shared part.
@@ -45,8 +47,8 @@ class Model:
     toxic: bytes
     #: log-odds of a window by its length difference, LOW to HIGH
     weights: tuple[float, ...]
-    #: intercept, and coefficients of total weight, weight per window and log windows
-    coef: tuple[float, float, float, float]
+    #: intercept, and coefficients of weight per window, of windows past the thresholds of two and three bytes, of all windows
+    coef: tuple[float, ...]
 
 
 @lru_cache(maxsize=4)
@@ -56,7 +58,7 @@ def _compressors(ordinary: bytes, toxic: bytes):
     out = []
     for body in (ordinary, toxic):
         params = zs.ZstdCompressionParameters.from_level(
-            3, source_size=WINDOW, dict_size=len(body), min_match=6, strategy=zs.STRATEGY_GREEDY, format=zs.FORMAT_ZSTD1_MAGICLESS,
+            3, source_size=WINDOW + PAD, dict_size=len(body), min_match=6, strategy=zs.STRATEGY_GREEDY, format=zs.FORMAT_ZSTD1_MAGICLESS,
             write_content_size=0, write_checksum=0, write_dict_id=0,
         )
         words = zs.ZstdCompressionDict(body, dict_type=zs.DICT_TYPE_RAWCONTENT)
@@ -71,7 +73,9 @@ def histogram(text: str, ordinary: bytes, toxic: bytes) -> np.ndarray:
     b = normalised(text)
     if not b.strip():
         return np.zeros(HIGH - LOW + 1, np.int64)
-    saved = [len(plain(w)) - len(rude(w)) for w in (b[i : i + WINDOW] for i in range(0, max(1, len(b) - WINDOW + STEP), STEP))]
+    # text that both dictionaries have makes every window compressible: a block that is not is stored as it is
+    pad = ordinary[SHARED_BYTES - 2 * PAD : SHARED_BYTES - PAD]
+    saved = [len(plain(w)) - len(rude(w)) for w in (b[i : i + WINDOW] + pad for i in range(0, max(1, len(b) - WINDOW + STEP), STEP))]
     return np.bincount(np.clip(saved, LOW, HIGH) - LOW, minlength=HIGH - LOW + 1)
 
 
@@ -105,18 +109,30 @@ def dictionaries(shared: list[bytes], own: dict[int, list[tuple[str, int]]]) ->
 
 
 def _features(h: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    n = h.sum(axis=1)
-    total = h @ weights
-    return np.column_stack([np.ones(len(h)), total / 10.0, total / np.maximum(n, 1), np.log1p(n)])
+    n, some, more = h.sum(axis=1), h[:, 2 - LOW :].sum(axis=1), h[:, 3 - LOW :].sum(axis=1)
+    per = np.maximum(n, 1)
+    return np.column_stack([np.ones(len(h)), h @ weights / per, 10 * more / per, np.log1p(some), np.log1p(more), np.log1p(n)])
 
 
-def calibrate(h: np.ndarray, y: np.ndarray) -> tuple[tuple[float, ...], tuple[float, float, float, float]]:
+def rising(values: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    """The non-decreasing values nearest to ``values``, pooled by ``mass``."""
+    blocks: list[list[float]] = []
+    for v, m in zip(values.tolist(), mass.tolist(), strict=True):
+        blocks.append([v, m, 1])
+        while len(blocks) > 1 and blocks[-2][0] > blocks[-1][0]:
+            v1, m1, n1 = blocks.pop()
+            v0, m0, n0 = blocks.pop()
+            blocks.append([(v0 * m0 + v1 * m1) / (m0 + m1), m0 + m1, n0 + n1])
+    return np.repeat([b[0] for b in blocks], [int(b[2]) for b in blocks])
+
+
+def calibrate(h: np.ndarray, y: np.ndarray) -> tuple[tuple[float, ...], tuple[float, ...]]:
     """Weights of the window thresholds and the logistic fit over them."""
-    both = [h[y == c].sum(axis=0) + 1.0 for c in (0, 1)]
-    weights = np.log(both[1] / both[1].sum()) - np.log(both[0] / both[0].sum())
-    weights = np.maximum.accumulate(weights)  # a larger saving never speaks against toxicity
-    x, beta = _features(h, weights), np.zeros(4)
-    ridge = np.diag([1e-6, 1e-2, 1e-2, 1e-2])
+    pooled = (h.sum(axis=0) + 0.01) / (h.sum() + 0.01 * h.shape[1])
+    both = [(h[y == c].sum(axis=0) + 20 * pooled) / (h[y == c].sum() + 20) for c in (0, 1)]
+    weights = rising(np.log(both[1] / both[0]), pooled)  # a larger saving never speaks against toxicity
+    x, beta = _features(h, weights), np.zeros(6)
+    ridge = np.diag([1e-6, *[1e-2] * 5])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ beta)
