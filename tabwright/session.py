@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,23 +26,15 @@ def build_session(app: str = "tabwright", cores: str = "*", **conf) -> SparkSess
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Only a local session, where one machine is the whole cluster, may fall back
-    to a temporary folder.
+    There is no default: intermediate tables on one machine's disk would be out of the others' reach.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    named = named or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    local = getattr(spark, "_tabwright_scratch", None)
-    if local is None:
-        local = tempfile.mkdtemp(prefix="tabwright-")
-        spark._tabwright_scratch = local
-    return local
+    return named.rstrip("/")
 
 
 def scratch(spark: SparkSession, label: str) -> str:

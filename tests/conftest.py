@@ -7,10 +7,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tabwright.session import build_session
 
-    s = build_session("tests", "4", **{"spark.sql.shuffle.partitions": "4"})
+    shared = str(tmp_path_factory.mktemp("shared"))
+    s = build_session("tests", "4", **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": shared})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
