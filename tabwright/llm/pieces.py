@@ -19,7 +19,9 @@ from tabwright.llm.base import mix, slices, strings
 #: Segmentations that one word may get within an epoch; an occurrence draws one of them.
 VARIANTS = 8
 #: Segmented words that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+#: Bytes of text that are segmented at a time.
+STEP_BYTES = 1 << 20
 #: Longer words take the agenda, one by one.
 ROW_CHARS = 32
 MARK = "▁"
@@ -257,7 +259,14 @@ def _with(df: DataFrame, name: str, kind: T.DataType) -> tuple[DataFrame, T.Stru
     return df, T.StructType([*df.schema.fields, T.StructField(name, kind)])
 
 
-def encode(docs: DataFrame, dropout: float = 0.1, seed: int = 1, path: str | None = None, text: str = "text") -> DataFrame:
+def decode_ids(ids: np.ndarray, path: str) -> str:
+    raw = b"".join(map(pieces(path).bytes.__getitem__, ids.tolist()))
+    return raw[raw[:1] == b" " :].decode("utf-8", "replace")
+
+
+def encode(
+    docs: DataFrame, dropout: float = 0.1, seed: int = 1, path: str | None = None, text: str = "text", check: bool = False
+) -> DataFrame:
     """``docs`` with ``ids``, the pieces of each text as an array of ints.
 
     Merges are made best first; each candidate is skipped with probability ``dropout`` by a hash
@@ -266,11 +275,15 @@ def encode(docs: DataFrame, dropout: float = 0.1, seed: int = 1, path: str | Non
     gives the same ids on any layout. Without dropout the ids are those of the library
     that made the vocabulary, except that U+2581 in a text goes as bytes: decoding is lossless.
 
+    With ``check`` the ids are decoded in the same task, and ``lossless`` says whether that gives the text.
+
     Null and empty texts have no ids. Rows are independent: repeated rows get the same ids. Other
-    columns stay; one named ids is replaced.
+    columns stay; those named ids or lossless are replaced.
     """
     path = path or model_path()
-    docs, schema = _with(docs, "ids", T.ArrayType(T.IntegerType(), False))
+    docs, schema = _with(docs.drop("lossless"), "ids", T.ArrayType(T.IntegerType(), False))
+    if check:
+        schema = T.StructType([*schema.fields, T.StructField("lossless", T.BooleanType())])
     key = "_key"
     while key in docs.columns:
         key += "_"
@@ -281,7 +294,7 @@ def encode(docs: DataFrame, dropout: float = 0.1, seed: int = 1, path: str | Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             _, offsets = strings(whole.column(text))
-            for i, j in slices(offsets):
+            for i, j in slices(offsets, STEP_BYTES):
                 batch = whole.slice(i, j - i)
                 texts = [t or "" for t in batch.column(text).to_pylist()]
                 keys = batch.column(key).to_numpy(zero_copy_only=False).astype(np.uint64)
@@ -289,7 +302,11 @@ def encode(docs: DataFrame, dropout: float = 0.1, seed: int = 1, path: str | Non
                 lens = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
                 values = pa.array(np.frombuffer(b"".join(packed), np.int32))
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)), values)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], names=[*names, "ids"])
+                cols, heads = [*(batch.column(c) for c in names), ids], [*names, "ids"]
+                if check:
+                    same = [decode_ids(np.frombuffer(p, np.int32), path) == t for p, t in zip(packed, texts, strict=True)]
+                    cols, heads = [*cols, pa.array(same, pa.bool_())], [*heads, "lossless"]
+                yield pa.RecordBatch.from_arrays(cols, names=heads)
 
     return keyed.mapInArrow(run, schema)
 
@@ -305,15 +322,9 @@ def decode(docs: DataFrame, path: str | None = None) -> DataFrame:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pieces(path).bytes
         for batch in batches:
-            out = []
-            for x in batch.column("ids"):
-                if not x.is_valid:
-                    out.append(None)
-                    continue
-                raw = b"".join(map(table.__getitem__, x.values.to_numpy(zero_copy_only=False).tolist()))
-                out.append(raw[raw[:1] == b" " :].decode("utf-8", "replace"))
+            ids = batch.column("ids")
+            out = [decode_ids(x.values.to_numpy(zero_copy_only=False), path) if x.is_valid else None for x in ids]
             kept = [batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(out, pa.string())], names=[*names, "decoded"])
 
