@@ -16,7 +16,7 @@ from tabwright.llm.base import crc_fold, text_of
 from tabwright.session import settle
 
 #: Labelled documents per class that train the dictionaries, and that set the thresholds.
-TRAIN_DOCS, CALIBRATION_DOCS = 20_000, 10_000
+TRAIN_DOCS, CALIBRATION_DOCS = 10_000, 5_000
 #: Bytes of a window and from one window to the next.
 WINDOW, STEP = 64, 48
 #: Bytes of shared text that every window is followed by.
@@ -142,27 +142,26 @@ def calibrate(h: np.ndarray, y: np.ndarray) -> tuple[tuple[float, ...], tuple[fl
     return tuple(weights.tolist()), tuple(beta.tolist())
 
 
-def _sample(docs: DataFrame, labels: DataFrame, folds: Iterator[int], per_class: int) -> DataFrame:
-    """(doc_id, toxic, text) of labelled documents in ``folds``, the ``per_class`` with the smallest hashes."""
-    known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = known.filter(crc_fold(FOLDS).isin(*folds))
-    parts = [known.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
-    chosen = F.broadcast(settle(parts[0].union(parts[1]), "labelled"))
-    return _spread(settle(docs.select("doc_id", text_of().alias("text")).join(chosen, "doc_id"), "labelled"))
-
-
-def _spread(rows: DataFrame) -> DataFrame:
-    """One of each set of copies and near copies: what they share would else pass for typical of their class.
+def _sample(docs: DataFrame, labels: DataFrame, folds: tuple[int, ...], per_class: int) -> DataFrame:
+    """(doc_id, toxic, text) of labelled documents in ``folds``, the ``per_class`` with the smallest hashes.
 
+    Of copies and near copies one is taken: what they share would else pass for typical of their class.
     Rows that agree in the least hash of their three-word runs are taken for copies, under three hashes in turn.
     """
-    words = F.split(F.lower("text"), "\\s+")
+    known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = known.filter(crc_fold(FOLDS).isin(*folds))
+    parts = [known.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
+    chosen = settle(parts[0].union(parts[1]), "labelled")
+    texts = docs.select("doc_id", text_of().alias("text"))
+    rows = texts.join(F.broadcast(chosen), "doc_id").withColumn("_w", F.split(F.lower("text"), "\\s+"))
+    least = []
     for seed in range(3):
         run = lambda i, seed=seed: F.xxhash64(F.lit(seed), F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2))
-        least = F.array_min(F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - 3, F.lit(0))), run))
-        rows = rows.withColumn("_w", words).withColumn("_least", least).drop("_w")
-        rows = rows.groupBy("_least").agg(F.min_by(F.struct("doc_id", "text", "toxic"), "doc_id").alias("_row")).select("_row.*")
-    return settle(rows, "labelled")
+        least.append(F.array_min(F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - 3, F.lit(0))), run)).alias(f"_{seed}"))
+    some = settle(rows.select("doc_id", "toxic", *least), "sketch")
+    for seed in range(3):
+        some = some.groupBy(f"_{seed}").agg(F.min_by(F.struct("doc_id", "toxic", *[f"_{s}" for s in range(3) if s != seed]), "doc_id").alias("_row")).select(f"_{seed}", "_row.*")
+    return texts.join(F.broadcast(settle(some.select("doc_id", "toxic"), "labelled")), "doc_id")
 
 
 def _own_words(rows: DataFrame, totals: dict[int, int]) -> dict[int, list[tuple[str, int]]]:
@@ -185,14 +184,15 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, cali
     At most ``train_docs`` and ``calibration_docs`` documents per class are used, chosen by
     hash. None if a class has no document in either part.
     """
-    rows = _sample(docs, labels, (1, 2, 3), train_docs)
+    rows = settle(_sample(docs, labels, (1, 2, 3), train_docs), "sample")
     held = _sample(docs, labels, (4,), calibration_docs)
     totals = {c: n for c, n in rows.groupBy("toxic").count().collect()}
-    if len(totals) < 2 or held.select("toxic").distinct().count() < 2:
+    if len(totals) < 2:
         return None
-    starts = F.explode(F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1)), F.lit(SHARED_WINDOW))).alias("at")
-    windows = rows.filter("toxic = 0").select("doc_id", "text", starts).orderBy(F.xxhash64("doc_id", "at"), "doc_id", "at")
-    shared = windows.select(F.substr("text", F.col("at"), F.lit(SHARED_WINDOW)).alias("t")).limit(SHARED_WINDOWS).collect()
+    starts = F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1)), F.lit(SHARED_WINDOW))
+    windows = F.posexplode(F.transform(starts, lambda i: F.substr("text", i, F.lit(SHARED_WINDOW)))).alias("at", "t")
+    windows = rows.filter("toxic = 0").select("doc_id", windows)
+    shared = windows.orderBy(F.xxhash64("doc_id", "at"), "doc_id", "at").select("t").limit(SHARED_WINDOWS).collect()
     shared = [w for r in shared if (w := normalised(r["t"])).strip()]
     ordinary, toxic = dictionaries(shared, _own_words(rows, totals))
 
@@ -202,6 +202,8 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, cali
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(h, pa.list_(pa.int64()))], names=["toxic", "h"])
 
     seen = held.select("toxic", "text").mapInArrow(run, "toxic int, h array<bigint>").collect()
+    if len({r["toxic"] for r in seen}) < 2:
+        return None
     weights, coef = calibrate(np.array([r["h"] for r in seen], float), np.array([r["toxic"] for r in seen], float))
     return Model(ordinary, toxic, weights, coef)
 
