@@ -26,6 +26,11 @@ def nan_to_null(c) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def number(c) -> Column:
+    """The value as a double: NaN is missing, -0.0 is 0.0."""
+    return nan_to_null(_c(c).cast("double")) + F.lit(0.0)
+
+
 def label_at(p, t: float = 0.5, op: str = ">") -> Column:
     """0/1 label of a probability. Metrics use ``>``; model predict uses ``>=``."""
     p = _c(p)
@@ -79,13 +84,6 @@ def known_in(c, values) -> Column:
     return F.coalesce(_c(c).isin(list(values)), F.lit(False))
 
 
-def guarded_corr(a, b) -> Column:
-    """Pearson correlation over pairwise-complete rows; NULL for a constant side."""
-    a, b = _c(a), _c(b)
-    a2, b2 = F.when(b.isNotNull(), a).cast("double"), F.when(a.isNotNull(), b).cast("double")
-    return F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))
-
-
 def digest(seed, *parts) -> Column:
     """Layout-independent pseudo-random text key of a row: md5 of ``seed:part:...``."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[_c(p).cast("string") for p in parts]))

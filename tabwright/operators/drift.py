@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,25 +51,35 @@ def ks_two_sample(reference: DataFrame, current: DataFrame, cols: Sequence[str],
     return g.select("*", p.alias("p_value")).withColumn("drift", F.col("p_value") < alpha)
 
 
-def chi2_tail(x: float, dof: int) -> float:
-    """Upper tail of the chi-square distribution for whole degrees of freedom."""
-    if dof <= 0 or x is None or math.isnan(x):
-        return float("nan")
-    half = x / 2.0
-    if half <= 0:
-        return 1.0
-    # the tail is Q(dof/2, x/2); each step of one adds one term of the recurrence
-    a = 1.0 if dof % 2 == 0 else 0.5
-    q = math.exp(-half) if dof % 2 == 0 else math.erfc(math.sqrt(half))
-    while a < dof / 2.0 - 0.25:
-        q += math.exp(a * math.log(half) - half - math.lgamma(a + 1.0))
-        a += 1.0
-    return min(1.0, q)
+TAIL_TERMS = 2_000
 
 
-def _chi2_tails(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for x, d in batches:
-        yield pd.Series([chi2_tail(a, int(b)) for a, b in zip(x, d)], dtype="float64")
+def log_gamma_half(dof: Column) -> Column:
+    """ln Gamma(dof / 2) for whole dof > 0, as a sum of logarithms."""
+    a = dof / 2.0
+    steps = F.ceil(a) - 1
+    start = F.when(dof % 2 == 1, math.log(math.pi) / 2).otherwise(0.0)
+    logs = F.transform(F.sequence(F.lit(1), F.greatest(steps, F.lit(1))), lambda k: F.when(k <= steps, F.ln(a - k)).otherwise(0.0))
+    return F.aggregate(logs, start, lambda s, x: s + x)
+
+
+def chi2_tail(x: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution for whole degrees of freedom.
+
+    Q(dof/2, x/2) by the series of the lower part below the mode and by the continued
+    fraction above it. NULL without degrees of freedom.
+    """
+    a, h = dof / 2.0, x / 2.0
+    front = F.exp(a * F.ln(h) - h - log_gamma_half(dof))
+    steps = F.sequence(F.lit(1), F.lit(TAIL_TERMS))
+    zero = F.struct((F.lit(1.0) / a).alias("t"), (F.lit(1.0) / a).alias("s"))
+    series = F.aggregate(steps, zero, lambda acc, n: F.struct((acc["t"] * h / (a + n)).alias("t"), (acc["s"] + acc["t"] * h / (a + n)).alias("s")))["s"]
+    # the fraction from its far end: b_n = h + 2n + 1 - a, numerators -n (n - a)
+    down = F.sequence(F.lit(TAIL_TERMS), F.lit(1), F.lit(-1))
+    far = h + 2 * TAIL_TERMS + 1 - a
+    fraction = F.aggregate(down, far, lambda acc, n: h + 2 * n - 1 - a - n * (n - a) / acc)
+    q = F.when(h < a + 1, F.lit(1.0) - front * series).otherwise(front / fraction)
+    return F.when(dof > 0, F.when(h <= 0, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), q))))
 
 
 def chi_square(reference: DataFrame, current: DataFrame, cols: Sequence[str], alpha: float = 0.05) -> DataFrame:
@@ -93,8 +102,7 @@ def chi_square(reference: DataFrame, current: DataFrame, cols: Sequence[str], al
         (F.count_if(F.col("n_ref") > 0) - 1).alias("dof"),
         F.sum(F.when(F.col("n_ref") == 0, F.col("n_cur")).otherwise(0)).alias("unseen"),
     )
-    tail = F.pandas_udf(_chi2_tails, "double")  # one row per column
-    out = g.withColumn("p_value", tail("statistic", "dof"))
+    out = g.withColumn("p_value", chi2_tail(F.col("statistic"), F.col("dof")))
     return out.withColumn("drift", F.col("p_value") < alpha)
 
 

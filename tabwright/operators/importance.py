@@ -1,8 +1,9 @@
 """Permutation importance with one shuffle for all repeats.
 
-Rows are put on a ring in digest order. Shifting the ring by s = 1..R places
+Rows are put on a ring in the order of their key's digest; rows of one key follow
+each other by a hash of their content. Shifting the ring by s = 1..R places
 pairs every row with another one, a permutation without fixed points that
-depends on (seed, key) only. All R shifts are read off the same sorted buckets:
+depends on the rows and the seed only, not on the layout. All R shifts are read off the same sorted buckets:
 each bucket also gets the first few rows of the next one.
 """
 
@@ -19,15 +20,17 @@ from tabwright.operators import metrics as M
 from tabwright.operators.moments import SUMS_PER_PASS, centred, means
 from tabwright.session import bucket_target, settle
 
-PREFIX = 3
-LONG_PREFIX = 4
-LONG_FROM = 20_000_000
+#: Hexadecimal digits of a digest that place a row; a key with more than UNIT_ROWS rows and
+#: a two-hundredth of the table is divided further by content.
+PREFIX = 4
+UNIT_ROWS = 50_000
+PARTS = 1 << 16
 
 
-def _ring_buckets(counts: list[tuple[int, int]], need: int, target: int) -> tuple[list[int], list[int]]:
-    """Cut sorted (prefix, rows) into buckets of at least ``need`` rows.
+def _ring_buckets(counts: list[tuple[float, int]], need: int, target: int) -> tuple[list[float], list[float]]:
+    """Cut sorted (place, rows) into buckets of at least ``need`` rows.
 
-    Returns the first prefix of each bucket and the last prefix of each bucket's
+    Returns the first place of each bucket and the last place of each bucket's
     head, the part that the bucket before must also see.
     """
     total = sum(n for _, n in counts)
@@ -46,21 +49,33 @@ def _ring_buckets(counts: list[tuple[int, int]], need: int, target: int) -> tupl
     return starts, heads
 
 
-HOT_ROWS = 100_000
+def _placed(df: DataFrame, seed: int, key: str) -> tuple[DataFrame, list[tuple[float, int]]]:
+    """Rows with their digest, content hash and place on the ring, and the sorted row count per place.
 
-
-def _placed(df: DataFrame, h: Column, digits: int = PREFIX) -> tuple[DataFrame, list[tuple[int, int]]]:
-    """Rows with their digest and its prefix, and the sorted row count per prefix.
-
-    A large table is counted once more by a longer prefix, to keep the part of a
-    bucket that its neighbour must also see small.
+    A place is the digest's prefix, which holds few rows unless a key has very many. Such
+    a key's rows are spread over several places by their content, in ring order.
     """
-    src = df.withColumn("_digest", h)
-    text = F.substring("_digest", 1, digits)
-    sizes = src.groupBy(text.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()  # at most 16**digits rows
-    if digits < LONG_PREFIX and sum(r["n"] for r in sizes) > LONG_FROM:
-        return _placed(df, h, LONG_PREFIX)
-    return src.withColumn("_prefix", F.conv(text, 16, 10).cast("double")), sorted((int(r["p"], 16), r["n"]) for r in sizes)
+    src = df.withColumns({"_digest": digest(seed, key), "_content": F.xxhash64(F.lit(seed), *df.columns)})
+    prefix = F.conv(F.substring("_digest", 1, PREFIX), 16, 10).cast("double")
+    sizes = src.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()  # at most 16**PREFIX rows
+    limit = max(UNIT_ROWS, sum(r["n"] for r in sizes) // 200)
+    full = [r["p"] for r in sizes if r["n"] > limit]
+    if not full:
+        return src.withColumn("_prefix", prefix), sorted((r["p"], r["n"]) for r in sizes)
+    # fewer than 200 keys can be that large
+    hot = src.filter(prefix.isin(full)).groupBy("_digest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).collect()
+    share = F.col("_content").cast("double") / 2.0**64 + 0.5
+    step, base = F.lit(0), {p: 0 for p in full}
+    for r in sorted(hot, key=lambda r: r["_digest"]):
+        p, parts = float(int(r["_digest"][:PREFIX], 16)), min(PARTS // 256, -(-r["n"] // limit) * 4)
+        inside = F.least(F.floor(share * parts), F.lit(parts - 1)) + 1 + base[p]
+        past = base[p] + parts + 1
+        here = prefix == p
+        step = F.when(here & (F.col("_digest") == r["_digest"]), inside).when(here & (F.col("_digest") > r["_digest"]), F.lit(past)).otherwise(step)
+        base[p] = past
+    src = src.withColumn("_prefix", prefix + step / F.lit(float(PARTS)))
+    again = src.groupBy("_prefix").agg(F.count(F.lit(1)).alias("n")).collect()
+    return src, sorted((r["_prefix"], r["n"]) for r in again)
 
 
 def on_ring(df: DataFrame, key: str, seed: int, carried: Column, repeats: int) -> DataFrame:
@@ -68,17 +83,14 @@ def on_ring(df: DataFrame, key: str, seed: int, carried: Column, repeats: int) -
 
     ``df`` is read twice: once for the key, to size the buckets, and once for all.
     """
-    src, counts = _placed(df, digest(seed, key))
+    src, counts = _placed(df, seed, key)
     total = sum(n for _, n in counts)
-    if counts and max(n for _, n in counts) > max(HOT_ROWS, 50 * total // len(counts)):
-        # a key with very many rows: tell its rows apart by their content
-        src, counts = _placed(df, digest(seed, key, F.xxhash64(*df.columns)))
     src = src.withColumn("_carried", carried)
     if total < 2:
         raise ValueError("a permutation needs at least two rows")
     # on a ring of n rows shift n is the row itself
     shifts = [(s - 1) % (total - 1) + 1 for s in range(1, repeats + 1)]
-    starts, heads = _ring_buckets(counts, max(shifts), bucket_target(df.sparkSession))
+    starts, heads = _ring_buckets(counts, max(shifts), bucket_target(df.sparkSession, total))
     n = len(starts)
     if n > 1:
         splits = [float("-inf"), *[float(s) for s in starts[1:]], float("inf")]
@@ -90,7 +102,7 @@ def on_ring(df: DataFrame, key: str, seed: int, carried: Column, repeats: int) -
     own = F.struct(b.alias("bucket"), F.lit(0).alias("ahead"))
     copy = F.when(head, F.struct(F.pmod(b - 1, F.lit(n)).alias("bucket"), F.lit(1).alias("ahead")))
     placed = src.withColumn("_place", F.explode(F.array(own, copy))).filter("_place IS NOT NULL")
-    w = Window.partitionBy("_place.bucket").orderBy("_place.ahead", "_digest", key)
+    w = Window.partitionBy("_place.bucket").orderBy("_place.ahead", "_digest", "_content", key)
     out = placed.select(
         *df.columns, F.col("_place.ahead").alias("_ahead"),
         *[F.lead("_carried", s).over(w).alias(f"_shift{i}") for i, s in enumerate(shifts, 1)],

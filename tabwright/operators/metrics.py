@@ -71,6 +71,11 @@ def _rank_parts(df: DataFrame) -> list[Column]:
     return [auc.alias("_auc"), ap.alias("_ap")]
 
 
+def exact_sum(c: str) -> Column:
+    """A sum in fixed-point numbers: the same on any layout of the rows."""
+    return F.sum(F.col(c).cast("decimal(38,20)")).cast("double")
+
+
 def _grouped(df: DataFrame, by: Sequence[str]):
     return df.groupBy(*by)
 
@@ -152,7 +157,7 @@ def all_metrics_wide(
     return _grouped(bins, by).agg(
         F.coalesce(F.sum("_auc"), F.lit(0.0)).alias("roc_auc"),
         F.coalesce(F.sum("_ap"), F.lit(0.0)).alias("pr_auc"),
-        (F.sum("_sq") / F.sum("_n")).alias("brier"),
+        (exact_sum("_sq") / F.sum("_n")).alias("brier"),
         _ece_of("_bin", "_n", "_sy", "_sp", ece_mode).alias("ece"),
         (F.sum("_hit") / F.sum("_n")).alias("accuracy"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.scalar import digest
+from tabwright.functions.scalar import digest, number
 from tabwright.operators.moments import pair_correlations
 from tabwright.operators.rank import exact_quantiles, long_values, quantile_row
 from tabwright.operators.validate import missing_fractions
@@ -38,22 +38,23 @@ def dtype_histogram(df: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """``(column, distinct)``, NULL not counted.
+    """``(column, distinct)``, NULL and NaN not counted, 0.0 and -0.0 one value.
 
     Exact counts collapse (column, value) map-side and shuffle distinct values
     once for all columns; ``approx`` needs no value shuffle.
     """
     columns = list(columns or df.columns)
     if approx:
-        row = df.agg(*[F.approx_count_distinct(c, 0.01).alias(f"_d{i}") for i, c in enumerate(columns)])
+        floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+        row = df.agg(*[F.approx_count_distinct(number(f"`{c}`") if c in floats else F.col(f"`{c}`"), 0.01).alias(f"_d{i}") for i, c in enumerate(columns)])
         return row.select(
             F.inline(F.array(*[
                 F.struct(F.lit(c).alias("column"), F.col(f"_d{i}").alias("distinct")) for i, c in enumerate(columns)
             ]))
         )
-    values = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]
-    )
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    one = lambda c: number(f"`{c}`") if c in floats else F.col(f"`{c}`")
+    values = F.array(*[F.struct(F.lit(c).alias("column"), one(c).cast("string").alias("value")) for c in columns])
     seen = df.select(F.inline(values)).groupBy("column", "value").agg(F.lit(1).alias("_one"))
     return seen.groupBy("column").agg(F.count("value").alias("distinct"))
 
@@ -74,7 +75,7 @@ def numeric_text(df: DataFrame) -> DataFrame:
 
 def target_stats(df: DataFrame, target: str) -> DataFrame:
     """Mean, median, sample deviation, min, max of the target, one row."""
-    t = F.col(target).cast("double")
+    t = number(target)
     row = df.agg(F.avg(t).alias("mean"), F.stddev_samp(t).alias("std"), F.min(t).alias("min"), F.max(t).alias("max"))
     med = exact_quantiles(df, [target], [0.5]).select(F.col("value").alias("median"))
     return row.crossJoin(F.broadcast(med))  # one row each
@@ -93,7 +94,7 @@ def class_balance(df: DataFrame, target: str) -> DataFrame:
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
     """Equal-width counts per column between its min and max; the last bin is closed."""
-    row = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("lo", F.min), ("hi", F.max))])
+    row = df.agg(*[f(number(c)).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("lo", F.min), ("hi", F.max))])
     ranges = row.select(
         F.inline(F.array(*[
             F.struct(F.lit(c).alias("column"), F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi"))
@@ -146,7 +147,7 @@ def cardinality_band(n: Column) -> Column:
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, min, exact quartiles and max per column."""
     row = df.agg(*[
-        f(F.col(c).cast("double")).alias(f"{n}{i}")
+        f(number(c)).alias(f"{n}{i}")
         for i, c in enumerate(columns)
         for n, f in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
     ])
@@ -172,7 +173,7 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5) ->
             continue
         a, b = q[c][0.25], q[c][0.75]
         lo, hi = a - factor * (b - a), b + factor * (b - a)
-        v = F.col(c).cast("double")
+        v = number(c)
         aggs.append(F.count_if((v < lo) | (v > hi)).alias(f"_o{i}"))
         items.append(
             F.struct(F.lit(c).alias("column"), F.lit(lo).alias("low"), F.lit(hi).alias("high"),

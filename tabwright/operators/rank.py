@@ -5,9 +5,8 @@ order over all rows. A window without keys would put every row in one task, so:
 
 * values are first collapsed (one row per distinct value, map-side combined), so
   that a value holding a third of the rows becomes one row;
-* the collapsed table is written once, which also tells its size: up to
-  ``SMALL_ORDER`` rows a plain window per group is fine;
-* beyond that each value gets a range bucket, running sums are taken per bucket,
+* the collapsed table is written once, which also tells how many buckets it needs;
+* each value gets a range bucket, running sums are taken per bucket,
   and the few per-bucket totals are turned into offsets that are joined back.
 
 Bucket edges come from a quantile sketch. They decide balance only, never the
@@ -22,9 +21,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabwright.functions.scalar import number
 from tabwright.session import bucket_target, settle
 
-SMALL_ORDER = 1_000_000
 BUCKET = "_bucket"
 
 
@@ -119,125 +118,40 @@ def ordered(
     measures: Sequence[str],
     descending: bool = False,
     peek: bool = False,
-    small: int | None = None,
 ) -> DataFrame:
     """Write a collapsed table once and add its running sums, see :func:`cumulate`."""
     counts = settle(counts, "counts")
-    if counts.count() <= (SMALL_ORDER if small is None else small):
-        return _cumulate_small(counts, by, order, measures, descending, peek)
-    splits = range_splits(counts, [order])
+    splits = range_splits(counts, [order], bucket_target(counts.sparkSession, counts.count()))
     cut = with_buckets(counts, splits)
     return cumulate(cut, by, order, order + BUCKET, measures, descending, peek).drop(order + BUCKET)
 
 
-def _cumulate_small(counts, by, order, measures, descending, peek) -> DataFrame:
-    """The same columns from one window per group; for tables of a checked size."""
-    inside = Window.partitionBy(*by).orderBy(F.col(order).desc() if descending else F.col(order).asc())
-    running = inside.rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*by)
-    return counts.select(
-        "*",
-        *[F.sum(m).over(running).alias("cum_" + m) for m in measures],
-        *[F.sum(m).over(whole).alias("tot_" + m) for m in measures],
-        *([F.lead(m).over(inside).alias("next_" + m) for m in measures] if peek else []),
-    )
-
-
 def long_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
-    """One row per (column, non-null numeric value); no shuffle."""
-    items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]
+    """One row per (column, numeric value that is neither NULL nor NaN); no shuffle. -0.0 is 0.0."""
+    items = [F.struct(F.lit(c).alias("column"), number(c).alias("value")) for c in cols]
     return df.select(*extra, F.inline(F.array(*items))).filter(F.col("value").isNotNull())
 
 
-COLUMNS_PER_PASS = 24
-
-
-def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float],
-    inside_limit: int = 2_000_000,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: ``(column, prob, value, n)``.
 
-    A bracket that must hold the answer is narrowed by sketches until it holds at
-    most ``inside_limit`` rows or a single value; only rows inside a bracket are
-    shuffled, and they are collapsed by value first. Each narrowing is one
-    column-pruned scan, and its result is a handful of numbers.
+    Values are collapsed per column, running counts come from the bucketed order, and
+    only the rows at the wanted places go on. NaN counts as missing; a column without
+    values gives no row.
     """
-    spark = df.sparkSession
-    if len(cols) > COLUMNS_PER_PASS:  # keep each generated aggregation small
-        out = exact_quantiles(df, cols[:COLUMNS_PER_PASS], probs, inside_limit)
-        return out.unionByName(exact_quantiles(df, cols[COLUMNS_PER_PASS:], probs, inside_limit))
-    src = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    slots = [(c, i) for c in cols for i in range(len(probs))]
-    lo = {s: float("-inf") for s in slots}
-    hi = {s: float("inf") for s in slots}
-
-    def measure():
-        aggs = [F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]
-        for k, s in enumerate(slots):
-            c = F.col(s[0])
-            aggs.append(F.count_if(c < lo[s]).alias(f"b{k}"))
-            aggs.append(F.count_if((c >= lo[s]) & (c <= hi[s])).alias(f"i{k}"))
-        r = src.agg(*aggs).first()
-        n = {c: r[f"n{i}"] for i, c in enumerate(cols)}
-        return n, {s: r[f"b{k}"] for k, s in enumerate(slots)}, {s: r[f"i{k}"] for k, s in enumerate(slots)}
-
-    n, below, inside = measure()
-    while True:
-        wide = [s for s in slots if inside[s] > inside_limit and lo[s] < hi[s]]
-        if not wide:
-            break
-        aggs = []
-        for k, s in enumerate(wide):
-            at = ((n[s[0]] - 1) * probs[s[1]] - below[s]) / inside[s]
-            c = F.col(s[0])
-            edge = [max(0.0, at - 0.005), min(1.0, at + 0.005)]
-            aggs.append(
-                F.percentile_approx(F.when((c >= lo[s]) & (c <= hi[s]), c), edge, 1000).alias(f"q{k}")
-            )
-        r = src.agg(*aggs).first()
-        old = {s: (lo[s], hi[s]) for s in wide}
-        for k, s in enumerate(wide):
-            a, b = r[f"q{k}"]
-            at = ((n[s[0]] - 1) * probs[s[1]] - below[s]) / inside[s]
-            # keep the outer bound where the sketch sits at the edge of the bracket
-            lo[s] = a if at > 0.005 else lo[s]
-            hi[s] = b if at < 0.995 else hi[s]
-        n, below, inside = measure()
-        for s in wide:
-            at = (n[s[0]] - 1) * probs[s[1]]
-            if not (below[s] <= int(at) and below[s] + inside[s] >= min(n[s[0]], int(at) + 2)):
-                raise RuntimeError("quantile bracket lost its target")
-        if all(old[s] == (lo[s], hi[s]) for s in wide):
-            break
-
-    # slots of a column often share one bracket; its rows are shuffled once
-    brackets = sorted({(c, lo[(c, i)], hi[(c, i)]) for c, i in slots})
-    number = {br: j for j, br in enumerate(brackets)}
-    plan = spark.createDataFrame(
-        [(number[(c, lo[(c, i)], hi[(c, i)])], c, float(probs[i]), n[c], below[(c, i)]) for c, i in slots],
-        "bracket int, column string, prob double, n bigint, below bigint",
-    )
-    items = [
-        F.when((F.col(c) >= a) & (F.col(c) <= b), F.struct(F.lit(j).alias("bracket"), F.col(c).alias("value")))
-        for (c, a, b), j in number.items()
-    ]
-    near = src.select(F.explode(F.array(*items)).alias("x")).filter("x IS NOT NULL")
-    near = near.groupBy("x.bracket", "x.value").agg(F.count(F.lit(1)).alias("m"))
-    w = Window.partitionBy("bracket").orderBy("value")
-    near = near.select("*", F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
-    at = near.join(F.broadcast(plan), "bracket")  # columns x probs rows
+    counts = long_values(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).alias("m"))
+    c = ordered(counts, ["column"], "value", ["m"])
+    first, last = F.col("cum_m") - F.col("m"), F.col("cum_m") - 1
+    items = []
+    for prob in probs:
+        pos = (F.col("tot_m") - 1) * F.lit(float(prob))
+        left, right = F.floor(pos).between(first, last), F.ceil(pos).between(first, last)
+        hit = F.struct(F.lit(float(prob)).alias("prob"), F.when(left, F.col("value")).alias("a"), F.when(right, F.col("value")).alias("b"))
+        items.append(F.when(left | right, hit))
+    at = c.select("column", F.col("tot_m").alias("n"), F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("x"))
+    at = at.groupBy("column", "n", "x.prob").agg(F.max("x.a").alias("a"), F.max("x.b").alias("b"))
     pos = (F.col("n") - 1) * F.col("prob")
-    left, right = F.floor(pos), F.ceil(pos)
-    first, last = F.col("below") + F.col("upto") - F.col("m"), F.col("below") + F.col("upto") - 1
-    at = at.groupBy("column", "prob", "n").agg(
-        F.max(F.when((left >= first) & (left <= last), F.col("value"))).alias("a"),
-        F.max(F.when((right >= first) & (right <= last), F.col("value"))).alias("b"),
-    )
-    frac = pos - F.floor(pos)
-    return at.select("column", "prob", (F.col("a") + (F.col("b") - F.col("a")) * frac).alias("value"), "n")
+    return at.select("column", "prob", (F.col("a") + (F.col("b") - F.col("a")) * (pos - F.floor(pos))).alias("value"), "n")
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, dict[float, float]]:
@@ -250,52 +164,52 @@ def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) ->
 
 DIGEST_WIDTH = 32
 PREFIX_STEP = 4
-HELD_ROWS = 100_000
 
 
-def digest_cuts(
-    df: DataFrame, digest: str, places: Callable[[dict], dict], by: str | None = None, held: int = HELD_ROWS
-) -> dict[object, list[str]]:
+def digest_cuts(df: DataFrame, digest: str, places: Callable[[dict], dict], by: str | None = None) -> dict[object, list[str]]:
     """The digests found at given places of each group's digest order.
 
     ``places`` gets the row count per group and returns the wanted 0-based places
     per group, in rising order. Rows are counted per digest prefix, then only the
-    prefixes that hold a place are counted again with a longer prefix, until it is
-    the whole digest. Every round is one scan of the key; the driver sees at most
-    16**4 or ``held`` counts per place, and rows of a repeated key count as one
+    prefixes that hold a place are counted again with a longer prefix, until each holds
+    one digest only. Every round is one scan of the key; the driver sees at most
+    16**4 counts per place, and rows of a repeated key count as one
     digest. Places past the end give no digest.
     """
     src = df.select((F.col(by) if by else F.lit(0)).alias("_g"), F.col(digest).alias("_h"))
 
     def sizes(rows: DataFrame, width: int) -> dict:
-        got = rows.groupBy("_g", F.substring("_h", 1, width).alias("_p")).agg(F.count(F.lit(1)).alias("n")).collect()
+        seen = [F.count(F.lit(1)).alias("n"), F.min("_h").alias("a"), F.max("_h").alias("b")]
+        got = rows.groupBy("_g", F.substring("_h", 1, width).alias("_p")).agg(*seen).collect()
         out: dict = {}
         for r in got:
-            out.setdefault(r["_g"], []).append((r["_p"], r["n"]))
-        return {g: sorted(v) for g, v in out.items()}
+            out.setdefault(r["_g"], []).append((r["_p"], r["n"], r["a"] if r["a"] == r["b"] else None))
+        return {g: sorted(v, key=lambda x: x[0]) for g, v in out.items()}
 
     width = PREFIX_STEP
     level = sizes(src, width)
-    totals = {g: sum(n for _, n in v) for g, v in level.items()}
+    totals = {g: sum(x[1] for x in v) for g, v in level.items()}
     cuts = [(g, pos, "", 0) for g, wanted in places(totals).items() for pos in wanted if pos < totals.get(g, 0)]
-    while True:
-        found, largest = [], 0
+    found: dict = {}
+    while cuts:
+        near = []
         for g, pos, start, before in cuts:
-            for prefix, n in level.get(g, []):
+            for prefix, n, only in level.get(g, []):
                 if not prefix.startswith(start):
                     continue
                 if pos < before + n:
-                    found.append((g, pos, prefix, before))
-                    largest = max(largest, n)
+                    if only is None:
+                        near.append((g, pos, prefix, before))
+                    else:
+                        found[g, pos] = only
                     break
                 before += n
-        cuts = found
-        if width >= DIGEST_WIDTH or not cuts:
-            break
-        near = src.filter(F.substring("_h", 1, width).isin(sorted({c[2] for c in cuts})))
-        width = DIGEST_WIDTH if largest <= held else min(DIGEST_WIDTH, width + PREFIX_STEP)
-        level = sizes(near, width)
+        cuts = near
+        if cuts:
+            rows = src.filter(F.substring("_h", 1, width).isin(sorted({c[2] for c in cuts})))
+            width = min(DIGEST_WIDTH, width + PREFIX_STEP)
+            level = sizes(rows, width)
     out: dict = {g: [] for g in totals}
-    for g, _, prefix, _ in cuts:
-        out[g].append(prefix)
+    for g, pos in sorted(found, key=lambda x: x[1]):
+        out[g].append(found[g, pos])
     return out

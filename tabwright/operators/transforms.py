@@ -8,7 +8,6 @@ the parts of the other folds.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from tabwright.operators import rank
 from tabwright.operators.joins import lookup
 from tabwright.operators.rank import quantile_row
-from tabwright.session import settle
+from tabwright.session import bucket_target, settle
 from tabwright.sources.contract import Contract
 
 # ------------------------------------------------------------------ selection
@@ -36,7 +35,7 @@ def select_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Project to the given features in their order; all must be there."""
     gone = sorted(set(features) - set(df.columns))
     if gone:
-        raise ValueError(f"Missing training features: {gone}")
+        raise ValueError(f"the table lacks features of the plan: {gone}")
     return df.select(*features)
 
 
@@ -47,7 +46,7 @@ def plan_of(decisions: DataFrame) -> dict[str, str]:
 
 def action_of(plan: dict[str, str], feature: str) -> str:
     if feature not in plan:
-        raise ValueError(f"Feature '{feature}' not found in feature decisions")
+        raise ValueError(f"no decision for feature {feature!r}")
     return plan[feature]
 
 
@@ -177,35 +176,35 @@ def fold_categories(df: DataFrame, cols: Sequence[str], fold: str = "fold", k: i
     return each.select(fold, "feature", "value", n.alias("n")).filter("n > 0")
 
 
-def vocabulary(counts: DataFrame, integer: Sequence[str] = (), small: int | None = None) -> DataFrame:
+VOCABULARY_SAMPLE = 32
+
+
+def _edges_passed(value: Column, edges: list) -> Column:
+    return F.aggregate(F.array(*map(F.lit, edges)), F.lit(0), lambda k, edge: k + F.when(value >= edge, 1).otherwise(0))
+
+
+def vocabulary(counts: DataFrame, integer: Sequence[str] = ()) -> DataFrame:
     """Class list ``(feature, value, code, n)`` in sorted order; integer features sort as numbers.
 
-    Codes are places in the sorted order of distinct values. Up to ``SMALL_ORDER``
-    values one window per feature numbers them; larger lists go through range
-    buckets, cut on the first bytes in which the values differ.
+    Codes are places in the sorted order of distinct values. Values are cut into range
+    buckets at sampled values, so long common beginnings do not crowd a bucket, and numbered by running counts.
     """
     counts = settle(counts.select("feature", "value", "n"), "vocabulary")
     is_int = F.col("feature").isin(list(integer)) if integer else F.lit(False)
     number = F.when(is_int, F.col("value").try_cast("bigint"))
-    if counts.count() <= (rank.SMALL_ORDER if small is None else small):
-        w = Window.partitionBy("feature").orderBy(number, F.col("value"))
-        return counts.select("feature", "value", (F.row_number().over(w) - 1).alias("code"), "n")
-    shared = {
-        r["feature"]: len(os.path.commonprefix([r["a"].encode(), r["b"].encode()]))
-        for r in counts.groupBy("feature").agg(F.min("value").alias("a"), F.max("value").alias("b")).collect()
-    }  # one row per feature; what the least and the greatest value share, all share
-    start = F.lit(1)
-    for f, k in shared.items():
-        start = F.when(F.col("feature") == f, F.lit(k + 1)).otherwise(start)
-    head = F.substring(F.encode("value", "UTF-8"), start, F.lit(6))
-    place = F.conv(F.rpad(F.hex(head), 12, "0"), 16, 10).cast("double")
-    rows = counts.select("*", F.lit(1).alias("_one"), number.alias("_num"), F.coalesce(number.cast("double"), place).alias("_at"))
-    rows = rank.with_buckets(rows, rank.range_splits(rows, ["_at"]))
-    bucket = "_at" + rank.BUCKET
-    parts = [
-        rank.cumulate(rows.filter(cond), ["feature"], order, bucket, ["_one"])
-        for cond, order in ((~is_int, "value"), (is_int, "_num"))
-    ]
+    n_buckets = bucket_target(counts.sparkSession, counts.count())
+    sample = counts.orderBy(F.xxhash64("feature", "value"), "feature", "value").limit(VOCABULARY_SAMPLE * n_buckets)
+    drawn = sample.select("feature", "value", number.alias("num")).collect()
+    drawn.sort(key=lambda r: (r["feature"], r["num"] is not None, r["num"] or 0, r["value"]))
+    edges: dict[str, list] = {}
+    for r in drawn[VOCABULARY_SAMPLE::VOCABULARY_SAMPLE]:
+        edges.setdefault(r["feature"], []).append(r["value"] if r["num"] is None else r["num"])
+    bucket = F.lit(0)
+    for f, cuts in edges.items():  # as many edges as buckets in all
+        whole = f in integer and all(isinstance(c, int) for c in cuts)
+        bucket = F.when(F.col("feature") == f, _edges_passed(F.col("_num" if whole else "value"), cuts)).otherwise(bucket)
+    rows = counts.select("*", F.lit(1).alias("_one"), number.alias("_num")).withColumn("_at", bucket)
+    parts = [rank.cumulate(rows.filter(cond), ["feature"], order, "_at", ["_one"]) for cond, order in ((~is_int, "value"), (is_int, "_num"))]
     out = parts[0].unionByName(parts[1])
     return out.select("feature", "value", (F.col("cum__one") - 1).cast("int").alias("code"), "n")
 
@@ -291,7 +290,7 @@ def target_column(df: DataFrame, target: str, null: str = "raise", out: str = "l
     A value other than 0 or 1 always fails, when the row is read.
     """
     t = F.col(target)
-    msg = F.lit("Target must contain only 0 and 1 values")
+    msg = F.lit(BAD_TARGET)
     if null not in ("raise", "drop", "zero"):
         raise ValueError("null must be 'raise', 'drop' or 'zero'")
     if null == "drop":
@@ -302,10 +301,14 @@ def target_column(df: DataFrame, target: str, null: str = "raise", out: str = "l
     return df.withColumn(out, label)
 
 
+# Fixed value: how a target outside 0 and 1 is worded.
+BAD_TARGET = "Target must contain only 0 and 1 values"
+
+
 def check_target(df: DataFrame, target: str) -> None:
     """Fail now rather than when the rows are read."""
     if df.agg(F.count_if(~F.col(target).isin(0, 1))).first()[0]:
-        raise ValueError("Target must contain only 0 and 1 values")
+        raise ValueError(BAD_TARGET)
 
 
 # ------------------------------------------------------------ fitted pipelines
@@ -334,7 +337,7 @@ class Preprocessing:
 
     def transform(self, df: DataFrame) -> DataFrame:
         if self.stages is None:
-            raise ValueError("Pipeline must be fitted before transform")
+            raise ValueError("transform needs a fitted plan")
         return self.stages.transform(df)
 
     def info(self) -> list[tuple[str, str, int | None]]:
@@ -357,28 +360,36 @@ def _num(v: float) -> str:
     return f"CAST('{float(v)!r}' AS DOUBLE)"
 
 
-def _text(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+#: The one class of a feature without any value; no row has it, so its block stays zero.
+NO_CLASS = "\x00"
 
 
 def build_stages(p: Preprocessing, spark) -> Preprocessing:
     """Turn fitted numbers into pipeline stages; reads no table."""
     if not (p.numeric or p.classes or p.hashed or p.encoded):
-        raise ValueError("No features to transform")
+        raise ValueError("the plan uses no feature")
     stages, exprs = [], []
     for c, (fill, mean, std) in p.numeric.items():
         exprs.append(f"(COALESCE(CAST(`{c}` AS DOUBLE), {_num(fill)}) - {_num(mean)}) / {_num(std)} AS `{c}__z`")
-    for c, (by_class, prior) in p.encoded.items():
-        value = _num(prior)
-        if by_class:
-            pairs = ", ".join(f"{_text(k)}, {_num(v)}" for k, v in by_class.items())
-            value = f"COALESCE(TRY_ELEMENT_AT(MAP({pairs}), CAST(`{c}` AS STRING)), {value})"
-        exprs.append(f"{value} AS `{c}__t`")
-    enc = list(p.classes)
-    exprs += [f"CAST(`{c}` AS STRING) AS `{c}__s`" for c in enc]
+    enc, mean = list(p.classes), list(p.encoded)
+    exprs += [f"CAST(`{c}` AS STRING) AS `{c}__s`" for c in (*enc, *mean)]
     exprs += [f"COALESCE(CAST(`{c}` AS STRING), '') AS `{c}__h`" for c in p.hashed]
     stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"))
-    blocks = {c: f"{c}__z" for c in p.numeric} | {c: f"{c}__t" for c in p.encoded}
+    blocks = {c: f"{c}__z" for c in p.numeric} | {c: f"{c}__t" for c in mean}
+    if mean:
+        # classes are indexed once; their means are read by position, the prior stands after them
+        stages.append(
+            StringIndexerModel.from_arrays_of_labels(
+                [list(p.encoded[c][0]) or [NO_CLASS] for c in mean], [f"{c}__s" for c in mean], [f"{c}__m" for c in mean], handleInvalid="keep"
+            )
+        )
+        reads = []
+        for c in mean:
+            by_class, prior = p.encoded[c]
+            values = ",".join(repr(float(v)) for v in [*(by_class.values() or [prior]), prior])
+            # one literal that is split once when the plan is made, however many classes there are
+            reads.append(f"CAST(ELEMENT_AT(SPLIT('{values}', ','), CAST(`{c}__m` AS INT) + 1) AS DOUBLE) AS `{c}__t`")
+        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(reads)} FROM __THIS__"))
     if enc:
         stages.append(
             StringIndexerModel.from_arrays_of_labels(
@@ -403,7 +414,7 @@ def build_stages(p: Preprocessing, spark) -> Preprocessing:
         stages.append(FeatureHasher(inputCols=[f"{c}__h" for c in p.hashed], outputCol="hashed__v", numFeatures=p.hash_size))
         inputs.append("hashed__v")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
-    made = [f"{c}__z" for c in p.numeric] + [f"{c}__t" for c in p.encoded] + [f"{c}__h" for c in p.hashed] + (["hashed__v"] if p.hashed else [])
+    made = [f"{c}__z" for c in p.numeric] + [f"{c}__{x}" for c in mean for x in "smt"] + [f"{c}__h" for c in p.hashed] + (["hashed__v"] if p.hashed else [])
     for c in enc:
         made += [f"{c}__{s}" for s in "sijv"]
     keep = f"SELECT * EXCEPT ({', '.join(f'`{m}`' for m in made)}) FROM __THIS__"
@@ -412,23 +423,13 @@ def build_stages(p: Preprocessing, spark) -> Preprocessing:
     return p
 
 
-def _columns(plan: dict[str, str], target: str) -> tuple[list[str], list[str], list[str]]:
-    """Features to scale, to one-hot and to encode by target mean."""
+def _columns(plan: dict[str, str], target: str) -> tuple[list[str], list[str], list[str], list[str]]:
+    """Features to scale, to one-hot, to encode by target mean and to hash."""
+
     def of(*actions):
         return [c for c, a in plan.items() if a in actions and c != target]
 
-    return of("scale"), of("onehot", "embed"), of("target_encode")
-
-
-def _likely_small(df: DataFrame, cols: Sequence[str], limit: int) -> list[str]:
-    """Features that may have at most ``limit`` values, by a sketch without a shuffle.
-
-    Keeps an identifier from being counted value by value only to be hashed.
-    """
-    if not cols:
-        return []
-    r = df.agg(*[F.approx_count_distinct(c, 0.05).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-    return [c for i, c in enumerate(cols) if r[f"d{i}"] <= 2 * limit]
+    return of("scale"), of("onehot", "embed"), of("target_encode"), of("hash")
 
 
 def _sorted_classes(values: list[str], integer: bool) -> list[str]:
@@ -447,19 +448,20 @@ def fit_preprocessing(
     policy: str = "mean",
     contract: Contract | None = None,
     unknown: str = "train_mode",
-    max_classes: int = 10_000,
     hash_size: int = 4096,
 ) -> Preprocessing:
     """Fit the plan on training rows only.
 
     ``policy="contract"`` imputes as the contract declares instead of by the
-    mean. A feature with more than ``max_classes`` values is hashed as a whole,
-    so that no value is dropped and the class lists on the driver stay small.
+    mean. Every action does what it says at any number of classes: a one-hot block has one
+    place per class. Such a block, like any model over it, lists its classes; the action
+    ``hash`` is there for features with more classes than that is wanted for. A feature
+    without any value keeps a block of one place that is always zero.
     """
     if unknown not in ("zeros", "train_mode"):
         raise ValueError("a fitted pipeline takes unknown='zeros' or 'train_mode'")
-    scale, encode, means = _columns(plan, target)
-    select_features(train, [*scale, *encode, *means])
+    scale, encode, means, hashed = _columns(plan, target)
+    select_features(train, [*scale, *encode, *means, *hashed])
     check_target(train, target)
     strategy = {c: "mean" for c in scale}
     if policy == "contract":
@@ -472,26 +474,18 @@ def fit_preprocessing(
     if scale:
         for r in fit_numeric(train, scale, strategy).collect():  # one row per column
             numeric[r["feature"]] = (r["fill"] or 0.0, r["mean"] or 0.0, r["std"])
-    likely = _likely_small(train, [*encode, *means], max_classes)
     classes, mode, encoded = {}, {}, {}
-    if likely:
-        counts = category_counts(train, likely)
-        size = {r["feature"]: r["k"] for r in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("k")).collect()}
-        likely = [c for c in likely if size.get(c, 0) <= max_classes]
-        one, integer = [c for c in encode if c in likely], _integers(train, encode)
-        rows = counts.filter(F.col("feature").isin(one)).collect() if one else []  # at most max_classes per feature
-        found: dict[str, list] = {}
-        for r in rows:
-            found.setdefault(r["feature"], []).append((-r["n"], r["value"]))
-        classes = {c: _sorted_classes([v for _, v in found[c]], c in integer) for c in one if c in found}
-        mode = {c: min(found[c])[1] for c in classes}
-        by_mean = [c for c in means if c in likely]
-        if by_mean:
-            prior = target_prior(train, target).first()[0]
-            encoded = {c: ({}, prior) for c in by_mean}
-            for r in target_encoding(train, by_mean, target).collect():
-                encoded[r["feature"]][0][r["value"]] = r["encoded"]
-    hashed = [c for c in (*encode, *means) if c not in likely]
+    if encode:
+        integer, found = _integers(train, encode), {c: [] for c in encode}
+        for r in category_counts(train, encode).collect():
+            found[r["feature"]].append((-r["n"], r["value"]))
+        classes = {c: _sorted_classes([v for _, v in found[c]], c in integer) or [NO_CLASS] for c in encode}
+        mode = {c: min(found[c])[1] for c in encode if found[c]}
+    if means:
+        prior = target_prior(train, target).first()[0]
+        encoded = {c: ({}, prior) for c in means}
+        for r in target_encoding(train, means, target).collect():
+            encoded[r["feature"]][0][r["value"]] = r["encoded"]
     p = Preprocessing(plan, {c: numeric[c] for c in scale}, classes, mode, hashed, unknown, hash_size, encoded)
     return build_stages(p, train.sparkSession)
 
@@ -503,12 +497,11 @@ def fit_folds(
     k: int,
     fold: str = "fold",
     unknown: str = "train_mode",
-    max_classes: int = 10_000,
     hash_size: int = 4096,
 ) -> list[Preprocessing]:
     """Fold-safe pipelines for all folds from one numeric and one categorical pass."""
-    scale, encode, means = _columns(plan, target)
-    select_features(df, [*scale, *encode, *means])
+    scale, encode, means, hashed = _columns(plan, target)
+    select_features(df, [*scale, *encode, *means, *hashed])
     check_target(df, target)
     numeric: list[dict] = [{} for _ in range(k)]
     if scale:
@@ -517,27 +510,20 @@ def fit_folds(
     classes: list[dict] = [{} for _ in range(k)]
     mode: list[dict] = [{} for _ in range(k)]
     encoded: list[dict] = [{} for _ in range(k)]
-    likely = _likely_small(df, [*encode, *means], max_classes)
-    if likely:
-        counts = fold_categories(df, likely, fold, k)
-        sizes = counts.groupBy(fold, "feature").agg(F.count(F.lit(1)).alias("c"))
-        size = {r["feature"]: r["m"] for r in sizes.groupBy("feature").agg(F.max("c").alias("m")).collect()}
-        likely = [c for c in likely if size.get(c, 0) <= max_classes]
-        one, integer = [c for c in encode if c in likely], _integers(df, encode)
-        found: list[dict] = [{} for _ in range(k)]
-        for r in counts.filter(F.col("feature").isin(one)).collect() if one else []:
-            found[r[fold]].setdefault(r["feature"], []).append((-r["n"], r["value"]))
+    if encode:
+        integer = _integers(df, encode)
+        found: list[dict] = [{c: [] for c in encode} for _ in range(k)]
+        for r in fold_categories(df, encode, fold, k).collect():
+            found[r[fold]][r["feature"]].append((-r["n"], r["value"]))
         for i in range(k):
-            classes[i] = {c: _sorted_classes([v for _, v in found[i][c]], c in integer) for c in one if c in found[i]}
-            mode[i] = {c: min(found[i][c])[1] for c in classes[i]}
-        by_mean = [c for c in means if c in likely]
-        if by_mean:
-            for r in target_prior(df, target, fold).collect():
-                encoded[r[fold]] = {c: ({}, r["prior"]) for c in by_mean}
-            for r in target_encoding(df, by_mean, target, fold, k).collect():
-                if r["feature"] in encoded[r[fold]]:
-                    encoded[r[fold]][r["feature"]][0][r["value"]] = r["encoded"]
-    hashed = [c for c in (*encode, *means) if c not in likely]
+            classes[i] = {c: _sorted_classes([v for _, v in found[i][c]], c in integer) or [NO_CLASS] for c in encode}
+            mode[i] = {c: min(found[i][c])[1] for c in encode if found[i][c]}
+    if means:
+        for r in target_prior(df, target, fold).collect():
+            encoded[r[fold]] = {c: ({}, r["prior"]) for c in means}
+        for r in target_encoding(df, means, target, fold, k).collect():
+            if r["feature"] in encoded[r[fold]]:
+                encoded[r[fold]][r["feature"]][0][r["value"]] = r["encoded"]
     spark = df.sparkSession
     return [
         build_stages(

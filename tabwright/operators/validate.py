@@ -35,7 +35,8 @@ def type_ok(dt: T.DataType, declared: str) -> bool:
     return True
 
 
-# How a violated type is worded per declared type.
+# The wording of missing columns, missing values, ranges and invalid categories below,
+# and how a violated type is worded per declared type.
 TYPE_WORDS = {
     "integer": "integer",
     "float": "numeric",
@@ -65,19 +66,24 @@ def _value(df: DataFrame, name: str, spec: dict, text: bool, integers: str) -> C
     return typed(c, spec.get("type"), integers) if text else c
 
 
-def violations(df: DataFrame, contract: Contract, text: bool = False, integers: str = "long") -> DataFrame:
+def violations(
+    df: DataFrame, contract: Contract, text: bool = False, integers: str = "long", broken: list[str] | None = None
+) -> DataFrame:
     """Every contract violation as a row, in the order a fail-fast check meets them.
 
-    With ``text`` the columns are CSV texts and types are checked per value.
+    With ``text`` the columns are CSV texts and types are checked per value; ``broken`` says what
+    the reader found wrong with the file itself.
     """
     spark = df.sparkSession
     fixed, aggs, items = [], [], []
+    for i, what in enumerate(broken or []):
+        fixed.append((0, i, 0, "*", "malformed", "error", float(what.split()[0]), what))
     gone = missing_columns(df, contract)
     if gone:
         fixed.append((1, 0, 0, ",".join(gone), "required", "error", float(len(gone)), f"Missing required columns: {gone}"))
     extra = unexpected_columns(df, contract)
     if extra:
-        fixed.append((2, 0, 0, ",".join(extra), "unexpected", "warning", float(len(extra)), f"Unexpected columns found: {extra}"))
+        fixed.append((2, 0, 0, ",".join(extra), "unexpected", "warning", float(len(extra)), f"the contract does not have: {extra}"))
 
     dts = {f.name: f.dataType for f in df.schema.fields}
     domains: dict[str, tuple[int, list]] = {}
@@ -105,7 +111,7 @@ def violations(df: DataFrame, contract: Contract, text: bool = False, integers:
             )
             items.append((F.col(f"m{pos}") > 0, _struct(3, pos, 2, name, "missing", "error", F.col(f"m{pos}"), msg)))
         if spec.get("leaky", False):
-            fixed.append((3, pos, 3, name, "leaky", "warning", 1.0, f"Column '{name}' is marked as leaky and should be excluded from training"))
+            fixed.append((3, pos, 3, name, "leaky", "warning", 1.0, f"'{name}' is leaky by the contract: keep it out of training"))
         if declared == "categorical" and "categories" in spec:
             domains[name] = (pos, list(spec["categories"]))
         if declared in ("integer", "float") and "range" in spec and usable:
@@ -125,7 +131,7 @@ def violations(df: DataFrame, contract: Contract, text: bool = False, integers:
         bad = invalid_categories(df, contract)
         per = bad.groupBy("column").agg(
             F.count(F.lit(1)).cast("double").alias("observed"),
-            F.min("value").alias("_first"),
+            F.concat_ws(", ", F.sort_array(F.collect_list("value"))).alias("_all"),  # distinct values outside the domain
         )
         where = F.create_map(*[x for c, (p, _) in domains.items() for x in (F.lit(c), F.lit(p))])
         parts.append(
@@ -139,7 +145,7 @@ def violations(df: DataFrame, contract: Contract, text: bool = False, integers:
                 "observed",
                 F.concat(
                     F.lit("Column '"), F.col("column"), F.lit("' has invalid categories: "),
-                    F.col("observed").cast("bigint").cast("string"), F.lit(", first "), F.col("_first"),
+                    F.col("_all"),
                 ).alias("message"),
             )
         )
@@ -211,8 +217,8 @@ def quality_issues(df: DataFrame, max_missing: float = 0.3) -> DataFrame:
     """Columns whose missing share is strictly above the limit, with the report line."""
     f = missing_fractions(df).filter(F.col("missing_fraction") > max_missing)
     line = F.concat(
-        F.lit("Column '"), F.col("column"), F.lit("' has "), percent_text("missing_fraction"),
-        F.lit(f" missing values (exceeds {max_missing:.1%} threshold)"),
+        F.col("column"), F.lit(": "), percent_text("missing_fraction"),
+        F.lit(f" missing, more than {max_missing:.1%}"),
     )
     return f.select("column", "missing_fraction", line.alias("issue"))
 

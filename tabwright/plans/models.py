@@ -70,16 +70,22 @@ def best_round(losses: list[float], patience: int = PATIENCE) -> int:
 
 
 def fit_with_patience(est: GBTClassifier, train: DataFrame, val: DataFrame | None, patience: int = PATIENCE):
-    """Boost all rounds, find the stopping round on ``val``, keep the rounds up to the best.
+    """Boost until ``patience`` rounds pass without a smaller loss on ``val``; keep the rounds up to the best.
 
-    A smaller ``maxIter`` with the same seed grows the same first trees.
+    A ``maxIter`` with the same seed grows the same first trees, so rounds are doubled until
+    patience is spent, and only the kept ones are fitted again.
     """
-    model = est.fit(train)
+    most = est.getMaxIter()
     if val is None:
-        return model
-    losses = model.evaluateEachIteration(val)
-    keep = best_round(list(losses), patience)
-    return model if keep >= len(losses) else est.copy({est.maxIter: keep}).fit(train)
+        return est.fit(train)
+    rounds = min(most, 2 * patience)
+    while True:
+        model = est.copy({est.maxIter: rounds}).fit(train)
+        keep = best_round(list(model.evaluateEachIteration(val)), patience)
+        if keep + patience <= rounds or rounds == most:
+            break
+        rounds = min(most, 2 * rounds)
+    return model if keep == rounds else est.copy({est.maxIter: keep}).fit(train)
 
 
 def _gbt(name: str, defaults: dict, patience: int, params: dict) -> Family:
@@ -96,13 +102,40 @@ def gbt_leaf(patience: int = PATIENCE, **params) -> Family:
     return _gbt("gbt_leaf", GBT_LEAF_DEFAULTS, patience, params)
 
 
-def mlp(hidden: list[int] | None = None, max_iter: int = MLP_EPOCHS, seed: int = 42, **params) -> Family:
-    """Feed-forward network; Spark's layers are sigmoid, without dropout or batch norm."""
+#: Epochs between two looks at the validation loss of a network.
+MLP_STEP = 5
+
+
+def _log_loss(model: Model, df: DataFrame) -> float:
+    p = F.greatest(F.lit(1e-12), F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1))
+    return model.transform(df).agg(F.avg(-F.ln(p)).alias("loss")).first()["loss"]
+
+
+def mlp(hidden: list[int] | None = None, max_iter: int = MLP_EPOCHS, seed: int = 42, patience: int = PATIENCE, **params) -> Family:
+    """Feed-forward network; Spark's layers are sigmoid, without dropout or batch norm.
+
+    With ``val`` training goes on from the last weights a few epochs at a time until ``patience``
+    epochs pass without a smaller validation loss; the best weights are kept.
+    """
     hidden = list(MLP_HIDDEN if hidden is None else hidden)
 
     def fit(train, val=None):
         d = train.select("features").first()[0].size
-        return MultilayerPerceptronClassifier(layers=[d, *hidden, 2], maxIter=max_iter, seed=seed, **params).fit(train)
+        est = MultilayerPerceptronClassifier(layers=[d, *hidden, 2], maxIter=max_iter, seed=seed, **params)
+        if val is None:
+            return est.fit(train)
+        best, least, waited, done = None, float("inf"), 0, 0
+        while done < max_iter and waited < patience:
+            step = min(MLP_STEP, max_iter - done)
+            model = est.copy({est.maxIter: step}).fit(train)
+            loss = _log_loss(model, val)
+            if best is None or loss < least:
+                best, least, waited = model, loss, 0
+            else:
+                waited += step
+            done += step
+            est = est.copy({est.initialWeights: model.weights})
+        return best
 
     return Family("mlp", fit)
 

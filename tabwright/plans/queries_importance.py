@@ -50,11 +50,11 @@ def residual_importance(spark, sf):
     return r6(out.drop("importance_values"), "importance_mean", "importance_std")
 
 
-@query("oof_importance", _residual_sql(4))
+@query("oof_importance", _residual_sql(10))
 def oof_importance(spark, sf):
     f = filled(spark, sf)
     oof = folded(spark, sf, f, 3).select("customer_id", F.col("churn").alias("y_true"), F.col("p").alias("prob"))
-    out = I.oof_importance(oof, f, FEATS, "customer_id", repeats=4, seed=42)
+    out = I.oof_importance(oof, f, FEATS, "customer_id", repeats=10, seed=42)
     return r6(out.drop("importance_values"), "importance_mean", "importance_std")
 
 
@@ -64,8 +64,9 @@ def oof_importance(spark, sf):
         row_number() OVER (ORDER BY md5('7:' || (l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber)),
           l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber) - 1 AS i, count(*) OVER () AS n FROM lineitem),
       per AS (SELECT k, abs(corr(a.q, a.r)) - abs(corr(a.q, b.r)) AS q, abs(corr(a.x, a.r)) - abs(corr(a.x, b.r)) AS x, abs(corr(a.d, a.r)) - abs(corr(a.d, b.r)) AS d
-        FROM base a, range(1, 4) t(k), base b WHERE b.i = (a.i + k) % a.n GROUP BY k)
-      SELECT 'q' AS feature, round(avg(q), 6) AS importance_mean FROM per UNION ALL SELECT 'x', round(avg(x), 6) FROM per UNION ALL SELECT 'd', round(avg(d), 6) FROM per""",
+        FROM base a, range(1, 11) t(k), base b WHERE b.i = (a.i + k) % a.n GROUP BY k)
+      SELECT 'q' AS feature, round(avg(q), 6) AS importance_mean, round(stddev_pop(q), 6) AS importance_std FROM per
+      UNION ALL SELECT 'x', round(avg(x), 6), round(stddev_pop(x), 6) FROM per UNION ALL SELECT 'd', round(avg(d), 6), round(stddev_pop(d), 6) FROM per""",
 )
 def residual_importance_lineitem(spark, sf):
     l = table(spark, sf, "lineitem")
@@ -74,8 +75,8 @@ def residual_importance_lineitem(spark, sf):
         key.alias("key"), F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("x"), F.col("l_discount").alias("d"),
         (F.col("l_returnflag") == "R").cast("int").alias("y"), F.col("l_tax").alias("p"),
     )
-    out = I.residual_importance(src, ["q", "x", "d"], "y", "p", "key", 3, 7)
-    return r6(out.select("feature", "importance_mean"), "importance_mean")
+    out = I.residual_importance(src, ["q", "x", "d"], "y", "p", "key", 10, 7)
+    return r6(out.drop("importance_values"), "importance_mean", "importance_std")
 
 
 def closed_form(df):
@@ -114,19 +115,19 @@ def _model(spark, sf, metric, r):
     return r6(out.drop("importance_values"), "importance_mean", "importance_std")
 
 
-@query("model_importance_auc", _model_sql(5, "sum(fp * (ctp - tp / 2e0)) / (max(np)::DOUBLE * max(nn)) AS v FROM curve", CURVE))
+@query("model_importance_auc", _model_sql(10, "sum(fp * (ctp - tp / 2e0)) / (max(np)::DOUBLE * max(nn)) AS v FROM curve", CURVE))
 def model_importance_auc(spark, sf):
-    return _model(spark, sf, "roc_auc", 5)
+    return _model(spark, sf, "roc_auc", 10)
 
 
-@query("model_importance_accuracy", _model_sql(5, "avg(((p > 0.5e0)::INT = y)::INT) AS v FROM vs", ""))
+@query("model_importance_accuracy", _model_sql(10, "avg(((p > 0.5e0)::INT = y)::INT) AS v FROM vs", ""))
 def model_importance_accuracy(spark, sf):
-    return _model(spark, sf, "accuracy", 5)
+    return _model(spark, sf, "accuracy", 10)
 
 
-@query("model_importance_custom_metric", _model_sql(3, "-avg((p - y) * (p - y)) AS v FROM vs", ""))
+@query("model_importance_custom_metric", _model_sql(10, "-avg((p - y) * (p - y)) AS v FROM vs", ""))
 def model_importance_custom_metric(spark, sf):
-    return _model(spark, sf, lambda y, p: -F.avg((p - y) * (p - y)), 3)
+    return _model(spark, sf, lambda y, p: -F.avg((p - y) * (p - y)), 10)
 
 
 WEIGHTS = {"acctbal": 1e-4, "n_orders": -0.05, "n_urgent": 0.3}

@@ -67,6 +67,49 @@ def csv_type_violations(spark, sf):
     return bad.filter("severity = 'error'").select("column", "rule", "observed")
 
 
+def _text_contract():
+    from tabwright.sources.contract import Contract
+
+    kinds = {"doc_id": "integer", "text": "string", "lang": "string", "source": "string"}
+    features = {c: {"type": t, "missing_policy": "allow"} for c, t in kinds.items()}
+    return Contract.from_dict({"features": features, "target": {"n_chars": {"type": "integer", "missing_policy": "allow"}}})
+
+
+# Fixed values in the SQL twin: the texts that mean "missing" in a CSV cell, as in the reader.
+@query(
+    "csv_quoted_text",
+    """SELECT doc_id, md5(t) AS digest, length(t) AS n FROM (SELECT doc_id, 'say "' || replace(text, ' ', '", ') || '"' AS t FROM documents)""",
+)
+def csv_quoted_text(spark, sf):
+    """Texts with line breaks, commas and quotes survive a CSV file."""
+    path = scratch(spark, "documents-csv")
+    docs = table(spark, sf, "documents")
+    spiked = F.concat(F.lit('say "'), F.replace("text", F.lit(" "), F.lit('", ')), F.lit('"'))
+    out = docs.select("doc_id", spiked.alias("text"), "lang", "source", "n_chars")
+    out.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    df = readers.read(spark, path, _text_contract(), multi_line=True)
+    return df.select("doc_id", F.md5("text").alias("digest"), F.length("text").cast("bigint").alias("n"))
+
+
+@query(
+    "csv_malformed_report",
+    """SELECT 'malformed' AS rule, count(*)::DOUBLE AS observed FROM orders WHERE o_orderstatus = 'P' HAVING count(*) > 0""",
+)
+def csv_malformed_report(spark, sf):
+    """Rows with a field too many are counted in report mode, not cut."""
+    from tabwright.sources.contract import Contract
+
+    path = scratch(spark, "orders-broken")
+    line = F.concat_ws(",", "o_orderkey", "o_orderstatus", F.when(F.col("o_orderstatus") == "P", F.lit("extra")))
+    table(spark, sf, "orders").select(line.alias("value")).coalesce(1).write.text(path)
+    head = spark.createDataFrame([("id,status",)], "value string")
+    head.coalesce(1).union(spark.read.text(path)).coalesce(1).write.text(path + "-headed")
+    spec = {"type": "string", "missing_policy": "allow"}
+    contract = Contract.from_dict({"features": {"id": {"type": "integer", "missing_policy": "allow"}}, "target": {"status": spec}})
+    _, bad = readers.read(spark, path + "-headed", contract, mode="report")
+    return bad.filter("severity = 'error'").select("rule", "observed")
+
+
 # action of each column under the decision rules, as SQL over the frame
 def _decision_sql(tail: str) -> str:
     cols = [c for c in FRAME_COLUMNS if c != "churn"]
@@ -294,7 +337,7 @@ def comparison_csv(spark, sf):
     path = scratch(spark, "comparison")
     c = R.compare(run_metrics(spark, sf))
     sinks.write_csv(c.select("run", "model", F.round("roc_auc", 4).alias("roc_auc")), path)
-    return readers.read_text(spark, path)
+    return readers.read_text(spark, path).drop(readers.SURPLUS)
 
 
 @query(
@@ -374,8 +417,8 @@ def quality_report(spark, sf):
 @query(
     "quality_issues",
     churn_sql(
-        """SELECT "column", round(m / n::DOUBLE, 6) AS missing_fraction, 'Column ''' || "column" || ''' has ' || printf('%.1f', 100e0 * m / n)
-        || '% missing values (exceeds 0.1% threshold)' AS issue FROM miss WHERE m / n::DOUBLE > 0.001e0""",
+        """SELECT "column", round(m / n::DOUBLE, 6) AS missing_fraction, "column" || ': ' || printf('%.1f', 100e0 * m / n)
+        || '% missing, more than 0.1%' AS issue FROM miss WHERE m / n::DOUBLE > 0.001e0""",
         f"miss AS ({_missing_rows()})",
     ),
 )

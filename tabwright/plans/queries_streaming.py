@@ -26,7 +26,7 @@ def stream_scored_events(spark, sf):
         return df.select("event_id", "user_id", F.round(p, 6).alias("prob"), (p >= 0.5).cast("int").alias("label"))
 
     out, check = scratch(spark, "stream-scores"), scratch(spark, "stream-check")
-    finish(ST.score_stream(ST.table_stream(spark, f"{sf}/events.parquet"), scorer, out, check))
+    finish(ST.score_stream(ST.table_stream(spark, sf, "events.parquet"), scorer, out, check))
     return spark.read.parquet(out).drop("batch")
 
 
@@ -36,7 +36,7 @@ def stream_scored_events(spark, sf):
 )
 def stream_daily_usage(spark, sf):
     out, check = scratch(spark, "stream-usage"), scratch(spark, "stream-check")
-    w = ST.usage_windows(ST.table_stream(spark, f"{sf}/events.parquet"), "ts", ["event_type"])
+    w = ST.usage_windows(ST.table_stream(spark, sf, "events.parquet"), "ts", ["event_type"])
     finish(ST.write_batches(w, out, check, "update"))
     last = ST.latest_state(spark, out, ["start", "event_type"])
     return last.select("start", "event_type", "n", F.round("total", 4).alias("total"))
@@ -55,7 +55,7 @@ def stream_scored_by_saved_model(spark, sf):
     customer_churn(spark, sf).repartition(4).write.parquet(src)
     c = P.target_column(spark.read.parquet(src), "churn")
     prep = P.fit_preprocessing(c, PLAN, "churn")
-    model = logistic(max_iter=20).fit(prep.transform(c).select("label", "features"))
+    model = logistic().fit(prep.transform(c).select("label", "features"))
     root = sinks.export_model(PipelineModel([*prep.stages.stages, model]), scratch(spark, "stream-model"), {"model_type": "logistic"})
     loaded, _ = sinks.import_model(root)
     *stages, final = loaded.stages

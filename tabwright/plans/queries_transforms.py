@@ -120,7 +120,7 @@ def fold_safe_vocabulary(spark, sf):
     return P.fold_categories(f, CAT, "fold", 5)
 
 
-# the vocabulary is fitted on customers of positive balance, the rest are scored
+# the vocabulary is fitted on customers of a high balance, the rest are scored
 ENC = ["location", "n_urgent"]
 ENC_SQL = f"""cl AS ({cat_long_sql(ENC, "churn WHERE acctbal > 9000")}),
   voc AS (SELECT feature, value, n, (row_number() OVER (PARTITION BY feature ORDER BY CASE WHEN feature = 'n_urgent' THEN value::BIGINT END, value) - 1)::INT AS code
@@ -261,18 +261,31 @@ def assembled_features(spark, sf):
 
 @query(
     "hashed_features",
-    churn_sql("SELECT customer_id, 65 AS width, 1 AS hot FROM churn WHERE (SELECT count(DISTINCT location) FROM churn) > 10"),
+    churn_sql("SELECT customer_id, 65 AS width, 1 AS hot FROM churn"),
 )
 def hashed_features(spark, sf):
-    """A feature above the class limit is hashed whole; (key, block width, non-zeros)."""
+    """A feature whose action is to be hashed; (key, block width, non-zeros)."""
     from pyspark.ml.functions import vector_to_array
 
     c = customer_churn(spark, sf)
-    p = P.fit_preprocessing(c, {"acctbal": "scale", "location": "embed"}, "churn", max_classes=10, hash_size=64)
+    p = P.fit_preprocessing(c, {"acctbal": "scale", "location": "hash"}, "churn", hash_size=64)
     v = p.transform(c).select("customer_id", vector_to_array("features").alias("v"))
     return v.select("customer_id", F.size("v").alias("width"), F.size(F.filter(F.slice("v", 2, 64), lambda x: x != 0)).alias("hot"))
 
 
+@query(
+    "identifier_target_encoding",
+    """SELECT l_orderkey, l_linenumber, round(avg((l_returnflag = 'R')::INT) OVER (PARTITION BY l_orderkey), 6) AS rate FROM lineitem""",
+)
+def identifier_target_encoding(spark, sf):
+    """An identifier with a class per few rows is target-encoded like any other feature."""
+    from pyspark.ml.functions import vector_to_array
+
+    l = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_returnflag") == "R").cast("int").alias("returned"))
+    p = P.fit_preprocessing(l, {"l_orderkey": "target_encode"}, "returned")
+    return p.transform(l).select("l_orderkey", "l_linenumber", F.round(vector_to_array("features")[0], 6).alias("rate"))
+
+
 @query(
     "pipeline_target_encoding",
     churn_sql("SELECT customer_id, round(avg(churn) OVER (PARTITION BY location), 6) AS location_rate FROM churn"),

@@ -54,6 +54,12 @@ def settle(df, label: str = "settled"):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucket_target(spark: SparkSession) -> int:
-    """How many range buckets a global order is cut into; follows the shuffle width."""
-    return max(8, min(2048, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+BUCKET_ROWS = 500_000
+
+
+def bucket_target(spark: SparkSession, rows: int = 0) -> int:
+    """How many range buckets a global order over ``rows`` rows is cut into.
+
+    Twice the shuffle width at least, and as many as keep a bucket near BUCKET_ROWS.
+    """
+    return max(8, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // BUCKET_ROWS))

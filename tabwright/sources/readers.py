@@ -17,14 +17,14 @@ NA_TOKENS = [
 ]
 
 
-def clean_missing(df: DataFrame) -> DataFrame:
-    """NaN to NULL in float columns, NA texts to NULL in text columns, once at load."""
+def clean_missing(df: DataFrame, texts: bool = False) -> DataFrame:
+    """NaN to NULL in float columns, once at load; with ``texts``, as for CSV, NA texts to NULL too."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = nan_to_null(c)
-        elif isinstance(f.dataType, T.StringType):
+        elif texts and isinstance(f.dataType, T.StringType) and f.name != SURPLUS:
             c = F.when(~c.isin(NA_TOKENS), c)
         out.append(c.alias(f.name))
     return df.select(*out)
@@ -47,14 +47,40 @@ def _open(reader, path: str) -> DataFrame:
         return reader(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
-            raise FileNotFoundError(f"Data file not found: {path}") from e
-        raise ValueError(f"Failed to load file: {e}") from e
+            raise FileNotFoundError(f"no table at {path}") from e
+        raise ValueError(f"{path} cannot be read: {e}") from e
 
 
-def read_text(spark: SparkSession, path: str) -> DataFrame:
-    """A headed CSV as text columns with missing values cleaned."""
-    raw = _open(lambda p: spark.read.option("header", True).csv(p), path)
-    return clean_missing(raw)
+#: What a row has beyond the header's fields; NULL in a sound row.
+SURPLUS = "_surplus"
+
+
+def read_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A headed CSV as text columns with missing values cleaned, and the column ``_surplus``.
+
+    Quotes inside quoted fields are doubled. Short rows are filled with NULL. With
+    ``multi_line`` quoted fields may hold line breaks; such files cannot be split, so
+    each is read by one task.
+    """
+    options = {"quote": '"', "escape": '"', "multiLine": multi_line}
+    names = _open(lambda p: spark.read.options(header=True, **options).csv(p), path).columns  # the first line only
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, SURPLUS)])
+    raw = _open(lambda p: spark.read.schema(schema).options(header=True, **options).csv(p), path)
+    return clean_missing(raw, texts=True)
+
+
+def malformed(spark: SparkSession, path: str, text: DataFrame, multi_line: bool) -> list[str]:
+    """What keeps rows from being read as they were meant; one pass, and one over the lines."""
+    out = []
+    n = text.agg(F.count_if(F.col(SURPLUS).isNotNull())).first()[0]
+    if n:
+        out.append(f"{n} rows have more fields than the header")
+    if not multi_line:
+        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+        n = spark.read.text(path).agg(F.count_if(quotes % 2 == 1)).first()[0]
+        if n:
+            out.append(f"{n} lines open or close a quoted field that goes on in another line: read with multi_line")
+    return out
 
 
 def read(
@@ -64,6 +90,7 @@ def read(
     fmt: str = "csv",
     mode: str = "fail",
     integers: str = "long",
+    multi_line: bool = False,
 ):
     """Load a table against its contract.
 
@@ -74,25 +101,29 @@ def read(
 
     if mode not in ("fail", "report"):
         raise ValueError("mode must be 'fail' or 'report'")
+    broken: list[str] = []
     if fmt == "csv":
-        text = read_text(spark, path)
+        text = read_text(spark, path, multi_line)
+        broken = malformed(spark, path, text, multi_line)
+        checked = text.drop(SURPLUS)
         specs = contract.columns
-        df = text.select(
+        df = checked.select(
             *[
                 (typed(F.col(f"`{c}`"), specs[c].get("type"), integers) if c in specs else F.col(f"`{c}`")).alias(c)
-                for c in text.columns
+                for c in checked.columns
             ]
         )
-        checked = text
     elif fmt == "parquet":
         df = clean_missing(_open(spark.read.parquet, path))
         checked = df
     else:
         raise ValueError(f"unknown format: {fmt}")
     if mode == "fail":
+        if broken:
+            raise ValueError(f"malformed CSV: {broken[0]}")
         V.enforce(checked, contract, text=fmt == "csv", integers=integers)
         return df
-    return df, V.violations(checked, contract, text=fmt == "csv", integers=integers)
+    return df, V.violations(checked, contract, text=fmt == "csv", integers=integers, broken=broken)
 
 
 def load_data(spark: SparkSession, path: str, contract_path: str, fmt: str = "csv") -> DataFrame:
@@ -108,7 +139,7 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(DECISION_SCHEMA).option("header", True).csv(path)
     except AnalysisException as e:
-        raise FileNotFoundError(f"Feature list not found: {path}") from e
+        raise FileNotFoundError(f"no decision table at {path}") from e
 
 
 def read_requests(spark: SparkSession, path: str, record: str, multi_line: bool = False) -> DataFrame:

@@ -16,17 +16,15 @@ from pyspark.sql.streaming import StreamingQuery
 from tabwright.functions.scalar import as_instant, as_wall_clock
 
 
-def table_stream(spark: SparkSession, path: str, schema=None, files_per_batch: int | None = None) -> DataFrame:
-    """A parquet table as a stream: a folder that files arrive in, or a single file."""
-    reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
+def table_stream(spark: SparkSession, folder: str, glob: str | None = None, schema=None, files_per_batch: int | None = None) -> DataFrame:
+    """The Parquet files of a folder as a stream, as they arrive; ``glob`` picks files by name."""
+    source = spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
+    reader = spark.readStream.schema(schema or source.parquet(folder).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.getFileStatus(where).isFile():
-        # the file source streams folders; pick the one file out of its folder
-        return reader.option("pathGlobFilter", where.getName()).parquet(where.getParent().toString())
-    return reader.parquet(path)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.parquet(folder)
 
 
 def write_batches(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> StreamingQuery:

@@ -29,10 +29,9 @@ def ring_of(df, shifts):
     return {order[i]: [order[(i + s) % n] for s in shifts] for i in range(n)}
 
 
-@pytest.mark.parametrize("target, long_from", [(1, 10**9), (8, 0), (200, 10**9)])
-def test_ring_is_the_same_for_any_bucketing(spark, table, target, long_from, monkeypatch):
-    monkeypatch.setattr(I, "bucket_target", lambda s: target)
-    monkeypatch.setattr(I, "LONG_FROM", long_from)
+@pytest.mark.parametrize("target", [1, 8, 200])
+def test_ring_is_the_same_for_any_bucketing(spark, table, target, monkeypatch):
+    monkeypatch.setattr(I, "bucket_target", lambda s, rows=0: target)
     out = I.on_ring(table.select("id"), "id", 42, F.col("id"), 7).collect()
     want = ring_of(table.select("id"), range(1, 8))
     assert len(out) == 300
@@ -128,8 +127,18 @@ def test_linear_contributions(spark, table):
     assert [r["feature"] for r in out] == ["s0", "s1"]
 
 
-def test_hot_key_rows_are_told_apart(spark, monkeypatch):
-    monkeypatch.setattr(I, "HOT_ROWS", 20)
+@pytest.mark.parametrize("unit, target", [(20, 64), (5, 8), (10**6, 8)])
+def test_ring_with_a_hot_key_is_the_same_on_any_layout(spark, monkeypatch, unit, target):
+    """One order, whatever the bounds, the buckets and the files."""
+    df = spark.range(300).select(F.when(F.col("id") < 100, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    plain = {r["v"]: (r["_shift1"], r["_shift3"]) for r in I.on_ring(df.coalesce(1), "k", 1, F.col("v"), 3).collect()}
+    monkeypatch.setattr(I, "UNIT_ROWS", unit)
+    monkeypatch.setattr(I, "bucket_target", lambda s, rows=0: target)
+    other = {r["v"]: (r["_shift1"], r["_shift3"]) for r in I.on_ring(df.repartition(5), "k", 1, F.col("v"), 3).collect()}
+    assert other == plain
+
+
+def test_hot_key_rows_are_told_apart(spark):
     df = spark.range(300).select(F.when(F.col("id") < 100, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
     out = I.on_ring(df, "k", 1, F.col("v"), 2).collect()
     assert sorted(r["_shift1"] for r in out) == list(range(300)) == sorted(r["_shift2"] for r in out)

@@ -122,16 +122,16 @@ def test_target_checks(spark):
 
 def test_selector(spark, small):
     assert P.select_features(small, ["feature1", "feature2"]).columns == ["feature1", "feature2"]
-    with pytest.raises(ValueError, match="Missing training features"):
+    with pytest.raises(ValueError, match="lacks features"):
         P.select_features(small, ["feature1", "nope"])
-    with pytest.raises(ValueError, match="not found in feature decisions"):
+    with pytest.raises(ValueError, match="no decision"):
         P.action_of(PLAN, "nope")
 
 
 def test_transform_before_fit(spark, small):
-    with pytest.raises(ValueError, match="must be fitted"):
+    with pytest.raises(ValueError, match="fitted plan"):
         P.Preprocessing(PLAN, {}, {}, {}).transform(small)
-    with pytest.raises(ValueError, match="No features"):
+    with pytest.raises(ValueError, match="uses no feature"):
         P.fit_preprocessing(small, {"feature1": "drop"}, "target")
 
 
@@ -148,11 +148,23 @@ def test_contract_policy(spark):
     assert p.numeric["acctbal"][0] == 0.0 and p.numeric["avg_total"][0] == 2.0
 
 
-def test_large_vocabulary_is_hashed_whole(spark):
+def test_hashing_is_an_action_of_its_own(spark):
     df = spark.createDataFrame([(i, f"v{i}", i % 2) for i in range(50)], "id bigint, c string, target int")
-    p = P.fit_preprocessing(df, {"c": "embed"}, "target", max_classes=20, hash_size=128)
+    p = P.fit_preprocessing(df, {"c": "hash"}, "target", hash_size=128)
     v = features(p.transform(df))
     assert p.hashed == ["c"] and all(len(r) == 128 and sum(map(abs, r)) == 1 for r in v)
+    p = P.fit_preprocessing(df, {"c": "embed"}, "target")
+    assert p.width == 50 and all(sum(r) == 1 for r in features(p.transform(df)))
+
+
+def test_feature_without_values_keeps_its_block(spark):
+    df = spark.createDataFrame([(i, None, None, "ab"[i % 2], i % 2) for i in range(10)], "id bigint, c string, t string, d string, target int")
+    plan = {"c": "onehot", "d": "onehot", "t": "target_encode"}
+    p = P.fit_preprocessing(df, plan, "target")
+    assert p.width == 4 and [f for f, *_ in p.info()] == ["c", "d", "t"]
+    assert {tuple(r) for r in features(p.transform(df))} == {(0.0, 1.0, 0.0, 0.5), (0.0, 0.0, 1.0, 0.5)}
+    f = S.assign_folds(df, "id", 2)
+    assert [q.width for q in P.fit_folds(f, plan, "target", 2)] == [4, 4]
 
 
 def test_lookup_equals_a_left_join_with_hot_and_null_keys(spark):
@@ -164,13 +176,15 @@ def test_lookup_equals_a_left_join_with_hot_and_null_keys(spark):
     assert got == want and len(got) == len(keys)
 
 
-@pytest.mark.parametrize("small", [0, 1_000_000])
-def test_vocabulary_codes_for_any_size(spark, small):
+@pytest.mark.parametrize("buckets", [1, 8, 50])
+def test_vocabulary_codes_for_any_bucketing(spark, buckets, monkeypatch):
+    monkeypatch.setattr(P, "bucket_target", lambda spark, rows=0: buckets)
+    monkeypatch.setattr(P, "VOCABULARY_SAMPLE", 2)
     words = [f"Customer#{i:05d}" for i in range(0, 900, 7)] + ["Customer#", "Customer#é", "Customer#00007x"]
     nums = [5, -3, 100, 20, 7]
     rows = [("w", w, 1) for w in words] + [("n", str(n), 2) for n in nums] + [("one", "x", 1)]
     df = spark.createDataFrame(rows, "feature string, value string, n bigint")
-    got = {(r["feature"], r["value"]): r["code"] for r in P.vocabulary(df, ["n"], small=small).collect()}
+    got = {(r["feature"], r["value"]): r["code"] for r in P.vocabulary(df, ["n"]).collect()}
     for i, w in enumerate(sorted(words, key=lambda s: s.encode())):
         assert got[("w", w)] == i
     for i, n in enumerate(sorted(nums)):
@@ -196,9 +210,18 @@ def test_target_encoded_feature_in_a_pipeline(spark):
         assert q.encoded["c"][1] == pytest.approx(direct.encoded["c"][1])
 
 
-def test_identifier_is_hashed_without_counting(spark):
-    df = spark.createDataFrame([(i, f"id{i}", "ab"[i % 2], i % 2) for i in range(200)], "id bigint, u string, c string, target int")
-    assert P._likely_small(df, ["u", "c"], 20) == ["c"]
-    f = S.assign_folds(df, "id", 2)
-    for q in P.fit_folds(f, {"u": "embed", "c": "onehot"}, "target", 2, max_classes=20, hash_size=32):
-        assert q.hashed == ["u"] and q.classes == {"c": ["a", "b"]} and q.width == 34
+def test_buckets_are_even_for_values_with_a_common_beginning(spark, monkeypatch):
+    monkeypatch.setattr(P, "bucket_target", lambda spark, rows=0: 16)
+    rows = [("u", f"https://www.example.com/{i:06d}", 1) for i in range(4000)] + [("u", "ftp://x", 1)]
+    df = spark.createDataFrame(rows, "feature string, value string, n bigint")
+    sizes = []
+    plain = P.rank.cumulate
+
+    def spy(counts, by, order, bucket, *a, **k):
+        sizes.extend(r["count"] for r in counts.groupBy(bucket).count().collect())
+        return plain(counts, by, order, bucket, *a, **k)
+
+    monkeypatch.setattr(P.rank, "cumulate", spy)
+    got = {r["value"]: r["code"] for r in P.vocabulary(df).collect()}
+    assert [got[v] for v in sorted(v for _, v, _ in rows)] == list(range(4001))
+    assert max(sizes) < 3 * 4001 / 16
