@@ -128,7 +128,7 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
         shown, at = strings(pa.array([visible(t) for t in raw], pa.large_string()))
         bucket, row = trigrams(shown, at)
         n = np.bincount(row, minlength=len(raw)).astype(np.int64)
-        ll = [np.bincount(row, logs[bucket], len(raw)) for logs in model.value]
+        ll = [np.bincount(row, logs[bucket], len(raw)).astype(np.float64) for logs in model.value]
         flat = np.stack(ll, axis=1).ravel() if ll else np.zeros(0)
         lists = pa.ListArray.from_arrays(np.arange(len(raw) + 1, dtype=np.int32) * len(ll), pa.array(flat))
         cols = [batch.column("page_id"), batch.column("url"), pa.array([declared(t) for t in raw], pa.string()), pa.array(n), lists]

@@ -63,9 +63,11 @@ def test_classes_equal_brute_force(docs_of):
     assert all(r.class_size == sizes[r.class_id] for r in got)
 
 
-def test_large_group_of_chained_copies_is_one_class(docs_of, monkeypatch):
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_large_group_of_chained_copies(docs_of, monkeypatch, few):
     """Neighbours are close, ends are far apart; tiles are smaller than the group."""
     monkeypatch.setattr(near_dedup, "TILE", 8)
+    monkeypatch.setattr(near_dedup, "FEW", few)
     rng = random.Random(2)
     w = [f"w{i}" for i in range(300)]
     rows = []
