@@ -16,7 +16,7 @@ from tabwright.session import settle
 #: Rows of a lookup table that may be broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 400_000
 #: Bytes of text handled by one vectorised step inside a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,8 +22,10 @@ BANDS, ROWS = 36, 5
 #: A pair whose signatures agree in a smaller share of components is not compared further: at
 #: similarity 0.8 that is five standard deviations off.
 LEAST_AGREEMENT = 0.65
-#: Members of a bucket that one tile of comparisons takes.
-TILE = 512
+#: Members of a bucket that one side of a tile of comparisons takes.
+TILE = 1024
+#: Larger buckets are compared exactly in their tiles; of smaller ones the likely pairs are joined to their multisets.
+FEW = 32
 _U = np.uint64
 
 
@@ -84,51 +86,82 @@ def _verified(pairs: DataFrame, items: DataFrame) -> DataFrame:
     return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint, sim double")
 
 
-def _tiles(members: DataFrame, sigs: DataFrame) -> DataFrame:
+def _tiles(members: DataFrame, sigs: DataFrame, threshold: float | None = None) -> DataFrame:
     """Pairs (a, b) of one bucket but of different components whose signatures agree often enough.
 
-    A bucket is cut into blocks of about TILE members; each pair of blocks is a task's
-    group of its own, so that a large bucket spreads out. Only likely pairs leave a task.
+    A bucket is cut into blocks of about TILE members; each pair of blocks is a group
+    of its own, so that a large bucket spreads out. A pair that shares several bands is looked at in the
+    first of them only. With ``threshold`` (``sigs`` then has the multisets too) pairs are compared
+    exactly in their tile, and a tile returns just enough links to join what it finds to be
+    joined: fewer than it has members.
     """
     size = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    size = settle(size.withColumn("blocks", F.ceil(F.col("n") / TILE).cast("int")), "sizes")
+    size = settle(size.select("key", F.ceil(F.col("n") / TILE).cast("int").alias("blocks")), "sizes")
+    carried = [c for c in sigs.columns if c != "node"]
     rows = members.join(size, "key").join(sigs, "node")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.withColumn("block", block).select("key", "node", "root", "sig", "block", other)
-    rows = rows.select("key", "node", "root", "sig", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    rows = rows.withColumn("block", block).select("key", "node", "root", *carried, "block", other)
+    rows = rows.select("key", "node", "root", *carried, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("block", "ascending"), ("node", "ascending")])
         ids, roots, block = (table.column(c).to_numpy() for c in ("node", "root", "block"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(ids), -1)
-        order = np.lexsort((ids, block))
-        ids, roots, block, sig = ids[order], roots[order], block[order], sig[order]
+        items = table.column("items").to_pylist() if threshold is not None else []
+        keys = _band_keys(sig)
+        # the band of this bucket is the one that all members share
+        band = int((keys == keys[0]).all(axis=0).argmax())
         left = np.flatnonzero(block == block[0])
         same_block = len(left) == len(ids)
+        joined = {int(r): int(r) for r in np.unique(roots)}
+
+        def top(r: int) -> int:
+            while joined[r] != r:
+                joined[r] = joined[joined[r]]
+                r = joined[r]
+            return r
+
         a, b = [], []
-        for n, p in enumerate(left):
+        for p in left.tolist():
             rest = np.arange(p + 1, len(ids)) if same_block else np.arange(len(left), len(ids))
             rest = rest[roots[rest] != roots[p]]
-            hit = rest[(sig[rest] == sig[p]).mean(axis=1) >= LEAST_AGREEMENT] if len(rest) else rest
-            a.append(np.full(len(hit), ids[p]))
-            b.append(ids[hit])
-        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
-        return pa.table({"a": np.minimum(a, b).astype(np.int64), "b": np.maximum(a, b).astype(np.int64)})
-
-    return rows.groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
+            if not len(rest):
+                continue
+            rest = rest[(keys[rest] == keys[p]).argmax(axis=1) == band]
+            rest = rest[(sig[rest] == sig[p]).mean(axis=1) >= LEAST_AGREEMENT]
+            for q in rest.tolist():
+                if threshold is not None:
+                    x, y = top(int(roots[p])), top(int(roots[q]))
+                    if x == y or overlap(items[p], items[q]) < threshold:
+                        continue
+                    joined[max(x, y)] = min(x, y)
+                a.append(min(ids[p], ids[q]))
+                b.append(max(ids[p], ids[q]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint")
+
+
+def _band_keys(sig: np.ndarray) -> np.ndarray:
+    """A key per band from the 16 bits of each component that signatures keep."""
+    parts = sig.reshape(len(sig), BANDS, ROWS).astype(_U)
+    key = np.zeros(parts.shape[:2], _U)
+    for j in range(ROWS):
+        key = mix(key * _U(0x9E3779B97F4A7C15) + parts[:, :, j])
+    return key
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, class_id, class_size, n_links, similarity.
+    """One row per document: doc_id, class_id, class_size, kept.
 
     Documents are multisets of their runs of five words (A-Z lower-cased; a shorter text is one run). Two
     different texts are linked if the weighted Jaccard similarity of their multisets is
-    ``threshold`` or more; a class is what links join, and its id the smallest doc_id. ``n_links`` counts
-    verified links of the text's representative, ``similarity`` is the largest of them.
+    ``threshold`` or more; a class is what links join, and its id the smallest doc_id, which is kept.
 
     Texts with the same words are one node. Nodes that
-    share a band of their signatures meet in a bucket. First every member is compared with one
-    of its bucket, which joins groups of near copies by as many comparisons as they have members.
+    share a band of their signatures meet in a bucket. First every member is compared with the one of its
+    bucket that meets most others, which joins most of a group of near copies to its original by as many comparisons as it has members.
     Then members of a bucket that are still in different classes are compared with each other, by
     signature in tiles, and exactly where these are close. So every pair that shares a band is either joined by
     verified links or compared.
@@ -142,9 +175,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = settle(sketch.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "texts")
 
     each = sketch.filter("n_words > 0").select("node", F.explode("bands").alias("key"))
-    shared = each.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot < last")
-    shared = settle(shared.select("key", "pivot"), "buckets")
-    members = settle(each.join(checked_broadcast(shared), "key").select("key", "node", "pivot").distinct(), "members")
+    shared = each.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
+    shared = settle(shared.select("key"), "buckets")
+    members = settle(each.join(checked_broadcast(shared), "key").select("key", "node").distinct(), "members")
+    sizes = settle(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    met = members.join(checked_broadcast(sizes), "key").groupBy("node").agg(F.sum("n").alias("met"))
+    met = settle(met, "met")
+    first = members.join(checked_broadcast(met), "node").groupBy("key").agg(F.max_by("node", F.struct("met", "node")).alias("pivot"))
+    first = settle(first, "pivots")
     involved = settle(members.select("node").distinct().join(texts, "node").select("node", "rep"), "involved")
     sources = keep_rows(rows, involved.select(F.col("rep").alias("doc_id")), "left_semi")
     items = sources.mapInArrow(per_slice(_multisets), "node bigint, items binary")
@@ -152,7 +190,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     if items.count() > involved.count():  # repeated ids
         items = settle(items.dropDuplicates(["node"]), "items")
 
-    pairs = members.filter("node <> pivot").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
+    pairs = members.join(checked_broadcast(first), "key").filter("node <> pivot").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
     tried = settle(_verified(pairs, items), "tried")
     links = tried.filter(F.col("sim") >= threshold)
     roots = settle(components(links), "roots")
@@ -163,21 +201,21 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     if not apart.isEmpty():
         sigs = settle(sketch.join(checked_broadcast(involved.select("node", F.col("rep").alias("doc_id"))), ["node", "doc_id"]).select("node", "sig"), "sigs")
         sigs = sigs.dropDuplicates(["node"])
-        close = _tiles(placed.join(checked_broadcast(apart), "key"), sigs)
+        left = placed.join(checked_broadcast(apart), "key").join(sizes, "key")
+        close = _tiles(left.filter(F.col("n") <= FEW).drop("n"), sigs).distinct()
         close = close.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        more = settle(_verified(close, items).filter(F.col("sim") >= threshold), "tried")
+        found = settle(_verified(close, items).filter(F.col("sim") >= threshold).select("a", "b"), "tried")
+        large = left.filter(F.col("n") > FEW).drop("n")
+        more = found.unionByName(settle(_tiles(large, sigs.join(items, "node"), threshold).distinct(), "tried"))
         if not more.isEmpty():
-            links = links.unionByName(more)
+            links = links.select("a", "b").unionByName(more)
             roots = settle(components(links), "roots")
 
-    ends = links.select(F.col("a").alias("node"), "sim").unionByName(links.select(F.col("b").alias("node"), "sim"))
-    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"), F.max("sim").alias("similarity"))
-    nodes = texts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    nodes = settle(nodes.join(degree, "node", "left"), "nodes")
-    groups = nodes.groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size"))
-    table = settle(nodes.join(settle(groups, "groups"), "root").select("node", "n", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "similarity"), "classes")
+    nodes = settle(texts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "nodes")
+    groups = settle(nodes.groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size")), "groups")
+    table = settle(nodes.join(groups, "root").select("node", "n", "class_id", "class_size"), "classes")
     out = lookup(sketch.select("doc_id", "node"), table, ["node"], "n", "doc_id")
-    return out.select("doc_id", "class_id", "class_size", "n_links", "similarity")
+    return out.select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
 def survivors(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
