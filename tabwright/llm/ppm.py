@@ -20,9 +20,11 @@ ORDER = 5
 #: least often are left to shorter ones beyond that. Levels 0 to 2 hold all (2**24 at most).
 LEVEL_SYMBOLS = 4_000_000
 #: Bytes of text whose words share one table of counts.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 10 << 20
+#: Bytes of text taken at a time: every byte needs some ten numbers meanwhile.
+STEP_BYTES = 1 << 19
 #: Counts that a task holds back before it sends them on.
-HELD = 4_000_000
+HELD = 800_000
 FOLDS = 10
 #: Neither byte occurs in UTF-8: what stands before a text, and its end.
 START, END = 0xFF, 0xFE
@@ -68,43 +70,48 @@ class _Held:
         return keys, np.bincount(where, np.concatenate([c for _, c in self.parts]), len(keys)).astype(np.int64)
 
 
-_SEEN = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("key", pa.int64()), ("n", pa.int64())])
+def _symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, n): how often the training rows of a task have each symbol in its context."""
+    _trie.cache_clear()  # a worker that lives on may hold an earlier model
+    held = _Held()
+    for batch in batches:
+        data, offsets = strings(batch.column("text"))
+        for i, j in slices(offsets, STEP_BYTES):
+            keys, _, _ = framed(lowered(data[offsets[i] : offsets[j]]), offsets[i : j + 1] - offsets[i])
+            held.add(*np.unique(keys, return_counts=True))
+    keys, n = held.summed()
+    for i in range(0, len(keys), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 100_000].astype(np.int64)), pa.array(n[i : i + 100_000])], names=["key", "n"])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (0, null, symbol with context, training count) and (1, chunk, word hash, training count)."""
-    symbols, words = _Held(), {}
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, key, n): the words of each chunk by hash, and how often its training rows have them.
+
+    A chunk's words may come in several parts, each with other rows' counts.
+    """
+    held: dict[int, _Held] = {}
 
-    def out(kind: int, chunk: int | None, found: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        keys, n = found
+    def out(chunk: int) -> Iterator[pa.RecordBatch]:
+        keys, n = held.pop(chunk).summed()
         for i in range(0, len(keys), 100_000):
             k = keys[i : i + 100_000].astype(np.int64)
-            cols = [np.full(len(k), kind, np.int32), pa.array([chunk] * len(k), pa.int64()), k, n[i : i + 100_000]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in cols], schema=_SEEN)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), chunk)), pa.array(k), pa.array(n[i : i + 100_000])], names=["chunk", "key", "n"])
 
     for batch in batches:
         data, offsets = strings(batch.column("text"))
-        train = batch.column("train").to_numpy(zero_copy_only=False)
-        chunks = batch.column("chunk").to_numpy()
-        for i, j in slices(offsets):
-            # rows of a slice are of one chunk
+        train, chunks = batch.column("train").to_numpy(zero_copy_only=False), batch.column("chunk").to_numpy()
+        for i, j in slices(offsets, STEP_BYTES):
             for a, b in _runs(chunks, i, j):
                 some, at = lowered(data[offsets[a] : offsets[b]]), offsets[a : b + 1] - offsets[a]
-                learn = train[a:b]
-                keys, _, rows = framed(some, at)
-                found, n = np.unique(keys[learn[rows]], return_counts=True)
-                symbols.add(found, n)
                 starts, counts = word_starts(some, at)
-                hashes = word_hashes(some, starts)
-                known, where = np.unique(hashes, return_inverse=True)
-                seen = np.bincount(where, learn[row_index(counts)].astype(np.float64), len(known)).astype(np.int64)
+                known, where = np.unique(word_hashes(some, starts), return_inverse=True)
+                seen = np.bincount(where, train[a:b][row_index(counts)].astype(np.float64), len(known)).astype(np.int64)
                 chunk = int(chunks[a])
-                for other in [c for c in words if c != chunk] if chunk not in words and len(words) > 3 else []:
-                    yield from out(1, other, words.pop(other).summed())
-                words.setdefault(chunk, _Held()).add(known, seen)
-    for chunk, held in words.items():
-        yield from out(1, chunk, held.summed())
-    yield from out(0, None, symbols.summed())
+                if chunk not in held and len(held) > 2:  # rows come file by file: the oldest chunk is done
+                    yield from out(next(iter(held)))
+                held.setdefault(chunk, _Held()).add(known, seen)
+    for chunk in list(held):
+        yield from out(chunk)
 
 
 def _runs(chunks: np.ndarray, i: int, j: int) -> Iterator[tuple[int, int]]:
@@ -134,9 +141,9 @@ class Trie:
         self.top = top
 
     def _hash(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.bits = max(4, (2 * len(keys)).bit_length())
+        self.bits = max(4, (3 * len(keys) // 2).bit_length())
         size = 1 << self.bits
-        self.slot_key, self.slot_value = np.full(size, _U(2**64 - 1)), np.zeros(size)
+        self.slot_key, self.slot_value = np.full(size, _U(2**64 - 1)), np.zeros(size, np.float64)
         todo, at = np.arange(len(keys)), self._slot(keys)
         while len(todo):
             free = self.slot_key[at[todo]] == _U(2**64 - 1)
@@ -218,17 +225,18 @@ def _trie(held) -> Trie:
 def _levels(symbols: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
     """The counts of all levels, from the counts (key, n) of the longest contexts."""
     out: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    level = symbols
     for k in range(ORDER, 1, -1):
         # a key has ORDER + 1 bytes: a long holds it
-        level = symbols.groupBy(F.col("key").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1)).alias("key")).agg(F.sum("n").alias("n"))
-        if k > 2:
-            level = settle(level, "level")
-            if level.count() > LEVEL_SYMBOLS:
-                ctx = F.shiftright("key", 8)
-                mass = level.groupBy(ctx.alias("ctx")).agg(F.sum("n").alias("mass"), F.count(F.lit(1)).alias("kinds"))
-                few = mass.select("ctx", "mass", "kinds").orderBy(F.desc("mass"), "ctx").limit(LEVEL_SYMBOLS // 4)
-                level = level.join(few, ctx == F.col("ctx")).select("key", "n").orderBy(F.desc("mass"), "ctx", "key").limit(LEVEL_SYMBOLS)
-        got = level.select("key", "n").toArrow()
+        level = level.groupBy(F.col("key").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1)).alias("key")).agg(F.sum("n").alias("n"))
+        level = settle(level, "level")
+        kept = level
+        if k > 2 and level.count() > LEVEL_SYMBOLS:
+            ctx = F.shiftright("key", 8)
+            mass = level.groupBy(ctx.alias("ctx")).agg(F.sum("n").alias("mass"))
+            few = mass.orderBy(F.desc("mass"), "ctx").limit(LEVEL_SYMBOLS // 4)
+            kept = level.join(few, ctx == F.col("ctx")).orderBy(F.desc("mass"), "ctx", "key").limit(LEVEL_SYMBOLS)
+        got = kept.select("key", "n").toArrow()
         keys, n = got.column("key").to_numpy().astype(_U), got.column("n").to_numpy()
         order = np.argsort(keys)
         out[k] = keys[order], n[order]
@@ -248,9 +256,9 @@ def score(docs: DataFrame) -> DataFrame:
     log10 probability of the text and its end under the byte trie, with escapes and
     exclusion. ``base_score`` sums smoothed unigram log10 probabilities of words and the end token.
 
-    One pass counts symbols and, per chunk of neighbouring rows, words by 64-bit hash (two of ten
+    One pass counts symbols and one, per chunk of neighbouring rows, words by 64-bit hash (two of ten
     million words share one with probability 3e-6). Word counts are added over all chunks
-    and sent back to the chunks that have the word; a second pass scores each chunk with its own
+    and sent back to the chunks that have the word; a last pass scores each chunk with its own
     table. Nothing of the size of the vocabulary is broadcast, only the bounded trie.
 
     Null and empty texts are scored by their end alone. Repeated rows count as often as they occur. A null
@@ -263,16 +271,16 @@ def score(docs: DataFrame) -> DataFrame:
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
     per_chunk = max(1, int(CHUNK_BYTES / max(1.0, size["b"] / max(1, size["n"]))))
     rows = rows.withColumn("chunk", F.xxhash64("_file", F.floor(F.col("_row") / per_chunk)))
-    seen = rows.select("text", (~F.col("held_out")).alias("train"), "chunk").mapInArrow(_count, "kind int, chunk bigint, key bigint, n bigint")
-    seen = settle(seen, "seen")
-    trie = spark.sparkContext.broadcast(_levels(seen.filter("kind = 0").select("key", "n")))
-    words = seen.filter("kind = 1")
+    learned = rows.filter(~F.col("held_out")).select("text").mapInArrow(_symbols, "key bigint, n bigint")
+    trie = spark.sparkContext.broadcast(_levels(learned))
+    words = rows.select("text", (~F.col("held_out")).alias("train"), "chunk").mapInArrow(_words, "chunk bigint, key bigint, n bigint")
+    words = settle(words, "words")
     counts = settle(words.groupBy("key").agg(F.sum("n").alias("c")), "words")
     ends = rows.filter(~F.col("held_out")).count()
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
     total, kinds = int(sums["n"]) + ends, int(sums["v"]) + (ends > 0)
     base = math.log10(total + 0.1 * (kinds + 1))
-    table = words.select("chunk", "key").distinct().join(counts, "key").select("chunk", "key", "c")
+    table = words.select("chunk", "key").join(counts, "key").select("chunk", "key", "c")
     texts = rows.select("chunk", "doc_id", "held_out", "text")
 
     def run(left: pa.Table, right: pa.Table) -> Iterator[pa.Table] | pa.Table:
@@ -283,7 +291,7 @@ def score(docs: DataFrame) -> DataFrame:
         value = np.log10(c + 0.1) - base
         data, offsets = strings(left.column("text"))
         n_tokens, n_known, plain, deep = ([] for _ in range(4))
-        for i, j in slices(offsets):
+        for i, j in slices(offsets, STEP_BYTES):
             some, at = lowered(data[offsets[i] : offsets[j]]), offsets[i : j + 1] - offsets[i]
             starts, per_row = word_starts(some, at)
             where, row = np.searchsorted(keys, word_hashes(some, starts)), row_index(per_row)
