@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.base import text_of
+from tabwright.session import settle
 
 #: What carries no target of its own.
 OTHER = "(other)"
@@ -39,11 +40,14 @@ def tempered(mass: Mapping[str, float], power: float) -> dict[str, float]:
     return {k: v / sum(up.values()) for k, v in up.items()}
 
 
-def fit(mass: np.ndarray, targets: Sequence[np.ndarray], rounds: int = 500, tol: float = 1e-10) -> np.ndarray:
-    """Rake a table of masses until its marginals have the target shares.
+def fit(
+    mass: np.ndarray, targets: Sequence[np.ndarray], cap: np.ndarray | None = None, rounds: int = 2000, tol: float = 1e-10
+) -> np.ndarray:
+    """Rake a table of masses until its marginals have the target shares, no cell above its ``cap``.
 
-    A target of a value without mass is spread over the others. Where the targets
-    contradict each other (empty cells), the last round's table is the answer.
+    A target of a value without mass is spread over the others. What a full cell cannot
+    give, the other cells of its row and column give. Where the targets contradict each other
+    or the caps, the last round's table is the answer.
     """
     table = mass / mass.sum()
     goals = []
@@ -59,6 +63,8 @@ def fit(mass: np.ndarray, targets: Sequence[np.ndarray], rounds: int = 500, tol:
             worst = max(worst, float(np.abs(now - goal).max()))
             step = np.divide(goal, now, out=np.zeros_like(goal), where=now > 0)
             table = table * np.expand_dims(step, others)
+        if cap is not None:
+            table = np.minimum(table, cap)
         if worst < tol:
             break
     return table
@@ -77,9 +83,9 @@ def mix(
     (values not named together form one more, whose target is what is left to 1) or a
     power of the observed token masses. Cell masses come from one grouped aggregation; only values
     with a target have cells of their own, so the fitted table is bounded by the targets.
-    ``weight`` is the fitted share of a cell over its observed share. A row is kept
-    with ``probability`` = ``share`` of all tokens times that weight, 1 at most, by a number drawn
-    from its id; what a cell cannot give is taken from the others by a common factor.
+    ``weight`` is the fitted share of a cell over its observed share, as large as rows last: a cell
+    cannot give more than it has. A row is kept with ``probability`` = ``share`` of all tokens
+    times that weight, by a number drawn from its id.
 
     A null value of a marginal is a value of its own, as text '(null)'. Rows without
     tokens have no mass and get their cell's probability, or ``share`` if it has none.
@@ -91,20 +97,23 @@ def mix(
     text = text_of() if "text" in docs.columns else F.lit("")
     rows = docs.withColumn("n_tokens", n_tokens(text) if tokens is None else tokens)
     label = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("(null)"))
+    # the one pass over the texts that the fit needs
+    masses = rows.groupBy(*[label(c).alias(c) for c in names]).agg(F.sum("n_tokens").alias("n_tokens"))
+    masses = settle(masses, "masses")
     goals: dict[str, dict[str, float]] = {}
     for c in names:
         goal = targets[c]
         if not isinstance(goal, Mapping):
-            seen = rows.groupBy(label(c).alias("v")).agg(F.sum("n_tokens").alias("m")).orderBy(F.desc("m"), "v").limit(MAX_VALUES + 1).collect()
+            seen = masses.groupBy(label(c).alias("v")).agg(F.sum("n_tokens").alias("m")).orderBy(F.desc("m"), "v").limit(MAX_VALUES + 1).collect()
             if len(seen) > MAX_VALUES:
                 raise ValueError(f"{c} has more than {MAX_VALUES} values: give their targets")
             goal = tempered({r["v"]: r["m"] for r in seen}, float(goal))
         goals[c] = dict(goal)
     values = {c: [*sorted(goals[c]), OTHER] for c in names}
     cell = {c: F.when(label(c).isin(values[c][:-1]), label(c)).otherwise(F.lit(OTHER)) if goals[c] else F.lit(OTHER) for c in names}
-    rows = rows.withColumns({f"_{i}": cell[c] for i, c in enumerate(names)})
-    keys = [f"_{i}" for i in range(len(names))]
-    got = rows.groupBy(*keys).agg(F.sum("n_tokens").alias("m")).filter("m > 0").collect()
+    cells_of = {f"_{i}": cell[c] for i, c in enumerate(names)}
+    rows, keys = rows.withColumns(cells_of), list(cells_of)
+    got = masses.withColumns(cells_of).groupBy(*keys).agg(F.sum("n_tokens").alias("m")).filter("m > 0").collect()
     mass = np.zeros([len(values[c]) for c in names])
     place = [{v: i for i, v in enumerate(values[c])} for c in names]
     for r in got:
@@ -113,8 +122,9 @@ def mix(
     cells = []
     if got:
         want = [np.array([*(goals[c][v] for v in values[c][:-1]), max(0.0, 1.0 - sum(goals[c].values()))]) for c in names]
-        ratio = np.divide(fit(mass, want), mass / mass.sum(), out=np.zeros_like(mass), where=mass > 0)
-        p = probabilities(ratio, mass, share)
+        observed = mass / mass.sum()
+        ratio = np.divide(fit(mass, want, observed / share), observed, out=np.zeros_like(mass), where=mass > 0)
+        p = np.minimum(1.0, share * ratio)
         for at in np.argwhere(mass > 0):
             i = tuple(at)
             cells.append((*(values[c][j] for c, j in zip(names, i, strict=True)), float(ratio[i]), float(p[i])))
@@ -123,20 +133,3 @@ def mix(
     draw = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")) / 2.0**64 + 0.5
     rows = rows.fillna({"weight": 1.0, "probability": share})
     return rows.withColumn("kept", draw < F.col("probability"))
-
-
-def probabilities(ratio: np.ndarray, mass: np.ndarray, share: float) -> np.ndarray:
-    """Keep probabilities proportional to ``ratio``, 1 at most, that keep ``share`` of the mass on average."""
-    p, total = np.zeros_like(mass), share * mass.sum()
-    free = (mass > 0) & (ratio > 0)
-    full = np.zeros_like(free)
-    while True:
-        rest, base = total - mass[full].sum(), (mass * ratio)[free & ~full].sum()
-        scale = rest / base if base > 0 else 0.0
-        over = free & ~full & (scale * ratio >= 1.0)
-        if not over.any():
-            break
-        full |= over
-    p[free & ~full] = scale * ratio[free & ~full]
-    p[full] = 1.0
-    return p
