@@ -49,6 +49,8 @@ class Model:
     weights: tuple[float, ...]
     #: intercept, and coefficients of weight per window, of windows past the thresholds of two and three bytes, of all windows
     coef: tuple[float, ...]
+    #: share of toxic documents among the labelled ones, for texts without any word
+    prior: float
 
 
 @lru_cache(maxsize=4)
@@ -126,8 +128,12 @@ def rising(values: np.ndarray, mass: np.ndarray) -> np.ndarray:
     return np.repeat([b[0] for b in blocks], [int(b[2]) for b in blocks])
 
 
-def calibrate(h: np.ndarray, y: np.ndarray) -> tuple[tuple[float, ...], tuple[float, ...]]:
-    """Weights of the window thresholds and the logistic fit over them."""
+def calibrate(h: np.ndarray, y: np.ndarray, prior: float) -> tuple[tuple[float, ...], tuple[float, ...]]:
+    """Weights of the window thresholds and the logistic fit over them.
+
+    The sample holds as many documents of either class as the bounds allow; the intercept
+    is set for a share of ``prior`` toxic ones.
+    """
     pooled = (h.sum(axis=0) + 0.01) / (h.sum() + 0.01 * h.shape[1])
     both = [(h[y == c].sum(axis=0) + 20 * pooled) / (h[y == c].sum() + 20) for c in (0, 1)]
     weights = rising(np.log(both[1] / both[0]), pooled)  # a larger saving never speaks against toxicity
@@ -139,6 +145,7 @@ def calibrate(h: np.ndarray, y: np.ndarray) -> tuple[tuple[float, ...], tuple[fl
         beta += step
         if np.abs(step).max() < 1e-8:
             break
+    beta[0] += np.log(prior / (1 - prior)) - np.log(y.mean() / (1 - y.mean()))
     return tuple(weights.tolist()), tuple(beta.tolist())
 
 
@@ -204,8 +211,10 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, cali
     seen = held.select("toxic", "text").mapInArrow(run, "toxic int, h array<bigint>").collect()
     if len({r["toxic"] for r in seen}) < 2:
         return None
-    weights, coef = calibrate(np.array([r["h"] for r in seen], float), np.array([r["toxic"] for r in seen], float))
-    return Model(ordinary, toxic, weights, coef)
+    known = labels.filter(F.col("toxic").isin(0, 1) & (crc_fold(FOLDS) != 0))
+    prior = known.agg((F.sum("toxic") / F.count(F.lit(1))).alias("p")).first()["p"]
+    weights, coef = calibrate(np.array([r["h"] for r in seen], float), np.array([r["toxic"] for r in seen], float), prior)
+    return Model(ordinary, toxic, weights, coef, prior)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -229,7 +238,8 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 h = [histogram(t.as_py() or "", model.ordinary, model.toxic) for t in batch.column("text")]
                 h = np.array(h, float).reshape(-1, HIGH - LOW + 1)
                 logit = _features(h, np.array(model.weights)) @ np.array(model.coef)
-                p, n = 1 / (1 + np.exp(-np.clip(logit, -500, 500))), h.sum(axis=1).astype(np.int64)
+                n = h.sum(axis=1).astype(np.int64)
+                p = np.where(n > 0, 1 / (1 + np.exp(-np.clip(logit, -500, 500))), model.prior)
             cols = [*batch.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array(n)]
             yield pa.RecordBatch.from_arrays(cols, names=[*names, "score", "predicted", "n_windows"])
 
