@@ -19,7 +19,7 @@ def _apart(docs: DataFrame, taken: tuple[str, ...], stage) -> DataFrame:
     """``stage(docs)`` with columns whose names the stage's operator takes for its own put aside meanwhile."""
     clash = [c for c in docs.columns if c.lower() in taken]
     aside = docs.withColumnsRenamed({c: f"_aside_{i}" for i, c in enumerate(clash)})
-    back = stage(aside).withColumnsRenamed({f"_aside_{i}": c for i, c in enumerate(clash)})
+    back = stage(aside).drop(*taken).withColumnsRenamed({f"_aside_{i}": c for i, c in enumerate(clash)})
     return back.select(*docs.columns)
 
 
