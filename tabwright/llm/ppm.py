@@ -8,18 +8,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.base import crc_fold, lowered, positioned, row_index, slices, strings, text_of, word_hashes, word_starts
+from tabwright.llm.base import crc_fold, lowered, mix, positioned, row_index, slices, strings, text_of, word_hashes, word_starts
 from tabwright.session import settle
 
 #: Bytes of context.
 ORDER = 5
-#: Symbols with context that a level above the second may hold: the longest contexts seen
-#: least often are left to shorter ones beyond that. Levels 0 to 2 hold all (2**24 at most).
-LEVEL_SYMBOLS = 4_000_000
-#: Bytes of text whose words share one table of counts.
+#: Levels up to this one are broadcast: all their symbols, 2**24 at most. Longer contexts stay in Spark tables.
+LOW = 2
+#: Groups that the contexts of LOW + 1 bytes are dealt to: so many at least, and one per so many bytes of text.
+GROUPS, GROUP_BYTES = 1024, 4 << 20
+#: Bytes of text whose words and symbols share one table.
 CHUNK_BYTES = 10 << 20
 #: Bytes of text taken at a time: every byte needs some ten numbers meanwhile.
 STEP_BYTES = 1 << 19
@@ -54,14 +56,15 @@ class _Held:
     """Counts by key, summed now and then."""
 
     def __init__(self):
-        self.parts, self.size = [], 0
+        self.parts, self.size, self.enough = [], 0, HELD
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.parts.append((keys, counts))
         self.size += len(keys)
-        if self.size > HELD and len(self.parts) > 1:
+        if self.size > self.enough:
             self.parts = [self.summed()]
             self.size = len(self.parts[0][0])
+            self.enough = max(HELD, 2 * self.size)
 
     def summed(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.parts:
@@ -70,48 +73,100 @@ class _Held:
         return keys, np.bincount(where, np.concatenate([c for _, c in self.parts]), len(keys)).astype(np.int64)
 
 
-def _symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, n): how often the training rows of a task have each symbol in its context."""
-    _trie.cache_clear()  # a worker that lives on may hold an earlier model
-    held = _Held()
-    for batch in batches:
-        data, offsets = strings(batch.column("text"))
-        for i, j in slices(offsets, STEP_BYTES):
-            keys, _, _ = framed(lowered(data[offsets[i] : offsets[j]]), offsets[i : j + 1] - offsets[i])
-            held.add(*np.unique(keys, return_counts=True))
-    keys, n = held.summed()
-    for i in range(0, len(keys), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 100_000].astype(np.int64)), pa.array(n[i : i + 100_000])], names=["key", "n"])
+def _pack(x: np.ndarray) -> bytes:
+    """8-byte numbers compressed byte plane by byte plane."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes())
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, key, n): the words of each chunk by hash, and how often its training rows have them.
+def _unpack(raw: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
-    A chunk's words may come in several parts, each with other rows' counts.
-    """
-    held: dict[int, _Held] = {}
 
-    def out(chunk: int) -> Iterator[pa.RecordBatch]:
-        keys, n = held.pop(chunk).summed()
-        for i in range(0, len(keys), 100_000):
-            k = keys[i : i + 100_000].astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), chunk)), pa.array(k), pa.array(n[i : i + 100_000])], names=["chunk", "key", "n"])
+def _keys_of(packed: list[bytes]) -> list[np.ndarray]:
+    return [np.cumsum(_unpack(x, _U), dtype=_U) for x in packed]
+
 
+def _joined(parts: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(chunk, bytes, offsets, train) of runs of rows of one chunk."""
     for batch in batches:
         data, offsets = strings(batch.column("text"))
         train, chunks = batch.column("train").to_numpy(zero_copy_only=False), batch.column("chunk").to_numpy()
         for i, j in slices(offsets, STEP_BYTES):
             for a, b in _runs(chunks, i, j):
-                some, at = lowered(data[offsets[a] : offsets[b]]), offsets[a : b + 1] - offsets[a]
-                starts, counts = word_starts(some, at)
-                known, where = np.unique(word_hashes(some, starts), return_inverse=True)
-                seen = np.bincount(where, train[a:b][row_index(counts)].astype(np.float64), len(known)).astype(np.int64)
-                chunk = int(chunks[a])
-                if chunk not in held and len(held) > 2:  # rows come file by file: the oldest chunk is done
-                    yield from out(next(iter(held)))
-                held.setdefault(chunk, _Held()).add(known, seen)
+                yield int(chunks[a]), lowered(data[offsets[a] : offsets[b]]), offsets[a : b + 1] - offsets[a], train[a:b]
+
+
+def _by_chunk(steps: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(chunk, keys, counts) added up; those of a chunk may come in several parts."""
+    held: dict[int, _Held] = {}
+    for chunk, keys, counts in steps:
+        if chunk not in held and len(held) > 2:  # rows come file by file: the oldest chunk is done
+            old = next(iter(held))
+            yield old, *held.pop(old).summed()
+        held.setdefault(chunk, _Held()).add(keys, counts)
     for chunk in list(held):
-        yield from out(chunk)
+        yield chunk, *held.pop(chunk).summed()
+
+
+def _counts_in(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    known, where = np.unique(keys, return_inverse=True)
+    return known, np.bincount(where, train.astype(np.float64), len(known)).astype(np.int64)
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, low, key, n): the words of each chunk by hash, and how often its training rows have them; and the symbols of level LOW."""
+    _low.cache_clear()  # a worker that lives on may hold an earlier model
+    low = _Held()
+
+    def steps() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for chunk, data, offsets, train in _steps(batches):
+            starts, counts = word_starts(data, offsets)
+            yield chunk, *_counts_in(word_hashes(data, starts), train[row_index(counts)])
+            keys, _, row = framed(data, offsets)
+            keys, n = np.unique((keys[train[row]] & _U((1 << (8 * (LOW + 1))) - 1)).astype(np.uint32), return_counts=True)
+            low.add(keys.astype(_U), n)
+
+    def out(chunk: int, keys: np.ndarray, n: np.ndarray, is_low: bool) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(keys), 100_000):
+            k = keys[i : i + 100_000].astype(np.int64)
+            cols = [pa.array(np.full(len(k), chunk)), pa.array(np.full(len(k), is_low)), pa.array(k), pa.array(n[i : i + 100_000])]
+            yield pa.RecordBatch.from_arrays(cols, names=["chunk", "low", "key", "n"])
+
+    for chunk, keys, n in _by_chunk(steps()):
+        yield from out(chunk, keys, n, False)
+    yield from out(0, *low.summed(), True)
+
+
+def _symbols(groups: int):
+    """(bucket, chunk, keys, n): the symbols of each chunk, and how often its training rows have them, packed by group of contexts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def steps() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+            for chunk, data, offsets, train in _steps(batches):
+                keys, _, row = framed(data, offsets)
+                yield chunk, *_counts_in(keys, train[row])
+
+        for chunk, keys, n in _by_chunk(steps()):
+            bucket = (mix((keys >> _U(8)) & _U((1 << (8 * (LOW + 1))) - 1)) % _U(groups)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")  # keys stay in order
+            keys, n, bucket = keys[order], n[order], bucket[order]
+            cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+            for i in range(0, len(cuts) - 1, 1000):
+                spans = list(zip(cuts[i : i + 1000].tolist(), cuts[i + 1 : i + 1001].tolist(), strict=False))
+                cols = [
+                    pa.array(bucket[[a for a, _ in spans]]),
+                    pa.array(np.full(len(spans), chunk)),
+                    pa.array([_pack(np.diff(keys[a:b], prepend=_U(0))) for a, b in spans], pa.binary()),
+                    pa.array([_pack(n[a:b]) for a, b in spans], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(cols, names=["bucket", "chunk", "keys", "n"])
+
+    return run
 
 
 def _runs(chunks: np.ndarray, i: int, j: int) -> Iterator[tuple[int, int]]:
@@ -120,13 +175,19 @@ def _runs(chunks: np.ndarray, i: int, j: int) -> Iterator[tuple[int, int]]:
 
 
 class Trie:
-    """Counts of symbols after contexts of 0 to ORDER bytes, ready to look up."""
+    """Counts of symbols after contexts of 0 to ORDER bytes, ready to look up.
 
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]):
-        self.keys = [k for k, _ in levels]
-        self.counts = [c.astype(np.float64) for _, c in levels]
-        self.contexts, self.total, self.kinds, self.below = [], [], [], []
+    With ``low``, a trie of the lowest levels, ``levels`` are those above it.
+    """
+
+    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], low: Trie | None = None):
+        first = len(low.keys) if low else 0
+        self.keys = [*(low.keys if low else ()), *(k for k, _ in levels)]
+        self.counts = [*(low.counts if low else ()), *(c.astype(np.float64) for _, c in levels)]
+        self.contexts, self.total, self.kinds, self.below = ([*getattr(low, x)] if low else [] for x in ("contexts", "total", "kinds", "below"))
         for k, (keys, counts) in enumerate(zip(self.keys, self.counts, strict=True)):
+            if k < first:
+                continue
             ctx, where = np.unique(keys >> _U(8), return_inverse=True)
             self.contexts.append(ctx)
             self.total.append(np.bincount(where, counts, len(ctx)))
@@ -134,7 +195,7 @@ class Trie:
             # mass that the symbols seen here have one level down, where they are excluded
             mass = self._count(k - 1, keys & _U((1 << (8 * k)) - 1)) if k else np.zeros(len(keys))
             self.below.append(np.bincount(where, mass, len(ctx)))
-        top = len(levels) - 1
+        top = len(self.keys) - 1
         at = np.searchsorted(self.contexts[top], self.keys[top] >> _U(8))
         whole = self.total[top] + self.kinds[top]
         self._hash(self.keys[top], np.log10(self.counts[top] / whole[at]) if len(at) else np.zeros(0))
@@ -218,32 +279,52 @@ class Trie:
 
 
 @lru_cache(maxsize=1)
-def _trie(held) -> Trie:
+def _low(held) -> Trie:
     return Trie(held.value)
 
 
-def _levels(symbols: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The counts of all levels, from the counts (key, n) of the longest contexts."""
-    out: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    level = symbols
-    for k in range(ORDER, 1, -1):
-        # a key has ORDER + 1 bytes: a long holds it
-        level = level.groupBy(F.col("key").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1)).alias("key")).agg(F.sum("n").alias("n"))
-        level = settle(level, "level")
-        kept = level
-        if k > 2 and level.count() > LEVEL_SYMBOLS:
-            ctx = F.shiftright("key", 8)
-            mass = level.groupBy(ctx.alias("ctx")).agg(F.sum("n").alias("mass"))
-            few = mass.orderBy(F.desc("mass"), "ctx").limit(LEVEL_SYMBOLS // 4)
-            kept = level.join(few, ctx == F.col("ctx")).orderBy(F.desc("mass"), "ctx", "key").limit(LEVEL_SYMBOLS)
-        got = kept.select("key", "n").toArrow()
-        keys, n = got.column("key").to_numpy().astype(_U), got.column("n").to_numpy()
-        order = np.argsort(keys)
-        out[k] = keys[order], n[order]
-    for k in (1, 0):
-        keys, where = np.unique(out[k + 1][0] & _U((1 << (8 * (k + 1))) - 1), return_inverse=True)
-        out[k] = keys, np.bincount(where, out[k + 1][1], len(keys))
-    return [out[k] for k in range(ORDER + 1)]
+def _levels(keys: np.ndarray, n: np.ndarray, top: int, last: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The counts of levels ``last`` to ``top``, from those of level ``top`` (sorted keys)."""
+    out = [(keys, n)]
+    for k in range(top - 1, last - 1, -1):
+        up, c = out[-1]
+        keys, where = np.unique(up & _U((1 << (8 * (k + 1))) - 1), return_inverse=True)
+        out.append((keys, np.bincount(where, c, len(keys))))
+    return out[::-1]
+
+
+def _low_levels(level: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The counts of levels 0 to LOW, from the counts (key, n) of level LOW."""
+    got = level.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    keys, n = got.column("key").to_numpy().astype(_U), got.column("n").to_numpy()
+    order = np.argsort(keys)
+    return _levels(keys[order], n[order], LOW, 0)
+
+
+def _valued(symbols: DataFrame, low: DataFrame) -> DataFrame:
+    """(chunk, keys, logs, place): the log10 probabilities of each chunk's symbols after their contexts.
+
+    All that a symbol's escapes may come to has the same LOW + 1 bytes of context or fewer. So ``symbols`` are
+    grouped by these bytes, and each group is scored by a trie of its own above the broadcast levels.
+    """
+    held = symbols.sparkSession.sparkContext.broadcast(_low_levels(low))
+
+    def run(table: pa.Table) -> pa.Table:
+        packed = table.column("keys").to_pylist()
+        parts = _keys_of(packed)
+        n = np.concatenate([_unpack(x, np.int64) for x in table.column("n").to_pylist()])
+        keys, where = np.unique(np.concatenate(parts), return_inverse=True)
+        n = np.bincount(where, n, len(keys)).astype(np.int64)
+        value = Trie(_levels(keys[n > 0], n[n > 0], ORDER, LOW + 1), _low(held)).log10(keys)[where]
+        logs, place, at = [], [], 0
+        for part in parts:
+            u, inverse = np.unique(value[at : at + len(part)], return_inverse=True)
+            at += len(part)
+            logs.append(_pack(u))
+            place.append(_pack(inverse.astype(np.int64)))
+        return pa.table({"chunk": table.column("chunk"), "keys": pa.array(packed, pa.binary()), "logs": pa.array(logs, pa.binary()), "place": pa.array(place, pa.binary())})
+
+    return symbols.groupBy("bucket").applyInArrow(run, "chunk bigint, keys binary, logs binary, place binary")
 
 
 _SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -256,10 +337,11 @@ def score(docs: DataFrame) -> DataFrame:
     log10 probability of the text and its end under the byte trie, with escapes and
     exclusion. ``base_score`` sums smoothed unigram log10 probabilities of words and the end token.
 
-    One pass counts symbols and one, per chunk of neighbouring rows, words by 64-bit hash (two of ten
-    million words share one with probability 3e-6). Word counts are added over all chunks
-    and sent back to the chunks that have the word; a last pass scores each chunk with its own
-    table. Nothing of the size of the vocabulary is broadcast, only the bounded trie.
+    Two passes count, per chunk of neighbouring rows, words by 64-bit hash (two of ten million words share one with
+    probability 3e-6) and symbols with their contexts. Counts are added over all chunks; what a symbol or word
+    adds to a score is sent back to the chunks that have it, and a last pass scores each chunk with its own
+    table. All contexts count, however many there are. Nothing of the size of the vocabulary or of the longer contexts is
+    broadcast, only the counts after up to LOW bytes.
 
     Null and empty texts are scored by their end alone. Repeated rows count as often as they occur. A null
     id has the fold of the empty text. Other columns are ignored. Empty tables give no rows; without
@@ -271,35 +353,43 @@ def score(docs: DataFrame) -> DataFrame:
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
     per_chunk = max(1, int(CHUNK_BYTES / max(1.0, size["b"] / max(1, size["n"]))))
     rows = rows.withColumn("chunk", F.xxhash64("_file", F.floor(F.col("_row") / per_chunk)))
-    learned = rows.filter(~F.col("held_out")).select("text").mapInArrow(_symbols, "key bigint, n bigint")
-    trie = spark.sparkContext.broadcast(_levels(learned))
-    words = rows.select("text", (~F.col("held_out")).alias("train"), "chunk").mapInArrow(_words, "chunk bigint, key bigint, n bigint")
-    words = settle(words, "words")
+    groups = max(GROUPS, int(size["b"]) // GROUP_BYTES)
+    learned = rows.select("text", (~F.col("held_out")).alias("train"), "chunk")
+    parts = settle(learned.mapInArrow(_words, "chunk bigint, low boolean, key bigint, n bigint"), "words")
+    words = parts.filter("not low").select("chunk", "key", "n")
     counts = settle(words.groupBy("key").agg(F.sum("n").alias("c")), "words")
     ends = rows.filter(~F.col("held_out")).count()
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
     total, kinds = int(sums["n"]) + ends, int(sums["v"]) + (ends > 0)
     base = math.log10(total + 0.1 * (kinds + 1))
-    table = words.select("chunk", "key").join(counts, "key").select("chunk", "key", "c")
+    deep = _valued(learned.mapInArrow(_symbols(groups), "bucket bigint, chunk bigint, keys binary, n binary"), parts.filter("low").select("key", "n"))
+    table = words.select("chunk", "key").join(counts, "key").select("chunk", "key", "c").unionByName(deep, allowMissingColumns=True)
     texts = rows.select("chunk", "doc_id", "held_out", "text")
 
     def run(left: pa.Table, right: pa.Table) -> Iterator[pa.Table] | pa.Table:
-        model = _trie(trie)
-        keys = right.column("key").to_numpy().astype(_U)
-        order = np.argsort(keys)
-        keys, c = keys[order], right.column("c").to_numpy()[order]
+        plain_rows = right.filter(right.column("keys").is_null())
+        known, c = plain_rows.column("key").to_numpy().astype(_U), plain_rows.column("c").to_numpy()
+        order = np.argsort(known)
+        known, c = known[order], c[order]
+        packed = right.filter(right.column("keys").is_valid())
+        symbols = _joined(_keys_of(packed.column("keys").to_pylist()), _U)
+        pairs = zip(packed.column("logs").to_pylist(), packed.column("place").to_pylist(), strict=True)
+        logs = _joined([_unpack(u, np.float64)[_unpack(i, np.int64)] for u, i in pairs], np.float64)
+        order = np.argsort(symbols)
+        symbols, logs = symbols[order], logs[order]
         value = np.log10(c + 0.1) - base
         data, offsets = strings(left.column("text"))
         n_tokens, n_known, plain, deep = ([] for _ in range(4))
         for i, j in slices(offsets, STEP_BYTES):
             some, at = lowered(data[offsets[i] : offsets[j]]), offsets[i : j + 1] - offsets[i]
             starts, per_row = word_starts(some, at)
-            where, row = np.searchsorted(keys, word_hashes(some, starts)), row_index(per_row)
+            where, row = np.searchsorted(known, word_hashes(some, starts)), row_index(per_row)
             n_tokens.append(per_row + 1)
             n_known.append(np.bincount(row, c[where] > 0, j - i).astype(np.int64) + (ends > 0))
             plain.append(np.bincount(row, value[where], j - i) + math.log10(ends + 0.1) - base)
-            symbols, _, row = framed(some, at)
-            deep.append(np.bincount(row, model.log10(symbols), j - i))
+            own, _, row = framed(some, at)
+            own, where = np.unique(own, return_inverse=True)
+            deep.append(np.bincount(row, logs[np.searchsorted(symbols, own)][where], j - i))
         cols = [np.concatenate(x) for x in (n_tokens, n_known, plain, deep)]
         kinds_ = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
         arrays = [pa.array(x, t) for x, t in zip(cols, kinds_, strict=True)]

@@ -77,6 +77,15 @@ def test_equals_brute_force(docs_of, rows, monkeypatch, chunk):
         assert r.score == pytest.approx(deep, abs=1e-9), i
 
 
+def test_no_context_is_left_out_however_many_there_are(docs_of, rows, monkeypatch):
+    """Every level holds far more symbols than a level once could hold."""
+    monkeypatch.setattr(ppm, "LEVEL_SYMBOLS", 40, raising=False)
+    monkeypatch.setattr(ppm, "GROUPS", 3, raising=False)
+    got = {r.doc_id: r.score for r in ppm.score(docs_of([(i, t, "en", "s", 0) for i, t in rows])).collect()}
+    for i, (*_, deep) in brute(rows, ppm.ORDER).items():
+        assert got[i] == pytest.approx(deep, abs=1e-9), i
+
+
 def test_probabilities_add_up_to_one(rows):
     seen = [Counter() for _ in range(3)]
     for _, t in rows[:20]:
