@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.base import checked_broadcast, keep_rows, lowered, mix, per_slice, text_of, word_hashes, word_starts
+from tabwright.llm.base import checked_broadcast, keep_rows, lowered, mix, per_slice, slices, strings, text_of, word_hashes, word_starts
 from tabwright.llm.graph import components
 from tabwright.llm.weighted_minhash import bands, occurrences, shingles, signatures
 from tabwright.operators.joins import lookup
@@ -26,6 +26,8 @@ LEAST_AGREEMENT = 0.65
 TILE = 1024
 #: Larger buckets are compared exactly in their tiles; of smaller ones the likely pairs are joined to their multisets.
 FEW = 32
+#: What a null id counts as.
+LEAST = -(2**63)
 _U = np.uint64
 
 
@@ -62,6 +64,13 @@ def _multisets(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) ->
     return pa.RecordBatch.from_arrays([pa.array(_prints(data, offsets)[0]), pa.array(sets, pa.binary())], names=["node", "items"])
 
 
+def _nodes(texts: pa.Array) -> pa.Array:
+    """The first print of each text, by which it is a node."""
+    data, offsets = strings(texts)
+    parts = [_prints(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])[0] for i, j in slices(offsets)]
+    return pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
+
+
 def overlap(a: bytes, b: bytes) -> float:
     """Weighted Jaccard similarity of two packed multisets."""
     x, y = np.frombuffer(a, _U), np.frombuffer(b, _U)
@@ -166,10 +175,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     signature in tiles, and exactly where these are close. So every pair that shares a band is either joined by
     verified links or compared.
 
-    Texts without words are copies of each other. Null ids are taken for the least long.
-    Repeated rows are copies. Other columns are ignored; an empty table gives no rows.
+    Texts without words are copies of each other. Null ids are taken for the least long; of the classes
+    that have one the first has that id, the others one from the text that is kept, with the sign bit set. An id with several texts is a document per text: of a class,
+    the smallest id and then the smallest node is kept. Repeated rows are copies. Other columns are ignored; an empty table gives no rows.
     """
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("doc_id"), text_of().alias("text"))
+    return _placed(docs, threshold).drop("node")
+
+
+def _placed(docs: DataFrame, threshold: float) -> DataFrame:
+    """``classes`` with the node of each row's text."""
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST)).alias("doc_id"), text_of().alias("text"))
     sketch = rows.mapInArrow(per_slice(_sketch), "doc_id bigint, node bigint, check bigint, n_words bigint, bands array<bigint>, sig binary")
     sketch = settle(sketch, "sketch")
     texts = settle(sketch.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "texts")
@@ -212,23 +227,33 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             roots = settle(components(links), "roots")
 
     nodes = settle(texts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "nodes")
-    groups = settle(nodes.groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size")), "groups")
-    table = settle(nodes.join(groups, "root").select("node", "n", "class_id", "class_size"), "classes")
+    groups = nodes.groupBy("root").agg(F.min(F.struct("rep", "node")).alias("best"), F.sum("n").alias("class_size"))
+    groups = settle(groups, "groups")
+    # null ids do not tell classes apart: the kept text does
+    own = F.col("best.node").bitwiseOR(F.lit(LEAST))
+    first = groups.filter(F.col("best.rep") == LEAST).agg(F.min(own)).first()[0]
+    class_id = F.when(F.col("best.rep") > LEAST, F.col("best.rep")).when(own == F.lit(first).cast("bigint"), F.lit(LEAST)).otherwise(own)
+    groups = settle(groups.select("root", class_id.alias("class_id"), "class_size", F.col("best.rep").alias("keep_id"), F.col("best.node").alias("keep_node")), "groups")
+    table = settle(nodes.join(groups, "root").select("node", "n", "class_id", "class_size", "keep_id", "keep_node"), "classes")
     out = lookup(sketch.select("doc_id", "node"), table, ["node"], "n", "doc_id")
-    return out.select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    kept = (F.col("doc_id") == F.col("keep_id")) & (F.col("node") == F.col("keep_node"))
+    return out.select("doc_id", "class_id", "class_size", kept.alias("kept"), "node")
 
 
 def survivors(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that stay: of each class the one with the smallest id, with all columns.
 
-    Rows that share that id stay together only if they are the only ones: of repeated rows one stays.
+    Rows that share an id, or have none, are told apart by their texts; of repeated rows one stays.
     """
-    found = settle(classes(docs, threshold), "classes")
-    least = F.lit(-(2**63))
-    lost = settle(found.filter("doc_id <> class_id").select("doc_id").distinct(), "lost")
-    rest = keep_rows(docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), least)), lost.select(F.col("doc_id").alias("_id")), "left_anti", ["_id"])
+    found = settle(_placed(docs, threshold), "classes")
+    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST)))
     repeated = settle(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select(F.col("doc_id").alias("_id")), "repeated")
+    lost = settle(found.filter("not kept").select(F.col("doc_id").alias("_id")).distinct(), "lost")
     if repeated.isEmpty():
-        return rest.drop("_id")
-    odd = keep_rows(rest, repeated, "left_semi", ["_id"]).groupBy("_id").agg(F.max_by(F.struct(*docs.columns), F.struct(F.length(text_of()), text_of())).alias("_row"))
-    return keep_rows(rest, repeated, "left_anti", ["_id"]).drop("_id").unionByName(odd.select("_row.*"))
+        return keep_rows(rows, lost, "left_anti", ["_id"]).drop("_id")
+    once = keep_rows(keep_rows(rows, repeated, "left_anti", ["_id"]), lost, "left_anti", ["_id"])
+    stay = settle(found.filter("kept").select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")).distinct(), "stay")
+    odd = keep_rows(rows, repeated, "left_semi", ["_id"]).withColumn("_node", F.arrow_udf(_nodes, "bigint")(text_of()))
+    odd = keep_rows(odd, stay, "left_semi", ["_id", "_node"])
+    odd = odd.groupBy("_id", "_node").agg(F.max_by(F.struct(*docs.columns), F.struct(F.length(text_of()), text_of())).alias("_row"))
+    return once.drop("_id").unionByName(odd.select("_row.*"))

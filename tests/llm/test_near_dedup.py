@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tabwright.llm import graph, near_dedup
 from tabwright.llm import weighted_minhash as M
@@ -143,5 +144,18 @@ def test_odd_rows(docs_of, odd_rows):
     assert sorted((r.doc_id is not None, r.doc_id or 0) for r in left.collect()) == [(False, 0), (True, 1), (True, 6), (True, 7), (True, 8)]
 
 
+def test_null_and_shared_ids_are_told_apart_by_text(docs_of):
+    rng = random.Random(9)
+    a, b, c, d, e = (" ".join(f"{k}{rng.randrange(10**6)}" for _ in range(60)) for k in "abcde")
+    rows = [(None, a), (None, b), (None, b), (None, a + " end"), (3, c), (5, c), (5, d), (6, d), (7, e), (7, a + " more"), (8, e)]
+    docs = docs_of([(i, t, "en", "s", 0) for i, t in rows])
+    left = sorted((r.doc_id is not None, r.doc_id or 0, r.text.split()[0]) for r in near_dedup.survivors(docs).collect())
+    firsts = {k: t.split()[0] for k, t in zip("abcde", (a, b, c, d, e), strict=True)}
+    assert left == sorted([(False, 0, firsts["a"]), (False, 0, firsts["b"]), (True, 3, firsts["c"]), (True, 5, firsts["d"]), (True, 7, firsts["e"])])
+    got = near_dedup.classes(docs).filter(F.col("doc_id") == -(2**63)).collect()
+    assert sorted((r.class_size, r.kept) for r in got if r.kept) in ([(2, True), (2, True), (3, True)], [(2, True), (2, True), (3, True), (3, True)])
+    assert len({r.class_id for r in got}) == 2
+
+
 def test_empty_table(docs_of):
     assert near_dedup.classes(docs_of([])).count() == 0
