@@ -27,7 +27,7 @@ ASSIGN = re.compile(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: A text without any of these, in lower case, has neither an assignment nor another credential context.
-CUES = ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "credential", "login", "pin", "://")
+CUES = ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "basic", "credential", "login", "pin", "://")
 
 _NAME = (
     r"(?<![A-Za-z0-9])(?ai:(?:[a-z0-9]+[_.-])*(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|"

@@ -70,6 +70,17 @@ def test_guessed_values():
     assert found == ["x7#Kq!9zLm", "gH7!pQ2-vN9x"]
 
 
+def test_cues_leave_out_no_context(monkeypatch):
+    rng = random.Random(5)
+    bits = ["password", "PassPhrase", "passcode", "pwd", "pin", "secret", "token", "credentials", "api_key", "access-key", "authorization", "login", "Bearer", "Basic"]
+    bits += ["curl -H", " ", " ", ": ", " = ", "=>", "x://bob:", "@host", '"', "x7#Kq!9zLm", "QWxhZGRpbjpvcGVuIHNlc2FtZTEyMw==", "gH7_pQ2-vN9x"]
+    texts = ["curl -H Basic QWxhZGRpbjpvcGVuIHNlc2FtZTEyMw==", *("".join(rng.choice(bits) for _ in range(rng.randrange(2, 8))) for _ in range(3000))]
+    found = [secrets.spans(t, RANK, LONGEST) for t in texts]
+    monkeypatch.setattr(secrets, "CUES", ("",))
+    assert found == [secrets.spans(t, RANK, LONGEST) for t in texts]
+    assert any(k == "guess" for k, *_ in found[0])
+
+
 def test_frames(docs_of, odd_rows):
     docs = docs_of([(*r, "x") for r in odd_rows], ", spans string")
     out = secrets.scan(docs)
