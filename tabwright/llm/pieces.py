@@ -16,9 +16,7 @@ from pyspark.sql import types as T
 
 from tabwright.llm.base import mix, slices, strings
 
-#: Segmentations that one word may get within an epoch; an occurrence draws one of them.
-VARIANTS = 8
-#: Segmented words that a worker remembers.
+#: Words whose plain segmentation a worker remembers.
 REMEMBERED = 250_000
 #: Bytes of text that are segmented at a time.
 STEP_BYTES = 1 << 20
@@ -98,14 +96,17 @@ class Pieces:
             at[todo] = (at[todo] + 1) & (size - 1)
         return out
 
-    def segment(self, words: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
-        """The ids of each word as packed 32-bit numbers. ``keys``: a 64-bit key per word."""
+    def segment(self, words: list[str], keys: np.ndarray, dropout: float, made: list[bytes] | None = None) -> list[bytes]:
+        """The ids of each word as packed 32-bit numbers. ``keys``: a 64-bit key per word.
+
+        ``made`` gets the merges (start, mid, end) of each word of up to ROW_CHARS characters, packed alike.
+        """
         out: list[bytes] = [b""] * len(words)
         lens = np.fromiter(map(len, words), np.int64, len(words))
         for low, high in ((0, 8), (8, 16), (16, ROW_CHARS)):
             some = np.flatnonzero((lens > low) & (lens <= high))
             if len(some):
-                self._rows([words[i] for i in some], lens[some], keys[some], dropout, out, some)
+                self._rows([words[i] for i in some], lens[some], keys[some], dropout, out, some, made)
         for i in np.flatnonzero(lens > ROW_CHARS):
             out[i] = self.agenda(words[i], int(keys[i]), dropout)
         for i in np.flatnonzero(lens == 1):
@@ -113,7 +114,7 @@ class Pieces:
                 out[i] = np.array([self.byte_id[b] for b in words[i].encode()], np.int32).tobytes()
         return out
 
-    def _rows(self, words, lens, keys, dropout, out, at) -> None:
+    def _rows(self, words, lens, keys, dropout, out, at, made=None) -> None:
         """All words at once: in each round, every word makes its best remaining merge."""
         n, width = len(words), int(lens.max()) + 1
         points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
@@ -140,7 +141,7 @@ class Pieces:
             best[r, j] = np.where(piece >= 0, self.rank[piece], NONE)
 
         offer(row, col.astype(np.int32))
-        rows = np.arange(n)
+        rows, steps = np.arange(n), []
         while True:
             j = best[rows].argmin(axis=1).astype(np.int32)
             go = best[rows, j] < NONE
@@ -150,6 +151,8 @@ class Pieces:
             k = nxt[rows, j]
             sym[rows, j], sym[rows, k], best[rows, k] = into[rows, j], -2, NONE
             after = nxt[rows, k]
+            if made is not None:
+                steps.append(np.stack([rows, j, k, np.minimum(after, ends[rows])], axis=1).astype(np.int32))
             nxt[rows, j] = after
             inner = after < width
             prv[rows[inner], after[inner]] = j[inner]
@@ -164,6 +167,13 @@ class Pieces:
         for i, stop in zip(at.tolist(), stops.tolist(), strict=True):
             out[i] = flat[start:stop]
             start = stop
+        if made is not None and steps:
+            merges = np.concatenate(steps)
+            merges = merges[np.argsort(merges[:, 0], kind="stable")]
+            stops, raw, start = np.cumsum(np.bincount(merges[:, 0], minlength=n)) * 12, np.ascontiguousarray(merges[:, 1:]).tobytes(), 0
+            for i, stop in zip(at.tolist(), stops.tolist(), strict=True):
+                made[i] = raw[start:stop]
+                start = stop
 
     def agenda(self, word: str, key: int, dropout: float) -> bytes:
         """One word by a queue of candidate merges, best rank and then leftmost first."""
@@ -218,34 +228,44 @@ def pieces(path: str) -> Pieces:
 
 
 @cache
-def _memory(path: str, dropout: float, seed: int) -> list[dict[str, bytes]]:
-    return [{} for _ in range(VARIANTS)]
+def _memory(path: str) -> dict[str, tuple[bytes, bytes]]:
+    return {}
 
 
 def encode_texts(texts: list[str], doc_keys: np.ndarray, path: str, dropout: float, seed: int) -> list[bytes]:
-    """The ids of each text as packed 32-bit numbers."""
+    """The ids of each text as packed 32-bit numbers.
+
+    With dropout every occurrence of a word has a key of its own. If that skips none of the merges that the word
+    takes without dropout, these are its ids; else it is segmented by itself.
+    """
     model = pieces(path)
-    memory = _memory(path, dropout, seed)
-    if sum(map(len, memory)) > REMEMBERED:
-        for m in memory:
-            m.clear()
+    memory = _memory(path)
+    if len(memory) > REMEMBERED:
+        memory.clear()
     words = [model.words(" " + t) if t else [] for t in texts]
     counts = np.fromiter(map(len, words), np.int64, len(words))
     flat = [w for some in words for w in some]
+    new = [w for w in dict.fromkeys(flat) if w not in memory and (dropout == 0 or len(w) <= ROW_CHARS)]
+    if new:
+        made = [b""] * len(new)
+        plain = model.segment(new, np.zeros(len(new), np.uint64), 0.0, made)
+        memory.update(zip(new, zip(plain, made, strict=True), strict=True))
     if dropout > 0:
         place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
-        drawn = mix(np.repeat(doc_keys, counts) + place.astype(np.uint64) * np.uint64(_C[0]) + np.uint64(seed & _MASK))
-        variant = (drawn % np.uint64(VARIANTS)).astype(np.uint8).tolist()
+        salt = np.uint64(xxhash.xxh64_intdigest(str(seed)))
+        keys = mix(np.repeat(mix(doc_keys ^ salt), counts) + place.astype(np.uint64) * np.uint64(_C[0]))
+        known = [memory.get(w, (None, b"")) for w in flat]
+        got = [ids for ids, _ in known]
+        sizes = np.fromiter((len(m) for _, m in known), np.int64, len(known)) // 12
+        merges = np.frombuffer(b"".join([m for _, m in known]), np.int32).reshape(-1, 3)
+        row = np.repeat(np.arange(len(flat)), sizes)
+        again = np.bincount(row[skipped(keys[row], *merges.T, dropout)], minlength=len(flat)) > 0
+        again |= np.fromiter((ids is None for ids in got), bool, len(got))
+        some = np.flatnonzero(again)
+        for i, ids in zip(some.tolist(), model.segment([flat[i] for i in some], keys[some], dropout), strict=True):
+            got[i] = ids
     else:
-        variant = [0] * len(flat)
-    got = [memory[v].get(w) for v, w in zip(variant, flat, strict=True)]
-    new = list(dict.fromkeys((variant[i], flat[i]) for i, g in enumerate(got) if g is None))
-    if new:
-        salts = [xxhash.xxh64_intdigest(f"{seed}:{v}") for v in range(VARIANTS)]
-        keys = np.array([xxhash.xxh64_intdigest(w, salts[v]) for v, w in new], np.uint64)
-        for (v, w), ids in zip(new, model.segment([w for _, w in new], keys, dropout), strict=True):
-            memory[v][w] = ids
-        got = [memory[v][w] if g is None else g for g, v, w in zip(got, variant, flat, strict=True)]
+        got = [memory[w][0] for w in flat]
     out, at = [], 0
     for n in counts.tolist():
         out.append(b"".join(got[at : at + n]))
@@ -270,9 +290,8 @@ def encode(
     """``docs`` with ``ids``, the pieces of each text as an array of ints.
 
     Merges are made best first; each candidate is skipped with probability ``dropout`` by a hash
-    keyed with the seed, the word, its variant and the candidate's place. Which of the
-    VARIANTS segmentations an occurrence takes depends on document id and place, so the same call
-    gives the same ids on any layout. Without dropout the ids are those of the library
+    keyed with the seed, the document id, the word's place in the text and the candidate's place, so every occurrence
+    is segmented on its own, and the same call gives the same ids on any layout. Without dropout the ids are those of the library
     that made the vocabulary, except that U+2581 in a text goes as bytes: decoding is lossless.
 
     With ``check`` the ids are decoded in the same task, and ``lossless`` says whether that gives the text.

@@ -51,6 +51,15 @@ def test_share_of_skipped_merges():
     assert abs(pieces.skipped(keys, 1, 2, 3, 0.1).mean() - 0.1) < 0.005
 
 
+def test_every_occurrence_is_segmented_on_its_own(docs_of):
+    rows = [(i, " ".join(["a"] * 500), "en", "s", 0) for i in range(60)] + [(100 + i, "therefore", "en", "s", 0) for i in range(400)]
+    got = {r.doc_id: r.ids for r in pieces.encode(docs_of(rows), dropout=0.1).collect()}
+    # the blank and the letter are the one merge of this word: a skipped one gives two ids
+    rate = sum(len(got[i]) for i in range(60)) / (60 * 500) - 1
+    assert abs(rate - 0.1) < 0.01
+    assert len({tuple(got[100 + i]) for i in range(400)}) > 20
+
+
 def test_frames(docs_of, odd_rows):
     docs = docs_of([(*r, 1, "x") for r in odd_rows], ", ids int, decoded string")
     out = pieces.decode(pieces.encode(docs, check=True))
