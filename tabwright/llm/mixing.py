@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.base import text_of
+from tabwright.operators.joins import lookup
 from tabwright.session import settle
 
 #: What carries no target of its own.
 OTHER = "(other)"
-#: Values of a marginal that may carry a target; bounds the table that is fitted.
+#: Values of a marginal that a table on the driver may have; with more, the cells are raked as a DataFrame.
 MAX_VALUES = 2_000
+#: Rounds of such raking, and the error of a share at which it ends.
+ROUNDS, TOLERANCE = 50, 1e-6
 
 
 def topic_of(text: Column) -> Column:
@@ -70,6 +73,60 @@ def fit(
     return table
 
 
+def _wanted(goal: Mapping[str, float], values: Sequence[str], rest: float) -> np.ndarray:
+    """Target shares of ``values`` and of all others, which had the share ``rest``.
+
+    What the named ones leave to 1 is for the others. If they leave nothing, the others keep their share.
+    """
+    named = np.array([goal[v] for v in values])
+    left = 1.0 - named.sum()
+    return np.array([*named, left]) if left > 1e-9 or not len(named) else np.array([*(named * (1 - rest) / named.sum()), rest])
+
+
+def _rake(cells: DataFrame, large: Mapping[str, float], small: Mapping[str, Mapping[str, float]], share: float) -> DataFrame:
+    """``cells`` (keys, m, n) with weight and probability, as ``fit`` gives them, without collecting them.
+
+    ``large`` has the power of each marginal of many values, ``small`` the goals of the others by value. A round scales each large
+    marginal by a join, and the small ones by factors found from their summed table; it is written before the next.
+    """
+    total = float(cells.agg(F.sum("m")).first()[0])
+    table = settle(cells.withColumn("o", F.col("m") / total).withColumn("t", F.col("m") / total), "cells")
+    goals = {}
+    for k, power in large.items():
+        up = table.groupBy(k).agg(F.pow(F.sum("m"), F.lit(power)).alias("goal"))
+        whole = float(up.agg(F.sum("goal")).first()[0])
+        goals[k] = settle(up.select(k, (F.col("goal") / whole).alias("goal")), "goals")
+    axes = list(small)
+    for _ in range(ROUNDS):
+        worst, now = 0.0, table
+        for k, goal in goals.items():
+            sums = settle(now.groupBy(k).agg(F.sum("t").alias("s")).join(goal, k), "sums")
+            worst = max(worst, float(sums.agg(F.max(F.abs(F.col("s") - F.col("goal")))).first()[0] or 0.0))
+            step = F.when(F.col("s") > 0, F.col("goal") / F.col("s")).otherwise(0.0).alias("step")
+            now = now.join(sums.select(k, step), k).withColumn("t", F.col("t") * F.col("step")).drop("step")
+        if axes:
+            seen = now.groupBy(*axes).agg(F.sum("t").alias("t")).collect()
+            part = np.array([float(r["t"]) for r in seen])
+            before = part.copy()
+            for a in axes:
+                codes = np.array([r[a] for r in seen])
+                there = {v: small[a].get(v, 0.0) for v in set(codes.tolist())}
+                whole = sum(there.values())
+                for v, g in there.items():
+                    g = g / whole if whole else 1 / len(there)
+                    s = part[codes == v].sum()
+                    worst = max(worst, abs(s - g))
+                    part[codes == v] *= g / s if s > 0 else 0.0
+            factors = np.divide(part, before, out=np.zeros_like(part), where=before > 0)
+            steps = cells.sparkSession.createDataFrame([(*(r[a] for a in axes), float(f)) for r, f in zip(seen, factors, strict=True)], ", ".join([*(f"{a} string" for a in axes), "step double"]))
+            now = now.join(F.broadcast(steps), axes).withColumn("t", F.col("t") * F.col("step")).drop("step")
+        table = settle(now.withColumn("t", F.least("t", F.col("o") / share)), "cells")
+        if worst < TOLERANCE:
+            break
+    ratio = F.col("t") / F.col("o")
+    return table.select(*large, *axes, "n", ratio.alias("weight"), F.least(F.lit(1.0), ratio * share).alias("probability"))
+
+
 def mix(
     docs: DataFrame,
     targets: Mapping[str, Mapping[str, float] | float],
@@ -80,9 +137,10 @@ def mix(
     """``docs`` with ``n_tokens``, ``weight``, ``probability`` and ``kept``.
 
     ``targets`` has, for each column that makes a marginal, either target shares by value
-    (values not named together form one more, whose target is what is left to 1) or a
-    power of the observed token masses. Cell masses come from one grouped aggregation; only values
-    with a target have cells of their own, so the fitted table is bounded by the targets.
+    (values not named together form one more, whose target is what is left to 1; if nothing is left, it keeps its
+    observed share and the named ones divide the rest) or a power of the observed token masses. Cell masses come from one
+    grouped aggregation; only values with a target have cells of their own. A marginal of more than MAX_VALUES values is
+    raked as a DataFrame, to TOLERANCE or for ROUNDS rounds.
     ``weight`` is the fitted share of a cell over its observed share, as large as rows last: a cell
     cannot give more than it has. A row is kept with ``probability`` = ``share`` of all tokens
     times that weight, by a number drawn from its id.
@@ -98,22 +156,36 @@ def mix(
     rows = docs.withColumn("n_tokens", n_tokens(text) if tokens is None else tokens)
     label = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("(null)"))
     # the one pass over the texts that the fit needs
-    masses = rows.groupBy(*[label(c).alias(c) for c in names]).agg(F.sum("n_tokens").alias("n_tokens"))
+    masses = rows.groupBy(*[label(c).alias(c) for c in names]).agg(F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("n"))
     masses = settle(masses, "masses")
     goals: dict[str, dict[str, float]] = {}
+    large: dict[str, float] = {}
     for c in names:
         goal = targets[c]
         if not isinstance(goal, Mapping):
             seen = masses.groupBy(label(c).alias("v")).agg(F.sum("n_tokens").alias("m")).orderBy(F.desc("m"), "v").limit(MAX_VALUES + 1).collect()
             if len(seen) > MAX_VALUES:
-                raise ValueError(f"{c} has more than {MAX_VALUES} values: give their targets")
+                large[c] = float(goal)
+                continue
             goal = tempered({r["v"]: r["m"] for r in seen}, float(goal))
         goals[c] = dict(goal)
-    values = {c: [*sorted(goals[c]), OTHER] for c in names}
-    cell = {c: F.when(label(c).isin(values[c][:-1]), label(c)).otherwise(F.lit(OTHER)) if goals[c] else F.lit(OTHER) for c in names}
+    values = {c: [*sorted(goals[c]), OTHER] for c in goals}
+    cell = {c: label(c) if c in large else F.when(label(c).isin(values[c][:-1]), label(c)).otherwise(F.lit(OTHER)) if goals[c] else F.lit(OTHER) for c in names}
     cells_of = {f"_{i}": cell[c] for i, c in enumerate(names)}
     rows, keys = rows.withColumns(cells_of), list(cells_of)
-    got = masses.withColumns(cells_of).groupBy(*keys).agg(F.sum("n_tokens").alias("m")).filter("m > 0").collect()
+    draw = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")) / 2.0**64 + 0.5
+    grouped = masses.withColumns(cells_of).groupBy(*keys).agg(F.sum("n_tokens").alias("m"), F.sum("n").alias("n")).filter("m > 0")
+    if large:
+        grouped = settle(grouped, "cells")
+        key = {c: f"_{i}" for i, c in enumerate(names)}
+        whole, small = float(grouped.agg(F.sum("m")).first()[0]), {}
+        for c in goals:
+            rest = float(grouped.filter(F.col(key[c]) == OTHER).agg(F.sum("m")).first()[0] or 0.0) / whole
+            small[key[c]] = dict(zip(values[c], _wanted(goals[c], values[c][:-1], rest).tolist(), strict=True))
+        table = settle(_rake(grouped, {key[c]: p for c, p in large.items()}, small, share), "raked")
+        rows = lookup(rows, table, keys, "n", "doc_id").drop(*keys).fillna({"weight": 1.0, "probability": share})
+        return rows.withColumn("kept", draw < F.col("probability"))
+    got = grouped.collect()
     mass = np.zeros([len(values[c]) for c in names])
     place = [{v: i for i, v in enumerate(values[c])} for c in names]
     for r in got:
@@ -121,8 +193,9 @@ def mix(
     spark = docs.sparkSession
     cells = []
     if got:
-        want = [np.array([*(goals[c][v] for v in values[c][:-1]), max(0.0, 1.0 - sum(goals[c].values()))]) for c in names]
         observed = mass / mass.sum()
+        rest = [float(np.moveaxis(observed, i, 0)[-1].sum()) for i in range(len(names))]
+        want = [_wanted(goals[c], values[c][:-1], r) for c, r in zip(names, rest, strict=True)]
         ratio = np.divide(fit(mass, want, observed / share), observed, out=np.zeros_like(mass), where=mass > 0)
         p = np.minimum(1.0, share * ratio)
         for at in np.argwhere(mass > 0):
@@ -130,6 +203,5 @@ def mix(
             cells.append((*(values[c][j] for c, j in zip(names, i, strict=True)), float(ratio[i]), float(p[i])))
     table = spark.createDataFrame(cells, ", ".join([*(f"{k} string" for k in keys), "weight double", "probability double"]))
     rows = rows.join(F.broadcast(table), keys, "left").drop(*keys)
-    draw = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")) / 2.0**64 + 0.5
     rows = rows.fillna({"weight": 1.0, "probability": share})
     return rows.withColumn("kept", draw < F.col("probability"))

@@ -66,6 +66,22 @@ def test_values_without_a_target_share_the_rest(many):
     assert weighed[out.source == "s1"].sum() / weighed.sum() == pytest.approx(0.3, abs=1e-6)
 
 
+def test_unnamed_values_stay_when_the_named_shares_sum_to_one(many):
+    out = mixing.mix(many, {"source": 0.5, "lang": {"en": 1.0}}, share=0.4).toPandas()
+    weighed = out.n_tokens * out.probability
+    observed = out.n_tokens[out.lang == "de"].sum() / out.n_tokens.sum()
+    assert weighed[out.lang == "de"].sum() / weighed.sum() == pytest.approx(observed, abs=1e-6)
+    assert out.kept[out.lang == "de"].any()
+
+
+def test_many_values_are_raked_as_a_table(many, monkeypatch):
+    targets = {"source": 0.5, "lang": {"de": 0.4, "en": 0.6}, "topic": {"0": 0.5, "1": 0.5}}
+    want = mixing.mix(many, targets, share=0.4).toPandas().set_index("doc_id").probability
+    monkeypatch.setattr(mixing, "MAX_VALUES", 3)
+    got = mixing.mix(many, targets, share=0.4).toPandas().set_index("doc_id").probability
+    assert len(got) == len(want) and (got - want).abs().max() < 1e-4
+
+
 def test_odd_rows(docs_of, odd_rows):
     docs = docs_of([(*r, 1, "x") for r in odd_rows], ", kept int, weight string")
     out = mixing.mix(docs, {"source": 0.5, "lang": 0.5}, share=0.5)
