@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import exact_dedup, language, mixing, near_dedup, pieces, ppm, secrets, shards, topk, toxicity
+from tabwright.llm import conversations, exact_dedup, language, mixing, near_dedup, pieces, ppm, secrets, shards, topk, toxicity
 from tabwright.llm.base import crc_fold, documents, text_of
 
 QUERIES = {}
@@ -133,3 +133,70 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_language_fusion")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(spark.read.parquet(f"{sf_dir}/pages.parquet"), documents(spark, sf_dir))
+
+
+def _edit(way: str, cost: str, letter: str, row: str = "[]") -> str:
+    more = f"{{'c': {way}.c + {cost}, 'a': {way}.a || '{letter}', 'r': {way}.r || {row}}}"
+    return f"CASE WHEN {way} IS NOT NULL THEN {more} END"
+
+
+def _relabelled(way: str, role: str) -> str:
+    return _edit(way, "1 + cut", "R", f"['{role}:' || text]")
+
+
+def _kept(way: str, initial: str) -> str:
+    return f"CASE WHEN left(role, 1) = '{initial}' THEN {_edit(way, 'cut', 'K', _AS_IT_IS)} END"
+
+
+def _least(*ways: str) -> str:
+    return "list_min([" + ", ".join(ways) + "])"
+
+
+def _unless_forced(*ways: str) -> str:
+    return f"CASE WHEN fault IN ('', 't') THEN {_least(*ways)} END"
+
+
+_AS_IT_IS = "[role || ':' || text]"
+#: Ways to each state (nothing, system, user, assistant last) before the next row, insertions among them.
+_AFTER_USER = _least("w2", *[_edit(f"w{s}", "5", "I", "['user:']") for s in (0, 1, 3)])
+_AFTER_BOTH = _least("w3", _edit("v2", "5", "I", "['assistant:']"))
+_WAY = "STRUCT(c BIGINT, a VARCHAR, r VARCHAR[])"
+_TO_USER = [e for s in ("w0", "w1", "v3") for e in (_kept(s, "u"), _relabelled(s, "user"))]
+
+_OP13_SQL = rf"""
+    WITH RECURSIVE poly AS (SELECT list_transform(range(256), lambda b: list_reduce([b] || range(8),
+        lambda c, j: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+    raw AS (SELECT conv_id, turn, coalesce('=' || conv_id, '') AS k, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS id FROM conversations),
+    hit AS (SELECT raw.*, xor(list_reduce([4294967295] || list_transform(range(1, length(id) + 1), lambda i: CAST(ascii(substr(id, i, 1)) AS BIGINT)),
+        lambda c, b: xor(c >> 8, tab[(xor(c, b) % 256) + 1])), 4294967295) % 20 AS how FROM raw, poly),
+    hurt AS (SELECT k, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+        CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE how WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM hit),
+    dig AS (SELECT *, sha256(k || chr(10) || length(role) || chr(10) || role || text) AS d,
+        trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM hurt),
+    o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, d) AS i FROM dig),
+    f AS (SELECT *, row_number() OVER (PARTITION BY k, role, text ORDER BY i) AS again,
+        lag(left(role, 1)) OVER (PARTITION BY k ORDER BY i) || left(role, 1) AS pair FROM o),
+    g AS (SELECT *, CASE WHEN body = '' THEN 'b' WHEN again > 1 THEN 'd' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM f),
+    t AS (SELECT *, CASE WHEN fault = 't' THEN 5 ELSE 0 END AS cut FROM g),
+    way(k, i, w0, w1, w2, w3) AS (
+        SELECT DISTINCT k, CAST(0 AS BIGINT), CAST({{'c': 0, 'a': '', 'r': []}} AS {_WAY}), CAST(NULL AS {_WAY}), CAST(NULL AS {_WAY}), CAST(NULL AS {_WAY}) FROM raw
+        UNION ALL
+        SELECT k, i, {_edit("w0", "2", "D")},
+            {_least(_edit("w1", "2", "D"), _unless_forced(_kept("w0", "s")))},
+            {_least(_edit("v2", "2", "D"), _unless_forced(*_TO_USER))},
+            {_least(_edit("v3", "2", "D"), _unless_forced(_kept("v2", "a"), _relabelled("v2", "assistant")))}
+        FROM (SELECT *, {_AFTER_BOTH} AS v3 FROM (SELECT way.k, t.i, w0, w1, w2, w3, t.role, t.text, t.fault, t.cut, {_AFTER_USER} AS v2
+            FROM way JOIN t ON t.k = way.k AND t.i = way.i + 1))),
+    n AS (SELECT k, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+        count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM t GROUP BY k),
+    last AS (SELECT k, i, {_least("w0", "v3")} AS w FROM (SELECT *, {_AFTER_BOTH} AS v3 FROM (SELECT *, {_AFTER_USER} AS v2 FROM way)))
+    SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+        coalesce(illegal, 0) AS illegal, w.c AS cost, w.a AS audit, sha256(array_to_string(w.r, chr(10))) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id, k FROM raw) c LEFT JOIN n ON n.k = c.k JOIN last ON last.k = c.k AND last.i = coalesce(n.rows, 0)"""
+
+
+@query("op13_branch_and_bound_repair", _OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet")))

@@ -54,14 +54,14 @@ def test_queries_are_registered():
     assert "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op4_tiled_topk", "op6_streaming_exact_dedup"])
+@pytest.mark.parametrize("name", ["op4_tiled_topk", "op6_streaming_exact_dedup", "op13_branch_and_bound_repair"])
 def test_sql_twins(spark, name):
     import duckdb
 
     import __spark_entry__ as entry
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = entry.queries()[name](spark, SF)
     r = con.execute(entry.oracle_sql()[name])
