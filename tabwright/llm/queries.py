@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import conversations, exact_dedup, language, mixing, near_dedup, pieces, ppm, quality, secrets, shards, topk, toxicity
+from tabwright.llm import alignment, conversations, exact_dedup, language, mixing, near_dedup, pieces, ppm, quality, secrets, shards, topk, toxicity
 from tabwright.llm.base import crc_fold, documents, text_of
 
 QUERIES = {}
@@ -206,3 +206,8 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return found.select("doc_id", (crc_fold(quality.FOLDS) == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op11_identity_map_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.scored(alignment.align(documents(spark, sf_dir)))
