@@ -135,25 +135,52 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _GOLD)
 _BYTE[SPACE] = 0
 _BASE = 0xD1342543DE82EF95
+#: Bytes whose powers are kept; text is hashed in runs of words no longer than that.
+_RUN = SLICE_BYTES
 _POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    if not _POWERS:
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            p = np.full(n, base, np.uint64)
+            p = np.full(_RUN + 1, base, np.uint64)
             p[0] = 1
             _POWERS[name] = np.multiply.accumulate(p)
     return _POWERS["up"], _POWERS["down"]
 
 
+def _long_word(word: np.ndarray) -> np.uint64:
+    """The sum of a word of any length, run by run."""
+    up, _ = _powers()
+    total = 0
+    for i in range(0, len(word), _RUN):
+        run = word[i : i + _RUN]
+        total += int(np.sum(_BYTE[run] * up[: len(run)])) * pow(_BASE, i, 1 << 64)
+    return np.uint64(total % (1 << 64))
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, the same wherever the word stands."""
+    """A 64-bit hash of each word, the same wherever the word stands.
+
+    A word is a number in base _BASE with a digit per byte; blanks are zero. Sums are taken
+    over runs of about _RUN bytes, so memory does not grow with the text.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = _powers(max(len(data), SLICE_BYTES + 1))
-    sums = np.add.reduceat(_BYTE[data] * up[: len(data)], starts)
-    return mix(sums * down[starts])
+    up, down = _powers()
+    sums = np.zeros(len(starts), np.uint64)
+    stops = np.append(starts[1:], len(data))
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(stops, starts[i] + _RUN, "right")))
+        run = data[starts[i] : stops[j - 1]]
+        if len(run) > _RUN:
+            sums[i] = _long_word(run)
+        else:
+            at = starts[i:j] - starts[i]
+            sums[i:j] = np.add.reduceat(_BYTE[run] * up[: len(run)], at) * down[at]
+        i = j
+    return mix(sums)
 
 
 def row_index(counts: np.ndarray) -> np.ndarray:

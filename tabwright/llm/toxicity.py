@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -217,6 +217,13 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, cali
     return Model(ordinary, toxic, weights, coef, prior)
 
 
+def _probability(h: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and numbers of windows of texts by their histograms."""
+    logit = _features(h, np.array(model.weights)) @ np.array(model.coef)
+    n = h.sum(axis=1).astype(np.int64)
+    return np.where(n > 0, 1 / (1 + np.exp(-np.clip(logit, -500, 500))), model.prior), n
+
+
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher: toxic likelier), ``predicted`` (1 if score >= 0.5) and ``n_windows``.
 
@@ -236,14 +243,25 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 p, n = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
             else:
                 h = [histogram(t.as_py() or "", model.ordinary, model.toxic) for t in batch.column("text")]
-                h = np.array(h, float).reshape(-1, HIGH - LOW + 1)
-                logit = _features(h, np.array(model.weights)) @ np.array(model.coef)
-                n = h.sum(axis=1).astype(np.int64)
-                p = np.where(n > 0, 1 / (1 + np.exp(-np.clip(logit, -500, 500))), model.prior)
+                p, n = _probability(np.array(h, float).reshape(-1, HIGH - LOW + 1), model)
             cols = [*batch.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array(n)]
             yield pa.RecordBatch.from_arrays(cols, names=[*names, "score", "predicted", "n_windows"])
 
     return docs.mapInArrow(run, schema)
 
 
-__all__ = ["Model", "score", "train"]
+def verdict(text: Column, model: Model | None) -> Column:
+    """``score`` of a text column as a column: only the texts go to Python, and only scores come back."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        if model is None:
+            return pa.array(np.zeros(len(texts)))
+        h = np.zeros((len(texts), HIGH - LOW + 1))
+        for i, t in enumerate(texts):
+            h[i] = histogram(t.as_py() or "", model.ordinary, model.toxic)
+        return pa.array(_probability(h, model)[0])
+
+    return F.arrow_udf(run, "double")(text)
+
+
+__all__ = ["Model", "score", "train", "verdict"]

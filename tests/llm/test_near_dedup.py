@@ -159,3 +159,19 @@ def test_null_and_shared_ids_are_told_apart_by_text(docs_of):
 
 def test_empty_table(docs_of):
     assert near_dedup.classes(docs_of([])).count() == 0
+
+
+def test_word_hashes_do_not_depend_on_runs(monkeypatch):
+    from tabwright.llm import base
+
+    rng = np.random.default_rng(4)
+    text = " ".join("x" * int(n) + "yz"[int(n) % 2] for n in rng.integers(0, 60, 300)).encode()
+    data = np.frombuffer(text, np.uint8)
+    starts, _ = base.word_starts(data, np.array([0, len(data)]))
+    want = base.word_hashes(data, starts)
+    by_word = dict(zip(text.split(), want.tolist(), strict=False))
+    assert [by_word[w] for w in text.split()] == want.tolist() and len(set(by_word.values())) == len(by_word)
+    for run in (16, 50, 1000):
+        monkeypatch.setattr(base, "_RUN", run)
+        monkeypatch.setattr(base, "_POWERS", {})
+        assert base.word_hashes(data, starts).tolist() == want.tolist()

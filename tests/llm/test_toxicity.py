@@ -67,3 +67,12 @@ def test_without_labels_every_score_is_zero(docs_of, spark):
 def test_rising():
     assert toxicity.rising(np.array([1.0, 3.0, 2.0, 5.0]), np.ones(4)).tolist() == [1.0, 2.5, 2.5, 5.0]
     assert toxicity.rising(np.array([3.0, 2.0, 1.0]), np.array([1.0, 1.0, 2.0])).tolist() == [1.75] * 3
+
+
+def test_verdict_equals_score(spark, docs_of, corpus, odd_rows):
+    rows, labels = corpus
+    model = toxicity.train(docs_of(rows), spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    docs = docs_of(rows[:200] + odd_rows)
+    for m in (model, None):
+        got = docs.withColumn("v", toxicity.verdict(docs["text"], m)).select("doc_id", "v").collect()
+        assert sorted(map(str, got)) == sorted(str(r).replace("score", "v") for r in toxicity.score(docs, m).select("doc_id", "score").collect())
