@@ -8,6 +8,7 @@ the parts of the other folds.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -16,16 +17,16 @@ from pyspark.ml.feature import (
     FeatureHasher,
     OneHotEncoder,
     SQLTransformer,
-    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.operators import rank
+from tabwright.operators.classes import ClassTable
 from tabwright.operators.joins import lookup
 from tabwright.operators.rank import quantile_row
-from tabwright.session import bucket_target, settle
+from tabwright.session import bucket_target, scratch, settle
 from tabwright.sources.contract import Contract
 
 # ------------------------------------------------------------------ selection
@@ -176,36 +177,19 @@ def fold_categories(df: DataFrame, cols: Sequence[str], fold: str = "fold", k: i
     return each.select(fold, "feature", "value", n.alias("n")).filter("n > 0")
 
 
-VOCABULARY_SAMPLE = 32
-
-
-def _edges_passed(value: Column, edges: list) -> Column:
-    return F.aggregate(F.array(*map(F.lit, edges)), F.lit(0), lambda k, edge: k + F.when(value >= edge, 1).otherwise(0))
-
-
 def vocabulary(counts: DataFrame, integer: Sequence[str] = ()) -> DataFrame:
     """Class list ``(feature, value, code, n)`` in sorted order; integer features sort as numbers.
 
-    Codes are places in the sorted order of distinct values. Values are cut into range
-    buckets at sampled values, so long common beginnings do not crowd a bucket, and numbered by running counts.
+    Codes are places in the sorted order of distinct values. The rows are cut into ranges of that order, which are
+    numbered by running counts; nothing but the sizes of ranges is added up across them.
     """
     counts = settle(counts.select("feature", "value", "n"), "vocabulary")
-    is_int = F.col("feature").isin(list(integer)) if integer else F.lit(False)
-    number = F.when(is_int, F.col("value").try_cast("bigint"))
+    number = F.when(F.col("feature").isin(list(integer)), F.col("value").try_cast("bigint")) if integer else F.lit(None).cast("bigint")
+    rows = counts.withColumn("_num", number).withColumn("_one", F.lit(1))
     n_buckets = bucket_target(counts.sparkSession, counts.count())
-    sample = counts.orderBy(F.xxhash64("feature", "value"), "feature", "value").limit(VOCABULARY_SAMPLE * n_buckets)
-    drawn = sample.select("feature", "value", number.alias("num")).collect()
-    drawn.sort(key=lambda r: (r["feature"], r["num"] is not None, r["num"] or 0, r["value"]))
-    edges: dict[str, list] = {}
-    for r in drawn[VOCABULARY_SAMPLE::VOCABULARY_SAMPLE]:
-        edges.setdefault(r["feature"], []).append(r["value"] if r["num"] is None else r["num"])
-    bucket = F.lit(0)
-    for f, cuts in edges.items():  # as many edges as buckets in all
-        whole = f in integer and all(isinstance(c, int) for c in cuts)
-        bucket = F.when(F.col("feature") == f, _edges_passed(F.col("_num" if whole else "value"), cuts)).otherwise(bucket)
-    rows = counts.select("*", F.lit(1).alias("_one"), number.alias("_num")).withColumn("_at", bucket)
-    parts = [rank.cumulate(rows.filter(cond), ["feature"], order, "_at", ["_one"]) for cond, order in ((~is_int, "value"), (is_int, "_num"))]
-    out = parts[0].unionByName(parts[1])
+    cut = rows.repartitionByRange(n_buckets, "feature", "_num", "value").withColumn("_at", F.spark_partition_id())
+    place = F.struct("_num", "value")
+    out = rank.cumulate(settle(cut.withColumn("_place", place), "ranges"), ["feature"], "_place", "_at", ["_one"])
     return out.select("feature", "value", (F.col("cum__one") - 1).cast("int").alias("code"), "n")
 
 
@@ -318,23 +302,35 @@ POLICY_STRATEGY = {"impute_median": "median", "impute_mode": "most_frequent", "i
 
 @dataclass
 class Preprocessing:
-    """A fitted plan: numbers per scaled feature, class list per one-hot feature,
-    target mean per class of a target-encoded feature.
+    """A fitted plan: numbers per scaled feature, and a written table of the classes of all others.
 
-    ``stages`` is an ordinary saved-and-loaded Spark ML pipeline model that ends
-    in a sparse ``features`` vector.
+    ``table`` holds code, count and target mean of every class; the driver knows per feature only how many
+    classes there are, the most frequent one, and the mean that stands for unknown ones. ``stages`` is an ordinary
+    saved-and-loaded Spark ML pipeline model that ends in a sparse ``features`` vector.
     """
 
     plan: dict[str, str]
     numeric: dict[str, tuple[float, float, float]]
-    classes: dict[str, list[str]]
-    mode: dict[str, str]
+    #: classes of each one-hot feature
+    sizes: dict[str, int]
+    #: most frequent class of a one-hot feature, and its code
+    mode: dict[str, tuple[str, int]]
     hashed: list[str] = field(default_factory=list)
     unknown: str = "train_mode"
     hash_size: int = 4096
-    encoded: dict[str, tuple[dict[str, float], float]] = field(default_factory=dict)
+    #: classes of each target-encoded feature, and the mean over all training rows
+    encoded: dict[str, tuple[int, float | None]] = field(default_factory=dict)
+    #: bytes of each feature's classes
+    weight: dict[str, int] = field(default_factory=dict)
+    path: str = ""
+    part: str = ""
     stages: PipelineModel | None = None
 
+    @property
+    def table(self) -> DataFrame:
+        """``(feature, value, code, n, mean)`` of all classes."""
+        return ClassTable(path=self.path, part=self.part).table()
+
     def transform(self, df: DataFrame) -> DataFrame:
         if self.stages is None:
             raise ValueError("transform needs a fitted plan")
@@ -345,14 +341,15 @@ class Preprocessing:
         out = []
         for c, a in self.plan.items():
             if c in self.encoded:
-                out.append((c, a, len(self.encoded[c][0])))
-            elif c in self.numeric or c in self.classes or c in self.hashed:
-                out.append((c, a, len(self.classes[c]) if c in self.classes else None))
+                out.append((c, a, self.encoded[c][0]))
+            elif c in self.numeric or c in self.sizes or c in self.hashed:
+                out.append((c, a, self.sizes.get(c)))
         return out
 
     @property
     def width(self) -> int:
-        n = len(self.numeric) + len(self.encoded) + sum(len(v) for v in self.classes.values())
+        """A feature without any value keeps a block of one place."""
+        n = len(self.numeric) + len(self.encoded) + sum(max(1, v) for v in self.sizes.values())
         return n + (self.hash_size if self.hashed else 0)
 
 
@@ -360,63 +357,43 @@ def _num(v: float) -> str:
     return f"CAST('{float(v)!r}' AS DOUBLE)"
 
 
-#: The one class of a feature without any value; no row has it, so its block stays zero.
-NO_CLASS = "\x00"
-
-
 def build_stages(p: Preprocessing, spark) -> Preprocessing:
-    """Turn fitted numbers into pipeline stages; reads no table."""
-    if not (p.numeric or p.classes or p.hashed or p.encoded):
+    """Turn fitted numbers and the class table into pipeline stages; reads no table."""
+    if not (p.numeric or p.sizes or p.hashed or p.encoded):
         raise ValueError("the plan uses no feature")
     stages, exprs = [], []
     for c, (fill, mean, std) in p.numeric.items():
         exprs.append(f"(COALESCE(CAST(`{c}` AS DOUBLE), {_num(fill)}) - {_num(mean)}) / {_num(std)} AS `{c}__z`")
-    enc, mean = list(p.classes), list(p.encoded)
+    enc, mean = list(p.sizes), list(p.encoded)
     exprs += [f"CAST(`{c}` AS STRING) AS `{c}__s`" for c in (*enc, *mean)]
     exprs += [f"COALESCE(CAST(`{c}` AS STRING), '') AS `{c}__h`" for c in p.hashed]
     stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"))
-    blocks = {c: f"{c}__z" for c in p.numeric} | {c: f"{c}__t" for c in mean}
-    if mean:
-        # classes are indexed once; their means are read by position, the prior stands after them
-        stages.append(
-            StringIndexerModel.from_arrays_of_labels(
-                [list(p.encoded[c][0]) or [NO_CLASS] for c in mean], [f"{c}__s" for c in mean], [f"{c}__m" for c in mean], handleInvalid="keep"
-            )
-        )
-        reads = []
-        for c in mean:
-            by_class, prior = p.encoded[c]
-            values = ",".join(repr(float(v)) for v in [*(by_class.values() or [prior]), prior])
-            # one literal that is split once when the plan is made, however many classes there are
-            reads.append(f"CAST(ELEMENT_AT(SPLIT('{values}', ','), CAST(`{c}__m` AS INT) + 1) AS DOUBLE) AS `{c}__t`")
-        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(reads)} FROM __THIS__"))
+    blocks = {c: f"{c}__z" for c in p.numeric} | {c: f"{c}__t" for c in mean} | {c: f"{c}__v" for c in enc}
+    layout = {}
+    for c in mean:
+        layout[c] = {"kind": "mean", "other": p.encoded[c][1], "classes": p.encoded[c][0], "bytes": p.weight.get(c, 0)}
+    for c in enc:
+        width = max(1, p.sizes[c])
+        # the place after the last class is a block of zeros
+        other = p.mode[c][1] if p.unknown == "train_mode" and c in p.mode else width
+        layout[c] = {"kind": "code", "other": other, "classes": p.sizes[c], "bytes": p.weight.get(c, 0)}
+    if layout:
+        stages.append(ClassTable(layout=json.dumps(layout), path=p.path, part=p.part))
     if enc:
-        stages.append(
-            StringIndexerModel.from_arrays_of_labels(
-                [p.classes[c] for c in enc], [f"{c}__s" for c in enc], [f"{c}__i" for c in enc], handleInvalid="keep"
-            )
-        )
-        picks = []
-        for c in enc:
-            n = len(p.classes[c])
-            alt = p.classes[c].index(p.mode[c]) if p.unknown == "train_mode" and p.mode.get(c) in p.classes[c] else n
-            picks.append(f"CASE WHEN `{c}__i` >= {n} THEN {alt}D ELSE `{c}__i` END AS `{c}__j`")
-        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(picks)} FROM __THIS__"))
         # the encoder needs only the class counts, given as one row of top codes
-        top = spark.createDataFrame([tuple(float(len(p.classes[c])) for c in enc)], [f"{c}__j" for c in enc])
+        top = spark.createDataFrame([tuple(float(max(1, p.sizes[c])) for c in enc)], [f"{c}__j" for c in enc])
         hot = OneHotEncoder(
             inputCols=[f"{c}__j" for c in enc], outputCols=[f"{c}__v" for c in enc], dropLast=True
         ).fit(top)
         stages.append(hot)
-        blocks |= {c: f"{c}__v" for c in enc}
     inputs = [blocks[c] for c in p.plan if c in blocks]
     if p.hashed:
         stages.append(FeatureHasher(inputCols=[f"{c}__h" for c in p.hashed], outputCol="hashed__v", numFeatures=p.hash_size))
         inputs.append("hashed__v")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
-    made = [f"{c}__z" for c in p.numeric] + [f"{c}__{x}" for c in mean for x in "smt"] + [f"{c}__h" for c in p.hashed] + (["hashed__v"] if p.hashed else [])
+    made = [f"{c}__z" for c in p.numeric] + [f"{c}__{x}" for c in mean for x in "st"] + [f"{c}__h" for c in p.hashed] + (["hashed__v"] if p.hashed else [])
     for c in enc:
-        made += [f"{c}__{s}" for s in "sijv"]
+        made += [f"{c}__{s}" for s in "sjv"]
     keep = f"SELECT * EXCEPT ({', '.join(f'`{m}`' for m in made)}) FROM __THIS__"
     stages.append(SQLTransformer(statement=keep))
     p.stages = PipelineModel(stages)
@@ -432,15 +409,38 @@ def _columns(plan: dict[str, str], target: str) -> tuple[list[str], list[str], l
     return of("scale"), of("onehot", "embed"), of("target_encode"), of("hash")
 
 
-def _sorted_classes(values: list[str], integer: bool) -> list[str]:
-    return sorted(values, key=int) if integer else sorted(values)
-
-
 def _integers(df: DataFrame, cols: Sequence[str]) -> set[str]:
     kinds = dict(df.dtypes)
     return {c for c in cols if kinds[c] in ("tinyint", "smallint", "int", "bigint")}
 
 
+def _write_classes(codes: DataFrame | None, means: DataFrame | None, spark, by: Sequence[str] = ()) -> tuple[str, list]:
+    """Write the class table, sorted by feature and value, and sum it up per feature: classes, bytes, most frequent class."""
+    none_int, none_float = F.lit(None).cast("int").alias("code"), F.lit(None).cast("double").alias("mean")
+    parts = []
+    if codes is not None:
+        parts.append(codes.select(*by, "feature", "value", "code", "n", none_float))
+    if means is not None:
+        parts.append(means.select(*by, "feature", "value", none_int, "n", F.col("encoded").alias("mean")))
+    if not parts:
+        return "", []
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    path = scratch(spark, "classes")
+    rows.repartitionByRange(*by, "feature", "value").sortWithinPartitions(*by, "feature", "value").write.partitionBy(*by).parquet(path)
+    best = F.min(F.struct((-F.col("n")).alias("k"), "value", "code")).alias("best")
+    weight = F.sum(F.octet_length("value")).alias("bytes")
+    return path, spark.read.parquet(path).groupBy(*by, "feature").agg(F.count(F.lit(1)).alias("classes"), weight, best).collect()
+
+
+def _with_classes(p: Preprocessing, found: list, encode: Sequence[str], means: Sequence[str], prior: float | None) -> Preprocessing:
+    by = {r["feature"]: r for r in found}
+    p.sizes = {c: by[c]["classes"] if c in by else 0 for c in encode}
+    p.mode = {c: (by[c]["best"]["value"], by[c]["best"]["code"]) for c in encode if c in by}
+    p.encoded = {c: (by[c]["classes"] if c in by else 0, prior) for c in means}
+    p.weight = {c: r["bytes"] for c, r in by.items()}
+    return p
+
+
 def fit_preprocessing(
     train: DataFrame,
     plan: dict[str, str],
@@ -453,8 +453,8 @@ def fit_preprocessing(
     """Fit the plan on training rows only.
 
     ``policy="contract"`` imputes as the contract declares instead of by the
-    mean. Every action does what it says at any number of classes: a one-hot block has one
-    place per class. Such a block, like any model over it, lists its classes; the action
+    mean. Every action does what it says at any number of classes: classes are rows of a written table. A one-hot block has one
+    place per class, and so does a model over it; the action
     ``hash`` is there for features with more classes than that is wanted for. A feature
     without any value keeps a block of one place that is always zero.
     """
@@ -474,20 +474,20 @@ def fit_preprocessing(
     if scale:
         for r in fit_numeric(train, scale, strategy).collect():  # one row per column
             numeric[r["feature"]] = (r["fill"] or 0.0, r["mean"] or 0.0, r["std"])
-    classes, mode, encoded = {}, {}, {}
-    if encode:
-        integer, found = _integers(train, encode), {c: [] for c in encode}
-        for r in category_counts(train, encode).collect():
-            found[r["feature"]].append((-r["n"], r["value"]))
-        classes = {c: _sorted_classes([v for _, v in found[c]], c in integer) or [NO_CLASS] for c in encode}
-        mode = {c: min(found[c])[1] for c in encode if found[c]}
-    if means:
-        prior = target_prior(train, target).first()[0]
-        encoded = {c: ({}, prior) for c in means}
-        for r in target_encoding(train, means, target).collect():
-            encoded[r["feature"]][0][r["value"]] = r["encoded"]
-    p = Preprocessing(plan, {c: numeric[c] for c in scale}, classes, mode, hashed, unknown, hash_size, encoded)
-    return build_stages(p, train.sparkSession)
+    codes = vocabulary(category_counts(train, encode), sorted(_integers(train, encode))) if encode else None
+    prior = target_prior(train, target).first()[0] if means else None
+    path, found = _write_classes(codes, target_encoding(train, means, target) if means else None, train.sparkSession)
+    p = Preprocessing(plan, {c: numeric[c] for c in scale}, {}, {}, hashed, unknown, hash_size, path=path)
+    return build_stages(_with_classes(p, found, encode, means, prior), train.sparkSession)
+
+
+def fold_vocabulary(counts: DataFrame, integer: Sequence[str] = (), fold: str = "fold", k: int = 5) -> DataFrame:
+    """``vocabulary`` of each fold from ``(fold, feature, value, n)``, in one pass."""
+    name = lambda f: F.concat(F.col(f).cast("string"), F.lit("\n"), F.col("feature"))
+    ints = [f"{i}\n{c}" for c in integer for i in range(k)]
+    both = F.split("feature", "\n", 2)
+    out = vocabulary(counts.withColumn("feature", name(fold)), ints)
+    return out.select(both[0].cast("int").alias(fold), both[1].alias("feature"), "value", "code", "n")
 
 
 def fit_folds(
@@ -499,36 +499,24 @@ def fit_folds(
     unknown: str = "train_mode",
     hash_size: int = 4096,
 ) -> list[Preprocessing]:
-    """Fold-safe pipelines for all folds from one numeric and one categorical pass."""
+    """Fold-safe pipelines for all folds from one numeric and one categorical pass.
+
+    The classes of all folds are one table, partitioned by fold.
+    """
     scale, encode, means, hashed = _columns(plan, target)
     select_features(df, [*scale, *encode, *means, *hashed])
     check_target(df, target)
+    spark = df.sparkSession
     numeric: list[dict] = [{} for _ in range(k)]
     if scale:
         for r in fold_numeric(df, scale, fold).collect():  # folds x columns
             numeric[r[fold]][r["feature"]] = (r["fill"] or 0.0, r["mean"] or 0.0, r["std"])
-    classes: list[dict] = [{} for _ in range(k)]
-    mode: list[dict] = [{} for _ in range(k)]
-    encoded: list[dict] = [{} for _ in range(k)]
-    if encode:
-        integer = _integers(df, encode)
-        found: list[dict] = [{c: [] for c in encode} for _ in range(k)]
-        for r in fold_categories(df, encode, fold, k).collect():
-            found[r[fold]][r["feature"]].append((-r["n"], r["value"]))
-        for i in range(k):
-            classes[i] = {c: _sorted_classes([v for _, v in found[i][c]], c in integer) or [NO_CLASS] for c in encode}
-            mode[i] = {c: min(found[i][c])[1] for c in encode if found[i][c]}
-    if means:
-        for r in target_prior(df, target, fold).collect():
-            encoded[r[fold]] = {c: ({}, r["prior"]) for c in means}
-        for r in target_encoding(df, means, target, fold, k).collect():
-            if r["feature"] in encoded[r[fold]]:
-                encoded[r[fold]][r["feature"]][0][r["value"]] = r["encoded"]
-    spark = df.sparkSession
-    return [
-        build_stages(
-            Preprocessing(plan, {c: numeric[i][c] for c in scale}, classes[i], mode[i], hashed, unknown, hash_size, encoded[i]),
-            spark,
-        )
-        for i in range(k)
-    ]
+    codes = fold_vocabulary(fold_categories(df, encode, fold, k), sorted(_integers(df, encode)), fold, k) if encode else None
+    encoded = target_encoding(df, means, target, fold, k) if means else None
+    path, found = _write_classes(codes, encoded, spark, [fold])
+    prior = {r[fold]: r["prior"] for r in target_prior(df, target, fold).collect()} if means else {}
+    out = []
+    for i in range(k):
+        p = Preprocessing(plan, {c: numeric[i][c] for c in scale}, {}, {}, hashed, unknown, hash_size, path=path, part=f"`{fold}` = {i}")
+        out.append(build_stages(_with_classes(p, [r for r in found if r[fold] == i], encode, means, prior.get(i)), spark))
+    return out

@@ -104,7 +104,8 @@ def test_fold_statistics_ignore_the_own_fold(spark):
     )
     a = P.fit_folds(f, {"x": "scale", "c": "onehot"}, "target", 3)[1]
     b = P.fit_folds(bad, {"x": "scale", "c": "onehot"}, "target", 3)[1]
-    assert a.numeric["x"] == pytest.approx(b.numeric["x"]) and a.classes == b.classes and a.mode == b.mode
+    assert a.numeric["x"] == pytest.approx(b.numeric["x"]) and a.sizes == b.sizes and a.mode == b.mode
+    assert sorted(a.table.collect()) == sorted(b.table.collect())
 
 
 def test_target_checks(spark):
@@ -179,7 +180,6 @@ def test_lookup_equals_a_left_join_with_hot_and_null_keys(spark):
 @pytest.mark.parametrize("buckets", [1, 8, 50])
 def test_vocabulary_codes_for_any_bucketing(spark, buckets, monkeypatch):
     monkeypatch.setattr(P, "bucket_target", lambda spark, rows=0: buckets)
-    monkeypatch.setattr(P, "VOCABULARY_SAMPLE", 2)
     words = [f"Customer#{i:05d}" for i in range(0, 900, 7)] + ["Customer#", "Customer#é", "Customer#00007x"]
     nums = [5, -3, 100, 20, 7]
     rows = [("w", w, 1) for w in words] + [("n", str(n), 2) for n in nums] + [("one", "x", 1)]
@@ -206,8 +206,9 @@ def test_target_encoded_feature_in_a_pipeline(spark):
     per_fold = P.fit_folds(f, {"c": "target_encode"}, "target", 3)
     for i, q in enumerate(per_fold):
         direct = P.fit_preprocessing(S.train_part(f, i), {"c": "target_encode"}, "target")
-        assert q.encoded["c"][0] == pytest.approx(direct.encoded["c"][0])
-        assert q.encoded["c"][1] == pytest.approx(direct.encoded["c"][1])
+        means = [{r["value"]: r["mean"] for r in x.table.collect()} for x in (q, direct)]
+        assert means[0] == pytest.approx(means[1]) and len(means[0]) == 3
+        assert q.encoded["c"] == pytest.approx(direct.encoded["c"])
 
 
 def test_buckets_are_even_for_values_with_a_common_beginning(spark, monkeypatch):
@@ -225,3 +226,31 @@ def test_buckets_are_even_for_values_with_a_common_beginning(spark, monkeypatch)
     got = {r["value"]: r["code"] for r in P.vocabulary(df).collect()}
     assert [got[v] for v in sorted(v for _, v, _ in rows)] == list(range(4001))
     assert max(sizes) < 3 * 4001 / 16
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 22])
+def test_classes_are_a_table(spark, tmp_path, monkeypatch, limit):
+    """By broadcast and by lookup, with hot, null, unknown and odd values, saved and read again, and per fold."""
+    from tabwright.operators import classes
+
+    monkeypatch.setattr(classes, "BROADCAST_BYTES", limit)
+    words = ["hot"] * 60 + [None] * 20 + [f"w'{i}\\\n" for i in range(40)]
+    rows = [(i, w, i % 7, int(i % 3 == 0), [1]) for i, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "id bigint, c string, d int, target int, extra array<int>")
+    plan = {"c": "target_encode", "d": "onehot"}
+    p = P.fit_preprocessing(df, plan, "target", unknown="zeros")
+    assert p.width == 8 and p.info() == [("c", "target_encode", 41), ("d", "onehot", 7)]
+    by = {}
+    for _, w, _, t, _ in rows:
+        by.setdefault(w, []).append(t)
+    prior = sum(r[3] for r in rows) / len(rows)
+    new = spark.createDataFrame([(1, "never", 99, 0, [1]), (2, None, None, 0, [1])], df.schema)
+    want = {r[0]: [prior if r[1] is None else sum(by[r[1]]) / len(by[r[1]]), *[float(k == r[2]) for k in range(7)]] for r in rows}
+    p.stages.write().overwrite().save(str(tmp_path / "prep"))
+    for stages in (p, PipelineModel.load(str(tmp_path / "prep"))):
+        got = {r["id"]: r["features"].toArray().tolist() for r in stages.transform(df).collect()}
+        assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
+        assert [f == pytest.approx([prior] + [0.0] * 7) for f in features(stages.transform(new))] == [True, True]
+        assert stages.transform(df).columns == [*df.columns, "features"]
+    folds = P.fit_folds(S.assign_folds(df, "id", 3), plan, "target", 3)
+    assert [q.sizes["d"] for q in folds] == [7, 7, 7] and len({q.path for q in folds}) == 1
