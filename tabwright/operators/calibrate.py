@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.scalar import sigmoid
 from tabwright.operators import metrics as M
+from tabwright.operators import pooling
 from tabwright.operators.split import assign_folds
 from tabwright.session import settle
 
@@ -58,6 +59,10 @@ class PlattCalibrator:
 OUT_OF_BOUNDS = ("clip", "nan", "raise")
 
 
+#: Lines of an isotonic fit that are kept as a model of two arrays; longer fits stay a table that is joined.
+MODEL_LINES = 1 << 18
+
+
 class IsotonicCalibrator:
     """Increasing step fit with linear interpolation between its points."""
 
@@ -65,43 +70,59 @@ class IsotonicCalibrator:
         if out_of_bounds not in OUT_OF_BOUNDS:
             raise ValueError(f"out_of_bounds must be one of {OUT_OF_BOUNDS}")
         self.out_of_bounds = out_of_bounds
+        self.lines: DataFrame | None = None
         self.model: IsotonicRegressionModel | None = None
 
     def fit(self, df: DataFrame, y: str, p: str) -> IsotonicCalibrator:
-        c = df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
-        c = c.groupBy(F.col(p).cast("double").alias("p")).agg(
-            F.avg(F.col(y).cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("n")
-        )
-        self.model = IsotonicRegression(featuresCol="p", weightCol="n", isotonic=True).fit(c)
+        """Scores are collapsed and pooled chunk by chunk; NaN counts as missing."""
+        v = F.col(p).cast("double")
+        c = df.filter(F.col(y).isNotNull() & v.isNotNull() & ~F.isnan(v))
+        c = c.groupBy(v.alias("x")).agg(F.count(F.lit(1)).cast("double").alias("w"), F.sum(F.col(y).cast("double")).alias("s"))
+        blocks = settle(pooling.isotonic_blocks(c), "isotonic")
+        self.lines = settle(pooling.lines(blocks), "lines")
+        if self.lines.count() <= MODEL_LINES:
+            ends = [F.struct(F.col(x).alias("p"), F.col(y).alias("label")) for x, y in (("lo", "value"), ("hi", "value"))]
+            points = blocks.select(F.inline(F.array_distinct(F.array(*ends))))
+            self.model = IsotonicRegression(featuresCol="p", isotonic=True).fit(points)
         return self
 
     def transform(self, df: DataFrame, p: str, out: str = "prob_cal") -> DataFrame:
-        if self.model is None:
+        if self.lines is None:
             raise ValueError("IsotonicCalibrator must be fitted before transform")
-        m = self.model.copy()
-        m = m.setFeaturesCol("_iso_in").setPredictionCol("_iso")
-        res = m.transform(df.withColumn("_iso_in", F.col(p).cast("double")))
-        value = F.col("_iso")
+        value = F.col(p).cast("double")
+        if self.model is not None:
+            m = self.model.copy().setFeaturesCol("_iso_in").setPredictionCol("_iso")
+            # the model's own answer to NaN is a value: it is missing here
+            res = m.transform(df.withColumn("_iso_in", F.coalesce(value, F.lit(float("nan")))))
+            res = res.withColumn("_iso", F.when(~F.isnan("_iso_in"), F.col("_iso")))
+        else:
+            res = pooling.interpolate(df.withColumn("_iso_in", value), self.lines, "_iso_in", "_iso")
+        found = F.col("_iso")
         if self.out_of_bounds != "clip":
-            b = self.model.boundaries
-            outside = (F.col("_iso_in") < float(b[0])) | (F.col("_iso_in") > float(b[len(b) - 1]))
+            low, high = self.lines.agg(F.min("x0"), F.max("x1")).first() if self.model is None else (self.model.boundaries[0], self.model.boundaries[-1])
+            outside = (F.col("_iso_in") < float(low)) | (F.col("_iso_in") > float(high))
             other = (
                 F.lit(float("nan"))
                 if self.out_of_bounds == "nan"
                 else F.raise_error(F.lit("score outside the fitted range")).cast("double")
             )
-            value = F.when(outside, other).otherwise(value)
-        return res.withColumn(out, value).select(*[c for c in df.columns if c != out], out)
+            found = F.when(outside, other).otherwise(found)
+        return res.withColumn(out, found).select(*[c for c in df.columns if c != out], out)
 
     def write(self, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/model")
-        options = SparkSession.active().createDataFrame([(self.out_of_bounds,)], "out_of_bounds string")
+        if self.model is not None:
+            self.model.write().overwrite().save(f"{path}/model")
+        self.lines.write.mode("overwrite").parquet(f"{path}/lines")
+        options = SparkSession.active().createDataFrame([(self.out_of_bounds, self.model is not None)], "out_of_bounds string, model boolean")
         options.write.mode("overwrite").json(f"{path}/options")
 
     @classmethod
     def load(cls, path: str) -> IsotonicCalibrator:
-        c = cls(SparkSession.active().read.json(f"{path}/options").first()["out_of_bounds"])
-        c.model = IsotonicRegressionModel.load(f"{path}/model")
+        options = SparkSession.active().read.json(f"{path}/options").first()
+        c = cls(options["out_of_bounds"])
+        c.lines = SparkSession.active().read.parquet(f"{path}/lines")
+        if options["model"]:
+            c.model = IsotonicRegressionModel.load(f"{path}/model")
         return c
 
 
