@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.operators.rank import long_values, ordered, quantile_row
+from tabwright.operators.rank import long_values, ordered, quantile_row, same_keys
+from tabwright.session import bucket_target, settle
 
 
 def _both(reference: DataFrame, current: DataFrame, cols: Sequence[str], numeric: bool = True) -> DataFrame:
@@ -165,16 +166,46 @@ def cusum(series: DataFrame, by: Sequence[str], order: str, value: str, slack: f
     """Two one-sided cumulative sums of deviations from the series mean.
 
     S_t = max(0, S_{t-1} + x_t - mean - slack) equals C_t - min(0, min C_s) for
-    the plain running sum C, so two window passes replace the recursion. A series
-    has one row per period, aggregated beforehand.
+    the plain running sum C. Rows are cut into pieces along (series, order). Of a piece its sum and least running sum
+    are known; adding sums and taking the least over the pieces before gives what each piece starts from. So
+    a series of any length is worked on by many tasks, and only a row per piece goes through a window of the series. A series
+    has one row per period, aggregated beforehand. A NULL value leaves the sums as they are and gives NULL.
     """
+    v = F.col(value).cast("double")
+    cut = series.repartitionByRange(bucket_target(series.sparkSession), *by, order).withColumn("_at", F.spark_partition_id())
+    rows = settle(cut, "series")
+    keys = [*by, "_at"]
+    renamed = [F.col(k).alias("_r_" + k) for k in keys]
     whole = Window.partitionBy(*by)
-    run = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    d = series.withColumn("_d", F.col(value).cast("double") - F.avg(F.col(value).cast("double")).over(whole))
-    d = d.withColumn("_up", F.sum(F.col("_d") - slack).over(run)).withColumn("_dn", F.sum(-F.col("_d") - slack).over(run))
-    high = F.col("_up") - F.least(F.lit(0.0), F.min("_up").over(run))
-    low = F.col("_dn") - F.least(F.lit(0.0), F.min("_dn").over(run))
-    out = d.select(*series.columns, high.alias("cusum_high"), low.alias("cusum_low"))
+    pieces = rows.groupBy(*keys).agg(F.sum(v).alias("_s"), F.count(v).alias("_n"))
+    # at most (series + pieces) rows from here to the next join
+    pieces = pieces.select(*renamed, F.try_divide(F.sum("_s").over(whole), F.sum("_n").over(whole)).alias("_mean"))
+    d = rows.join(pieces, same_keys(rows, pieces, keys))
+    run = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    up, down = v - F.col("_mean") - slack, F.col("_mean") - v - slack
+    d = d.select(*rows.columns, v.isNotNull().alias("_known"), F.coalesce(F.sum(up).over(run), F.lit(0.0)).alias("_up"), F.coalesce(F.sum(down).over(run), F.lit(0.0)).alias("_dn"))
+    d = settle(d, "running")
+    last = F.max_by(F.struct("_up", "_dn"), order).alias("_end")
+    ends = d.groupBy(*keys).agg(last, F.min("_up").alias("_mu"), F.min("_dn").alias("_md"))
+    before = whole.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0.0)
+    ends = ends.select(
+        *keys, "_mu", "_md",
+        *[F.coalesce(F.sum(f"_end.{c}").over(before), zero).alias("_o" + c) for c in ("_up", "_dn")],
+    )
+    ends = ends.select(
+        *renamed, "_o_up", "_o_dn",
+        F.coalesce(F.min(F.col("_o_up") + F.col("_mu")).over(before), zero).alias("_l_up"),
+        F.coalesce(F.min(F.col("_o_dn") + F.col("_md")).over(before), zero).alias("_l_dn"),
+    )
+    out = d.join(ends, same_keys(d, ends, keys))
+
+    def side(c: str) -> Column:
+        here = F.col("_o" + c) + F.col(c)
+        least = F.least(zero, F.col("_l" + c), F.min(here).over(run))
+        return F.when(F.col("_known"), here - least)
+
+    out = out.select(*series.columns, side("_up").alias("cusum_high"), side("_dn").alias("cusum_low"))
     if limit is None:
         return out
     return out.withColumn("alarm", (F.col("cusum_high") > limit) | (F.col("cusum_low") > limit))

@@ -53,7 +53,7 @@ def with_buckets(df: DataFrame, splits: dict[str, list[float]], suffix: str = BU
     return cut.withColumns({c + suffix: F.col(c + suffix).cast("int") for c in cols})
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]):
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     cond = None
     for k in keys:
         one = left[k].eqNullSafe(right["_r_" + k])
@@ -98,7 +98,7 @@ def cumulate(
         *[F.sum("_t_" + m).over(Window.partitionBy(*by)).alias("tot_" + m) for m in measures],
         *([F.lead("_f_" + m).over(across).alias("_nf_" + m) for m in measures] if peek else []),
     )
-    joined = rows.join(offsets, _same(rows, offsets, keys))
+    joined = rows.join(offsets, same_keys(rows, offsets, keys))
     return joined.select(
         *counts.columns,
         *[(F.col("_in_" + m) + F.col("_o_" + m)).alias("cum_" + m) for m in measures],

@@ -80,3 +80,24 @@ def test_alerts(spark):
     assert out == {("auc", 0.4, 0.5), ("ece", 0.3, 0.1)}
     with pytest.raises(ValueError):
         G.alerts(df, {"auc": ("beside", 0.5)})
+
+
+@pytest.mark.parametrize("width", [1, 3, 16])
+def test_cusum_of_long_series_in_pieces(spark, monkeypatch, width):
+    import random
+
+    monkeypatch.setattr(G, "bucket_target", lambda spark, rows=0: width)
+    rng = random.Random(width)
+    rows = [(s, t, None if rng.random() < 0.02 else rng.gauss(0, 1) + (t > 300)) for s in ("a", "b", None) for t in range(500 if s == "a" else 60)]
+    got = {(r.s, r.t): (r.cusum_high, r.cusum_low, r.alarm) for r in G.cusum(spark.createDataFrame(rows, "s string, t int, v double"), ["s"], "t", "v", 0.25, 5.0).collect()}
+    assert len(got) == len(rows)
+    for s in ("a", "b", None):
+        mine = [(t, v) for k, t, v in rows if k == s]
+        known = [v for _, v in mine if v is not None]
+        mean, high, low = sum(known) / len(known), 0.0, 0.0
+        for t, v in mine:
+            if v is None:
+                assert got[s, t][:2] == (None, None)
+                continue
+            high, low = max(0.0, high + v - mean - 0.25), max(0.0, low + mean - v - 0.25)
+            assert got[s, t][:2] == pytest.approx((high, low), abs=1e-9) and got[s, t][2] == (high > 5 or low > 5)
