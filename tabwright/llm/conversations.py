@@ -149,51 +149,65 @@ class Part:
         self.tail += n - stays
 
 
-def bounds(items: list[tuple[int, int, bool]], lead: list[int]) -> list[int]:
-    """What the rows from each place on cost at least, forced deletions (``lead``) behind the place among them.
+def bounds(items: list[tuple[int, int, bool]], lead: list[int], exits: Iterable[int]) -> list[list[int]]:
+    """For each place and state what the rest costs at least; ``lead`` are the forced deletions before each place.
 
-    A truncated row costs a deletion or more, an unknown role a relabelling; two
-    neighbours that may not follow each other cost an edit, if neither has been counted.
+    The bound leaves audits out of account: from the last row back, the cheapest step to any state.
     """
-    n = len(items)
-    low = [0] * (n + 1)
-    least = [min(DELETE, TRUNCATED) if cut else RELABEL if code == 0 else 0 for _, code, cut in items]
-    for i in range(n - 1, -1, -1):
-        behind = DELETE * lead[i + 1]
-        low[i] = least[i] + behind + low[i + 1]
-        if i + 1 < n and least[i] == least[i + 1] == 0 and (items[i][1], items[i + 1][1]) not in LEGAL:
-            low[i] = max(low[i], RELABEL + behind + DELETE * lead[i + 2] + low[i + 2])
+    far = 1 << 40
+
+    def with_insertions(to: list[int]) -> list[int]:
+        for _ in STATES:
+            to = [min(c, INSERT + to[due(s)]) for s, c in enumerate(to)]
+        return to
+
+    exits = set(exits)
+    low = [with_insertions([0 if s in exits else far for s in STATES])]
+    for i in range(len(items) - 1, -1, -1):
+        _, code, cut = items[i]
+        then, stay = low[-1], TRUNCATED if cut else 0
+        here = []
+        for s in STATES:
+            c = min(DELETE + then[s], stay + RELABEL + then[due(s)])
+            if follows(s, code):
+                c = min(c, stay + then[code])
+            here.append(c + DELETE * lead[i + 1])
+        low.append(with_insertions(here))
+    low.reverse()
     return low
 
 
 def search(items: list[tuple[int, int, bool]], tail: int, entry: int, exits: Iterable[int]) -> tuple[int, str] | None:
     """The cheapest edits, and of those the least audit, that lead from ``entry`` to one of ``exits``.
 
-    Depth first with a stack of its own. A node is a place and a state; what leads to it is a cost and an audit. A
-    prefix is given up if the lower bound of the rest, added to its cost, exceeds the incumbent's cost (or
-    meets it with a greater audit), or if a better prefix has reached its node. Of two prefixes of equal cost
+    Depth first with a stack of its own, lesser edits first. A node is a place and a state; what leads to it is a cost and
+    an audit. A prefix is given up if its cost and the lower bound of the rest exceed the incumbent's cost (or
+    meet it with a greater audit), or if a better prefix has reached its node. Of two prefixes of equal cost
     neither is the beginning of the other, as their edits differ by insertions alone; so the lesser stays so
-    with anything after it.
+    with anything after it. The search ends when no prefix is left, which proves the incumbent.
     """
     n, exits = len(items), set(exits)
     lead = [*(before for before, _, _ in items), tail]
-    low = bounds(items, lead)
-    best: tuple[int, str] | None = None
+    low = bounds(items, lead, exits)
     root = (DELETE * lead[0], "D" * lead[0])
+    if low[0][entry] >= 1 << 40:
+        return None
+    # nothing costs less than the bound at the root: what exceeds it needs no incumbent to be given up
+    limit = root[0] + low[0][entry]
+    best: tuple[int, str] | None = None
     seen = {entry: root}
     stack = [(0, entry, *root)]
     while stack:
         i, state, cost, audit = stack.pop()
         if seen[4 * i + state] != (cost, audit):
             continue
-        if best is not None:
-            total = cost + low[i]
-            if total > best[0] or (total == best[0] and audit > best[1][: len(audit)]):
-                continue
+        if best is not None and cost + low[i][state] >= best[0] and audit > best[1][: len(audit)]:
+            continue
         if i == n and state in exits and (best is None or (cost, audit) < best):
             best = cost, audit
+            limit = cost
         then = due(state)
-        options = [(i, then, cost + INSERT, audit + "I")]
+        options = []
         if i < n:
             _, code, cut = items[i]
             run = "D" * lead[i + 1]
@@ -201,15 +215,17 @@ def search(items: list[tuple[int, int, bool]], tail: int, entry: int, exits: Ite
             keep = base + (TRUNCATED if cut else 0)
             if code != then:
                 options.append((i + 1, then, keep + RELABEL, audit + "R" + run))
-            options.append((i + 1, state, base + DELETE, audit + "D" + run))
             if follows(state, code):
                 options.append((i + 1, code, keep, audit + "K" + run))
+        options.append((i, then, cost + INSERT, audit + "I"))
+        if i < n:
+            options.append((i + 1, state, base + DELETE, audit + "D" + run))
         for j, to, c, a in options:
+            if c + low[j][to] > limit:
+                continue
             known = seen.get(4 * j + to)
             if known is not None and known <= (c, a):
                 continue
-            if best is not None and c + low[j] > best[0]:
-                continue
             seen[4 * j + to] = c, a
             stack.append((j, to, c, a))
     return best
