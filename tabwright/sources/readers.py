@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.functions.scalar import nan_to_null
+from tabwright.sources import quoted
 from tabwright.sources.contract import SPARK_TYPES, Contract
 
 # Texts that mean "missing" in a CSV cell.
@@ -59,13 +60,17 @@ def read_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataF
     """A headed CSV as text columns with missing values cleaned, and the column ``_surplus``.
 
     Quotes inside quoted fields are doubled. Short rows are filled with NULL. With
-    ``multi_line`` quoted fields may hold line breaks; such files cannot be split, so
-    each is read by one task.
+    ``multi_line`` quoted fields may hold line breaks; files are split all the same (see :mod:`quoted`). A header is one line.
     """
-    options = {"quote": '"', "escape": '"', "multiLine": multi_line}
+    options = {"quote": '"', "escape": '"'}
     names = _open(lambda p: spark.read.options(header=True, **options).csv(p), path).columns  # the first line only
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, SURPLUS)])
-    raw = _open(lambda p: spark.read.schema(schema).options(header=True, **options).csv(p), path)
+    if not multi_line:
+        raw = _open(lambda p: spark.read.schema(schema).options(header=True, **options).csv(p), path)
+    else:
+        fields = ", ".join(f"`{c.replace('`', '``')}` string" for c in schema.names)
+        parsed = F.from_csv("value", fields, options | {"multiLine": "true"})
+        raw = quoted.records(spark, path).select(parsed.alias("r")).select("r.*")
     return clean_missing(raw, texts=True)
 
 
