@@ -40,6 +40,13 @@ def _long(df: DataFrame, run: str, scope: str) -> DataFrame:
     )
 
 
+def _by_fold(df: DataFrame, fold: str) -> DataFrame:
+    """``df`` written with a folder per fold: a filter on the fold reads no other rows."""
+    path = scratch(df.sparkSession, "folds")
+    df.write.partitionBy(fold).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def cross_validate(
     df: DataFrame,
     key: str,
@@ -60,8 +67,8 @@ def cross_validate(
     """K-fold out-of-fold scores, metrics and calibration per family.
 
     Preprocessing is fitted on the training side of each fold, for all folds in
-    one pass; ``leaky_prefit`` fits it once on all rows instead. The table with
-    its folds is written once and every fold reads only its columns. Fits run
+    one pass; ``leaky_prefit`` fits it once on all rows instead. The table is written once,
+    a folder per fold, so that training reads the other folds' folders and scoring its own, each with the plan's columns. Fits run
     from driver threads, scores go to the shared folder as they come.
     ``inner_validation`` stops early on part of the training side, so that a
     validation fold is never used for fitting. Without ``calibrate`` the calibrated
@@ -72,7 +79,7 @@ def cross_validate(
     src = P.target_column(df, target, "raise", "label").select(
         F.col(key).alias("key"), F.col(target).alias("_target"), "label", *columns, *([key] if key in plan and plan[key] != "drop" else [])
     )
-    src = settle(assign_folds(src, "key", k, seed), "folds")
+    src = _by_fold(assign_folds(src, "key", k, seed), "fold")
     if leaky_prefit:
         preps = [P.fit_preprocessing(src, plan, "_target", unknown=unknown)] * k
     else:
@@ -82,8 +89,8 @@ def cross_validate(
     def one(job: tuple[Family, int]) -> tuple[str, int, float]:
         family, i = job
         start = time.time()
-        ready = preps[i].transform(src).select("key", "fold", "label", "features")
-        train, val = ready.filter(F.col("fold") != i), ready.filter(F.col("fold") == i)
+        columns = ["key", "fold", "label", "features"]
+        train, val = (preps[i].transform(src.filter(side)).select(*columns) for side in (F.col("fold") != i, F.col("fold") == i))
         stop = val
         if inner_validation:
             parts = stratified_holdout(train, "key", "label", 0.1, seed)
@@ -172,7 +179,7 @@ def nested_cv(
     ``(fold, trial, metric, value)``; fits run fold by fold from the driver, each
     one distributed.
     """
-    folds = settle(assign_folds(df, key, outer, seed, "_outer"), "outer")
+    folds = _by_fold(assign_folds(df, key, outer, seed, "_outer"), "_outer")
     out = None
     for i in range(outer):
         train, test = folds.filter(F.col("_outer") != i).drop("_outer"), folds.filter(F.col("_outer") == i).drop("_outer")

@@ -297,3 +297,24 @@ def pipeline_target_encoding(spark, sf):
     c = customer_churn(spark, sf)
     p = P.fit_preprocessing(c, {"location": "target_encode"}, "churn")
     return p.transform(c).select("customer_id", F.round(vector_to_array("features")[0], 6).alias("location_rate"))
+
+
+@query(
+    "contract_policy_features",
+    churn_sql(
+        """SELECT customer_id, i::INT AS slot, round((x[i + 1] - u[i + 1]) / d[i + 1], 6) AS value FROM (
+          SELECT customer_id, [coalesce(acctbal, 0e0), coalesce(avg_total, a), coalesce(tenure_days, t), coalesce(n_urgent, 0)::DOUBLE] AS x FROM churn, med), m, range(4) r(i)""",
+        """med AS (SELECT median(avg_total) AS a, median(tenure_days) AS t FROM churn),
+        full_ AS (SELECT coalesce(acctbal, 0e0) AS b, coalesce(avg_total, a) AS a, coalesce(tenure_days, t) AS t, coalesce(n_urgent, 0) AS g FROM churn, med),
+        m AS (SELECT [avg(b), avg(a), avg(t), avg(g)] AS u, [stddev_pop(b), stddev_pop(a), stddev_pop(t), stddev_pop(g)] AS d FROM full_)""",
+    ),
+)
+def contract_policy_features(spark, sf):
+    """A fitted pipeline that fills missing numbers as the contract declares: zero or median."""
+    from pyspark.ml.functions import vector_to_array
+
+    c = customer_churn(spark, sf)
+    plan = dict.fromkeys(["acctbal", "avg_total", "tenure_days", "n_urgent"], "scale")
+    p = P.fit_preprocessing(c, plan, "churn", policy="contract", contract=CHURN)
+    v = p.transform(c).select("customer_id", F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    return v.select("customer_id", "slot", F.round("value", 6).alias("value"))
