@@ -66,3 +66,25 @@ def stream_scored_by_saved_model(spark, sf):
     out, check = scratch(spark, "stream-scores"), scratch(spark, "stream-check")
     finish(ST.score_stream(ST.table_stream(spark, src, files_per_batch=2), scorer, out, check))
     return spark.read.parquet(out).select("customer_id", "prob", "logit")
+
+
+# a day of a user's events, and the days on which they leave a window, as far as the watermark has passed them
+USAGE_SQL = """WITH e AS (SELECT user_id, ts::DATE AS d, count(*) AS n, count(*) FILTER (event_type = 'purchase') AS b FROM events GROUP BY 1, 2),
+  done AS (SELECT (max(ts) - INTERVAL 2 DAYS)::DATE - 1 AS last FROM events),
+  points AS (SELECT DISTINCT user_id, d + x AS day FROM e, (VALUES (0), (30), (90)) v(x), done WHERE d + x <= last)
+  SELECT p.user_id, p.day::DATE AS day, coalesce(sum(n) FILTER (d > p.day - 30), 0)::BIGINT AS events_30d, coalesce(sum(b), 0)::BIGINT AS purchases_90d
+  FROM points p LEFT JOIN e ON e.user_id = p.user_id AND d <= p.day AND d > p.day - 90 GROUP BY 1, 2"""
+
+
+@query("stream_running_usage", USAGE_SQL)
+def stream_running_usage(spark, sf):
+    """Events of 30 and purchases of 90 days, kept up to date by a stream of several batches."""
+    from tabwright.streaming.usage import running_usage
+
+    src, out, check = scratch(spark, "stream-events"), scratch(spark, "stream-running"), scratch(spark, "stream-check")
+    # files in the order of time, as they would arrive
+    spark.read.parquet(f"{sf}/events.parquet").repartitionByRange(6, "ts").write.parquet(src)
+    counts = {"events_30d": (30, F.lit(True)), "purchases_90d": (90, F.col("event_type") == "purchase")}
+    usage = running_usage(ST.table_stream(spark, src, files_per_batch=2), "user_id", "ts", counts)
+    finish(ST.write_batches(usage, out, check))
+    return spark.read.parquet(out).drop("batch")
