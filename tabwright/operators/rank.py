@@ -132,25 +132,52 @@ def long_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -
     return df.select(*extra, F.inline(F.array(*items))).filter(F.col("value").isNotNull())
 
 
+#: Share of the rows by which a sketched place may be off.
+SKETCH_ERROR = 1e-3
+
+
+def brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[tuple[str, float], tuple[float, float]]:
+    """Values between which the quantiles lie for certain, from one mergeable sketch per column; no entry without values."""
+    wide = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-2 * SKETCH_ERROR, 2 * SKETCH_ERROR)})
+    found = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(cols)]).approxQuantile([f"c{i}" for i in range(len(cols))], wide, SKETCH_ERROR)
+    out = {}
+    for c, values in zip(cols, found, strict=True):
+        at = dict(zip(wide, values, strict=False))
+        for p in probs if values else ():
+            out[c, p] = at[max(0.0, p - 2 * SKETCH_ERROR)], at[min(1.0, p + 2 * SKETCH_ERROR)]
+    return out
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: ``(column, prob, value, n)``.
 
-    Values are collapsed per column, running counts come from the bucketed order, and
-    only the rows at the wanted places go on. NaN counts as missing; a column without
-    values gives no row.
+    A sketch gives two values around each wanted place. One pass counts the rows below each bracket; those inside, some
+    4 * SKETCH_ERROR of all, are collapsed and brought into order, and only the rows at the wanted places go on. The whole is never
+    sorted. NaN counts as missing; a column without values gives no row.
     """
-    counts = long_values(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).alias("m"))
-    c = ordered(counts, ["column"], "value", ["m"])
-    first, last = F.col("cum_m") - F.col("m"), F.col("cum_m") - 1
-    items = []
-    for prob in probs:
-        pos = (F.col("tot_m") - 1) * F.lit(float(prob))
-        left, right = F.floor(pos).between(first, last), F.ceil(pos).between(first, last)
-        hit = F.struct(F.lit(float(prob)).alias("prob"), F.when(left, F.col("value")).alias("a"), F.when(right, F.col("value")).alias("b"))
-        items.append(F.when(left | right, hit))
-    at = c.select("column", F.col("tot_m").alias("n"), F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("x"))
-    at = at.groupBy("column", "n", "x.prob").agg(F.max("x.a").alias("a"), F.max("x.b").alias("b"))
+    probs = [float(p) for p in probs]
+    near = brackets(df, cols, probs)
+    spark = df.sparkSession
+    if not near:
+        return spark.createDataFrame([], '"column" string, prob double, value double, n bigint'.replace('"', "`"))
+    values = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    place = {c: i for i, c in enumerate(cols)}
+    sums = [F.count(f"c{i}").alias(f"n{i}") for i in range(len(cols))]
+    keys = list(near)
+    sums += [F.count_if(F.col(f"c{place[c]}") < near[c, p][0]).alias(f"b{k}") for k, (c, p) in enumerate(keys)]
+    known = values.agg(*sums).first()
+    inside = [F.struct(F.lit(k).alias("k"), F.col(f"c{place[c]}").alias("value")) for k, (c, p) in enumerate(keys)]
+    held = [F.when(F.col(f"c{place[c]}").between(*near[c, p]), inside[k]) for k, (c, p) in enumerate(keys)]
+    rows = values.select(F.inline(F.filter(F.array(*held), lambda x: x.isNotNull())))
+    counts = rows.groupBy("k", "value").agg(F.count(F.lit(1)).alias("m"))
+    # one row per column and place
+    asked = [(k, c, p, known[f"n{place[c]}"], known[f"b{k}"]) for k, (c, p) in enumerate(keys)]
+    asked = F.broadcast(spark.createDataFrame(asked, "k int, column string, prob double, n bigint, below bigint"))
+    c = ordered(counts, ["k"], "value", ["m"]).join(asked, "k")
     pos = (F.col("n") - 1) * F.col("prob")
+    first, last = F.col("below") + F.col("cum_m") - F.col("m"), F.col("below") + F.col("cum_m") - 1
+    left, right = F.floor(pos).between(first, last), F.ceil(pos).between(first, last)
+    at = c.filter(left | right).groupBy("column", "prob", "n").agg(F.max(F.when(left, F.col("value"))).alias("a"), F.max(F.when(right, F.col("value"))).alias("b"))
     return at.select("column", "prob", (F.col("a") + (F.col("b") - F.col("a")) * (pos - F.floor(pos))).alias("value"), "n")
 
 

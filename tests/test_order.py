@@ -119,3 +119,24 @@ def test_quantiles_take_nan_for_missing(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),), (None,), (-0.0,), (0.0,)], "x double")
     got = {r["prob"]: (r["value"], r["n"]) for r in R.exact_quantiles(df, ["x"], [0.25, 0.5, 1.0]).collect()}
     assert got == {0.25: (0.0, 5), 0.5: (1.0, 5), 1.0: (3.0, 5)}
+
+
+def test_quantiles_of_any_shape(spark):
+    import numpy as np
+
+    from tabwright.operators import rank as R
+
+    rng = np.random.default_rng(3)
+    n = 6000
+    table = {"normal": rng.standard_normal(n), "ties": rng.integers(0, 4, n).astype(float), "one": np.full(n, 7.0), "tail": np.exp(5 * rng.standard_normal(n)), "gaps": np.where(rng.random(n) < 0.5, np.nan, rng.random(n))}
+    rows = [tuple(None if i % 7 == 0 and c == "gaps" else float(v) for c, v in zip(table, r, strict=True)) + (None,) for i, r in enumerate(zip(*table.values(), strict=True))]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in table) + ", empty double")
+    probs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.9, 0.9995, 1.0]
+    got = {(r["column"], r["prob"]): (r["value"], r["n"]) for r in R.exact_quantiles(df, [*table, "empty"], probs).collect()}
+    for c in table:
+        known = np.array([r[list(table).index(c)] for r in rows if r[list(table).index(c)] is not None])
+        known = known[~np.isnan(known)]
+        for p in probs:
+            assert got[c, p][0] == pytest.approx(np.quantile(known, p)) and got[c, p][1] == len(known), (c, p)
+    assert len(got) == len(table) * len(probs)
+    assert R.exact_quantiles(df, ["empty"], probs).count() == 0
