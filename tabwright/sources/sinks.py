@@ -11,17 +11,27 @@ from pyspark.sql import functions as F
 OOF_COLUMNS = ["run", "model", "key", "fold", "y_true", "prob", "prob_cal"]
 
 
-def write_oof(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Out-of-fold scores of all models in one schema, partitioned by run and model."""
-    df.select(*OOF_COLUMNS).write.mode(mode).partitionBy("run", "model").parquet(path)
+def _write_runs(df: DataFrame, path: str, mode: str) -> None:
+    """``replace`` puts the run's models in place of what was written of them before; other runs stay."""
+    out = df.write.partitionBy("run", "model")
+    if mode == "replace":
+        out = out.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        out = out.mode(mode)
+    out.parquet(path)
+
+
+def write_oof(df: DataFrame, path: str, mode: str = "replace") -> None:
+    """Out-of-fold scores of all models in one schema, partitioned by run and model. A run written again replaces itself."""
+    _write_runs(df.select(*OOF_COLUMNS), path, mode)
 
 
 METRIC_COLUMNS = ["run", "model", "scope", "fold", "metric", "value", "text"]
 
 
-def write_metrics(df: DataFrame, path: str, mode: str = "append") -> None:
-    """The long run table ``(run, model, scope, fold, metric, value, text)``."""
-    df.select(*METRIC_COLUMNS).write.mode(mode).partitionBy("run", "model").parquet(path)
+def write_metrics(df: DataFrame, path: str, mode: str = "replace") -> None:
+    """The long run table ``(run, model, scope, fold, metric, value, text)``. A run written again replaces itself."""
+    _write_runs(df.select(*METRIC_COLUMNS), path, mode)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -178,3 +178,19 @@ def customers_for(ids: DataFrame, id_col: str, seed: int = 42, missing: bool = T
 def generate(spark: SparkSession, n: int = 500, seed: int = 42, missing: bool = True) -> DataFrame:
     """``n`` synthetic customers, ids from 1."""
     return customers_for(spark.range(1, n + 1), "id", seed, missing)
+
+
+def save_sample(spark: SparkSession, path: str, n: int = 500, seed: int = 42, fmt: str = "csv", missing: bool = True) -> tuple[int, float]:
+    """Write ``n`` synthetic customers as headed CSV or as Parquet; ``(rows, churn rate)`` of what was written."""
+    if fmt not in ("csv", "parquet"):
+        raise ValueError(f"unknown format: {fmt}")
+    df = generate(spark, n, seed, missing)
+    out = df.write.mode("overwrite")
+    if fmt == "csv":
+        out.option("header", True).option("escape", '"').csv(path)
+        back = spark.read.schema(df.schema).option("header", True).option("escape", '"').csv(path)
+    else:
+        out.parquet(path)
+        back = spark.read.schema(df.schema).parquet(path)
+    rows, rate = back.agg(F.count(F.lit(1)), F.avg("churn_probability")).first()
+    return rows, rate
