@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import functions as F
 
 from tabwright.functions import scalar as X
@@ -14,7 +16,7 @@ from tabwright.plans.catalog import query
 from tabwright.plans.contracts import CHURN, STRICT
 from tabwright.plans.frame import churn_sql, customer_churn, folded, scored, table
 from tabwright.plans.queries_metrics import curve_sql, fold_sql, metrics_wide_sql, r6
-from tabwright.session import scratch
+from tabwright.session import scratch, settle
 from tabwright.sources import readers, sinks
 
 FRAME_COLUMNS = list(CHURN.columns)
@@ -30,6 +32,62 @@ def scan_contract_csv(spark, sf):
     return readers.read(spark, path, CHURN)
 
 
+@query("loaded_by_contract_file", churn_sql("SELECT * EXCLUDE (churn), churn::DOUBLE AS churn FROM churn"))
+def loaded_by_contract_file(spark, sf):
+    """The table and its contract both come from files; the first violation would raise."""
+    path, contract = scratch(spark, "customers-csv"), scratch(spark, "contract")
+    sinks.write_csv(customer_churn(spark, sf), path)
+    CHURN.save(contract, spark)
+    return readers.load_data(spark, path, contract)
+
+
+@query(
+    "first_violation",
+    churn_sql(
+        """SELECT 'columns' AS damage, 'Missing required columns: [''acctbal'', ''segment'']' AS message
+        UNION ALL SELECT 'missing', 'Column ''n_orders'' has ' || count(*) FILTER (n_orders IS NULL) || ' missing values but missing_policy is ''forbidden''' FROM churn
+        UNION ALL SELECT 'range', CASE WHEN min(acctbal) < 0 OR max(acctbal) > 9000 THEN 'Column ''acctbal'' values outside expected range [0.0, 9000.0]' ELSE '' END FROM churn
+        UNION ALL SELECT 'none', ''"""
+    ),
+)
+def first_violation(spark, sf):
+    """What stops a load: a missing column before anything else, then columns in their order, missing values before ranges."""
+    from dataclasses import replace
+
+    c = settle(customer_churn(spark, sf), "customers")
+    narrow = {"acctbal": {**CHURN.features["acctbal"], "range": [0.0, 9000.0]}}
+    strict = {"n_orders": {**CHURN.features["n_orders"], "missing_policy": "forbidden"}}
+    first = {**strict, **{k: v for k, v in CHURN.features.items() if k not in strict}, **narrow}
+    cases = {
+        "columns": (c.drop("segment", "acctbal"), replace(CHURN, features={**CHURN.features, **strict})),
+        "missing": (c, replace(CHURN, features=first)),
+        "range": (c, replace(CHURN, features={**CHURN.features, **narrow})),
+        "none": (c, CHURN),
+    }
+    out = []
+    for name, (df, contract) in cases.items():
+        try:
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                V.enforce(df, contract)
+            out.append((name, ""))
+        except ValueError as e:
+            out.append((name, str(e)))
+    return spark.createDataFrame(out, "damage string, message string")
+
+
+@query(
+    "folds_repeat",
+    churn_sql("SELECT customer_id, fold, true AS same FROM folded", fold_sql("churn", "customer_id", 5)),
+)
+def folds_repeat(spark, sf):
+    """One seed gives one assignment, however the rows lie; compared key by key."""
+    c = customer_churn(spark, sf)
+    a = folded(spark, sf, c).select("customer_id", "fold")
+    b = S.assign_folds(c.repartition(7, "acctbal").select("customer_id"), "customer_id", 5, 42).select("customer_id", F.col("fold").alias("again"))
+    return a.join(b, "customer_id").select("customer_id", "fold", (F.col("fold") == F.col("again")).alias("same"))
+
+
 @query("scan_contract_parquet", churn_sql("SELECT segment, count(*) AS n, count(n_orders) AS n_known FROM churn GROUP BY segment"))
 def scan_contract_parquet(spark, sf):
     path = scratch(spark, "customers-parquet")

@@ -41,7 +41,7 @@ class Contract:
     @classmethod
     def load(cls, path: str, spark=None) -> Contract:
         """Read a YAML contract; with a session also from any storage Spark reads."""
-        if os.path.exists(path):
+        if os.path.isfile(path):
             with open(path) as f:
                 return cls.from_dict(yaml.safe_load(f) or {})
         if spark is not None:
@@ -53,6 +53,11 @@ class Contract:
                 pass
         raise FileNotFoundError(f"Schema file not found: {path}")
 
+    def save(self, path: str, spark) -> None:
+        """Write the contract as YAML to any storage Spark writes; :meth:`load` reads it back."""
+        text = yaml.safe_dump(self.info(), sort_keys=False)
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
     @property
     def columns(self) -> dict[str, dict]:
         """Features in declared order, then the target."""
