@@ -149,3 +149,12 @@ def test_decision_table_missing(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         readers.read_decisions(spark, str(tmp_path / "none.csv"))
     assert readers.read_runs(spark, str(tmp_path / "none")) is None
+
+
+def test_contract_is_saved_and_loaded(spark, tmp_path):
+    from tabwright.plans.contracts import CHURN, STRICT
+    from tabwright.sources.contract import Contract
+
+    for c in (CHURN, STRICT):
+        c.save(str(tmp_path / "contract"), spark)
+        assert Contract.load(str(tmp_path / "contract"), spark) == c
