@@ -50,7 +50,7 @@ def settle(df, label: str = "settled"):
     """
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
