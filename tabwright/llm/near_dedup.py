@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.base import checked_broadcast, keep_rows, lowered, mix, per_slice, slices, strings, text_of, word_hashes, word_starts
+from tabwright.llm.base import BROADCAST_ROWS, checked_broadcast, keep_rows, lowered, mix, per_slice, slices, strings, text_of, word_hashes, word_starts
 from tabwright.llm.graph import components
 from tabwright.llm.weighted_minhash import bands, occurrences, shingles, signatures
 from tabwright.operators.joins import lookup
@@ -46,14 +46,15 @@ def _prints(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _sketch(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
-    """The text's prints, band keys and signature (16 bits of each component) for each row."""
+    """The text's prints, band keys and signature (8 bits of each component) for each row."""
     node, check, n_words = _prints(data, offsets)
     sigs = signatures(*shingles(data, offsets, WORDS), batch.num_rows, BANDS * ROWS)
     keys = bands(sigs, ROWS).astype(np.int64)
     lists = pa.ListArray.from_arrays(np.arange(0, (len(keys) + 1) * BANDS, BANDS, dtype=np.int32), pa.array(keys.ravel()))
-    short = [s.tobytes() for s in (sigs & _U(0xFFFF)).astype(np.uint16)]
-    cols = [batch.column("doc_id"), pa.array(node), pa.array(check), pa.array(n_words), lists, pa.array(short, pa.binary())]
-    return pa.RecordBatch.from_arrays(cols, names=["doc_id", "node", "check", "n_words", "bands", "sig"])
+    packed = pa.array([k.tobytes() for k in keys], pa.binary())
+    short = [s.tobytes() for s in sigs.astype(np.uint8)]
+    cols = [batch.column("doc_id"), pa.array(node), pa.array(check), pa.array(n_words), lists, packed, pa.array(short, pa.binary())]
+    return pa.RecordBatch.from_arrays(cols, names=["doc_id", "node", "check", "n_words", "bands", "packed", "sig"])
 
 
 def _multisets(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
@@ -98,16 +99,15 @@ def _verified(pairs: DataFrame, items: DataFrame) -> DataFrame:
 def _tiles(members: DataFrame, sigs: DataFrame, threshold: float | None = None) -> DataFrame:
     """Pairs (a, b) of one bucket but of different components whose signatures agree often enough.
 
-    A bucket is cut into blocks of about TILE members; each pair of blocks is a group
+    ``members`` are (key, node, root, n), n the members of the bucket; ``sigs`` (node, sig, bands) the signature and the keys of
+    all bands of a node. A bucket is cut into blocks of about TILE members; each pair of blocks is a group
     of its own, so that a large bucket spreads out. A pair that shares several bands is looked at in the
     first of them only. With ``threshold`` (``sigs`` then has the multisets too) pairs are compared
     exactly in their tile, and a tile returns just enough links to join what it finds to be
     joined: fewer than it has members.
     """
-    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    size = settle(size.select("key", F.ceil(F.col("n") / TILE).cast("int").alias("blocks")), "sizes")
     carried = [c for c in sigs.columns if c != "node"]
-    rows = members.join(size, "key").join(sigs, "node")
+    rows = members.withColumn("blocks", F.ceil(F.col("n") / TILE).cast("int")).join(sigs, "node")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = rows.withColumn("block", block).select("key", "node", "root", *carried, "block", other)
@@ -116,11 +116,10 @@ def _tiles(members: DataFrame, sigs: DataFrame, threshold: float | None = None)
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("block", "ascending"), ("node", "ascending")])
         ids, roots, block = (table.column(c).to_numpy() for c in ("node", "root", "block"))
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(ids), -1)
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
         items = table.column("items").to_pylist() if threshold is not None else []
-        keys = _band_keys(sig)
-        # the band of this bucket is the one that all members share
-        band = int((keys == keys[0]).all(axis=0).argmax())
+        keys = np.frombuffer(b"".join(table.column("bands").to_pylist()), np.int64).reshape(len(ids), -1)
+        band = int((keys[0] == table.column("key")[0].as_py()).argmax())
         left = np.flatnonzero(block == block[0])
         same_block = len(left) == len(ids)
         joined = {int(r): int(r) for r in np.unique(roots)}
@@ -152,13 +151,11 @@ def _tiles(members: DataFrame, sigs: DataFrame, threshold: float | None = None)
     return rows.groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint")
 
 
-def _band_keys(sig: np.ndarray) -> np.ndarray:
-    """A key per band from the 16 bits of each component that signatures keep."""
-    parts = sig.reshape(len(sig), BANDS, ROWS).astype(_U)
-    key = np.zeros(parts.shape[:2], _U)
-    for j in range(ROWS):
-        key = mix(key * _U(0x9E3779B97F4A7C15) + parts[:, :, j])
-    return key
+def _of_key(rows: DataFrame, table: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` with the columns of a settled ``table`` (one row per key, ``size`` rows of ``rows`` at most have it); others go."""
+    if table.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), key)
+    return lookup(rows, table, [key], size, rows.columns[0] if rows.columns[0] != key else rows.columns[1]).filter(F.col(size).isNotNull())
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -185,18 +182,18 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def _placed(docs: DataFrame, threshold: float) -> DataFrame:
     """``classes`` with the node of each row's text."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST)).alias("doc_id"), text_of().alias("text"))
-    sketch = rows.mapInArrow(per_slice(_sketch), "doc_id bigint, node bigint, check bigint, n_words bigint, bands array<bigint>, sig binary")
+    sketch = rows.mapInArrow(per_slice(_sketch), "doc_id bigint, node bigint, check bigint, n_words bigint, bands array<bigint>, packed binary, sig binary")
     sketch = settle(sketch, "sketch")
     texts = settle(sketch.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "texts")
 
     each = sketch.filter("n_words > 0").select("node", F.explode("bands").alias("key"))
-    shared = each.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
-    shared = settle(shared.select("key"), "buckets")
-    members = settle(each.join(checked_broadcast(shared), "key").select("key", "node").distinct(), "members")
+    shared = each.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count(F.lit(1)).alias("rows")).filter("first < last")
+    shared = settle(shared.select("key", "rows"), "buckets")
+    members = settle(_of_key(each, shared, "key", "rows").select("key", "node").distinct(), "members")
     sizes = settle(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "sizes")
-    met = members.join(checked_broadcast(sizes), "key").groupBy("node").agg(F.sum("n").alias("met"))
+    met = _of_key(members, sizes, "key", "n").groupBy("node").agg(F.sum("n").alias("met"))
     met = settle(met, "met")
-    first = members.join(checked_broadcast(met), "node").groupBy("key").agg(F.max_by("node", F.struct("met", "node")).alias("pivot"))
+    first = members.join(checked_broadcast(met), "node").groupBy("key").agg(F.max_by("node", F.struct("met", "node")).alias("pivot"), F.count(F.lit(1)).alias("n"))
     first = settle(first, "pivots")
     involved = settle(members.select("node").distinct().join(texts, "node").select("node", "rep"), "involved")
     sources = keep_rows(rows, involved.select(F.col("rep").alias("doc_id")), "left_semi")
@@ -205,7 +202,7 @@ def _placed(docs: DataFrame, threshold: float) -> DataFrame:
     if items.count() > involved.count():  # repeated ids
         items = settle(items.dropDuplicates(["node"]), "items")
 
-    pairs = members.join(checked_broadcast(first), "key").filter("node <> pivot").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
+    pairs = _of_key(members, first, "key", "n").filter("node <> pivot").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
     tried = settle(_verified(pairs, items), "tried")
     links = tried.filter(F.col("sim") >= threshold)
     roots = settle(components(links), "roots")
@@ -214,13 +211,13 @@ def _placed(docs: DataFrame, threshold: float) -> DataFrame:
     apart = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1").select("key")
     apart = settle(apart, "apart")
     if not apart.isEmpty():
-        sigs = settle(sketch.join(checked_broadcast(involved.select("node", F.col("rep").alias("doc_id"))), ["node", "doc_id"]).select("node", "sig"), "sigs")
+        sigs = settle(sketch.join(checked_broadcast(involved.select("node", F.col("rep").alias("doc_id"))), ["node", "doc_id"]).select("node", "sig", F.col("packed").alias("bands")), "sigs")
         sigs = sigs.dropDuplicates(["node"])
-        left = placed.join(checked_broadcast(apart), "key").join(sizes, "key")
-        close = _tiles(left.filter(F.col("n") <= FEW).drop("n"), sigs).distinct()
+        left = _of_key(placed, settle(sizes.join(apart, "key"), "apart"), "key", "n")
+        close = _tiles(left.filter(F.col("n") <= FEW), sigs).distinct()
         close = close.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         found = settle(_verified(close, items).filter(F.col("sim") >= threshold).select("a", "b"), "tried")
-        large = left.filter(F.col("n") > FEW).drop("n")
+        large = left.filter(F.col("n") > FEW)
         more = found.unionByName(settle(_tiles(large, sigs.join(items, "node"), threshold).distinct(), "tried"))
         if not more.isEmpty():
             links = links.select("a", "b").unionByName(more)

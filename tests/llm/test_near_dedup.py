@@ -175,3 +175,18 @@ def test_word_hashes_do_not_depend_on_runs(monkeypatch):
         monkeypatch.setattr(base, "_RUN", run)
         monkeypatch.setattr(base, "_POWERS", {})
         assert base.word_hashes(data, starts).tolist() == want.tolist()
+
+
+def test_tiles_go_by_whole_band_keys(spark):
+    """Two nodes whose short signatures agree everywhere, but whose only common band is the last: they meet there, once."""
+    import numpy as np
+
+    from tabwright.llm import near_dedup as N
+
+    keys = np.arange(3 * N.BANDS).reshape(3, N.BANDS)
+    keys[:, -1] = 999
+    sig = bytes(N.BANDS * N.ROWS)
+    sigs = spark.createDataFrame([(i, bytearray(sig), bytearray(keys[i].astype(np.int64).tobytes())) for i in range(3)], "node bigint, sig binary, bands binary")
+    members = spark.createDataFrame([(999, i, i, 3) for i in range(3)], "key bigint, node bigint, root bigint, n bigint")
+    got = sorted(tuple(r) for r in N._tiles(members, sigs).collect())
+    assert got == [(0, 1), (0, 2), (1, 2)]
