@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.base import checked_broadcast, keep_rows, text_of
+from tabwright.operators.joins import lookup
 from tabwright.session import scratch, settle
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 RANK = "struct<n_points:bigint,not_id:bigint,not_row:bigint>"
 LOG = "digest binary, doc_id bigint, n_points bigint, row bigint"
+CONTENT = f"{LOG}, norm string"
 
 
 def squeezed(text: Column) -> Column:
@@ -26,18 +28,24 @@ def sha256_of(norm: Column) -> Column:
     return F.unhex(F.sha2(norm, 256))
 
 
-def write_log(docs: DataFrame, path: str, digest: Callable[[Column], Column] = sha256_of, first_row: int = 0) -> None:
+def write_log(docs: DataFrame, path: str, digest: Callable[[Column], Column] = sha256_of, first_row: int = 0, content: str | None = None) -> None:
     """Append one record per row: digest, identifier, length and where the content is (row number of this log).
 
-    The log is what the stream reads. A row number is unique and, once written, fixed.
+    The log is what the stream reads. A row number is unique and, once written, fixed. With ``content`` the
+    rows' normalised texts go to that folder first, with the same fields, so that later calls can fetch them.
     """
     norm = squeezed(text_of())
-    docs.select(
+    rows = docs.select(
         digest(norm).alias("digest"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.length(text_of()).cast("bigint").alias("n_points"),
         (F.monotonically_increasing_id() + first_row).alias("row"),
-    ).write.mode("append").parquet(path)
+        norm.alias("norm"),
+    )
+    if content:
+        rows.write.mode("append").option("compression", "zstd").parquet(content)
+        rows = docs.sparkSession.read.schema(CONTENT).parquet(content).filter(F.col("row") >= first_row)
+    rows.drop("norm").write.mode("append").parquet(path)
 
 
 def update_state(spark, log: str, state: str, files_per_batch: int = 512) -> DataFrame:
@@ -90,28 +98,31 @@ def dedup(
     copies of each other: one of them stays. A null id loses against any other at equal
     length. Other columns are ignored. An empty table gives no rows.
 
-    With ``resume``, ``folder`` holds the log and state of earlier calls; the rows of all
-    calls are returned, and the bytes of this call's rows are compared.
+    A ``folder`` that is named also holds the normalised texts by row of the log. With ``resume`` it is that of earlier
+    calls; the rows of all calls are returned, and the bytes of all of them are compared.
     """
     spark = docs.sparkSession
+    content = f"{folder}/content" if folder else None
     folder = folder or scratch(spark, "exact")
     log = spark.read.schema(LOG).parquet
     first = log(f"{folder}/log").agg(F.max("row")).first()[0] if resume else None
-    write_log(docs, f"{folder}/log", digest, 0 if first is None else first + 1)
+    write_log(docs, f"{folder}/log", digest, 0 if first is None else first + 1, content)
     log = log(f"{folder}/log")
     groups = settle(update_state(spark, f"{folder}/log", f"{folder}/state"), "groups")
-    out = log.join(groups, "digest").select(
+    out = lookup(log, groups, ["digest"], "n", "row").select(
         "doc_id",
         F.bitwise_not(F.col("best.not_id")).alias("keep_id"),
         F.col("n").alias("group_size"),
         (F.bitwise_not(F.col("best.not_row")) == F.col("row")).alias("kept"),
         "digest",
     )
-    clash = _clashes(docs, groups, digest)
-    if clash.isEmpty():
-        return out
     norm = squeezed(text_of())
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), digest(norm).alias("digest"), norm.alias("norm"), F.length(text_of()).cast("bigint").alias("n_points"))
+    if content:
+        rows = spark.read.schema(CONTENT).parquet(content).select(*rows.columns)
+    clash = _clashes(rows, groups)
+    if clash.isEmpty():
+        return out
     rows = keep_rows(rows, clash, "left_semi", ["digest"])
     exact = settle(
         rows.groupBy("digest", "norm").agg(
@@ -125,11 +136,10 @@ def dedup(
     return keep_rows(out, clash, "left_anti", ["digest"]).union(split)
 
 
-def _clashes(docs: DataFrame, groups: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
-    """Digests that stand for several byte sequences, found by comparing the bytes of all hits."""
-    norm = squeezed(text_of())
+def _clashes(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Digests that stand for several byte sequences, found by comparing the bytes of all hits among ``rows`` (digest, norm)."""
     hits = groups.filter("n > 1").select("digest")
-    rows = keep_rows(docs.select(digest(norm).alias("digest"), norm.alias("norm")), hits, "left_semi", ["digest"])
+    rows = keep_rows(rows.select("digest", "norm"), hits, "left_semi", ["digest"])
     # a group per digest and full bytes; map tasks send each of them once
     bytes_of = rows.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n"))
     return settle(bytes_of.groupBy("digest").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("digest"))

@@ -39,6 +39,15 @@ def test_state_goes_on(docs_of, tmp_path):
     assert {(r.doc_id, r.keep_id, r.group_size) for r in both.collect()} == {(5, 2, 3), (3, 2, 3), (2, 2, 3), (6, 6, 1)}
 
 
+def test_bytes_of_earlier_calls_are_compared(docs_of, tmp_path):
+    """A digest of one byte: "ab" of the first call and "ac" of the second share it, yet are two texts."""
+    folder = str(tmp_path / "seen")
+    digest = lambda norm: F.substring(norm, 1, 1).cast("binary")
+    exact_dedup.dedup(docs_of([(1, "ab", "en", "s", 0)]), digest, folder)
+    got = exact_dedup.dedup(docs_of([(2, "ac", "en", "s", 0), (3, "a b", "en", "s", 0)]), digest, folder, resume=True).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got) == [(1, 3, 2, False), (2, 2, 1, True), (3, 3, 2, True)]
+
+
 def test_odd_rows(docs_of, odd_rows):
     rows = [(*r, "x", 1) for r in odd_rows]
     docs = docs_of(rows, ", digest string, kept int")
