@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.base import text_of
+from tabwright.llm.base import first_by, text_of
+from tabwright.session import settle
 
 KINDS = ("assign", "access", "hex", "guess")
 #: Corpus words that the guesser knows, by frequency.
@@ -169,11 +170,14 @@ def spans(text: str, rank: dict[str, int], longest: int, min_cost: float = MIN_C
 
 
 def word_ranks(docs: DataFrame, words: int = WORDS) -> dict[str, int]:
-    """Ranks from 1 of the common passwords and then the most frequent words of all texts, ``words`` of them at most."""
+    """Ranks from 1 of the common passwords and then the most frequent words of all texts, ``words`` of them at most.
+
+    Of equally frequent words at the border those with the smallest hashes are taken.
+    """
     each = F.explode(F.regexp_extract_all(F.lower(text_of()), F.lit("[a-z]{3,24}"), F.lit(0))).alias("w")
-    top = docs.select(each).groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").limit(words)
+    seen = settle(docs.select(each).groupBy("w").agg(F.count(F.lit(1)).alias("n")), "words")
     rank = {w: i for i, w in enumerate(COMMON, 1)}
-    for r in top.collect():
+    for r in sorted(first_by(seen, F.col("n"), words), key=lambda r: (-r["n"], r["w"])):
         rank.setdefault(r["w"], len(rank) + 1)
     return rank
 

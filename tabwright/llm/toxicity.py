@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.base import crc_fold, text_of
+from tabwright.llm.base import crc_fold, first_by, text_of
 from tabwright.session import settle
 
 #: Labelled documents per class that train the dictionaries, and that set the thresholds.
@@ -199,7 +199,8 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, cali
     starts = F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1)), F.lit(SHARED_WINDOW))
     windows = F.posexplode(F.transform(starts, lambda i: F.substr("text", i, F.lit(SHARED_WINDOW)))).alias("at", "t")
     windows = rows.filter("toxic = 0").select("doc_id", windows)
-    shared = windows.orderBy(F.xxhash64("doc_id", "at"), "doc_id", "at").select("t").limit(SHARED_WINDOWS).collect()
+    windows = settle(windows, "windows")
+    shared = first_by(windows, F.lit(0), SHARED_WINDOWS)
     shared = [w for r in shared if (w := normalised(r["t"])).strip()]
     ordinary, toxic = dictionaries(shared, _own_words(rows, totals))
 

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tabwright.llm import secrets
 
@@ -90,3 +91,15 @@ def test_frames(docs_of, odd_rows):
     got = secrets.scan(long).first()["spans"]
     assert [(s.kind, s.start, s.stop) for s in got] == [("assign", 3, 160_011), ("hex", 11, 160_011), ("guess", 11, 160_011)]
     assert secrets.scan(docs_of([])).count() == 0
+
+
+def test_first_by_is_exact(spark):
+    """Against sorting everything, at borders within and between ranks."""
+    from tabwright.llm.base import first_by
+
+    rows = [(i, i % 7 if i % 3 else 1000 + i) for i in range(400)]
+    table = spark.createDataFrame(rows, "w int, n int")
+    all_ = sorted((-r.n, r.h, r.w) for r in table.select("*", F.xxhash64("w", "n").alias("h")).collect())
+    for k in (0, 1, 50, 266, 267, 399, 400, 1000):
+        assert [r["w"] for r in first_by(table, F.col("n"), k)] == [w for _, _, w in all_[:k]]
+    assert first_by(table.filter("false"), F.col("n"), 5) == []
