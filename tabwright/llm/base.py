@@ -72,7 +72,7 @@ def first_by(rows: DataFrame, value: Column, count: int) -> list:
     want, tied = count - low, inside.count()
     share = (want + 6 * want**0.5 + 32) / tied
     while True:
-        top = -(2**63) + int(min(share, 1.0) * (2**64 - 1))
+        top = min(2**63 - 1, int((min(share, 1.0) - 0.5) * 2**64))
         some = inside.filter(F.col("_hash") <= top).collect()
         if len(some) >= want or share >= 1:
             return _in_order(ahead.collect() + some)[:count]
