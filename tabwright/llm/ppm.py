@@ -87,6 +87,39 @@ def _keys_of(packed: list[bytes]) -> list[np.ndarray]:
     return [np.cumsum(_unpack(x, _U), dtype=_U) for x in packed]
 
 
+#: Bits of the context bytes next to a symbol that groups go by, and of those farther off.
+_NEAR, _FAR = _U(8 * (LOW + 1)), _U(8 * (ORDER - LOW - 1))
+
+
+def _ones(bits: np.uint64) -> np.uint64:
+    return _U((1 << int(bits)) - 1)
+
+
+def _turned(keys: np.ndarray) -> np.ndarray:
+    """Symbols with the near context bytes in front: in this order the symbols of a group pack to some 60 %."""
+    return ((keys >> _U(8) & _ones(_NEAR)) << (_FAR + _U(8))) | ((keys >> (_NEAR + _U(8))) << _U(8)) | (keys & _U(255))
+
+
+def _turned_back(keys: np.ndarray) -> np.ndarray:
+    return ((keys >> _U(8) & _ones(_FAR)) << (_NEAR + _U(8))) | ((keys >> (_FAR + _U(8))) << _U(8)) | (keys & _U(255))
+
+
+def _packed(chunk: int, keys: np.ndarray, n: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(bucket, chunk, keys, n): counts packed by bucket, with the keys in order."""
+    order = np.lexsort((keys, bucket))
+    keys, n, bucket = keys[order], n[order], bucket[order]
+    cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+    for i in range(0, len(cuts) - 1, 1000):
+        spans = list(zip(cuts[i : i + 1000].tolist(), cuts[i + 1 : i + 1001].tolist(), strict=False))
+        cols = [
+            pa.array(bucket[[a for a, _ in spans]]),
+            pa.array(np.full(len(spans), chunk)),
+            pa.array([_pack(np.diff(keys[a:b], prepend=_U(0))) for a, b in spans], pa.binary()),
+            pa.array([_pack(n[a:b]) for a, b in spans], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(cols, names=["bucket", "chunk", "keys", "n"])
+
+
 def _joined(parts: list[np.ndarray], kind: type) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
@@ -118,28 +151,52 @@ def _counts_in(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndar
     return known, np.bincount(where, train.astype(np.float64), len(known)).astype(np.int64)
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, low, key, n): the words of each chunk by hash, and how often its training rows have them; and the symbols of level LOW."""
-    _low.cache_clear()  # a worker that lives on may hold an earlier model
-    low = _Held()
+def _words(groups: int):
+    """(bucket, chunk, keys, n): the words of each chunk by hash, and how often its training rows have them, packed by group of words.
+
+    Beside them (key, m): the symbols of level LOW.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _low.cache_clear()  # a worker that lives on may hold an earlier model
+        low = _Held()
 
-    def steps() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        for chunk, data, offsets, train in _steps(batches):
-            starts, counts = word_starts(data, offsets)
-            yield chunk, *_counts_in(word_hashes(data, starts), train[row_index(counts)])
-            keys, _, row = framed(data, offsets)
-            keys, n = np.unique((keys[train[row]] & _U((1 << (8 * (LOW + 1))) - 1)).astype(np.uint32), return_counts=True)
-            low.add(keys.astype(_U), n)
+        def steps() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+            for chunk, data, offsets, train in _steps(batches):
+                starts, counts = word_starts(data, offsets)
+                yield chunk, *_counts_in(word_hashes(data, starts), train[row_index(counts)])
+                keys, _, row = framed(data, offsets)
+                keys, n = np.unique((keys[train[row]] & _U((1 << (8 * (LOW + 1))) - 1)).astype(np.uint32), return_counts=True)
+                low.add(keys.astype(_U), n)
 
-    def out(chunk: int, keys: np.ndarray, n: np.ndarray, is_low: bool) -> Iterator[pa.RecordBatch]:
+        def rows(**cols: pa.Array) -> pa.RecordBatch:
+            size = len(next(iter(cols.values())))
+            kinds = {"bucket": pa.int64(), "chunk": pa.int64(), "keys": pa.binary(), "n": pa.binary(), "key": pa.int64(), "m": pa.int64()}
+            return pa.RecordBatch.from_arrays([cols[c] if c in cols else pa.nulls(size, t) for c, t in kinds.items()], names=list(kinds))
+
+        for chunk, keys, n in _by_chunk(steps()):
+            for part in _packed(chunk, keys, n, (keys % _U(groups)).astype(np.int64)):
+                yield rows(**{c: part.column(c) for c in part.schema.names})
+        keys, n = low.summed()
         for i in range(0, len(keys), 100_000):
-            k = keys[i : i + 100_000].astype(np.int64)
-            cols = [pa.array(np.full(len(k), chunk)), pa.array(np.full(len(k), is_low)), pa.array(k), pa.array(n[i : i + 100_000])]
-            yield pa.RecordBatch.from_arrays(cols, names=["chunk", "low", "key", "n"])
+            yield rows(key=pa.array(keys[i : i + 100_000].astype(np.int64)), m=pa.array(n[i : i + 100_000]))
+
+    return run
+
 
-    for chunk, keys, n in _by_chunk(steps()):
-        yield from out(chunk, keys, n, False)
-    yield from out(0, *low.summed(), True)
+def _added_up(table: pa.Table) -> pa.Table:
+    """The words of one group, chunk by chunk, with their counts in all chunks; the first row has the group's sums."""
+    packed = table.column("keys").to_pylist()
+    parts = _keys_of(packed)
+    n = np.concatenate([_unpack(x, np.int64) for x in table.column("n").to_pylist()])
+    keys, where = np.unique(np.concatenate(parts), return_inverse=True)
+    c = np.bincount(where, n, len(keys)).astype(np.int64)
+    cut = np.cumsum([0, *map(len, parts)])
+    counts = [_pack(c[where[a:b]]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    first = np.zeros(len(parts), np.int64)
+    first[0] = 1
+    sums = {"total": pa.array(first * int(c.sum())), "kinds": pa.array(first * int((c > 0).sum()))}
+    return pa.table({"chunk": table.column("chunk"), "keys": pa.array(packed, pa.binary()), "c": pa.array(counts, pa.binary()), **sums})
 
 
 def _symbols(groups: int):
@@ -152,19 +209,8 @@ def _symbols(groups: int):
                 yield chunk, *_counts_in(keys, train[row])
 
         for chunk, keys, n in _by_chunk(steps()):
-            bucket = (mix((keys >> _U(8)) & _U((1 << (8 * (LOW + 1))) - 1)) % _U(groups)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")  # keys stay in order
-            keys, n, bucket = keys[order], n[order], bucket[order]
-            cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
-            for i in range(0, len(cuts) - 1, 1000):
-                spans = list(zip(cuts[i : i + 1000].tolist(), cuts[i + 1 : i + 1001].tolist(), strict=False))
-                cols = [
-                    pa.array(bucket[[a for a, _ in spans]]),
-                    pa.array(np.full(len(spans), chunk)),
-                    pa.array([_pack(np.diff(keys[a:b], prepend=_U(0))) for a, b in spans], pa.binary()),
-                    pa.array([_pack(n[a:b]) for a, b in spans], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(cols, names=["bucket", "chunk", "keys", "n"])
+            bucket = (mix((keys >> _U(8)) & _ones(_NEAR)) % _U(groups)).astype(np.int64)
+            yield from _packed(chunk, _turned(keys), n, bucket)
 
     return run
 
@@ -294,8 +340,8 @@ def _levels(keys: np.ndarray, n: np.ndarray, top: int, last: int) -> list[tuple[
 
 
 def _low_levels(level: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The counts of levels 0 to LOW, from the counts (key, n) of level LOW."""
-    got = level.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    """The counts of levels 0 to LOW, from the counts (key, m) of level LOW."""
+    got = level.groupBy("key").agg(F.sum("m").alias("n")).toArrow()
     keys, n = got.column("key").to_numpy().astype(_U), got.column("n").to_numpy()
     order = np.argsort(keys)
     return _levels(keys[order], n[order], LOW, 0)
@@ -313,7 +359,7 @@ def _valued(symbols: DataFrame, low: DataFrame) -> DataFrame:
         packed = table.column("keys").to_pylist()
         parts = _keys_of(packed)
         n = np.concatenate([_unpack(x, np.int64) for x in table.column("n").to_pylist()])
-        keys, where = np.unique(np.concatenate(parts), return_inverse=True)
+        keys, where = np.unique(_turned_back(np.concatenate(parts)), return_inverse=True)
         n = np.bincount(where, n, len(keys)).astype(np.int64)
         value = Trie(_levels(keys[n > 0], n[n > 0], ORDER, LOW + 1), _low(held)).log10(keys)[where]
         logs, place, at = [], [], 0
@@ -338,7 +384,7 @@ def score(docs: DataFrame) -> DataFrame:
     exclusion. ``base_score`` sums smoothed unigram log10 probabilities of words and the end token.
 
     Two passes count, per chunk of neighbouring rows, words by 64-bit hash (two of ten million words share one with
-    probability 3e-6) and symbols with their contexts. Counts are added over all chunks; what a symbol or word
+    probability 3e-6) and symbols with their contexts. Both are packed by group of words or contexts. Counts are added over all chunks; what a symbol or word
     adds to a score is sent back to the chunks that have it, and a last pass scores each chunk with its own
     table. All contexts count, however many there are. Nothing of the size of the vocabulary or of the longer contexts is
     broadcast, only the counts after up to LOW bytes.
@@ -355,24 +401,25 @@ def score(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("chunk", F.xxhash64("_file", F.floor(F.col("_row") / per_chunk)))
     groups = max(GROUPS, int(size["b"]) // GROUP_BYTES)
     learned = rows.select("text", (~F.col("held_out")).alias("train"), "chunk")
-    parts = settle(learned.mapInArrow(_words, "chunk bigint, low boolean, key bigint, n bigint"), "words")
-    words = parts.filter("not low").select("chunk", "key", "n")
-    counts = settle(words.groupBy("key").agg(F.sum("n").alias("c")), "words")
+    parts = settle(learned.mapInArrow(_words(groups), "bucket bigint, chunk bigint, keys binary, n binary, key bigint, m bigint"), "words")
+    words = parts.filter("keys is not null").select("bucket", "chunk", "keys", "n").groupBy("bucket")
+    words = settle(words.applyInArrow(_added_up, "chunk bigint, keys binary, c binary, total bigint, kinds bigint"), "words")
     ends = rows.filter(~F.col("held_out")).count()
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
-    total, kinds = int(sums["n"]) + ends, int(sums["v"]) + (ends > 0)
+    sums = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "kinds")]).first()
+    total, kinds = int(sums["total"]) + ends, int(sums["kinds"]) + (ends > 0)
     base = math.log10(total + 0.1 * (kinds + 1))
-    deep = _valued(learned.mapInArrow(_symbols(groups), "bucket bigint, chunk bigint, keys binary, n binary"), parts.filter("low").select("key", "n"))
-    table = words.select("chunk", "key").join(counts, "key").select("chunk", "key", "c").unionByName(deep, allowMissingColumns=True)
+    deep = _valued(learned.mapInArrow(_symbols(groups), "bucket bigint, chunk bigint, keys binary, n binary"), parts.filter("key is not null").select("key", "m"))
+    table = words.select("chunk", "keys", "c").unionByName(deep, allowMissingColumns=True)
     texts = rows.select("chunk", "doc_id", "held_out", "text")
 
     def run(left: pa.Table, right: pa.Table) -> Iterator[pa.Table] | pa.Table:
-        plain_rows = right.filter(right.column("keys").is_null())
-        known, c = plain_rows.column("key").to_numpy().astype(_U), plain_rows.column("c").to_numpy()
+        plain_rows = right.filter(right.column("c").is_valid())
+        known = _joined(_keys_of(plain_rows.column("keys").to_pylist()), _U)
+        c = _joined([_unpack(x, np.int64) for x in plain_rows.column("c").to_pylist()], np.int64)
         order = np.argsort(known)
         known, c = known[order], c[order]
-        packed = right.filter(right.column("keys").is_valid())
-        symbols = _joined(_keys_of(packed.column("keys").to_pylist()), _U)
+        packed = right.filter(right.column("logs").is_valid())
+        symbols = _turned_back(_joined(_keys_of(packed.column("keys").to_pylist()), _U))
         pairs = zip(packed.column("logs").to_pylist(), packed.column("place").to_pylist(), strict=True)
         logs = _joined([_unpack(u, np.float64)[_unpack(i, np.int64)] for u, i in pairs], np.float64)
         order = np.argsort(symbols)
