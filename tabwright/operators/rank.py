@@ -15,6 +15,7 @@ result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -137,7 +138,7 @@ SKETCH_ERROR = 1e-3
 
 
 def brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[tuple[str, float], tuple[float, float]]:
-    """Values between which the quantiles lie for certain, from one mergeable sketch per column; no entry without values."""
+    """Values between which the quantiles of many rows lie, from one mergeable sketch per column; no entry without values."""
     wide = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-2 * SKETCH_ERROR, 2 * SKETCH_ERROR)})
     found = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(cols)]).approxQuantile([f"c{i}" for i in range(len(cols))], wide, SKETCH_ERROR)
     out = {}
@@ -151,9 +152,10 @@ def brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: ``(column, prob, value, n)``.
 
-    A sketch gives two values around each wanted place. One pass counts the rows below each bracket; those inside, some
+    A sketch gives two values around each wanted place. One pass counts the rows below and up to each bracket; those inside, some
     4 * SKETCH_ERROR of all, are collapsed and brought into order, and only the rows at the wanted places go on. The whole is never
-    sorted. NaN counts as missing; a column without values gives no row.
+    sorted. Of few rows that share is less than the two rows to interpolate between: where the counts show that a bracket
+    lacks one, all values are taken. NaN counts as missing; a column without values gives no row.
     """
     probs = [float(p) for p in probs]
     near = brackets(df, cols, probs)
@@ -165,7 +167,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     sums = [F.count(f"c{i}").alias(f"n{i}") for i in range(len(cols))]
     keys = list(near)
     sums += [F.count_if(F.col(f"c{place[c]}") < near[c, p][0]).alias(f"b{k}") for k, (c, p) in enumerate(keys)]
-    known = values.agg(*sums).first()
+    sums += [F.count_if(F.col(f"c{place[c]}") <= near[c, p][1]).alias(f"u{k}") for k, (c, p) in enumerate(keys)]
+    known = values.agg(*sums).first().asDict()
+    for k, (c, p) in enumerate(keys):
+        pos = (known[f"n{place[c]}"] - 1) * p
+        if not known[f"b{k}"] <= math.floor(pos) <= math.ceil(pos) < known[f"u{k}"]:
+            near[c, p], known[f"b{k}"] = (-math.inf, math.inf), 0
     inside = [F.struct(F.lit(k).alias("k"), F.col(f"c{place[c]}").alias("value")) for k, (c, p) in enumerate(keys)]
     held = [F.when(F.col(f"c{place[c]}").between(*near[c, p]), inside[k]) for k, (c, p) in enumerate(keys)]
     rows = values.select(F.inline(F.filter(F.array(*held), lambda x: x.isNotNull())))

@@ -140,3 +140,14 @@ def test_quantiles_of_any_shape(spark):
             assert got[c, p][0] == pytest.approx(np.quantile(known, p)) and got[c, p][1] == len(known), (c, p)
     assert len(got) == len(table) * len(probs)
     assert R.exact_quantiles(df, ["empty"], probs).count() == 0
+
+
+def test_quantiles_of_few_rows(spark):
+    probs = [i / 10 for i in range(1, 10)] + [0.25, 0.5, 0.75]
+    rng = np.random.default_rng(5)
+    for n in (2, 34, 302, 1999):
+        table = {"a": rng.integers(0, 40, n) / 100, "b": rng.normal(size=n)}
+        df = spark.createDataFrame(list(zip(*(v.tolist() for v in table.values()))), "a double, b double")
+        got = R.quantile_row(df, ["a", "b"], probs)
+        for c, v in table.items():
+            assert [got[c].get(p) for p in probs] == pytest.approx(np.quantile(v, probs).tolist()), (n, c)

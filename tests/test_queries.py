@@ -49,3 +49,13 @@ def test_every_oracle_has_a_query():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", ["prediction_drift", "describe_numeric"])
+def test_small_tables_equal_sql(spark, duck, name):
+    import __spark_entry__ as entry
+    from check_oracle import rows
+
+    df = entry.queries()[name](spark, SF)
+    r = duck.execute(entry.oracle_sql()[name])
+    assert rows(df.columns, [tuple(x) for x in df.collect()]) == rows([d[0] for d in r.description], r.fetchall())
