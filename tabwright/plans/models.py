@@ -20,12 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.scalar import label_at
+from tabwright.session import spread
 
 # Training defaults of the model families.
 LOGISTIC_DEFAULTS = {"C": 1.0, "max_iter": 200}
 FOREST_DEFAULTS = {"numTrees": 100, "maxDepth": 5, "seed": 42}
 GBT_DEPTH_DEFAULTS = {"maxDepth": 6, "stepSize": 0.1, "maxIter": 100, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 42}
 GBT_LEAF_DEFAULTS = {"maxDepth": 5, "stepSize": 0.1, "maxIter": 100, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 42}
+#: Training rows of a task, from which a pass over them outweighs the task's start.
+LOGISTIC_SHARE, TREE_SHARE, MLP_SHARE = 50_000, 20_000, 5_000
 PATIENCE = 10
 MLP_HIDDEN = [128, 64, 32]
 MLP_EPOCHS = 50
@@ -49,13 +52,16 @@ def logistic(C: float = LOGISTIC_DEFAULTS["C"], max_iter: int = LOGISTIC_DEFAULT
         n = train.count()
         return LogisticRegression(
             maxIter=max_iter, regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False, tol=tol
-        ).fit(train)
+        ).fit(spread(train, n, LOGISTIC_SHARE))
 
     return Family("logistic", fit)
 
 
 def random_forest(**params) -> Family:
-    return Family("forest", lambda train, val=None: RandomForestClassifier(**{**FOREST_DEFAULTS, **params}).fit(train))
+    def fit(train, val=None):
+        return RandomForestClassifier(**{**FOREST_DEFAULTS, **params}).fit(spread(train, train.count(), TREE_SHARE))
+
+    return Family("forest", fit)
 
 
 def best_round(losses: list[float], patience: int = PATIENCE) -> int:
@@ -76,6 +82,7 @@ def fit_with_patience(est: GBTClassifier, train: DataFrame, val: DataFrame | Non
     patience is spent, and only the kept ones are fitted again.
     """
     most = est.getMaxIter()
+    train = spread(train, train.count(), TREE_SHARE)
     if val is None:
         return est.fit(train)
     rounds = min(most, 2 * patience)
@@ -121,6 +128,7 @@ def mlp(hidden: list[int] | None = None, max_iter: int = MLP_EPOCHS, seed: int =
 
     def fit(train, val=None):
         d = train.select("features").first()[0].size
+        train = spread(train, train.count(), MLP_SHARE)
         est = MultilayerPerceptronClassifier(layers=[d, *hidden, 2], maxIter=max_iter, seed=seed, **params)
         if val is None:
             return est.fit(train)

@@ -54,6 +54,15 @@ def settle(df, label: str = "settled"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df, rows: int, share: int):
+    """``df``, which has ``rows`` rows, dealt evenly to a task per ``share`` of them, but to two a core at most, for work that passes over it many times.
+
+    Files are read by a task each however many rows they hold, and one task's rows then set the pace of every pass. A table of one share stays as it is.
+    """
+    tasks = min(-(-rows // share), 2 * df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 BUCKET_ROWS = 500_000
 
 

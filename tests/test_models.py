@@ -143,3 +143,16 @@ def test_run_selection(spark):
     assert [r["run"] for r in R.matching_runs(runs, ["ann", "gbdt"]).collect()] == ["a"]
     with pytest.raises(ValueError):
         R.compare_runs(runs, runs, "some")
+
+
+def test_training_rows_of_one_file_are_dealt_to_tasks(spark, table, monkeypatch):
+    prep = P.fit_preprocessing(table, PLAN, "y")
+    x = P.target_column(prep.transform(table.coalesce(1)), "y").select("id", "label", "features")
+    families = {"LogisticRegression": ML.logistic(), "RandomForestClassifier": ML.random_forest(), "GBTClassifier": ML.gbt_leaf(), "MultilayerPerceptronClassifier": ML.mlp([4])}
+    for share in ("LOGISTIC_SHARE", "TREE_SHARE", "MLP_SHARE"):
+        monkeypatch.setattr(ML, share, 60)
+    for name, family in families.items():
+        seen = []
+        monkeypatch.setattr(getattr(ML, name), "fit", lambda self, df, seen=seen: seen.append([len(p) for p in df.rdd.glom().collect()]))
+        family.fit(x, None)
+        assert len(seen) == 1 and sum(seen[0]) == 240 and len(seen[0]) == 4 and max(seen[0]) <= 70, (name, seen)
