@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwright.plans.catalog import query
 from tabwright.plans.frame import customer_churn
@@ -76,14 +77,22 @@ USAGE_SQL = """WITH e AS (SELECT user_id, ts::DATE AS d, count(*) AS n, count(*)
   FROM points p LEFT JOIN e ON e.user_id = p.user_id AND d <= p.day AND d > p.day - 90 GROUP BY 1, 2"""
 
 
+def in_order(df, ts, files, src):
+    """Write ``df`` as files in the order of time, as they would arrive: a stream takes files by when they were written, so one is written after the other."""
+    cut = scratch(df.sparkSession, "stream-slices")
+    df.repartitionByRange(files, ts).withColumn("_slice", F.spark_partition_id()).write.partitionBy("_slice").parquet(cut)
+    slices = df.sparkSession.read.schema(T.StructType([*df.schema, T.StructField("_slice", T.IntegerType())])).parquet(cut)
+    for i in range(files):
+        slices.filter(F.col("_slice") == i).drop("_slice").coalesce(1).write.mode("append").parquet(src)
+
+
 @query("stream_running_usage", USAGE_SQL)
 def stream_running_usage(spark, sf):
     """Events of 30 and purchases of 90 days, kept up to date by a stream of several batches."""
     from tabwright.streaming.usage import running_usage
 
     src, out, check = scratch(spark, "stream-events"), scratch(spark, "stream-running"), scratch(spark, "stream-check")
-    # files in the order of time, as they would arrive
-    spark.read.parquet(f"{sf}/events.parquet").repartitionByRange(6, "ts").write.parquet(src)
+    in_order(spark.read.parquet(f"{sf}/events.parquet"), "ts", 6, src)
     counts = {"events_30d": (30, F.lit(True)), "purchases_90d": (90, F.col("event_type") == "purchase")}
     usage = running_usage(ST.table_stream(spark, src, files_per_batch=2), "user_id", "ts", counts)
     finish(ST.write_batches(usage, out, check))

@@ -59,3 +59,34 @@ def test_changes():
     days = {0: [2, 1], 5: [1, 0]}
     assert U.changes(days, [3, 10], -9, 6) == [(0, [2, 1]), (3, [0, 1]), (5, [1, 1])]
     assert U.changes(days, [3, 10], 6, 100) == [(8, [0, 1]), (10, [0, 0]), (15, [0, 0])]
+
+
+def test_keys_that_share_a_state(spark, tmp_path):
+    import random
+
+    rnd = random.Random(8)
+    big = (1 << 60) + 1  # beyond what a double holds
+    rows = [(None if i % 9 == 0 else big + i % 9, at(rnd.randrange(40), rnd.randrange(24)), rnd.randrange(9)) for i in range(400)]
+    rows.sort(key=lambda r: r[1])
+    schema = "k bigint, ts timestamp_ntz, v int"
+    counts = {"n": (3, F.lit(True)), "big": (10, F.col("v") > 5)}
+    for buckets in (1, 4):
+        src, out, check = (str(tmp_path / f"{n}{buckets}") for n in ("src", "out", "check"))
+        for part in (rows[:150], rows[150:300], rows[300:]):
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+            stream = U.running_usage(ST.table_stream(spark, src, schema=spark.read.parquet(src).schema), "k", "ts", counts, "1 day", buckets)
+            assert [f.dataType.simpleString() for f in stream.schema] == ["bigint", "date", "bigint", "bigint"]
+            ST.write_batches(stream, out, check).awaitTermination()
+        got = [tuple(r) for r in spark.read.parquet(out).select("k", "day", "n", "big").collect()]
+        until = (rows[-1][1] - dt.timedelta(days=1) - START).days - 1
+        assert len(got) == len(set(got)) and set(got) == brute([(k, t, v > 5) for k, t, v in rows], (3, 10), until)
+
+
+def test_files_are_written_in_the_order_of_time(spark, tmp_path):
+    from tabwright.plans.queries_streaming import in_order
+
+    df = spark.range(600, numPartitions=3).select("id", (F.lit(START) + F.make_dt_interval(mins=F.col("id") * 7919 % 600)).cast("timestamp_ntz").alias("ts"))
+    in_order(df, "ts", 6, str(tmp_path / "src"))
+    files = sorted((tmp_path / "src").glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+    spans = [spark.read.parquet(str(f)).agg(F.min("ts"), F.max("ts"), F.count("id")).first() for f in files]
+    assert len(files) == 6 and sum(s[2] for s in spans) == 600 and all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))
