@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from operator import itemgetter
@@ -32,6 +32,8 @@ BLOCK = 1 << 22
 SPAN = 1 << 20
 #: Vectors of counts that one task adds up before the last sum.
 FAN = 64
+#: Chunks of a file of the chunk table; a reader takes up to 4,096 rows of a file at a time.
+FILE_CHUNKS = 64
 
 
 @dataclass(frozen=True)
@@ -214,21 +216,44 @@ def links(g: Groups, same: np.ndarray, pack: np.ndarray) -> tuple[tuple[np.ndarr
 
 
 _LONG, _INT = T.LongType(), T.IntegerType()
-#: Of each document of a chunk, in order; then entries (document, id of A or place of the pair, links); then the chunk's pairs.
+#: Of each document of a chunk, in order; then the chunk's pairs.
 _DOCS = {"n_a": _LONG, "n_b": _LONG, "n_groups": _LONG, "n_links": _LONG, "sha": T.StringType()}
-_ENTRIES = {"same_doc": _INT, "same_id": _INT, "same_n": _LONG, "pair_doc": _INT, "pair_at": _INT, "pair_n": _LONG}
 _PAIRS = {"pair": _LONG, "docs": _INT}
 
 
+def _packed(arrays: Iterable[np.ndarray]) -> bytes:
+    """Whole numbers from 0: per array its width and length, then its numbers in as few bytes each as the largest needs; compressed."""
+    parts = []
+    for v in arrays:
+        kind = np.min_scalar_type(int(v.max(initial=0)))
+        parts += [np.array([kind.itemsize, len(v)], np.int64).tobytes(), v.astype(kind).tobytes()]
+    body = b"".join(parts)
+    return len(body).to_bytes(8, "little") + pa.compress(body, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    body = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+    out, at = [], 0
+    while at < len(body):
+        width, n = np.frombuffer(body, np.int64, 2, at).tolist()
+        out.append(np.frombuffer(body, f"u{width}", n, at + 16).astype(np.int64))
+        at += 16 + width * n
+    return out
+
+
 def _chunk_schema(doc_id: T.StructField) -> T.StructType:
+    """A chunk; ``entries`` has numbers that Spark only carries, packed: six arrays of entries, and the id of A of each pair."""
     out = T.StructType().add("chunk", _LONG).add("doc_id", T.ArrayType(doc_id.dataType))
-    for c, t in (_DOCS | _ENTRIES | _PAIRS).items():
+    for c, t in (_DOCS | _PAIRS).items():
         out = out.add(c, T.ArrayType(t, False))
-    return out.add("counts", T.BinaryType())
+    return out.add("entries", T.BinaryType()).add("counts", T.BinaryType())
 
 
-def _align(texts: list[str], folder: str) -> tuple[dict[str, list], dict[str, np.ndarray]]:
-    """The columns of one chunk: of its documents, and its entries and pairs."""
+def _align(texts: list[str], folder: str) -> tuple[dict[str, list], dict[str, np.ndarray], list[np.ndarray]]:
+    """The columns of one chunk: of its documents, and its pairs; then its entries.
+
+    Entries are (document, id of A, links) of pairs with the same bytes and (document, place of the pair, links) of all others.
+    """
     side_a, side_b = sides(folder)
     raw = [t.encode() for t in texts]
     ids_a = side_a.encode(texts)
@@ -241,7 +266,7 @@ def _align(texts: list[str], folder: str) -> tuple[dict[str, list], dict[str, np
     n = len(texts)
     docs = {c: [0] * n for c in ("n_a", "n_b", "n_groups", "n_links")} | {"sha": [""] * n}
     if not good:
-        return docs, {c: np.zeros(0, np.int64) for c in (*_ENTRIES, *_PAIRS)}
+        return docs, {c: np.zeros(0, np.int64) for c in _PAIRS}, [np.zeros(0, np.int64)] * 6
     a = np.concatenate([np.array(ids_a[k], np.int64) for k in good])
     b = np.concatenate([np.array(ids_b[k], np.int64) for k in good])
     sizes = np.array([len(raw[k]) + 1 for k in good])
@@ -255,8 +280,7 @@ def _align(texts: list[str], folder: str) -> tuple[dict[str, list], dict[str, np
         docs["n_a"][k], docs["n_b"][k], docs["n_groups"][k], docs["n_links"][k] = int(na[at]), int(nb[at]), int(ng[at]), int(total[at])
         docs["sha"][k] = hashlib.sha256(text).hexdigest()
     pairs, place = np.unique(other[1], return_inverse=True)
-    entries = dict(zip(_ENTRIES, (*same, other[0], place, other[2]), strict=True))
-    return docs, entries | {"pair": pairs, "docs": np.bincount(place, minlength=len(pairs))}
+    return docs, {"pair": pairs, "docs": np.bincount(place, minlength=len(pairs))}, [*same, other[0], place, other[2]]
 
 
 def _chunks(schema: T.StructType, folder: str):
@@ -277,9 +301,10 @@ def _chunks(schema: T.StructType, folder: str):
         for batch in batches:
             _, offsets = strings(batch.column("text"))
             for i, j in slices(offsets, CHUNK_BYTES):
-                docs, found = _align(batch.column("text").slice(i, j - i).to_pylist(), folder)
-                np.add.at(vector, found["same_id"], 1)
-                yield row({"chunk": number, "doc_id": batch.column("doc_id").slice(i, j - i).to_pylist()} | docs | found)
+                docs, found, entries = _align(batch.column("text").slice(i, j - i).to_pylist(), folder)
+                np.add.at(vector, entries[1], 1)
+                ids = {"chunk": number, "doc_id": batch.column("doc_id").slice(i, j - i).to_pylist()}
+                yield row(ids | docs | found | {"entries": _packed([*entries, found["pair"] // SPAN])})
                 number += 1
         if vector.any():
             yield row({"chunk": -1 - TaskContext.get().partitionId(), "counts": vector.tobytes()})
@@ -330,7 +355,7 @@ def align(docs: DataFrame, folder: str = TOKENIZERS) -> Alignment:
     """
     rows = docs.select(F.col("doc_id"), text_of().alias("text"))
     schema = _chunk_schema(docs.schema["doc_id"])
-    found = settle(rows.mapInArrow(_chunks(schema, folder), schema), "chunks")
+    found = settle(rows.mapInArrow(_chunks(schema, folder), schema), "chunks", FILE_CHUNKS)
     counts = _total(found.filter("chunk < 0"), len(identity(folder)))
     chunks = found.filter("chunk >= 0").drop("counts")
     each = chunks.select(F.explode(F.arrays_zip("pair", "docs")).alias("p")).select("p.pair", "p.docs")
@@ -342,7 +367,7 @@ def scored(found: Alignment) -> DataFrame:
     """Per document of ``align``: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
 
     ``n_best`` are the links whose pair is in as many documents as any pair of its id of A; ``count_sum`` adds the
-    counts up over the links. Each chunk gets the counts of its own pairs, and no others.
+    counts up over the links. Each chunk gets the counts of its own pairs, and no others; a task holds one chunk at a time.
     """
     best = found.identity_counts.copy()
     # at most one row per id of A
@@ -350,38 +375,34 @@ def scored(found: Alignment) -> DataFrame:
         best[r["a"]] = max(best[r["a"]], r["n"])
     same_counts = found.identity_counts
     each = found.chunks.select("chunk", F.posexplode("pair").alias("at", "pair"))
-    known = lookup(each, found.pairs, ["pair"], "chunks", "chunk")
-    known = known.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("at", "n"))).alias("found"))
-    known = known.select("chunk", F.col("found.n").alias("count"))
-    both = found.chunks.select("chunk", "doc_id", *_DOCS, *_ENTRIES, "pair").join(known, "chunk", "left")
+    known = lookup(each, found.pairs, ["pair"], "chunks", "chunk").select(F.col("chunk").alias("of"), "at", "n")
+    rows = found.chunks.select("chunk", "doc_id", *_DOCS, "entries")
     doc_id = found.chunks.schema["doc_id"].dataType.elementType
     schema = T.StructType().add("doc_id", doc_id)
     for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"):
         schema = schema.add(c, _LONG)
     schema = schema.add("groups_sha256", T.StringType())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(chunk: pa.Table, known: pa.Table) -> pa.Table:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        for batch in batches:
-            for k in range(batch.num_rows):
-                of = lambda c: batch.column(c)[k].values  # noqa: B023, E731
-                num = lambda c: of(c).to_numpy(zero_copy_only=False).astype(np.int64)  # noqa: B023, E731
-                n = len(of("doc_id"))
-                sums, tops = np.zeros(n, np.int64), np.zeros(n, np.int64)
-                doc, a, times = (num(c) for c in ("same_doc", "same_id", "same_n"))
-                np.add.at(sums, doc, same_counts[a] * times)
-                np.add.at(tops, doc, (same_counts[a] == best[a]) * times)
-                doc, at, times = (num(c) for c in ("pair_doc", "pair_at", "pair_n"))
-                if len(doc):
-                    count, owner = num("count"), num("pair") // SPAN
-                    np.add.at(sums, doc, count[at] * times)
-                    np.add.at(tops, doc, (count == best[owner])[at] * times)
-                cols = [of("doc_id"), *[of(c) for c in ("n_a", "n_b", "n_groups", "n_links")], pa.array(tops), pa.array(sums), of("sha")]
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
-
-    return both.mapInArrow(run, schema)
+        row = chunk.combine_chunks().to_batches()[0]
+        of = lambda c: row.column(c)[0].values
+        n = len(of("doc_id"))
+        sums, tops = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        doc, a, times, pair_doc, at, pair_times, owner = _unpacked(row.column("entries")[0].as_py())
+        np.add.at(sums, doc, same_counts[a] * times)
+        np.add.at(tops, doc, (same_counts[a] == best[a]) * times)
+        if len(owner):
+            count = np.empty(len(owner), np.int64)
+            count[known.column("at").to_numpy()] = known.column("n").to_numpy()
+            np.add.at(sums, pair_doc, count[at] * pair_times)
+            np.add.at(tops, pair_doc, (count == best[owner])[at] * pair_times)
+        cols = [of("doc_id"), *[of(c) for c in ("n_a", "n_b", "n_groups", "n_links")], pa.array(tops), pa.array(sums), of("sha")]
+        return pa.table([c.cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
+
+    return rows.groupBy("chunk").cogroup(known.groupBy("of")).applyInArrow(run, schema)
 
 
 __all__ = ["align", "scored"]

@@ -42,15 +42,17 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def settle(df, label: str = "settled"):
+def settle(df, label: str = "settled", file_rows: int = 0):
     """Cut lineage by writing to the shared folder and reading back.
 
     Used where several jobs read one expensive result: unlike a cached block, the
-    written table survives the loss of the executor that made it.
+    written table survives the loss of the executor that made it. ``file_rows`` limits
+    the rows of a file (0: no limit), for tables whose rows are long.
     """
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    limit = {"maxRecordsPerFile": file_rows} if file_rows else {}
+    df.write.options(compression="zstd", **limit).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -146,3 +146,36 @@ def test_engine_encodes_as_the_vocabulary_file(coders):
     points = [c for c in range(0x3000) if not 0xD800 <= c < 0xE000] + rng.sample(range(0x3000, 0xD800), 1500) + rng.sample(range(0xE000, 0x20000), 1500)
     texts = [f"a{chr(c)}b {chr(c)}{chr(c)} {chr(c)}1 .{chr(c)}.  {chr(c)}  {chr(c)}\n'{chr(c)}s" for c in points]
     assert side.encode(texts) == [coders(t)[0] for t in texts]
+
+
+def test_packed_numbers():
+    for arrays in ([], [[]], [[0]], [[3, 255], [], [256, 0, 1], [65_536], [2**32, 7], [2**62]]):
+        back = A._unpacked(A._packed([np.array(v, np.int64) for v in arrays]))
+        assert [v.tolist() for v in back] == arrays and all(v.dtype == np.int64 for v in back)
+
+
+def test_chunks_are_smaller_than_their_texts(spark):
+    """What an executor holds of a chunk, to read, deal and pass it on, stays below the bytes of its texts."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnoprstuvwyzäöüß") for _ in range(rng.randrange(2, 12))) for _ in range(3000)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(500))) for i in range(150)]
+    found = A.align(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1))
+    assert found.chunks.count() > 1
+    assert found.chunks.toArrow().nbytes < sum(len(t.encode()) for _, t in rows)
+
+
+def test_many_chunks_in_files_of_few(spark, coders, monkeypatch):
+    monkeypatch.setattr(A, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(A, "FILE_CHUNKS", 4)
+    rows = [*made(6, 300), (None, ""), (None, None), (7, "x" * 2000)]
+    want, counts = brute(coders, rows)
+    found = A.align(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(2))
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(batch, "5")  # the pairs of a chunk come in several batches
+    try:
+        assert order([tuple(r) for r in A.scored(found).collect()]) == order(want)
+    finally:
+        spark.conf.unset(batch)
+    assert {(r.a, r.b): r.n for r in found.pair_counts().collect()} == dict(counts)
+    per_file = [r["count"] for r in found.chunks.groupBy("_metadata.file_path").count().collect()]
+    assert sum(per_file) > 20 and max(per_file) <= 4
